@@ -329,5 +329,26 @@ QUERY_SQL: dict[str, str] = {
 }
 
 
+_RAW_ESTAB = "SELECT " + ", ".join(S.ESTABELECIMENTO_COLUMNS) + " FROM estabelecimento"
+QUERY_SQL.update({
+    "s1_registry_csv_roundtrip": _RAW_ESTAB,
+    "s2_code_table": "SELECT * FROM municipio",
+    "s3_zip_scan": "SELECT * FROM empresas_raw",
+    "s4_sales_csv": "SELECT * FROM vendas",
+    "s5_leads_csv": "SELECT * FROM leads",
+    "s6_table_scan": "SELECT * FROM ativos",
+    "s7_parquet_roundtrip": "SELECT * FROM fato_empresas",
+    "s9_table_append": "SELECT * FROM estabelecimento",
+    "s12_snapshot_date": "SELECT '10/06/2023' AS snapshot_date, CAST(count(*) AS BIGINT) AS linhas FROM empresas_raw",
+    "s13_snapshot_metadata": """SELECT 'CNPJ' AS referencia, '10/06/2023' AS valor
+    UNION ALL SELECT 'cnpj_qtde' AS referencia, CAST(count(*) AS VARCHAR) AS valor FROM estabelecimento""",
+    "s15_row_counts": """SELECT 'empresas' AS tabela, CAST(count(*) AS BIGINT) AS linhas FROM empresas
+    UNION ALL SELECT 'estabelecimento', CAST(count(*) AS BIGINT) FROM estabelecimento
+    UNION ALL SELECT 'socios', CAST(count(*) AS BIGINT) FROM socios""",
+    "u1_union_chunks": _RAW_ESTAB,
+    "s16_stream_ingest": _RAW_ESTAB,
+})
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: with_ctes(sql) for name, sql in QUERY_SQL.items()}

@@ -17,7 +17,10 @@ from marketscope.functions import (
 )
 from marketscope.operators import dims, enrich, kpis, lookups, market, recommend, similarity
 from marketscope.plans.model import MarketModel
-from marketscope.sources import fixtures
+from marketscope.session import shared_dir
+from marketscope.sources import export, fixtures, registry, tables, zipsource
+from marketscope.sources import schemas as S
+from marketscope.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -262,3 +265,102 @@ def b6_market_rollup(spark, sf_dir):
 def b7_products_for_prospects(spark, sf_dir):
     m = model(spark, sf_dir)
     return recommend.products_for_prospects(m.similar, m.top_products)
+
+
+# ------------------------------------------------------- sources and sinks
+# Each writes fixture data in the registry's own format to a fresh folder
+# under the shared checkpoint folder, then reads it back with the reader
+# under test.
+def _exported(spark, sf_dir, table: str, archive: str | None = None, df: DataFrame | None = None):
+    raw = df if df is not None else fixtures.raw_tables(spark, sf_dir)[table]
+    path = shared_dir(spark, f"export_{table}")
+    suffix = S.REGISTRY_SUFFIX[table]
+    export.write_registry_files(raw.repartition(4), path, suffix, archive=archive)
+    return path
+
+
+@query
+def s1_registry_csv_roundtrip(spark, sf_dir):
+    path = _exported(spark, sf_dir, "estabelecimento")
+    return registry.read_registry_csv(spark, path, "estabelecimento", partitions=8)
+
+
+@query
+def s2_code_table(spark, sf_dir):
+    path = _exported(spark, sf_dir, "municipio")
+    return registry.read_code_table(spark, path, "municipio")
+
+
+@query
+def s3_zip_scan(spark, sf_dir):
+    path = _exported(spark, sf_dir, "empresas", archive="Empresas")
+    return zipsource.read_registry_zip(spark, path, S.REGISTRY_SCHEMAS["empresas"], S.REGISTRY_SUFFIX["empresas"])
+
+
+@query
+def s4_sales_csv(spark, sf_dir):
+    path = export.write_header_csv(fixtures.inputs(spark, sf_dir).vendas, shared_dir(spark, "vendas_csv"))
+    return registry.read_sales_csv(spark, path)
+
+
+@query
+def s5_leads_csv(spark, sf_dir):
+    path = export.write_header_csv(fixtures.inputs(spark, sf_dir).leads, shared_dir(spark, "leads_csv"))
+    return registry.read_leads_csv(spark, path)
+
+
+@query
+def s6_table_scan(spark, sf_dir):
+    root = shared_dir(spark, "registry")
+    tables.save_registry(fixtures.registry(spark, sf_dir), root)
+    return market.active(tables.open_registry(spark, root).estabelecimento)
+
+
+@query
+def s7_parquet_roundtrip(spark, sf_dir):
+    path = tables.write_table(model(spark, sf_dir).fact, shared_dir(spark, "fato_empresas"))
+    return tables.read_table(spark, path)
+
+
+@query
+def s9_table_append(spark, sf_dir):
+    e = fixtures.registry(spark, sf_dir).estabelecimento
+    heads, branches = e.where(F.col("matriz_filial") == "1"), e.where(F.col("matriz_filial") != "1")
+    return tables.append_all(spark, [heads, branches], shared_dir(spark, "estabelecimento_append"))
+
+
+@query
+def s12_snapshot_date(spark, sf_dir):
+    path = _exported(spark, sf_dir, "empresas")
+    dated = registry.with_snapshot_date(registry.read_registry_csv(spark, path, "empresas"))
+    return dated.groupBy("snapshot_date").agg(F.count(F.lit(1)).cast("bigint").alias("linhas"))
+
+
+@query
+def s13_snapshot_metadata(spark, sf_dir):
+    path = _exported(spark, sf_dir, "empresas")
+    dated = registry.with_snapshot_date(registry.read_registry_csv(spark, path, "empresas"))
+    return registry.snapshot_metadata(dated, fixtures.registry(spark, sf_dir).estabelecimento)
+
+
+@query
+def s15_row_counts(spark, sf_dir):
+    r = fixtures.registry(spark, sf_dir)
+    return registry.row_counts({"empresas": r.empresas, "estabelecimento": r.estabelecimento,
+                                "socios": r.socios})
+
+
+@query
+def u1_union_chunks(spark, sf_dir):
+    raw = fixtures.raw_tables(spark, sf_dir)["estabelecimento"]
+    first = _exported(spark, sf_dir, "estabelecimento", df=raw.where(F.col("matriz_filial") == "1"))
+    second = _exported(spark, sf_dir, "estabelecimento", df=raw.where(F.col("matriz_filial") != "1"))
+    one = registry.read_registry_csv(spark, first, "estabelecimento")
+    two = registry.read_registry_csv(spark, second, "estabelecimento")
+    return one.unionByName(two)
+
+
+@query
+def s16_stream_ingest(spark, sf_dir):
+    path = _exported(spark, sf_dir, "estabelecimento")
+    return spark.read.parquet(ingest.ingest(spark, path, "estabelecimento"))

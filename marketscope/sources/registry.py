@@ -125,7 +125,7 @@ def head_office_partners(socios_original: DataFrame, estabelecimento: DataFrame)
 
 
 # -------------------------------------------------------------- snapshot metadata
-_SNAPSHOT_FIELD = r"^[^.]*\.[^.]*\.D([0-9])([0-9]{2})([0-9]{2})(\.|$)"
+_SNAPSHOT_FIELD = r"^[^.]*\.[^.]*\.D([^.])([^.]{2})([^.]{2})(\.|$)"
 
 
 def snapshot_date(file_name: Column) -> Column:
@@ -144,14 +144,19 @@ def with_snapshot_date(df: DataFrame, column: str = "snapshot_date") -> DataFram
     return df.withColumn(column, snapshot_date(F.col("_metadata.file_name")))
 
 
-def snapshot_metadata(estabelecimento: DataFrame, reference_date: Column | str) -> DataFrame:
-    """The ``_referencia`` table: snapshot date and establishment count, as text."""
-    date = reference_date if isinstance(reference_date, Column) else F.lit(reference_date)
-    spark = estabelecimento.sparkSession
-    dated = spark.range(1).select(F.lit("CNPJ").alias("referencia"), date.cast("string").alias("valor"))
-    counted = estabelecimento.agg(F.count(F.lit(1)).cast("string").alias("valor")) \
-        .select(F.lit("cnpj_qtde").alias("referencia"), "valor")
-    return dated.unionByName(counted)
+def snapshot_metadata(dated: DataFrame, estabelecimento: DataFrame, default: str = "xx/xx/2024",
+                      date_column: str = "snapshot_date") -> DataFrame:
+    """The ``_referencia`` table: snapshot date and establishment count, as text.
+
+    ``dated`` carries the date parsed from its source file names (see
+    :func:`with_snapshot_date`); ``default`` is kept when no name has one.
+    """
+    date = (dated.agg(F.min(date_column).alias("valor"))
+            .select(F.lit("CNPJ").alias("referencia"),
+                    F.coalesce(F.col("valor"), F.lit(default)).alias("valor")))
+    counted = (estabelecimento.agg(F.count(F.lit(1)).cast("string").alias("valor"))
+               .select(F.lit("cnpj_qtde").alias("referencia"), "valor"))
+    return date.unionByName(counted)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
