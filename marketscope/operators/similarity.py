@@ -11,13 +11,23 @@ one code are ever formed (pairs with no overlap can never win: the best score
 must beat 0). The join output is counted per (prospect, customer), divided by
 the customer's code count, and reduced to the best customer per prospect.
 
-Partitioning: the prospect codes are hash-partitioned by prospect once. When
-the customer code table is small enough to broadcast (checked by its row
-count, after writing it to the shared folder), the join runs map-side and both
-aggregations reuse the prospect partitioning, so pairs never cross the
-network: each task streams its prospects' pairs into a hash aggregate.
-Beyond the bound the join shuffles on the code and AQE's skew-join handling
-splits hot codes across tasks.
+Sizing and partitioning (all decided from exact statistics, one small job):
+
+* The (company, code, role) table is written once to the shared folder; the
+  statistics, every block and the final join read that copy.
+* Candidate pairs = sum over codes of prospects-with-code x customers-with-
+  code. The prospect codes are hash-partitioned by prospect into
+  ceil(pairs / PAIRS_PER_TASK) partitions (at least the cluster's
+  parallelism), with an explicit count so AQE cannot fold them into one task.
+* Customers are hashed into the fewest blocks whose largest one holds at most
+  BLOCK_ROWS (customer, code) rows, checked before use. Each block is
+  broadcast to the prospect tasks, so the join runs map-side and the pair
+  count and per-prospect best reuse the prospect partitioning: pairs are
+  aggregated inside the task that forms them and never shuffled. A hot code
+  (held by a third of all companies) only makes those tasks longer, evenly,
+  since prospects, not codes, are what is partitioned.
+* With several blocks, only the per-block winners (prospects x blocks rows)
+  are shuffled for the final pick.
 """
 
 from __future__ import annotations
@@ -28,8 +38,11 @@ from pyspark.sql import functions as F
 from marketscope.functions import split_codes
 from marketscope.session import shared_dir
 
-# Above this many (customer, code) rows the customer side is not broadcast.
-MAX_BROADCAST_CLIENT_CODES = 2_000_000
+# Largest customer block broadcast to the prospect tasks, in (customer, code)
+# rows (~40 bytes each): beyond it the customers are split into hash blocks.
+BLOCK_ROWS = 1_000_000
+# Candidate pairs one prospect task aggregates; sets the prospect partitions.
+PAIRS_PER_TASK = 2_000_000
 
 
 def explode_codes(estabelecimento: DataFrame, column: str = "cnae_fiscal_secundaria") -> DataFrame:
@@ -61,26 +74,63 @@ def code_signature(codes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("n_codigos"))
 
 
-def _client_side(codes: DataFrame, clients: DataFrame) -> DataFrame:
-    cc = codes.join(clients.select("cnpj").distinct(), "cnpj", "left_semi")
-    n = cc.groupBy("cnpj").agg(F.count(F.lit(1)).alias("n"))
-    return (cc.join(n, "cnpj")
-            .select(F.col("cnpj").alias("cliente"), "code", F.col("n").cast("int").alias("n")))
+def _tagged(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataFrame:
+    """(cnpj, code, is_client) for every company on either side, written once.
 
+    The written copy cuts the lineage (the fact plan is not re-run for the
+    statistics, each block and the final join) and survives lost executors.
+    """
+    roles = (clients.select("cnpj").distinct().withColumn("is_client", F.lit(1))
+             .unionByName(prospects.select("cnpj").distinct().withColumn("is_client", F.lit(0))))
+    tagged = codes.join(roles, "cnpj").select("cnpj", "code", F.col("is_client").cast("int"))
+    spark = codes.sparkSession
+    path = shared_dir(spark, "similarity_codes")
+    tagged.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def plan_blocks(tagged: DataFrame, block_rows: int = BLOCK_ROWS,
+                pairs_per_task: int = PAIRS_PER_TASK) -> tuple[int, int, int]:
+    """Size the join from exact statistics, in one small job.
+
+    Returns (customer blocks, prospect partitions, candidate pairs). Pairs =
+    sum over codes of prospects-with-code x customers-with-code; customers are
+    hashed into the fewest blocks whose largest one holds at most
+    ``block_rows`` (customer, code) rows, so every broadcast is bounded.
+    """
+    per_code = tagged.groupBy("code").agg(
+        F.sum("is_client").cast("bigint").alias("c"), F.sum(1 - F.col("is_client")).cast("bigint").alias("p"))
+    pairs, client_rows = per_code.agg(
+        F.coalesce(F.sum(F.col("p") * F.col("c")), F.lit(0)).cast("bigint"),
+        F.coalesce(F.sum("c"), F.lit(0)).cast("bigint")).first()
+    blocks = max(1, -(-client_rows // block_rows))
+    while blocks > 1:
+        largest = (tagged.where(F.col("is_client") == 1)
+                   .groupBy(_block(blocks)).count().agg(F.max("count")).first()[0] or 0)
+        if largest <= block_rows:
+            break
+        blocks *= 2
+    parallelism = tagged.sparkSession.sparkContext.defaultParallelism
+    partitions = max(parallelism, -(-pairs // pairs_per_task))
+    return blocks, partitions, pairs
+
+
+def _block(blocks: int):
+    return F.pmod(F.xxhash64("cnpj"), F.lit(blocks)).alias("block")
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    # min over (-score, id): highest score, then smallest id. max_by would
+    # break ties arbitrarily.
+    return (pairs.groupBy("cnpj")
+            .agg(F.min(F.struct((-F.col("similaridade")).alias("neg"), F.col("cliente").alias("id")))
+                 .alias("b"))
+            .select("cnpj", F.col("b.id").alias("cnpj_mais_similar"),
+                    (-F.col("b.neg")).alias("similaridade")))
 
-def similarity_pairs(codes: DataFrame, clients: DataFrame, prospects: DataFrame,
-                     broadcast_clients: bool | None = None) -> DataFrame:
-    """Every (prospect, customer) pair sharing a code, with overlap and score.
 
-    Columns: cnpj, cliente, intersecao, n_cliente, similaridade.
-    """
-    client_codes = _client_side(codes, clients)
-    if broadcast_clients is None:
-        client_codes, broadcast_clients = _sized(client_codes)
-    if broadcast_clients:
-        client_codes = F.broadcast(client_codes)
-    pc = codes.join(prospects.select("cnpj").distinct(), "cnpj", "left_semi")
-    return (pc.join(client_codes, "code")
+def _pairs(prospect_codes: DataFrame, client_codes: DataFrame) -> DataFrame:
+    return (prospect_codes.join(F.broadcast(client_codes), "code")
             .groupBy("cnpj", "cliente", "n")
             .agg(F.count(F.lit(1)).alias("k"))
             .select("cnpj", "cliente", F.col("k").cast("bigint").alias("intersecao"),
@@ -88,34 +138,53 @@ def similarity_pairs(codes: DataFrame, clients: DataFrame, prospects: DataFrame,
                     (F.col("k").cast("double") / F.col("n").cast("double")).alias("similaridade")))
 
 
-def _sized(client_codes: DataFrame) -> tuple[DataFrame, bool]:
-    """Write the customer code table to the shared folder and check its size.
+def _sides(codes: DataFrame, clients: DataFrame, prospects: DataFrame, blocks: int | None,
+           partitions: int | None):
+    tagged = _tagged(codes, clients, prospects)
+    if blocks is None or partitions is None:
+        b, p, _ = plan_blocks(tagged)
+        blocks, partitions = blocks or b, partitions or p
+    cc = tagged.where(F.col("is_client") == 1).select("cnpj", "code")
+    n = cc.groupBy("cnpj").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    cc = (cc.join(n, "cnpj")
+          .select(F.col("cnpj").alias("cliente"), "code", "n", _block(blocks)))
+    # Explicit partition count: AQE must not coalesce this small input into
+    # one task, the pairs are formed after it.
+    pc = (tagged.where(F.col("is_client") == 0).select("cnpj", "code")
+          .repartition(partitions, "cnpj"))
+    return pc, cc, blocks
 
-    The written copy also cuts the lineage (the fact plan is not re-run), and
-    its row count comes from Parquet metadata.
+
+def similarity_pairs(codes: DataFrame, clients: DataFrame, prospects: DataFrame,
+                     blocks: int | None = None, partitions: int | None = None) -> DataFrame:
+    """Every (prospect, customer) pair sharing a code, with overlap and score.
+
+    Columns: cnpj, cliente, intersecao, n_cliente, similaridade.
     """
-    spark = client_codes.sparkSession
-    path = shared_dir(spark, "client_codes")
-    client_codes.write.mode("overwrite").parquet(path)
-    table = spark.read.parquet(path)
-    return table, table.count() <= MAX_BROADCAST_CLIENT_CODES
+    pc, cc, blocks = _sides(codes, clients, prospects, blocks, partitions)
+    out = None
+    for b in range(blocks):
+        part = _pairs(pc, cc.where(F.col("block") == b).drop("block"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def most_similar(codes: DataFrame, clients: DataFrame, prospects: DataFrame,
-                 broadcast_clients: bool | None = None) -> DataFrame:
+                 blocks: int | None = None, partitions: int | None = None) -> DataFrame:
     """Best customer per prospect: (cnpj, cnpj_mais_similar, similaridade).
 
     ``codes``: (cnpj, code), as from :func:`company_codes`; ``clients`` and
-    ``prospects``: frames with a ``cnpj`` column.
+    ``prospects``: frames with a ``cnpj`` column. ``blocks``/``partitions``
+    override the sizing from :func:`plan_blocks` (tests use them to force the
+    multi-block path).
     """
-    pairs = similarity_pairs(codes, clients, prospects, broadcast_clients)
-    # min over (-score, id): highest score, then smallest id. max_by would
-    # break ties arbitrarily.
-    best = (pairs.groupBy("cnpj")
-            .agg(F.min(F.struct((-F.col("similaridade")).alias("neg"), F.col("cliente").alias("id")))
-                 .alias("b"))
-            .select("cnpj", F.col("b.id").alias("cnpj_mais_similar"),
-                    (-F.col("b.neg")).alias("similaridade")))
+    pc, cc, blocks = _sides(codes, clients, prospects, blocks, partitions)
+    best = None
+    for b in range(blocks):
+        part = _best(_pairs(pc, cc.where(F.col("block") == b).drop("block")))
+        best = part if best is None else best.unionByName(part)
+    if blocks > 1:   # best of the per-block winners (P x blocks rows, not pairs)
+        best = _best(best.withColumnRenamed("cnpj_mais_similar", "cliente"))
     keys = prospects.select("cnpj").distinct()
     return (keys.join(best, "cnpj", "left")
             .select("cnpj", "cnpj_mais_similar",

@@ -18,12 +18,11 @@ from marketscope.sources.registry import Inputs, Registry
 
 class MarketModel:
     def __init__(self, spark: SparkSession, registry: Registry, inputs: Inputs,
-                 drop_blank_codes: bool = False, broadcast_clients: bool | None = None):
+                 drop_blank_codes: bool = False):
         self.spark = spark
         self.registry = registry
         self.inputs = inputs
         self.drop_blank_codes = drop_blank_codes
-        self.broadcast_clients = broadcast_clients
 
     # ------------------------------------------------------------ bronze/silver
     @cached_property
@@ -62,7 +61,7 @@ class MarketModel:
 
     @cached_property
     def similar(self) -> DataFrame:
-        return similarity.most_similar(self.codes, self.clients, self.prospects, self.broadcast_clients)
+        return similarity.most_similar(self.codes, self.clients, self.prospects)
 
     @cached_property
     def fact(self) -> DataFrame:

@@ -25,11 +25,11 @@ def brute_force(codes, clients, prospects):
     return out
 
 
-def run(spark, codes, clients, prospects, broadcast):
+def run(spark, codes, clients, prospects, blocks):
     cdf = spark.createDataFrame(codes, "cnpj string, code string")
     kdf = spark.createDataFrame([(c,) for c in clients], "cnpj string")
     pdf = spark.createDataFrame([(p,) for p in prospects], "cnpj string")
-    res = similarity.most_similar(cdf, kdf, pdf, broadcast_clients=broadcast).collect()
+    res = similarity.most_similar(cdf, kdf, pdf, blocks=blocks, partitions=3 if blocks else None).collect()
     return {r.cnpj: (r.cnpj_mais_similar, r.similaridade) for r in res}
 
 
@@ -37,7 +37,9 @@ def test_edge_cases(spark):
     codes = [("p1", "a"), ("p1", "b"), ("r2", "a"), ("r1", "a"),      # tie r1/r2 -> r1
              ("p2", "z"),                                              # no overlap
              ("p3", "c"), ("r3", "c"), ("r3", "d")]                    # 1/2
-    got = run(spark, codes, ["r1", "r2", "r3"], ["p1", "p2", "p3", "p4"], True)
+    got = run(spark, codes, ["r1", "r2", "r3"], ["p1", "p2", "p3", "p4"], None)
+    assert got == {"p1": ("r1", 1.0), "p2": (None, 0.0), "p3": ("r3", 0.5), "p4": (None, 0.0)}
+    got = run(spark, codes, ["r1", "r2", "r3"], ["p1", "p2", "p3", "p4"], 2)
     assert got == {"p1": ("r1", 1.0), "p2": (None, 0.0), "p3": ("r3", 0.5), "p4": (None, 0.0)}
 
 
@@ -46,12 +48,12 @@ def test_secondary_equal_to_primary_counted_once(spark):
     sec = spark.createDataFrame([("p", "a"), ("r", "a"), ("r", "b")], "cnpj string, cnae_fiscal_secundaria string")
     codes = similarity.company_codes(fact, sec)
     assert codes.count() == 3   # p: {a}; r: {a, b}
-    res = similarity.most_similar(codes, fact.where("atual_cliente = 1"), fact.where("atual_cliente = 0"), True).first()
+    res = similarity.most_similar(codes, fact.where("atual_cliente = 1"), fact.where("atual_cliente = 0")).first()
     assert (res.cnpj_mais_similar, res.similaridade) == ("r", 0.5)
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_matches_brute_force(spark, broadcast):
+@pytest.mark.parametrize("blocks", [None, 3])
+def test_matches_brute_force(spark, blocks):
     for seed in range(8):
         rnd = random.Random(seed)
         universe = [f"c{i}" for i in range(rnd.choice([3, 6, 12]))]
@@ -61,7 +63,7 @@ def test_matches_brute_force(spark, broadcast):
         for comp in clients + prospects:
             for code in rnd.sample(universe, rnd.randint(0, min(4, len(universe)))):
                 codes.append((comp, code))
-        assert run(spark, codes, clients, prospects, broadcast) == brute_force(codes, clients, prospects), seed
+        assert run(spark, codes, clients, prospects, blocks) == brute_force(codes, clients, prospects), seed
 
 
 def test_independent_of_shuffle_partitions(spark):
@@ -69,20 +71,28 @@ def test_independent_of_shuffle_partitions(spark):
     clients = [f"r{i}" for i in range(10)]
     prospects = [f"p{i}" for i in range(40)]
     codes = [(c, f"k{rnd.randint(0, 5)}") for c in clients + prospects for _ in range(3)]
-    base = run(spark, codes, clients, prospects, False)
+    base = run(spark, codes, clients, prospects, 2)
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")
-        assert run(spark, list(reversed(codes)), clients, prospects, False) == base
+        assert run(spark, list(reversed(codes)), clients, prospects, None) == base
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def test_plan_blocks_sizes(spark):
+    rows = [(f"r{i}", f"k{i % 3}", 1) for i in range(30)] + [(f"p{i}", f"k{i % 3}", 0) for i in range(12)]
+    tagged = spark.createDataFrame(rows, "cnpj string, code string, is_client int")
+    blocks, parts, pairs = similarity.plan_blocks(tagged, block_rows=8, pairs_per_task=10)
+    assert pairs == 12 * 10          # each prospect meets the 10 customers of its code
+    assert blocks >= 4 and parts >= 12
+
+
 def test_plan_has_no_cartesian_or_python(spark):
     cdf = spark.createDataFrame([("p", "a"), ("r", "a")], "cnpj string, code string")
     k = spark.createDataFrame([("r",)], "cnpj string")
     p = spark.createDataFrame([("p",)], "cnpj string")
-    for b in (True, False):
-        plan = similarity.most_similar(cdf, k, p, b)._jdf.queryExecution().executedPlan().toString()
+    for b in (None, 2):
+        plan = similarity.most_similar(cdf, k, p, blocks=b, partitions=2)._jdf.queryExecution().executedPlan().toString()
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert bad not in plan
