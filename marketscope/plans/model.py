@@ -18,8 +18,10 @@ from marketscope.sources.registry import Inputs, Registry
 
 class MarketModel:
     def __init__(self, spark: SparkSession, registry: Registry, inputs: Inputs,
-                 drop_blank_codes: bool = False):
+                 drop_blank_codes: bool = False, active: DataFrame | None = None):
         self.spark = spark
+        if active is not None:      # e.g. the written bronze table
+            self.__dict__["active"] = active
         self.registry = registry
         self.inputs = inputs
         self.drop_blank_codes = drop_blank_codes

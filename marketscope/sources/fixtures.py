@@ -12,9 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketscope.sources import schemas as S
-from marketscope.sources.registry import (
-    Inputs, Registry, head_office_partners, load_empresas, load_estabelecimento,
-)
+from marketscope.sources.registry import Inputs, Registry, registry_from_raw
 
 # Literal code tables of the fixture (labels are arbitrary).
 NATUREZA_ROWS = [("2062", "LTDA"), ("2143", "COOPERATIVA"), ("2330", "COOP CREDITO")]
@@ -131,20 +129,6 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def registry_from_raw(raw: dict[str, DataFrame]) -> Registry:
-    """Apply the loader's derivations to raw registry frames."""
-    estab = load_estabelecimento(raw["estabelecimento"])
-    return Registry(
-        empresas=load_empresas(raw["empresas"]),
-        estabelecimento=estab,
-        socios=head_office_partners(raw["socios_original"], estab),
-        simples=raw["simples"],
-        cnae=raw["cnae"], motivo=raw["motivo"], municipio=raw["municipio"],
-        natureza_juridica=raw["natureza_juridica"], pais=raw["pais"],
-        qualificacao_socio=raw["qualificacao_socio"],
-    )
-
-
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """Sales history and leads derived from orders/lineitem/part and events."""
     orders = _read(spark, sf_dir, "orders")
