@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketscope.functions import size_or_unknown, tax_regime
-from marketscope.operators.market import distinct_keys, target_rows
+from marketscope.operators.market import distinct_keys, target_rows_by_code
 
 
 def company_enrichment(rows: DataFrame, empresas: DataFrame) -> DataFrame:
@@ -37,13 +37,18 @@ def membership_flag(rows: DataFrame, keys: DataFrame, flag: str, key: str = "cnp
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(0)).cast("int")))
 
 
-def fact_base(active_df: DataFrame, targets: DataFrame, empresas: DataFrame, simples: DataFrame,
+def fact_base(active_df: DataFrame, codes: DataFrame, empresas: DataFrame, simples: DataFrame,
               leads: DataFrame, sales: DataFrame) -> DataFrame:
-    """M2 without similarity: target rows enriched, flagged, size defaulted."""
-    rows = target_rows(active_df, targets)
+    """M2 without similarity: target rows enriched, flagged, size defaulted.
+
+    ``codes`` are the customer codes (column ``cnae``). The target rows come
+    out hash-partitioned by ``cnpj_basico``, which both registry joins reuse;
+    the flag joins run on ``cnpj`` against distinct key sets.
+    """
+    rows = target_rows_by_code(active_df, codes)
+    rows = regime_enrichment(company_enrichment(rows, empresas), simples)
     rows = membership_flag(rows, leads, "possui_lead")
     rows = membership_flag(rows, sales, "atual_cliente")
-    rows = regime_enrichment(company_enrichment(rows, empresas), simples)
     return rows.select(
         "cnpj", "cnae_fiscal", "municipio", "cnpj_basico", "nome_fantasia", "razao_social",
         size_or_unknown("porte_empresa").alias("porte_empresa"), "id_regime_tributario",

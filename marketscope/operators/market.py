@@ -8,7 +8,7 @@ statistics, then AQE at run time), with a shuffle join beyond the threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketscope.sources.schemas import BRONZE_COLUMNS
@@ -58,6 +58,25 @@ def target_rows(active_df: DataFrame, targets: DataFrame) -> DataFrame:
     return active_df.join(targets.select("cnpj"), "cnpj", "left_semi")
 
 
+def target_rows_by_code(active_df: DataFrame, codes: DataFrame) -> DataFrame:
+    """Same rows as ``target_rows(active, target_market(active, codes))``, one shuffle.
+
+    A row is kept when any row with its id has a customer code. The id embeds
+    the root id, so hash-partitioning by ``cnpj_basico`` puts all rows of an
+    id together: the window needs no further exchange, and the output stays
+    partitioned by ``cnpj_basico`` for the company and regime joins that
+    follow. The code set is a distinct list of activity codes (bounded by the
+    classification); Spark broadcasts it from its measured size.
+    """
+    hits = codes.select(F.col("cnae").alias("cnae_fiscal")).distinct().withColumn("_hit", F.lit(1))
+    w = Window.partitionBy("cnpj_basico", "cnpj")
+    return (active_df.join(hits, "cnae_fiscal", "left")
+            .repartition("cnpj_basico")
+            .withColumn("_any", F.max("_hit").over(w))
+            .where((F.col("_any") == 1) & F.col("cnpj").isNotNull())
+            .drop("_hit", "_any"))
+
+
 def prospects(fact: DataFrame) -> DataFrame:
     """Targets that are not current customers."""
     return fact.where(F.col("atual_cliente") == 0)

@@ -41,7 +41,7 @@ def test_flags_and_regime(spark):
 def test_fact_size_blank_vs_missing(spark):
     active = spark.createDataFrame([("c1", "x", "m", "r1", "n1"), ("c2", "x", "m", "r2", "n2")],
                                    "cnpj string, cnae_fiscal string, municipio string, cnpj_basico string, nome_fantasia string")
-    targets = active.select("cnpj")
+    codes = spark.createDataFrame([("x",)], "cnae string")
     empresas = spark.createDataFrame([("r1", "A", "", "", "", "", 0.0)],
                                      "cnpj_basico string, razao_social string, natureza_juridica string, "
                                      "qualificacao_responsavel string, porte_empresa string, "
@@ -49,6 +49,6 @@ def test_fact_size_blank_vs_missing(spark):
     simples = spark.createDataFrame([], S.REGISTRY_SCHEMAS["simples"])
     leads = spark.createDataFrame([], S.LEADS_SCHEMA)
     vend = spark.createDataFrame([], S.VENDAS_SCHEMA)
-    fact = {r.cnpj: r for r in enrich.fact_base(active, targets, empresas, simples, leads, vend).collect()}
+    fact = {r.cnpj: r for r in enrich.fact_base(active, codes, empresas, simples, leads, vend).collect()}
     assert fact["c1"].porte_empresa == "" and fact["c2"].porte_empresa == "00"
     assert fact["c1"].id_regime_tributario is None
