@@ -62,12 +62,15 @@ def volume_by_size_segment(star: DataFrame) -> DataFrame:
 def potential_revenue_by_region(star: DataFrame, top: DataFrame) -> DataFrame:
     """By state, the prospects and the sum over them of their most similar
     customer's recommended-item value."""
-    value = top.groupBy(F.col("cnpj").alias("cnpj_mais_similar")).agg(F.sum("valor").alias("valor_cliente"))
+    # Money is summed exactly (cents as decimal), so the result does not
+    # depend on the order in which partitions are added up.
+    cents = F.col("valor").cast("decimal(28,2)")
+    value = top.groupBy(F.col("cnpj").alias("cnpj_mais_similar")).agg(F.sum(cents).alias("valor_cliente"))
     prospects = star.where((F.col("atual_cliente") == 0) & F.col("cnpj_mais_similar").isNotNull())
     return (prospects.join(value, "cnpj_mais_similar", "left")
             .groupBy("uf")
             .agg(F.count(F.lit(1)).cast("bigint").alias("prospects"),
-                 F.coalesce(F.sum("valor_cliente"), F.lit(0.0)).alias("receita_potencial")))
+                 F.coalesce(F.sum("valor_cliente"), F.lit(0)).cast("double").alias("receita_potencial")))
 
 
 def market_rollup(star: DataFrame) -> DataFrame:

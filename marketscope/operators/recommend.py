@@ -40,7 +40,7 @@ def top_products(sales: DataFrame, k: int = 5) -> DataFrame:
 
 def customer_value(top: DataFrame) -> DataFrame:
     """Total of a customer's recommended items: (cnpj, valor_top)."""
-    return top.groupBy("cnpj").agg(F.sum("valor").alias("valor_top"))
+    return top.groupBy("cnpj").agg(F.sum(F.col("valor").cast("decimal(28,2)")).cast("double").alias("valor_top"))
 
 
 def products_for_prospects(similar: DataFrame, top: DataFrame) -> DataFrame:

@@ -32,7 +32,9 @@ Sizing and partitioning (all decided from exact statistics, one small job):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketscope.functions import split_codes
@@ -43,6 +45,15 @@ from marketscope.session import shared_dir
 BLOCK_ROWS = 1_000_000
 # Candidate pairs one prospect task aggregates; sets the prospect partitions.
 PAIRS_PER_TASK = 2_000_000
+# Hot codes: at most MAX_HOT codes, each yielding at least HOT_SHARE of all
+# candidate pairs and HOT_MIN_PAIRS pairs, are counted with bit masks.
+MAX_HOT = 10
+HOT_SHARE = 0.02
+HOT_MIN_PAIRS = 1_000_000
+# Collapse identical prospect code sets when distinct sets <= this share of prospects.
+COLLAPSE_RATIO = 0.5
+# ... and only when the pair work is large enough to be worth the extra shuffle.
+COLLAPSE_MIN_PAIRS = 50_000_000
 
 
 def explode_codes(estabelecimento: DataFrame, column: str = "cnae_fiscal_secundaria") -> DataFrame:
@@ -89,103 +100,223 @@ def _tagged(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataF
     return spark.read.parquet(path)
 
 
-def plan_blocks(tagged: DataFrame, block_rows: int = BLOCK_ROWS,
-                pairs_per_task: int = PAIRS_PER_TASK) -> tuple[int, int, int]:
-    """Size the join from exact statistics, in one small job.
+@dataclass
+class JoinPlan:
+    """Sizing of one similarity run, from exact statistics."""
+
+    blocks: int            # customer blocks, each broadcast (largest checked)
+    partitions: int        # prospect partitions
+    pairs: int             # candidate pairs formed on non-hot codes
+    all_pairs: int         # candidate pairs before the hot split
+    hot: list[str] = field(default_factory=list)   # hot codes; bit i = hot[i]
+    collapse: bool = False  # score each distinct prospect code set once
+
+
+def plan_join(tagged: DataFrame, block_rows: int = BLOCK_ROWS, pairs_per_task: int = PAIRS_PER_TASK,
+              max_hot: int = MAX_HOT, hot_share: float = HOT_SHARE,
+              hot_min_pairs: int = HOT_MIN_PAIRS, collapse_ratio: float = COLLAPSE_RATIO,
+              collapse_min_pairs: int = COLLAPSE_MIN_PAIRS) -> JoinPlan:
+    """Size the join from exact statistics (two small jobs over the written table).
 
-    Returns (customer blocks, prospect partitions, candidate pairs). Pairs =
-    sum over codes of prospects-with-code x customers-with-code; customers are
+    Per code: p prospects and c customers hold it, so it yields p x c
+    candidate pairs. Codes whose pairs exceed ``hot_share`` of all pairs (and
+    ``hot_min_pairs``) become hot, at most ``max_hot``, largest first: their
+    contribution is counted by bit masks instead of pairs. Customers are
     hashed into the fewest blocks whose largest one holds at most
-    ``block_rows`` (customer, code) rows, so every broadcast is bounded.
+    ``block_rows`` non-hot (customer, code) rows.
     """
     per_code = tagged.groupBy("code").agg(
-        F.sum("is_client").cast("bigint").alias("c"), F.sum(1 - F.col("is_client")).cast("bigint").alias("p"))
-    pairs, client_rows = per_code.agg(
-        F.coalesce(F.sum(F.col("p") * F.col("c")), F.lit(0)).cast("bigint"),
-        F.coalesce(F.sum("c"), F.lit(0)).cast("bigint")).first()
+        F.sum("is_client").cast("bigint").alias("c"),
+        F.sum(1 - F.col("is_client")).cast("bigint").alias("p")).withColumn("w", F.col("p") * F.col("c"))
+    total, client_rows = per_code.agg(F.coalesce(F.sum("w"), F.lit(0)).cast("bigint"),
+                                      F.coalesce(F.sum("c"), F.lit(0)).cast("bigint")).first()
+    hot_rows = []
+    if max_hot > 0 and total >= hot_min_pairs:
+        threshold = max(hot_min_pairs, int(hot_share * total))
+        hot_rows = (per_code.where(F.col("w") >= threshold)
+                    .orderBy(F.col("w").desc(), F.col("code")).limit(max_hot).collect())
+    hot = [r.code for r in hot_rows]
+    pairs = total - sum(r.w for r in hot_rows)
+    client_rows -= sum(r.c for r in hot_rows)
     blocks = max(1, -(-client_rows // block_rows))
+    cold_clients = tagged.where((F.col("is_client") == 1) & ~F.col("code").isin(hot)) if hot else \
+        tagged.where(F.col("is_client") == 1)
     while blocks > 1:
-        largest = (tagged.where(F.col("is_client") == 1)
-                   .groupBy(_block(blocks)).count().agg(F.max("count")).first()[0] or 0)
+        largest = cold_clients.groupBy(_block(blocks)).count().agg(F.max("count")).first()[0] or 0
         if largest <= block_rows:
             break
         blocks *= 2
+    # Distinct prospect code sets (estimated from a 64-bit hash of the sorted
+    # set; the grouping itself uses the exact set). Scoring each set once pays
+    # when sets repeat often, as single-code companies do.
+    collapse = False
+    if collapse_ratio > 0 and pairs >= collapse_min_pairs:
+        n_prospects, n_sets = (tagged.where(F.col("is_client") == 0).groupBy("cnpj")
+                               .agg(F.xxhash64(F.array_sort(F.collect_list("code"))).alias("h"))
+                               .agg(F.count(F.lit(1)), F.approx_count_distinct("h", 0.02)).first())
+        collapse = n_prospects > 0 and n_sets <= collapse_ratio * n_prospects
+    if collapse:
+        pairs = int(pairs * n_sets / n_prospects)
     parallelism = tagged.sparkSession.sparkContext.defaultParallelism
     partitions = max(parallelism, -(-pairs // pairs_per_task))
-    return blocks, partitions, pairs
+    return JoinPlan(blocks, partitions, pairs, total, hot, collapse)
 
 
 def _block(blocks: int):
     return F.pmod(F.xxhash64("cnpj"), F.lit(blocks)).alias("block")
 
 
-def _best(pairs: DataFrame) -> DataFrame:
-    # min over (-score, id): highest score, then smallest id. max_by would
-    # break ties arbitrarily.
-    return (pairs.groupBy("cnpj")
+def _hot_bit(hot: list[str]) -> Column:
+    """Bit of a code in the hot mask (0 for other codes)."""
+    bit = F.lit(0).cast("bigint")
+    for i, code in enumerate(hot):
+        bit = F.when(F.col("code") == code, F.lit(1 << i).cast("bigint")).otherwise(bit)
+    return bit
+
+
+def _submasks(mask: Column) -> Column:
+    """Every non-empty submask of a hot mask (at most 2^MAX_HOT - 1 values)."""
+    return F.filter(F.sequence(F.lit(1).cast("bigint"), mask), lambda x: (x.bitwiseAND(mask)) == x)
+
+
+def _best(candidates: DataFrame) -> DataFrame:
+    """(cnpj, cliente, similaridade) -> best per prospect.
+
+    min over (-score, id): highest score, then smallest id (max_by would break
+    ties arbitrarily).
+    """
+    return (candidates.groupBy("cnpj")
             .agg(F.min(F.struct((-F.col("similaridade")).alias("neg"), F.col("cliente").alias("id")))
                  .alias("b"))
-            .select("cnpj", F.col("b.id").alias("cnpj_mais_similar"),
-                    (-F.col("b.neg")).alias("similaridade")))
+            .select("cnpj", F.col("b.id").alias("cliente"), (-F.col("b.neg")).alias("similaridade")))
 
 
-def _pairs(prospect_codes: DataFrame, client_codes: DataFrame) -> DataFrame:
-    return (prospect_codes.join(F.broadcast(client_codes), "code")
-            .groupBy("cnpj", "cliente", "n")
-            .agg(F.count(F.lit(1)).alias("k"))
-            .select("cnpj", "cliente", F.col("k").cast("bigint").alias("intersecao"),
-                    F.col("n").cast("bigint").alias("n_cliente"),
-                    (F.col("k").cast("double") / F.col("n").cast("double")).alias("similaridade")))
+@dataclass
+class _Sides:
+    plan: JoinPlan
+    prospect_codes: DataFrame   # (cnpj, mask, code): non-hot codes, partitioned by cnpj
+    prospect_masks: DataFrame   # (cnpj, mask), partitioned by cnpj
+    client_codes: DataFrame     # (cliente, code, n, mask_r, block): non-hot codes
+    clients: DataFrame          # (cliente, n, mask_r)
+    representatives: DataFrame | None = None   # (cnpj, rep) when sets are collapsed
 
 
-def _sides(codes: DataFrame, clients: DataFrame, prospects: DataFrame, blocks: int | None,
-           partitions: int | None):
+def _sides(codes: DataFrame, clients: DataFrame, prospects: DataFrame, plan: JoinPlan | None,
+           max_hot: int, collapse: bool = True) -> _Sides:
     tagged = _tagged(codes, clients, prospects)
-    if blocks is None or partitions is None:
-        b, p, _ = plan_blocks(tagged)
-        blocks, partitions = blocks or b, partitions or p
-    cc = tagged.where(F.col("is_client") == 1).select("cnpj", "code")
-    n = cc.groupBy("cnpj").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    cc = (cc.join(n, "cnpj")
-          .select(F.col("cnpj").alias("cliente"), "code", "n", _block(blocks)))
-    # Explicit partition count: AQE must not coalesce this small input into
-    # one task, the pairs are formed after it.
-    pc = (tagged.where(F.col("is_client") == 0).select("cnpj", "code")
-          .repartition(partitions, "cnpj"))
-    return pc, cc, blocks
+    plan = plan or plan_join(tagged, max_hot=max_hot, collapse_ratio=COLLAPSE_RATIO if collapse else -1.0)
+    tagged = tagged.withColumn("bit", _hot_bit(plan.hot))
+    # Prospects: explicit partition count (AQE must not fold this small input
+    # into one task: the pairs are formed after it). Grouping by the
+    # partition key needs no further exchange.
+    per_prospect = (tagged.where(F.col("is_client") == 0).repartition(plan.partitions, "cnpj")
+                    .groupBy("cnpj")
+                    .agg(F.bit_or("bit").alias("mask"),
+                         F.collect_list(F.when(F.col("bit") == 0, F.col("code"))).alias("cold")))
+    representatives = None
+    if plan.collapse:
+        # Pre-aggregation: prospects with the same code set share one result;
+        # the set's smallest id stands for it (exact: the score depends only
+        # on the set). One shuffle of one row per prospect.
+        w = Window.partitionBy("mask", "cold")
+        per_prospect = per_prospect.withColumn("cold", F.array_sort("cold"))
+        members = per_prospect.withColumn("rep", F.min("cnpj").over(w))
+        representatives = members.select("cnpj", "rep")
+        per_prospect = (members.where(F.col("cnpj") == F.col("rep")).drop("rep")
+                        .repartition(plan.partitions, "cnpj"))
+    prospect_codes = per_prospect.select("cnpj", "mask", F.explode("cold").alias("code"))
+    prospect_masks = per_prospect.select("cnpj", "mask")
+    cc = tagged.where(F.col("is_client") == 1)
+    client_tab = cc.groupBy("cnpj").agg(F.count(F.lit(1)).cast("int").alias("n"),
+                                        F.bit_or("bit").alias("mask_r"))
+    client_codes = (cc.where(F.col("bit") == 0).select("cnpj", "code").join(client_tab, "cnpj")
+                    .select(F.col("cnpj").alias("cliente"), "code", "n", "mask_r", _block(plan.blocks)))
+    return _Sides(plan, prospect_codes, prospect_masks, client_codes,
+                  client_tab.select(F.col("cnpj").alias("cliente"), "n", "mask_r"), representatives)
+
+
+def _block_pairs(sides: _Sides, block: int) -> DataFrame:
+    """Pairs sharing a non-hot code, for one (broadcast, size-checked) customer
+    block; the hot overlap is added from the two masks."""
+    cc = sides.client_codes
+    if sides.plan.blocks > 1:
+        cc = cc.where(F.col("block") == block)
+    k = (sides.prospect_codes.join(F.broadcast(cc.drop("block")), "code")
+         .groupBy("cnpj", "mask", "cliente", "n", "mask_r")
+         .agg(F.count(F.lit(1)).alias("k_cold")))
+    k = k.withColumn("k", F.col("k_cold") + F.bit_count(F.col("mask").bitwiseAND(F.col("mask_r"))))
+    return k.select("cnpj", "cliente", F.col("k").cast("bigint").alias("intersecao"),
+                    F.col("n").cast("bigint").alias("n_cliente"),
+                    (F.col("k").cast("double") / F.col("n").cast("double")).alias("similaridade"))
+
+
+def _hot_only_best(sides: _Sides) -> DataFrame | None:
+    """Best customer by hot codes alone, for every prospect with a hot code.
+
+    For each non-empty hot submask T, the customer offering the most to a
+    prospect holding T is the one with the fewest codes (then the smallest
+    id) among customers holding T: one row per T, at most 2^len(hot). A
+    prospect with mask M meets each customer R at T = M & mask_R, so the best
+    over the submasks of M equals the best over all customers of
+    |M & mask_R| / n_R, ties to the smallest id. Both tables are bounded by
+    2^len(hot) rows and are broadcast.
+    """
+    if not sides.plan.hot:
+        return None
+    per_t = (sides.clients.where(F.col("mask_r") != 0)
+             .select("cliente", "n", F.explode(_submasks(F.col("mask_r"))).alias("t"))
+             .groupBy("t").agg(F.min(F.struct("n", "cliente")).alias("b"))
+             .select("t", F.col("b.n").alias("n"), F.col("b.cliente").alias("cliente")))
+    masks = sides.prospect_masks.select("mask").where(F.col("mask") != 0).distinct()
+    per_mask = (masks.select("mask", F.explode(_submasks(F.col("mask"))).alias("t"))
+                .join(F.broadcast(per_t), "t")
+                .select(F.col("mask").alias("cnpj"), "cliente",
+                        (F.bit_count("t").cast("double") / F.col("n").cast("double")).alias("similaridade")))
+    per_mask = _best(per_mask).withColumnRenamed("cnpj", "mask")
+    return sides.prospect_masks.join(F.broadcast(per_mask), "mask").select("cnpj", "cliente", "similaridade")
 
 
 def similarity_pairs(codes: DataFrame, clients: DataFrame, prospects: DataFrame,
-                     blocks: int | None = None, partitions: int | None = None) -> DataFrame:
+                     plan: JoinPlan | None = None) -> DataFrame:
     """Every (prospect, customer) pair sharing a code, with overlap and score.
 
-    Columns: cnpj, cliente, intersecao, n_cliente, similaridade.
+    Columns: cnpj, cliente, intersecao, n_cliente, similaridade. This is the
+    pair listing itself (its output is as large as the candidate pairs), so
+    no code is split out as hot here.
     """
-    pc, cc, blocks = _sides(codes, clients, prospects, blocks, partitions)
+    sides = _sides(codes, clients, prospects, plan, max_hot=0, collapse=False)
     out = None
-    for b in range(blocks):
-        part = _pairs(pc, cc.where(F.col("block") == b).drop("block"))
+    for b in range(sides.plan.blocks):
+        part = _block_pairs(sides, b)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def most_similar(codes: DataFrame, clients: DataFrame, prospects: DataFrame,
-                 blocks: int | None = None, partitions: int | None = None) -> DataFrame:
+                 plan: JoinPlan | None = None, max_hot: int = MAX_HOT) -> DataFrame:
     """Best customer per prospect: (cnpj, cnpj_mais_similar, similaridade).
 
     ``codes``: (cnpj, code), as from :func:`company_codes`; ``clients`` and
-    ``prospects``: frames with a ``cnpj`` column. ``blocks``/``partitions``
-    override the sizing from :func:`plan_blocks` (tests use them to force the
-    multi-block path).
+    ``prospects``: frames with a ``cnpj`` column. ``plan`` overrides the
+    sizing from :func:`plan_join` (tests use it to force blocks and hot codes).
     """
-    pc, cc, blocks = _sides(codes, clients, prospects, blocks, partitions)
-    best = None
-    for b in range(blocks):
-        part = _best(_pairs(pc, cc.where(F.col("block") == b).drop("block")))
-        best = part if best is None else best.unionByName(part)
-    if blocks > 1:   # best of the per-block winners (P x blocks rows, not pairs)
-        best = _best(best.withColumnRenamed("cnpj_mais_similar", "cliente"))
+    sides = _sides(codes, clients, prospects, plan, max_hot)
+    candidates = []
+    for b in range(sides.plan.blocks):
+        pairs = _block_pairs(sides, b)
+        best = _best(pairs) if sides.plan.blocks > 1 or sides.plan.hot else pairs
+        candidates.append(best.select("cnpj", "cliente", "similaridade"))
+    hot = _hot_only_best(sides)
+    if hot is not None:
+        candidates.append(hot)
+    merged = candidates[0]
+    for c in candidates[1:]:
+        merged = merged.unionByName(c)
+    best = _best(merged)
+    if sides.representatives is not None:
+        best = (sides.representatives.join(best.withColumnRenamed("cnpj", "rep"), "rep")
+                .select("cnpj", "cliente", "similaridade"))
     keys = prospects.select("cnpj").distinct()
     return (keys.join(best, "cnpj", "left")
-            .select("cnpj", "cnpj_mais_similar",
+            .select("cnpj", F.col("cliente").alias("cnpj_mais_similar"),
                     F.coalesce(F.col("similaridade"), F.lit(0.0)).alias("similaridade")))

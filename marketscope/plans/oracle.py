@@ -313,9 +313,10 @@ QUERY_SQL: dict[str, str] = {
     FROM (SELECT {_STAR_SELECT} {_STAR_FROM}) s
     GROUP BY porte_empresa, descricao_porte_empresa, sigla_secao, desc_secao""",
     "b5_potential_revenue_by_region": f"""SELECT s.uf, CAST(count(*) AS BIGINT) AS prospects,
-    coalesce(sum(v.valor_cliente), 0.0) AS receita_potencial
+    CAST(coalesce(sum(v.valor_cliente), 0) AS DOUBLE) AS receita_potencial
     FROM (SELECT {_STAR_SELECT} {_STAR_FROM}) s
-    LEFT JOIN (SELECT cnpj, sum(valor) AS valor_cliente FROM top5 GROUP BY cnpj) v ON v.cnpj = s.cnpj_mais_similar
+    LEFT JOIN (SELECT cnpj, sum(CAST(valor AS DECIMAL(28,2))) AS valor_cliente FROM top5 GROUP BY cnpj) v
+           ON v.cnpj = s.cnpj_mais_similar
     WHERE s.atual_cliente = 0 AND s.cnpj_mais_similar IS NOT NULL
     GROUP BY s.uf""",
     "b6_market_rollup": f"""SELECT uf, sigla_secao, CAST(sum(atual_cliente) AS BIGINT) AS clientes,

@@ -30,13 +30,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"   # compare doubles bit for bit
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if STRICT else round(v, 9)
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
     if isinstance(v, (datetime.date, datetime.datetime)):

@@ -25,11 +25,14 @@ def brute_force(codes, clients, prospects):
     return out
 
 
-def run(spark, codes, clients, prospects, blocks):
+def run(spark, codes, clients, prospects, blocks, hot=(), collapse=False):
+    """``blocks=None``: sizing from statistics; else a forced plan with the
+    given blocks and hot codes (any hot set is exact)."""
     cdf = spark.createDataFrame(codes, "cnpj string, code string")
     kdf = spark.createDataFrame([(c,) for c in clients], "cnpj string")
     pdf = spark.createDataFrame([(p,) for p in prospects], "cnpj string")
-    res = similarity.most_similar(cdf, kdf, pdf, blocks=blocks, partitions=3 if blocks else None).collect()
+    plan = None if blocks is None else similarity.JoinPlan(blocks, 3, 0, 0, list(hot), collapse)
+    res = similarity.most_similar(cdf, kdf, pdf, plan=plan).collect()
     return {r.cnpj: (r.cnpj_mais_similar, r.similaridade) for r in res}
 
 
@@ -41,6 +44,8 @@ def test_edge_cases(spark):
     assert got == {"p1": ("r1", 1.0), "p2": (None, 0.0), "p3": ("r3", 0.5), "p4": (None, 0.0)}
     got = run(spark, codes, ["r1", "r2", "r3"], ["p1", "p2", "p3", "p4"], 2)
     assert got == {"p1": ("r1", 1.0), "p2": (None, 0.0), "p3": ("r3", 0.5), "p4": (None, 0.0)}
+    got = run(spark, codes, ["r1", "r2", "r3"], ["p1", "p2", "p3", "p4"], 1, hot=["a", "c"])
+    assert got == {"p1": ("r1", 1.0), "p2": (None, 0.0), "p3": ("r3", 0.5), "p4": (None, 0.0)}
 
 
 def test_secondary_equal_to_primary_counted_once(spark):
@@ -52,8 +57,9 @@ def test_secondary_equal_to_primary_counted_once(spark):
     assert (res.cnpj_mais_similar, res.similaridade) == ("r", 0.5)
 
 
-@pytest.mark.parametrize("blocks", [None, 3])
-def test_matches_brute_force(spark, blocks):
+@pytest.mark.parametrize("blocks,n_hot,collapse", [(None, 0, False), (3, 0, False), (1, 2, False),
+                                                   (2, 3, True), (1, 0, True)])
+def test_matches_brute_force(spark, blocks, n_hot, collapse):
     for seed in range(8):
         rnd = random.Random(seed)
         universe = [f"c{i}" for i in range(rnd.choice([3, 6, 12]))]
@@ -63,7 +69,12 @@ def test_matches_brute_force(spark, blocks):
         for comp in clients + prospects:
             for code in rnd.sample(universe, rnd.randint(0, min(4, len(universe)))):
                 codes.append((comp, code))
-        assert run(spark, codes, clients, prospects, blocks) == brute_force(codes, clients, prospects), seed
+        freq = {}
+        for _, code in codes:
+            freq[code] = freq.get(code, 0) + 1
+        hot = sorted(freq, key=lambda c: (-freq[c], c))[:n_hot]
+        got = run(spark, codes, clients, prospects, blocks, hot, collapse)
+        assert got == brute_force(codes, clients, prospects), (seed, hot)
 
 
 def test_independent_of_shuffle_partitions(spark):
@@ -80,19 +91,33 @@ def test_independent_of_shuffle_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_plan_blocks_sizes(spark):
+def test_plan_join_sizes(spark):
     rows = [(f"r{i}", f"k{i % 3}", 1) for i in range(30)] + [(f"p{i}", f"k{i % 3}", 0) for i in range(12)]
+    rows += [(f"r{i}", "hot", 1) for i in range(30)] + [(f"p{i}", "hot", 0) for i in range(12)]
     tagged = spark.createDataFrame(rows, "cnpj string, code string, is_client int")
-    blocks, parts, pairs = similarity.plan_blocks(tagged, block_rows=8, pairs_per_task=10)
-    assert pairs == 12 * 10          # each prospect meets the 10 customers of its code
-    assert blocks >= 4 and parts >= 12
+    plan = similarity.plan_join(tagged, block_rows=8, pairs_per_task=10, max_hot=0, collapse_ratio=-1)
+    assert plan.pairs == 12 * 10 + 12 * 30 and plan.hot == []
+    assert plan.blocks >= 8 and plan.partitions >= 48
+    plan = similarity.plan_join(tagged, block_rows=8, pairs_per_task=10, max_hot=1, hot_min_pairs=1,
+                                collapse_ratio=-1)
+    assert plan.hot == ["hot"] and plan.pairs == 12 * 10 and plan.all_pairs == 12 * 40
 
 
 def test_plan_has_no_cartesian_or_python(spark):
     cdf = spark.createDataFrame([("p", "a"), ("r", "a")], "cnpj string, code string")
     k = spark.createDataFrame([("r",)], "cnpj string")
     p = spark.createDataFrame([("p",)], "cnpj string")
-    for b in (None, 2):
-        plan = similarity.most_similar(cdf, k, p, blocks=b, partitions=2)._jdf.queryExecution().executedPlan().toString()
+    for forced in (None, similarity.JoinPlan(2, 2, 0, 0, ["a"])):
+        plan = similarity.most_similar(cdf, k, p, plan=forced)._jdf.queryExecution().executedPlan().toString()
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert bad not in plan
+
+
+def test_plan_join_collapse_detection(spark):
+    rows = [(f"p{i}", "a", 0) for i in range(40)] + [(f"r{i}", "a", 1) for i in range(3)]
+    tagged = spark.createDataFrame(rows, "cnpj string, code string, is_client int")
+    plan = similarity.plan_join(tagged, collapse_min_pairs=0)
+    assert plan.collapse and plan.pairs <= 3 * 2    # one code set scored once
+    rows = [(f"p{i}", f"c{i}", 0) for i in range(40)] + [(f"r{i}", "c1", 1) for i in range(3)]
+    tagged = spark.createDataFrame(rows, "cnpj string, code string, is_client int")
+    assert not similarity.plan_join(tagged, collapse_min_pairs=0).collapse
