@@ -21,6 +21,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketscope.operators import similarity
 from marketscope.plans.model import MarketModel
@@ -39,8 +40,8 @@ def _read_raw(spark: SparkSession, source: str, zipped: bool, partitions: int |
     for name in BIG_TABLES:
         if zipped:
             schema = S.REGISTRY_SCHEMAS[name]
-            if name == "empresas":
-                schema = schema.add("arquivo", "string")
+            if name == "empresas":   # a new schema: StructType.add mutates in place
+                schema = T.StructType(schema.fields + [T.StructField("arquivo", T.StringType(), True)])
             df = zipsource.read_registry_zip(spark, source, schema, S.REGISTRY_SUFFIX[name], partitions)
             if name == "empresas":
                 dated = df.select(R.snapshot_date(F.col("arquivo")).alias("snapshot_date"))
