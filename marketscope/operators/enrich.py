@@ -42,8 +42,9 @@ def fact_base(active_df: DataFrame, codes: DataFrame, empresas: DataFrame, simpl
     """M2 without similarity: target rows enriched, flagged, size defaulted.
 
     ``codes`` are the customer codes (column ``cnae``). The target rows come
-    out hash-partitioned by ``cnpj_basico``, which both registry joins reuse;
-    the flag joins run on ``cnpj`` against distinct key sets.
+    out partitioned by ``cnpj``; the two registry joins share one partitioning
+    on ``cnpj_basico`` (Spark keeps it between them, so the second moves only
+    ``simples``); the flag joins run on ``cnpj`` against distinct key sets.
     """
     rows = target_rows_by_code(active_df, codes)
     rows = regime_enrichment(company_enrichment(rows, empresas), simples)

@@ -61,17 +61,17 @@ def target_rows(active_df: DataFrame, targets: DataFrame) -> DataFrame:
 def target_rows_by_code(active_df: DataFrame, codes: DataFrame) -> DataFrame:
     """Same rows as ``target_rows(active, target_market(active, codes))``, one shuffle.
 
-    A row is kept when any row with its id has a customer code. The id embeds
-    the root id, so hash-partitioning by ``cnpj_basico`` puts all rows of an
-    id together: the window needs no further exchange, and the output stays
-    partitioned by ``cnpj_basico`` for the company and regime joins that
-    follow. The code set is a distinct list of activity codes (bounded by the
-    classification); Spark broadcasts it from its measured size.
+    A row is kept when any row with its id has a customer code: a window per
+    id replaces building the distinct target ids and semi-joining them back.
+    Ids are near-unique, so partitioning by id spreads rows evenly even when
+    one company (root id) has a huge number of establishments; the later
+    joins on the root id shuffle only the target rows, and AQE splits a hot
+    root there. The code set is a distinct list of activity codes (bounded by
+    the classification); Spark broadcasts it from its measured size.
     """
     hits = codes.select(F.col("cnae").alias("cnae_fiscal")).distinct().withColumn("_hit", F.lit(1))
-    w = Window.partitionBy("cnpj_basico", "cnpj")
+    w = Window.partitionBy("cnpj")
     return (active_df.join(hits, "cnae_fiscal", "left")
-            .repartition("cnpj_basico")
             .withColumn("_any", F.max("_hit").over(w))
             .where((F.col("_any") == 1) & F.col("cnpj").isNotNull())
             .drop("_hit", "_any"))
