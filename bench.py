@@ -14,9 +14,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ["m2_fact_companies", "m1_most_similar", "w1_top5_products", "j5_target_market",
-            "g3_code_signature", "d2_dim_municipality", "q3_legal_nature", "b1_star_view",
-            "b5_potential_revenue_by_region"]
+HEADLINE = ["m2_fact_companies", "m1_most_similar", "w1_top5_products", "p1_active_establishments",
+            "j5_target_market", "g1_explode_codes", "g3_code_signature", "d2_dim_municipality",
+            "q3_legal_nature", "b1_star_view", "b5_potential_revenue_by_region"]
 
 
 def main() -> None:
