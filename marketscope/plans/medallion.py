@@ -61,8 +61,14 @@ def _read_raw(spark: SparkSession, source: str, zipped: bool, partitions: int |
 
 
 def load_registry(spark: SparkSession, source: str, out: str, zipped: bool = False,
-                  partitions: int | None = None) -> dict[str, float]:
-    """Registry files -> Parquet tables under ``out`` (one write per table)."""
+                  partitions: int | None = None, buckets: int | None = None) -> dict[str, float]:
+    """Registry files -> Parquet tables under ``out`` (one write per table).
+
+    ``empresas`` and ``simples`` are bucketed by root id into ``buckets``
+    files (default: ``spark.sql.shuffle.partitions``), so the joins on the
+    root id read them without a shuffle.
+    """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     times = {}
     t0 = time.time()
     raw, dated = _read_raw(spark, source, zipped, partitions)
@@ -70,7 +76,11 @@ def load_registry(spark: SparkSession, source: str, out: str, zipped: bool = Fal
     # The big tables are written first; everything derived reads those copies.
     for name in ("empresas", "estabelecimento", "simples", "socios_original"):
         df = {"empresas": R.load_empresas, "estabelecimento": R.load_estabelecimento}.get(name, lambda d: d)(raw[name])
-        tables.write_table(df, f"{root}/{name}", sort_by=tables.SORT_KEYS.get(name, "cnpj_basico"))
+        if name in tables.BUCKETED:
+            tables.write_bucketed_table(df, f"{root}/{name}", name, tables.BUCKETED[name], buckets)
+        else:
+            tables.write_table(df, f"{root}/{name}", sort_by=tables.SORT_KEYS.get(name, "cnpj_basico"))
+    tables.write_layout(spark, root, buckets)
     for name in CODE_TABLES:
         tables.write_table(raw[name].coalesce(1), f"{root}/{name}")
     times["load"] = time.time() - t0

@@ -7,6 +7,8 @@ reads few files and Parquet min/max statistics skip the other row groups.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -49,21 +51,79 @@ def append_all(spark: SparkSession, chunks: list[DataFrame], path: str) -> DataF
     return spark.read.parquet(path)
 
 
-def save_registry(r: Registry, root: str) -> dict[str, str]:
+# Root-level tables: one row per root id, so bucketing them by it is uniform
+# (no hot bucket) and their joins on the root id need no shuffle of them.
+BUCKETED = {"empresas": "cnpj_basico", "simples": "cnpj_basico"}
+
+
+def catalog_name(table: str, path: str) -> str:
+    return f"ms_{table}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
+
+
+def write_bucketed_table(df: DataFrame, path: str, table: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` bucketed and sorted by ``key`` into ``buckets`` files (an
+    external catalog table at ``path``); returns the table."""
+    name = catalog_name(table, path)
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # one task per bucket: each bucket is one file, not one per writer task
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
+def bucketed_table(spark: SparkSession, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Declare (if needed) and return the bucketed table written at ``path``."""
+    name = catalog_name(table, path)
+    if not spark.catalog.tableExists(name):
+        schema = spark.read.parquet(path).schema
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def save_registry(r: Registry, root: str, buckets: int | None = None) -> dict[str, str]:
     """Write every registry table under ``root`` (big ones clustered by key)."""
     out = {}
     for name in ("empresas", "estabelecimento", "socios", "simples", "cnae", "motivo", "municipio",
                  "natureza_juridica", "pais", "qualificacao_socio"):
         path = f"{root.rstrip('/')}/{name}"
-        write_table(getattr(r, name), path, sort_by=SORT_KEYS.get(name))
+        if buckets and name in BUCKETED:
+            write_bucketed_table(getattr(r, name), path, name, BUCKETED[name], buckets)
+        else:
+            write_table(getattr(r, name), path, sort_by=SORT_KEYS.get(name))
         out[name] = path
+    if buckets:
+        write_layout(r.empresas.sparkSession, root, buckets)
     return out
 
 
+def write_layout(spark: SparkSession, root: str, buckets: int) -> None:
+    """Record the bucket layout next to the tables (read back by open_registry)."""
+    rows = [(t, k, buckets) for t, k in BUCKETED.items()]
+    (spark.createDataFrame(rows, "tabela string, chave string, buckets int").coalesce(1)
+     .write.mode("overwrite").json(f"{root.rstrip('/')}/_layout"))
+
+
+def read_layout(spark: SparkSession, root: str) -> dict[str, tuple[str, int]]:
+    try:
+        rows = spark.read.schema("tabela string, chave string, buckets int").json(f"{root.rstrip('/')}/_layout").collect()
+    except Exception:   # no layout: plain tables
+        return {}
+    return {r.tabela: (r.chave, r.buckets) for r in rows}
+
+
 def open_registry(spark: SparkSession, root: str) -> Registry:
-    """Registry tables as Parquet scans."""
+    """Registry tables as Parquet scans (bucketed ones through the catalog)."""
+    layout = read_layout(spark, root)
+
     def t(name):
-        return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+        path = f"{root.rstrip('/')}/{name}"
+        if name in layout:
+            key, buckets = layout[name]
+            return bucketed_table(spark, name, path, key, buckets)
+        return spark.read.parquet(path)
     return Registry(**{name: t(name) for name in (
         "empresas", "estabelecimento", "socios", "simples", "cnae", "motivo", "municipio",
         "natureza_juridica", "pais", "qualificacao_socio")})

@@ -80,3 +80,30 @@ def test_sorted_table_prunes(spark, tmp):
     path = tables.write_table(df, os.path.join(tmp, "t"), sort_by="cnpj", files=4)
     plan = spark.read.parquet(path).where(F.col("cnpj") == "00000000000191")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(cnpj), EqualTo(cnpj,00000000000191)]" in plan
+
+
+def test_bucketed_join_reads_without_shuffle(spark, tmp):
+    from marketscope.sources import fixtures
+    from marketscope.operators import enrich, market
+    r = fixtures.registry(spark, "/root/testdata/sf0.001")
+    tables.save_registry(r, tmp, buckets=4)
+    opened = tables.open_registry(spark, tmp)
+    spark.catalog.clearCache()
+    # a fresh declaration (as another session would do) keeps the bucket spec
+    for name in tables.BUCKETED:
+        spark.sql(f"DROP TABLE IF EXISTS {tables.catalog_name(name, tmp + '/' + name)}")
+    opened = tables.open_registry(spark, tmp)
+    rows = market.active(opened.estabelecimento)
+    j = enrich.regime_enrichment(enrich.company_enrichment(rows, opened.empresas), opened.simples)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l]
+    assert len(exchanges) == 1, plan          # only the establishments move
+    assert "SelectedBucketsCount" in plan
+    assert j.count() == rows.count()
