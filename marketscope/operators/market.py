@@ -74,7 +74,7 @@ def target_rows_by_code(active_df: DataFrame, codes: DataFrame) -> DataFrame:
     return (active_df.join(hits, "cnae_fiscal", "left")
             .withColumn("_any", F.max("_hit").over(w))
             .where((F.col("_any") == 1) & F.col("cnpj").isNotNull())
-            .drop("_hit", "_any"))
+            .select(*active_df.columns))
 
 
 def prospects(fact: DataFrame) -> DataFrame:

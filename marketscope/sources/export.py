@@ -37,7 +37,8 @@ def _csv_bytes(pdf: pd.DataFrame, header: bool, sep: str, encoding: str) -> byte
 
 
 def write_registry_files(df: DataFrame, path: str, suffix: str, snapshot: str = SNAPSHOT,
-                         archive: str | None = None, encoding: str = "latin-1") -> DataFrame:
+                         archive: str | None = None, encoding: str = "latin-1",
+                         prefix: str = "K3241") -> DataFrame:
     """Write ``df`` as headerless ``;`` latin-1 files, one per partition.
 
     With ``archive`` (e.g. ``"Empresas"``) each file goes into its own zip
@@ -50,7 +51,7 @@ def write_registry_files(df: DataFrame, path: str, suffix: str, snapshot: str =
     def write(it):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        name = registry_file_name(part, suffix.replace("*", str(part)), snapshot)
+        name = registry_file_name(part, suffix.replace("*", str(part)), snapshot, prefix)
         target = os.path.join(path, f"{archive}{part}.zip" if archive else name)
         tmp = target + ".tmp"
         zf = zipfile.ZipFile(tmp, "w", compression=zipfile.ZIP_DEFLATED) if archive else None
