@@ -45,10 +45,17 @@ def get_session(master: str | None = None, app: str = "marketscope",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only when unset."""
+    """The cluster's shared checkpoint folder.
+
+    A private folder is created only when the setting is absent and Spark
+    runs in local mode (tests); on a cluster a machine-local folder would be
+    invisible to the executors, so the setting is required there.
+    """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="marketscope-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -60,5 +67,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     path = f"{root.rstrip('/')}/marketscope/{name}-{uuid.uuid4().hex[:12]}"
     if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
+        os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+def local_path(path: str) -> str:
+    """'file:/x', 'file:///x' -> '/x'; other strings unchanged."""
+    if path.startswith("file://"):
+        return path[len("file://"):]
+    return path.removeprefix("file:")

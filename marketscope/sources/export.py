@@ -7,21 +7,22 @@ file. Writing happens on the executors; the driver only receives one
 and a temporary name is renamed into place, so a retried or speculative task
 rewrites the same file instead of adding one.
 
-Files are written with Python I/O, so ``path`` must be a POSIX path visible
-to every executor (local disk in tests, a mounted shared folder on a cluster).
+Files are written through ``pyarrow.fs``: ``path`` may be local (tests) or
+a shared filesystem URI visible to every executor.
 """
 
 from __future__ import annotations
 
 import csv
 import io
-import os
 import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketscope.sources import files
+
 SNAPSHOT = "D30610"   # 10/06/2023 in the registry's DYMMDD form
 
 
@@ -45,17 +46,18 @@ def write_registry_files(df: DataFrame, path: str, suffix: str, snapshot: str =
     ``<archive><part>.zip``. Returns the (file, rows) summary, already
     computed.
     """
-    os.makedirs(path, exist_ok=True)
+    files.make_dirs(path)
     columns = df.columns
 
     def write(it):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         name = registry_file_name(part, suffix.replace("*", str(part)), snapshot, prefix)
-        target = os.path.join(path, f"{archive}{part}.zip" if archive else name)
+        target = files.join(path, f"{archive}{part}.zip" if archive else name)
         tmp = target + ".tmp"
-        zf = zipfile.ZipFile(tmp, "w", compression=zipfile.ZIP_DEFLATED) if archive else None
-        fh = zf.open(name, "w", force_zip64=True) if zf else open(tmp, "wb")
+        out = files.open_output(tmp)
+        zf = zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED) if archive else None
+        fh = zf.open(name, "w", force_zip64=True) if zf else out
         n = 0
         try:
             for pdf in it:   # Arrow batches, never the whole partition at once
@@ -66,8 +68,9 @@ def write_registry_files(df: DataFrame, path: str, suffix: str, snapshot: str =
             fh.close()
             if zf:
                 zf.close()
-        os.replace(tmp, target)
-        yield pd.DataFrame({"arquivo": [os.path.basename(target)], "linhas": [n]})
+                out.close()
+        files.move(tmp, target)
+        yield pd.DataFrame({"arquivo": [target.rsplit("/", 1)[-1]], "linhas": [n]})
 
     # Partitions stream through pandas one at a time; the summary is tiny.
     summary = df.mapInPandas(write, "arquivo string, linhas long")

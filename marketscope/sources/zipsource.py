@@ -10,7 +10,7 @@ task, like a multiLine CSV file: repartition after reading.
     df = (spark.read.format("registry_zip").schema(schema)
           .option("path", folder).option("suffix", ".EMPRECSV").load())
 
-Options: ``path`` (folder of ``*.zip``), ``suffix`` (member-name suffix;
+Options: ``path`` (folder of ``*.zip``; local, ``hdfs://``, ``s3://`` via pyarrow.fs), ``suffix`` (member-name suffix;
 ``*`` allowed), ``encoding`` (default ISO-8859-1), ``sep`` (default ``;``),
 ``chunkRows`` (default 100000). Missing values are read as '' (the registry
 convention); a schema field named ``arquivo`` receives the member name.
@@ -19,13 +19,14 @@ convention); a schema field named ``arquivo`` receives the member name.
 from __future__ import annotations
 
 import fnmatch
-import os
 import zipfile
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from marketscope.sources import files
+
 
 @dataclass
 class ZipMember(InputPartition):
@@ -38,13 +39,13 @@ class ZipMember(InputPartition):
 
 
 def list_members(path: str, suffix: str) -> list[ZipMember]:
+    """Archive members to read: only the zip central directories are read."""
     pattern = "*" + suffix
     out = []
-    for name in sorted(os.listdir(path)):
-        if not name.endswith(".zip"):
+    for archive in files.list_files(path):
+        if not archive.endswith(".zip"):
             continue
-        archive = os.path.join(path, name)
-        with zipfile.ZipFile(archive) as z:
+        with files.open_input(archive) as fh, zipfile.ZipFile(fh) as z:
             for m in z.namelist():
                 if fnmatch.fnmatch(m, pattern):
                     out.append(ZipMember(archive, m))
@@ -67,7 +68,8 @@ class RegistryZipReader(DataSourceReader):
         data_cols = [n for n in names if n != "arquivo"]
         arrow_schema = pa.schema([pa.field(n, pa.string()) for n in names])
         chunk = int(self.options.get("chunkRows", "100000"))
-        with zipfile.ZipFile(partition.archive) as z, z.open(partition.member) as fh:
+        with files.open_input(partition.archive) as raw, zipfile.ZipFile(raw) as z, \
+                z.open(partition.member) as fh:
             reader = pd.read_csv(
                 fh, sep=self.options.get("sep", ";"), header=None, names=data_cols, dtype=str,
                 encoding=self.options.get("encoding", "ISO-8859-1"), quotechar='"', doublequote=True,
