@@ -133,7 +133,7 @@ def run(spark: SparkSession, tables_dir: str, sales: DataFrame, leads: DataFrame
     except Exception:
         pass
     # intermediate: the shared checkpoint folder, not the output
-    m.__dict__["fact_base"] = _write(m.fact_base, shared_dir(spark, "fato_base"))
+    m.__dict__["fact_base_table"] = _write(m.fact_base, shared_dir(spark, "fato_base"))
     times["gold_fact_base"] = time.time() - t0
 
     t0 = time.time()

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketscope.operators import dims, enrich, market, recommend, similarity
+from marketscope.session import shared_dir
 from marketscope.sources.registry import Inputs, Registry
 
 
@@ -45,21 +46,35 @@ class MarketModel:
         r, i = self.registry, self.inputs
         return enrich.fact_base(self.active, self.client_codes, r.empresas, r.simples, i.leads, i.vendas)
 
+    @cached_property
+    def fact_base_table(self) -> DataFrame:
+        """The fact without similarity, written once to the shared folder: the
+        similarity (codes, roles) and the final fact read this copy instead
+        of re-running the target and enrichment joins."""
+        path = shared_dir(self.spark, "fato_base")
+        self.fact_base.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def secondary(self) -> DataFrame:
-        return similarity.explode_codes(self.registry.estabelecimento)
+        """Exploded secondary codes of the fact companies only (the target rows
+        are selected before exploding). A loaded ``cnae_secundaria`` table
+        may be set here instead."""
+        estab = self.registry.estabelecimento.join(
+            self.fact_base_table.select("cnpj").distinct(), "cnpj", "left_semi")
+        return similarity.explode_codes(estab)
 
     @cached_property
     def codes(self) -> DataFrame:
-        return similarity.company_codes(self.fact_base, self.secondary)
+        return similarity.company_codes(self.fact_base_table, self.secondary)
 
     @cached_property
     def clients(self) -> DataFrame:
-        return self.fact_base.where(F.col("atual_cliente") == 1).select("cnpj")
+        return self.fact_base_table.where(F.col("atual_cliente") == 1).select("cnpj")
 
     @cached_property
     def prospects(self) -> DataFrame:
-        return market.prospects(self.fact_base).select("cnpj")
+        return market.prospects(self.fact_base_table).select("cnpj")
 
     @cached_property
     def similar(self) -> DataFrame:
@@ -67,7 +82,7 @@ class MarketModel:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return enrich.attach_similarity(self.fact_base, self.similar)
+        return enrich.attach_similarity(self.fact_base_table, self.similar)
 
     @cached_property
     def top_products(self) -> DataFrame:
