@@ -75,6 +75,11 @@ def section_of(div: ColumnOrName) -> tuple[Column, Column]:
     return letter, label
 
 
+def classify_section(code: ColumnOrName, lenient: bool = False) -> tuple[Column, Column]:
+    """E8+E9: activity code -> (section letter, section label)."""
+    return section_of(division(code, lenient))
+
+
 def split_codes(c: ColumnOrName) -> Column:
     """Comma-separated code list -> array, no trimming (a space is kept)."""
     return F.split(_c(c), ",")

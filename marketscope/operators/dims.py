@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketscope.functions import REGIME_ROWS, SIZE_ROWS, division, section_of
+from marketscope.functions import REGIME_ROWS, SIZE_ROWS, classify_section
 
 
 def dim_activity(cnae: DataFrame, lenient: bool = False) -> DataFrame:
     """Codes with their section letter and label (E8 + E9, no Python UDF)."""
-    sigla, desc = section_of(division("codigo", lenient))
+    sigla, desc = classify_section("codigo", lenient)
     return cnae.select("codigo", "descricao", sigla.alias("sigla_secao"), desc.alias("desc_secao"))
 
 

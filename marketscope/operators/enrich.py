@@ -59,3 +59,9 @@ def fact_base(active_df: DataFrame, codes: DataFrame, empresas: DataFrame, simpl
 def attach_similarity(fact: DataFrame, similar: DataFrame) -> DataFrame:
     """Left join (cnpj_mais_similar, similaridade); customers get NULL."""
     return fact.join(similar.select("cnpj", "cnpj_mais_similar", "similaridade"), "cnpj", "left")
+
+
+def fact_companies(active_df: DataFrame, codes: DataFrame, empresas: DataFrame, simples: DataFrame,
+                   leads: DataFrame, sales: DataFrame, similar: DataFrame) -> DataFrame:
+    """M2: the gold fact, :func:`fact_base` with the most-similar columns attached."""
+    return attach_similarity(fact_base(active_df, codes, empresas, simples, leads, sales), similar)
