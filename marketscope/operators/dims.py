@@ -50,3 +50,14 @@ def dim_regime(spark: SparkSession) -> DataFrame:
     schema = T.StructType([T.StructField("id_regime_tributario", T.IntegerType(), False),
                            T.StructField("descricao_regime_tributario", T.StringType(), False)])
     return spark.createDataFrame(REGIME_ROWS, schema)
+
+
+def with_member_counts(dim: DataFrame, fact: DataFrame, key: str) -> DataFrame:
+    """A dimension with the number of fact rows per member (0 when unused).
+
+    The fact is pre-aggregated to one row per key before the join, so the
+    dimension side stays literal-sized.
+    """
+    counts = fact.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias("empresas"))
+    return (dim.join(counts, key, "left")
+            .withColumn("empresas", F.coalesce(F.col("empresas"), F.lit(0).cast("bigint"))))

@@ -278,8 +278,12 @@ QUERY_SQL: dict[str, str] = {
     "w1_top5_products": "SELECT * FROM top5",
     "d1_dim_activity": "SELECT * FROM dim_cnae",
     "d2_dim_municipality": "SELECT * FROM dim_municipio",
-    "d3_dim_size": "SELECT * FROM dim_porte_empresa",
-    "d4_dim_regime": "SELECT * FROM dim_regime_tributario",
+    "d3_dim_size": """SELECT d.porte_empresa, d.descricao_porte_empresa,
+    CAST((SELECT count(*) FROM fato_base f WHERE f.porte_empresa = d.porte_empresa) AS BIGINT) AS empresas
+    FROM dim_porte_empresa d""",
+    "d4_dim_regime": """SELECT d.id_regime_tributario, d.descricao_regime_tributario,
+    CAST((SELECT count(*) FROM fato_base f WHERE f.id_regime_tributario = d.id_regime_tributario) AS BIGINT) AS empresas
+    FROM dim_regime_tributario d""",
     "m0_similarity_pairs": """SELECT cnpj, cliente, CAST(k AS BIGINT) AS intersecao, CAST(n AS BIGINT) AS n_cliente,
     CAST(k AS DOUBLE) / CAST(n AS DOUBLE) AS similaridade FROM pares""",
     "m1_most_similar": "SELECT * FROM similares",

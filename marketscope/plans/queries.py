@@ -169,12 +169,16 @@ def d2_dim_municipality(spark, sf_dir):
 
 @query
 def d3_dim_size(spark, sf_dir):
-    return dims.dim_size(spark)
+    """D3 with its use: every size member and the fact companies in it."""
+    m = model(spark, sf_dir)
+    return dims.with_member_counts(m.dim_porte, m.fact_base, "porte_empresa")
 
 
 @query
 def d4_dim_regime(spark, sf_dir):
-    return dims.dim_regime(spark)
+    """D4 with its use: every regime member and the fact companies in it."""
+    m = model(spark, sf_dir)
+    return dims.with_member_counts(m.dim_regime, m.fact_base, "id_regime_tributario")
 
 
 # -------------------------------------------------------------- similarity
