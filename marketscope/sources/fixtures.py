@@ -21,8 +21,17 @@ PAIS_ROWS = [("105", "BRASIL"), ("160", "CHINA"), ("249", "ESTADOS UNIDOS")]
 QUALIFICACAO_ROWS = [("05", "ADMINISTRADOR"), ("10", "DIRETOR"), ("16", "PRESIDENTE")]
 
 
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one test table, built once per application: every
+    ``spark.read.parquet`` infers the schema with a small job of its own."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def root_id(x: Column) -> Column:
