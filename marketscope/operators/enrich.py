@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketscope.functions import size_or_unknown, tax_regime
-from marketscope.operators.market import distinct_keys, target_rows_by_code
+from marketscope.operators.market import distinct_keys, target_market, target_rows
 
 
 def company_enrichment(rows: DataFrame, empresas: DataFrame) -> DataFrame:
@@ -41,12 +41,12 @@ def fact_base(active_df: DataFrame, codes: DataFrame, empresas: DataFrame, simpl
               leads: DataFrame, sales: DataFrame) -> DataFrame:
     """M2 without similarity: target rows enriched, flagged, size defaulted.
 
-    ``codes`` are the customer codes (column ``cnae``). The target rows come
-    out partitioned by ``cnpj``; the two registry joins share one partitioning
-    on ``cnpj_basico`` (Spark keeps it between them, so the second moves only
-    ``simples``); the flag joins run on ``cnpj`` against distinct key sets.
+    ``codes`` are the customer codes (column ``cnae``). The two registry
+    joins share one partitioning on ``cnpj_basico`` (Spark keeps it between
+    them; with the bucketed registry tables neither of them moves); the flag
+    joins run on ``cnpj`` against distinct key sets.
     """
-    rows = target_rows_by_code(active_df, codes)
+    rows = target_rows(active_df, target_market(active_df, codes))
     rows = regime_enrichment(company_enrichment(rows, empresas), simples)
     rows = membership_flag(rows, leads, "possui_lead")
     rows = membership_flag(rows, sales, "atual_cliente")

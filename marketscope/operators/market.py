@@ -8,7 +8,7 @@ statistics, then AQE at run time), with a shuffle join beyond the threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketscope.sources.schemas import BRONZE_COLUMNS
@@ -54,27 +54,13 @@ def target_market(active_df: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def target_rows(active_df: DataFrame, targets: DataFrame) -> DataFrame:
-    """Active rows whose id is a target (all rows of a repeated id are kept)."""
-    return active_df.join(targets.select("cnpj"), "cnpj", "left_semi")
-
+    """Active rows whose id is a target (all rows of a repeated id are kept).
 
-def target_rows_by_code(active_df: DataFrame, codes: DataFrame) -> DataFrame:
-    """Same rows as ``target_rows(active, target_market(active, codes))``, one shuffle.
-
-    A row is kept when any row with its id has a customer code: a window per
-    id replaces building the distinct target ids and semi-joining them back.
-    Ids are near-unique, so partitioning by id spreads rows evenly even when
-    one company (root id) has a huge number of establishments; the later
-    joins on the root id shuffle only the target rows, and AQE splits a hot
-    root there. The code set is a distinct list of activity codes (bounded by
-    the classification); Spark broadcasts it from its measured size.
+    The target ids are distinct (combined map-side, so copies of one id never
+    pile up); the semi-join is broadcast when they are small and otherwise a
+    sort-merge join whose hot id AQE splits.
     """
-    hits = codes.select(F.col("cnae").alias("cnae_fiscal")).distinct().withColumn("_hit", F.lit(1))
-    w = Window.partitionBy("cnpj")
-    return (active_df.join(hits, "cnae_fiscal", "left")
-            .withColumn("_any", F.max("_hit").over(w))
-            .where((F.col("_any") == 1) & F.col("cnpj").isNotNull())
-            .select(*active_df.columns))
+    return active_df.join(targets.select("cnpj"), "cnpj", "left_semi")
 
 
 def prospects(fact: DataFrame) -> DataFrame:

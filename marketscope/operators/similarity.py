@@ -64,20 +64,19 @@ def explode_codes(estabelecimento: DataFrame, column: str = "cnae_fiscal_secunda
             .select("cnpj", F.explode(split_codes(column)).alias(column)))
 
 
-def company_codes(fact: DataFrame, secondary: DataFrame, partitions: int | None = None) -> DataFrame:
+def company_codes(fact: DataFrame, secondary: DataFrame) -> DataFrame:
     """Distinct (cnpj, code) of fact companies: primary plus secondary.
 
-    ``secondary`` is the exploded table (cnpj, cnae_fiscal_secundaria). The
-    result is hash-partitioned by ``cnpj`` (one shuffle; the distinct reuses it).
+    ``secondary`` is the exploded table (cnpj, cnae_fiscal_secundaria).
+    Duplicates are dropped map-side before the shuffle, so repeated rows of
+    one company never pile up in one task.
     """
     keys = fact.select("cnpj").distinct()
     primary = fact.where(F.col("cnae_fiscal").isNotNull()).select("cnpj", F.col("cnae_fiscal").alias("code"))
     extra = (secondary.where(F.col("cnae_fiscal_secundaria").isNotNull())
              .join(keys, "cnpj", "left_semi")
              .select("cnpj", F.col("cnae_fiscal_secundaria").alias("code")))
-    both = primary.unionByName(extra)
-    both = both.repartition(partitions, "cnpj") if partitions else both.repartition("cnpj")
-    return both.distinct()
+    return primary.unionByName(extra).distinct()
 
 
 def code_signature(codes: DataFrame) -> DataFrame:
@@ -219,12 +218,13 @@ def _sides(codes: DataFrame, clients: DataFrame, prospects: DataFrame, plan: Joi
     if plan.collapse:
         # Pre-aggregation: prospects with the same code set share one result;
         # the set's smallest id stands for it (exact: the score depends only
-        # on the set). One shuffle of one row per prospect.
-        w = Window.partitionBy("mask", "cold")
+        # on the set). The representative comes from a group-by, combined
+        # map-side, so a set shared by a third of all prospects is never one
+        # task; the members find it back through a join AQE can split.
         per_prospect = per_prospect.withColumn("cold", F.array_sort("cold"))
-        members = per_prospect.withColumn("rep", F.min("cnpj").over(w))
-        representatives = members.select("cnpj", "rep")
-        per_prospect = (members.where(F.col("cnpj") == F.col("rep")).drop("rep")
+        reps = per_prospect.groupBy("mask", "cold").agg(F.min("cnpj").alias("rep"))
+        representatives = per_prospect.join(reps, ["mask", "cold"]).select("cnpj", "rep")
+        per_prospect = (reps.select(F.col("rep").alias("cnpj"), "mask", "cold")
                         .repartition(plan.partitions, "cnpj"))
     prospect_codes = per_prospect.select("cnpj", "mask", F.explode("cold").alias("code"))
     prospect_masks = per_prospect.select("cnpj", "mask")
