@@ -121,3 +121,29 @@ def test_plan_join_collapse_detection(spark):
     rows = [(f"p{i}", f"c{i}", 0) for i in range(40)] + [(f"r{i}", "c1", 1) for i in range(3)]
     tagged = spark.createDataFrame(rows, "cnpj string, code string, is_client int")
     assert not similarity.plan_join(tagged, collapse_min_pairs=0).collapse
+
+
+def test_skewed_input_with_automatic_plan(spark):
+    """One code held by every company and one code set shared by most
+    prospects: the automatic plan makes the code hot and collapses the sets,
+    and the result still equals the brute force."""
+    rnd = random.Random(11)
+    clients = [f"r{i:03d}" for i in range(40)]
+    prospects = [f"p{i:03d}" for i in range(300)]
+    codes = [(c, "hot") for c in clients + prospects]
+    for c in clients:
+        codes += [(c, f"k{j}") for j in rnd.sample(range(8), rnd.randint(0, 3))]
+    for i, p in enumerate(prospects):
+        if i % 3:           # two thirds share the set {hot, k1}
+            codes.append((p, "k1"))
+        else:
+            codes += [(p, f"k{j}") for j in rnd.sample(range(8), rnd.randint(0, 3))]
+    cdf = spark.createDataFrame(codes, "cnpj string, code string")
+    kdf = spark.createDataFrame([(c,) for c in clients], "cnpj string")
+    pdf = spark.createDataFrame([(p,) for p in prospects], "cnpj string")
+    tagged = similarity._tagged(cdf, kdf, pdf)
+    plan = similarity.plan_join(tagged, hot_min_pairs=0, hot_share=0.2, collapse_min_pairs=0)
+    assert plan.hot == ["hot"] and plan.collapse
+    got = {r.cnpj: (r.cnpj_mais_similar, r.similaridade)
+           for r in similarity.most_similar(cdf, kdf, pdf, plan=plan).collect()}
+    assert got == brute_force(codes, clients, prospects)
