@@ -45,21 +45,24 @@ class Inputs:
 
 
 # --------------------------------------------------------------------------- CSV
-def registry_csv_options(multiline: bool = True) -> dict[str, str]:
+def registry_csv_options(multiline: bool = True, strict: bool = False) -> dict[str, str]:
     # Doubled quotes and quoted newlines need escape='"' and multiLine; a
     # multiLine file is read by one task, so callers repartition right after.
+    # Permissive mode reads a malformed line with missing fields (they become
+    # ''); strict mode fails the load on it.
     return {
         "sep": ";", "header": "false", "encoding": "ISO-8859-1", "quote": '"',
-        "escape": '"', "multiLine": str(multiline).lower(), "mode": "PERMISSIVE",
+        "escape": '"', "multiLine": str(multiline).lower(), "mode": "FAILFAST" if strict else "PERMISSIVE",
     }
 
 
 def read_registry_csv(spark: SparkSession, path: str, table: str, suffix: str | None = None,
-                      multiline: bool = True, partitions: int | None = None) -> DataFrame:
+                      multiline: bool = True, partitions: int | None = None,
+                      strict: bool = False) -> DataFrame:
     """Every file under ``path`` ending in the table's suffix, blanks as ''."""
     suffix = suffix or S.REGISTRY_SUFFIX[table]
     df = (spark.read.schema(S.REGISTRY_SCHEMAS[table])
-          .options(**registry_csv_options(multiline))
+          .options(**registry_csv_options(multiline, strict))
           .option("pathGlobFilter", "*" + suffix)
           .csv(path)
           .na.fill(""))

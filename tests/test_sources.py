@@ -107,3 +107,11 @@ def test_bucketed_join_reads_without_shuffle(spark, tmp):
     assert len(exchanges) == 1, plan          # only the establishments move
     assert "SelectedBucketsCount" in plan
     assert j.count() == rows.count()
+
+
+def test_strict_mode_rejects_malformed_lines(spark, tmp):
+    import pytest
+    _write(tmp, "F.SIMPLES.CSV.0", '"1";"S";"";"";"N";"";""\n"2";"S"\n')
+    assert registry.read_registry_csv(spark, tmp, "simples").count() == 2
+    with pytest.raises(Exception):
+        registry.read_registry_csv(spark, tmp, "simples", strict=True).collect()
