@@ -22,7 +22,7 @@ QUALIFICACAO_ROWS = [("05", "ADMINISTRADOR"), ("10", "DIRETOR"), ("16", "PRESIDE
 
 
 _SCANS: dict[tuple[str, str], DataFrame] = {}
-_LOADED: dict[tuple[str, str], str] = {}
+_LOADED: dict[tuple[str, str], object] = {}   # (application, sf_dir) -> opened tables
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -150,9 +150,9 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         raw = derived_inputs(spark, sf_dir)
         raw.vendas.write.mode("overwrite").parquet(f"{root}/vendas")
         raw.leads.write.mode("overwrite").parquet(f"{root}/leads")
-        _LOADED[key] = root
-    root = _LOADED[key]
-    return Inputs(vendas=spark.read.parquet(f"{root}/vendas"), leads=spark.read.parquet(f"{root}/leads"))
+        _LOADED[key] = Inputs(vendas=spark.read.parquet(f"{root}/vendas"),
+                              leads=spark.read.parquet(f"{root}/leads"))
+    return _LOADED[key]
 
 
 def derived_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
@@ -195,8 +195,8 @@ def registry(spark: SparkSession, sf_dir: str) -> Registry:
         root = shared_dir(spark, "fixture_registry")
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         tables.save_registry(registry_from_raw(raw_tables(spark, sf_dir)), root, buckets=buckets)
-        _LOADED[key] = root
-    return tables.open_registry(spark, _LOADED[key])
+        _LOADED[key] = tables.open_registry(spark, root)   # opened once: no schema jobs per query
+    return _LOADED[key]
 
 
 def load(spark: SparkSession, sf_dir: str) -> tuple[Registry, Inputs]:
