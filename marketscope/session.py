@@ -41,9 +41,44 @@ def get_session(master: str | None = None, app: str = "marketscope",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``marketscope`` importable in the Python workers (once per application).
+
+    The few Python tasks (registry-format export, the zip data source) are
+    pickled by reference to this package; executors get it as a zip through
+    ``addPyFile``, from the shared folder.
+    """
+    import io
+    import zipfile
+
+    import marketscope
+    from marketscope.sources import files
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(marketscope.__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as z:
+        for root, _, names in os.walk(pkg):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = shared_dir(spark, "pyfiles") + "/marketscope.zip"
+    with files.open_output(target) as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
