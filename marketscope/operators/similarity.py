@@ -11,7 +11,8 @@ one code are ever formed (pairs with no overlap can never win: the best score
 must beat 0). The join output is counted per (prospect, customer), divided by
 the customer's code count, and reduced to the best customer per prospect.
 
-Sizing and partitioning (all decided from exact statistics, one small job):
+Sizing and partitioning (decided from exact statistics, small jobs over the
+written role table):
 
 * The (company, code, role) table is written once to the shared folder; the
   statistics, every block and the final join read that copy.
@@ -19,15 +20,24 @@ Sizing and partitioning (all decided from exact statistics, one small job):
   code. The prospect codes are hash-partitioned by prospect into
   ceil(pairs / PAIRS_PER_TASK) partitions (at least the cluster's
   parallelism), with an explicit count so AQE cannot fold them into one task.
+* Hot codes (at most MAX_HOT, each a large share of all pairs) are not joined:
+  a company's hot codes form a bit mask, a pair's hot overlap is
+  bit_count(maskP & maskR), and customers met only through hot codes are
+  found per non-empty hot submask T (best customer of T: fewest codes, then
+  smallest id; at most 2^MAX_HOT rows). The union of both candidate sets has
+  the brute force's maximum and smallest-id winner.
+* Identical code sets are scored once: on the customer side always (a
+  customer with the same set as a smaller id never wins), on the prospect
+  side when the estimated distinct sets are few and the pair work is large.
+  Representatives come from group-bys combined map-side, never a window
+  over a possibly hot set.
 * Customers are hashed into the fewest blocks whose largest one holds at most
   BLOCK_ROWS (customer, code) rows, checked before use. Each block is
   broadcast to the prospect tasks, so the join runs map-side and the pair
   count and per-prospect best reuse the prospect partitioning: pairs are
-  aggregated inside the task that forms them and never shuffled. A hot code
-  (held by a third of all companies) only makes those tasks longer, evenly,
-  since prospects, not codes, are what is partitioned.
-* With several blocks, only the per-block winners (prospects x blocks rows)
-  are shuffled for the final pick.
+  aggregated inside the task that forms them and never shuffled.
+* With several blocks (or hot codes), only per-source winners (prospects x
+  sources rows) are shuffled for the final pick.
 """
 
 from __future__ import annotations
@@ -48,7 +58,8 @@ BLOCK_ROWS = 1_000_000
 # per pair than 1.2M).
 PAIRS_PER_TASK = 250_000
 # Hot codes: at most MAX_HOT codes, each yielding at least HOT_SHARE of all
-# candidate pairs and HOT_MIN_PAIRS pairs, are counted with bit masks.
+# candidate pairs and HOT_MIN_PAIRS pairs, are counted with bit masks. Keep
+# MAX_HOT <= 12: submask enumeration is 2^MAX_HOT per distinct mask.
 MAX_HOT = 10
 HOT_SHARE = 0.02
 HOT_MIN_PAIRS = 1_000_000
