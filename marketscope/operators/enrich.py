@@ -38,15 +38,17 @@ def membership_flag(rows: DataFrame, keys: DataFrame, flag: str, key: str = "cnp
 
 
 def fact_base(active_df: DataFrame, codes: DataFrame, empresas: DataFrame, simples: DataFrame,
-              leads: DataFrame, sales: DataFrame) -> DataFrame:
+              leads: DataFrame, sales: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """M2 without similarity: target rows enriched, flagged, size defaulted.
 
     ``codes`` are the customer codes (column ``cnae``). The two registry
     joins share one partitioning on ``cnpj_basico`` (Spark keeps it between
     them; with the bucketed registry tables neither of them moves); the flag
-    joins run on ``cnpj`` against distinct key sets.
+    joins run on ``cnpj`` against distinct key sets. ``targets`` (the target
+    ids, e.g. the written silver table) are derived from ``codes`` when absent.
     """
-    rows = target_rows(active_df, target_market(active_df, codes))
+    targets = targets if targets is not None else target_market(active_df, codes)
+    rows = target_rows(active_df, targets)
     rows = regime_enrichment(company_enrichment(rows, empresas), simples)
     rows = membership_flag(rows, leads, "possui_lead")
     rows = membership_flag(rows, sales, "atual_cliente")
@@ -62,6 +64,7 @@ def attach_similarity(fact: DataFrame, similar: DataFrame) -> DataFrame:
 
 
 def fact_companies(active_df: DataFrame, codes: DataFrame, empresas: DataFrame, simples: DataFrame,
-                   leads: DataFrame, sales: DataFrame, similar: DataFrame) -> DataFrame:
+                   leads: DataFrame, sales: DataFrame, similar: DataFrame,
+                   targets: DataFrame | None = None) -> DataFrame:
     """M2: the gold fact, :func:`fact_base` with the most-similar columns attached."""
-    return attach_similarity(fact_base(active_df, codes, empresas, simples, leads, sales), similar)
+    return attach_similarity(fact_base(active_df, codes, empresas, simples, leads, sales, targets), similar)

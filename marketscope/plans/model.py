@@ -44,7 +44,8 @@ class MarketModel:
     @cached_property
     def fact_base(self) -> DataFrame:
         r, i = self.registry, self.inputs
-        return enrich.fact_base(self.active, self.client_codes, r.empresas, r.simples, i.leads, i.vendas)
+        return enrich.fact_base(self.active, self.client_codes, r.empresas, r.simples, i.leads, i.vendas,
+                                self.targets)
 
     @cached_property
     def fact_base_table(self) -> DataFrame:
