@@ -208,9 +208,10 @@ class _Sides:
     plan: JoinPlan
     prospect_codes: DataFrame   # (cnpj, mask, code): non-hot codes, partitioned by cnpj
     prospect_masks: DataFrame   # (cnpj, mask), partitioned by cnpj
-    client_codes: DataFrame     # (cliente, code, n, mask_r, block): non-hot codes
-    clients: DataFrame          # (cliente, n, mask_r)
+    client_codes: DataFrame     # (cliente, code, n, mask_r, block, h): non-hot codes
+    clients: DataFrame          # (cliente, n, mask_r, block, h)
     representatives: DataFrame | None = None   # (cnpj, rep) when sets are collapsed
+    hash_keys: bool = False     # customer ids are collision-free as 64-bit hashes
 
 
 def _sides(codes: DataFrame, clients: DataFrame, prospects: DataFrame, plan: JoinPlan | None,
@@ -248,22 +249,32 @@ def _sides(codes: DataFrame, clients: DataFrame, prospects: DataFrame, plan: Joi
         # for every prospect and so never wins: keep one customer per set.
         first = client_tab.groupBy("set").agg(F.min("cnpj").alias("cnpj"))
         client_tab = client_tab.join(first, ["set", "cnpj"], "left_semi")
-    client_tab = client_tab.drop("set")
+    client_tab = client_tab.drop("set").withColumn("h", F.xxhash64("cnpj"))
+    # Pairs are counted on a 64-bit hash of the customer id (a long groups
+    # much faster than a string) when no two customers share a hash; checked
+    # here, exactly, on the (bounded) customer table.
+    n_clients, n_hashes = client_tab.agg(F.count(F.lit(1)), F.count_distinct("h")).first()
     client_codes = (cc.where(F.col("bit") == 0).select("cnpj", "code").join(client_tab, "cnpj")
-                    .select(F.col("cnpj").alias("cliente"), "code", "n", "mask_r", _block(plan.blocks)))
-    return _Sides(plan, prospect_codes, prospect_masks, client_codes,
-                  client_tab.select(F.col("cnpj").alias("cliente"), "n", "mask_r"), representatives)
+                    .select(F.col("cnpj").alias("cliente"), "code", "n", "mask_r", _block(plan.blocks), "h"))
+    clients_out = client_tab.select(F.col("cnpj").alias("cliente"), "n", "mask_r", _block(plan.blocks), "h")
+    return _Sides(plan, prospect_codes, prospect_masks, client_codes, clients_out, representatives,
+                  hash_keys=n_clients == n_hashes)
 
 
 def _block_pairs(sides: _Sides, block: int) -> DataFrame:
     """Pairs sharing a non-hot code, for one (broadcast, size-checked) customer
     block; the hot overlap is added from the two masks."""
-    cc = sides.client_codes
+    cc, cl = sides.client_codes, sides.clients
     if sides.plan.blocks > 1:
-        cc = cc.where(F.col("block") == block)
-    k = (sides.prospect_codes.join(F.broadcast(cc.drop("block")), "code")
-         .groupBy("cnpj", "mask", "cliente", "n", "mask_r")
-         .agg(F.count(F.lit(1)).alias("k_cold")))
+        cc, cl = cc.where(F.col("block") == block), cl.where(F.col("block") == block)
+    if sides.hash_keys:
+        k = (sides.prospect_codes.join(F.broadcast(cc.select("code", "h")), "code")
+             .groupBy("cnpj", "mask", "h").agg(F.count(F.lit(1)).alias("k_cold"))
+             .join(F.broadcast(cl.select("h", "cliente", "n", "mask_r")), "h"))
+    else:
+        k = (sides.prospect_codes.join(F.broadcast(cc.drop("block", "h")), "code")
+             .groupBy("cnpj", "mask", "cliente", "n", "mask_r")
+             .agg(F.count(F.lit(1)).alias("k_cold")))
     k = k.withColumn("k", F.col("k_cold") + F.bit_count(F.col("mask").bitwiseAND(F.col("mask_r"))))
     return k.select("cnpj", "cliente", F.col("k").cast("bigint").alias("intersecao"),
                     F.col("n").cast("bigint").alias("n_cliente"),

@@ -146,3 +146,23 @@ def test_skewed_input_with_automatic_plan(spark):
     got = {r.cnpj: (r.cnpj_mais_similar, r.similaridade)
            for r in similarity.most_similar(cdf, kdf, pdf, plan=plan).collect()}
     assert got == brute_force(codes, clients, prospects)
+
+
+def test_string_key_fallback_matches(spark):
+    """The string-key path (used when customer hashes collide) gives the same result."""
+    rnd = random.Random(5)
+    clients = [f"r{i:02d}" for i in range(12)]
+    prospects = [f"p{i:02d}" for i in range(30)]
+    codes = [(c, f"k{j}") for c in clients + prospects for j in rnd.sample(range(6), rnd.randint(1, 3))]
+    cdf = spark.createDataFrame(codes, "cnpj string, code string")
+    kdf = spark.createDataFrame([(c,) for c in clients], "cnpj string")
+    pdf = spark.createDataFrame([(p,) for p in prospects], "cnpj string")
+    plan = similarity.JoinPlan(2, 3, 0, 0, [])
+    sides = similarity._sides(cdf, kdf, pdf, plan, 0, distinct_clients=True)
+    assert sides.hash_keys
+    from dataclasses import replace
+    for s in (sides, replace(sides, hash_keys=False)):
+        pairs = similarity._block_pairs(s, 0).unionByName(similarity._block_pairs(s, 1))
+        got = {r.cnpj: (r.cliente, r.similaridade) for r in similarity._best(pairs).collect()}
+        want = {p: v for p, v in brute_force(codes, clients, prospects).items() if v[0] is not None}
+        assert got == want
