@@ -115,3 +115,15 @@ def test_strict_mode_rejects_malformed_lines(spark, tmp):
     assert registry.read_registry_csv(spark, tmp, "simples").count() == 2
     with pytest.raises(Exception):
         registry.read_registry_csv(spark, tmp, "simples", strict=True).collect()
+
+
+def test_package_shipped_to_workers(spark):
+    import zipfile as zf
+    from marketscope import session
+    session._SHIPPED.discard(spark.sparkContext.applicationId)
+    session.ship_package(spark)
+    shipped = [f for f in spark.sparkContext.listFiles if f.endswith("marketscope.zip")]
+    assert shipped
+    path = shipped[-1].removeprefix("file:")
+    names = zf.ZipFile(path).namelist()
+    assert "marketscope/sources/zipsource.py" in names and "marketscope/session.py" in names
