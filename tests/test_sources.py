@@ -127,3 +127,11 @@ def test_package_shipped_to_workers(spark):
     path = shipped[-1].removeprefix("file:")
     names = zf.ZipFile(path).namelist()
     assert "marketscope/sources/zipsource.py" in names and "marketscope/session.py" in names
+
+
+def test_manifest_complete_snapshot(spark, tmp):
+    for n in manifest.expected_archives():
+        _write(tmp, n, "x")
+    rows = manifest.load_manifest(spark, tmp).collect()
+    assert len(rows) == 10 and all(r.completo for r in rows)
+    assert sum(r.encontrados for r in rows) == 37
