@@ -30,7 +30,7 @@ def open_input(path: str):
 
 def open_output(path: str):
     fs, p = resolve(path)
-    return fs.open_output_stream(p)
+    return fs.open_output_stream(p, compression=None)     # the bytes as given, whatever the name
 
 
 def make_dirs(path: str) -> None:
