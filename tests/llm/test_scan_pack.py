@@ -1,0 +1,358 @@
+"""Operators 2, 5, 7, 8, 9, 10 and the pipeline: round trips, brute force, held-out accuracy."""
+
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marketscope.llm import decontaminate as dec
+from marketscope.llm import html_extract as html
+from marketscope.llm import language_id as lid
+from marketscope.llm import packing as pk
+from marketscope.llm import secret_scan as sec
+from marketscope.llm import warc
+from marketscope.sources import files
+
+SF = "/root/testdata/sf0.001"
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, length string, item_id string")
+
+
+# ---- 2 WARC
+
+PAGES = [(1, "http://a/1", "x" * 2000), (2, "http://a/2", "x" * 2000), (3, None, "x" * 2000), (4, "http://b/ é\n", "short"),
+         (5, "http://b", "short"), (6, "http://c", None), (None, "http://d", "y" * 1500), (7, "http://e", "ü" * 600),
+         (7, "http://e", "ü" * 600), (8, "u", "z" * 300_000)]
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, digest string").repartition(3)
+
+
+def test_warc_round_trip(spark):
+    manifest = warc.archive(pages_of(spark, PAGES), roll_bytes=500)
+    assert manifest.count() > 3 and manifest.agg(F.sum("records")).first()[0] == len(PAGES)
+    got = warc.read_archives(manifest).collect()
+    payload = {i: (h or "").encode() for i, _, h in PAGES}
+    for r in got:
+        if r.record_type == "response":
+            assert bytes(r.payload) == payload[r.page_id] and r.payload_bytes == len(r.payload)
+    assert sorted((r.page_id, r.refers_to) for r in got if r.record_type == "revisit") == [(1, 3), (2, 3)]
+    assert {r.url for r in got if r.page_id == 4} == {"http://b/ é%0A"} and {r.url for r in got if r.page_id == 3} == {None}
+    out = {(r.page_id, r.payload_bytes, r.record_type) for r in warc.warc_round_trip(pages_of(spark, PAGES)).collect()}
+    assert (1, 2000, "revisit") in out and (None, 1500, "response") in out and (6, 0, "response") in out and len(out) == 9
+    assert warc.warc_round_trip(pages_of(spark, [])).count() == 0
+
+
+def test_warc_reader_rejects_broken_records(tmp_path):
+    good = warc.build_record(1, "u", b"payload", __import__("hashlib").sha1(b"payload").hexdigest(), None)
+    cases = [good.replace(b"payload\r\n", b"payloaD\r\n"), good[:-6], good.replace(b"Content-Length: ", b"Content-Length: 9", 1),
+             good.replace(b"WARC/1.1", b"HTTP/1.1"), good + b"more"]
+    for i, data in enumerate(cases):
+        path = tmp_path / f"{i}.warc.gz"
+        path.write_bytes(warc.gzip_member(data))
+        with files.open_input(str(path)) as f, pytest.raises(warc.BadRecord):
+            for member in warc.inflated(f):
+                warc.read_record(member, True)
+    cut = tmp_path / "cut.warc.gz"
+    cut.write_bytes(warc.gzip_member(good)[:-20])
+    with files.open_input(str(cut)) as f, pytest.raises(warc.BadRecord):
+        for member in warc.inflated(f):
+            warc.read_record(member, True)
+
+
+# ---- 5 decontamination
+
+def edit_search(item, text):
+    """Smallest edit distance of item to any stretch of text, by the plain recursion."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (a != b)))
+        row = new
+    return min(row)
+
+
+def test_myers_is_exact():
+    rng = random.Random(1)
+    for _ in range(200):
+        item = [rng.randrange(4) for _ in range(rng.randint(1, 9))]
+        text = [rng.randrange(4) for _ in range(rng.randint(1, 20))]
+        want = edit_search(item, text)
+        assert min(dec.myers(item, text)) == want
+        d, a, b = dec.best_match(item, text, 0, len(text), 99)
+        assert d == want and edit_search(item, text[a:b] or [-1]) == want
+
+
+def edited(rng, words, share, vocab):
+    out = list(words)
+    for _ in range(int(share * len(words))):
+        at = rng.randrange(len(out))
+        kind = rng.randrange(3)
+        if kind == 0:
+            out[at] = rng.choice(vocab)
+        elif kind == 1:
+            del out[at]
+        else:
+            out.insert(at, rng.choice(vocab))
+    return out
+
+
+def test_decontamination_recall_and_precision(spark):
+    rng = random.Random(2)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(400)]
+    items = [(k, " ".join(rng.choice(vocab) for _ in range(rng.randint(13, 70)))) for k in range(40)]
+    rows, want = [], {}
+    for k in range(600):
+        text = [rng.choice(vocab) for _ in range(rng.randint(0, 200))]
+        share = (0, 0, 0.1, None)[k % 4]
+        if share is not None:
+            item = rng.randrange(40)
+            at = rng.randint(0, len(text))
+            text[at:at] = edited(rng, items[item][1].split(), share, vocab)
+            want[k, item] = share
+        rows.append((k, " ".join(text).title() if k % 3 else "\n".join(text)))
+    rows += [(1000, None), (1001, ""), (1002, "..."), (None, items[0][1]), (5, rows[5][1])]
+    bench = spark.createDataFrame(items + [(90, None), (91, "")], "item_id long, text string")
+    got = dec.contamination(docs_of(spark, rows).repartition(3), bench).collect()
+    found = {(r.doc_id, r.item_id): r.distance for r in got}
+    exact = [k for k, s in want.items() if s == 0]
+    near = [k for k, s in want.items() if s]
+    assert sum(k in found for k in exact) == len(exact) and all(found[k] == 0 for k in exact)
+    assert sum(k in found for k in near) >= 0.95 * len(near)
+    assert not [k for k in found if k not in want and k[0] is not None] and (None, 0) in found
+    texts, words = dict(rows), {k: dec.word_hashes(t, {}) for k, t in items}
+    for (i, k), d in found.items():
+        if i is not None:
+            assert d == edit_search(words[k], dec.word_hashes(texts[i], {}))
+    kept = dec.clean_documents(docs_of(spark, rows), bench)
+    assert kept.columns == ["doc_id", "text", "length", "item_id"]
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if i is not None} - {i for i, _ in found}
+
+
+def test_decontamination_without_items_and_with_short_ones(spark):
+    docs = docs_of(spark, [(1, "one two three"), (2, "four one TWO!"), (3, None)])
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert dec.contamination(docs, none).count() == 0 and dec.clean_documents(docs, none).count() == 3
+    short = spark.createDataFrame([(7, "one two")], "item_id long, text string")
+    assert sorted((r.doc_id, r.start_word) for r in dec.contamination(docs, short).collect()) == [(1, 0), (2, 1)]
+
+
+# ---- 7 language id
+
+def test_forward_backward_matches_enumeration():
+    rng = np.random.default_rng(4)
+    model = lid.Model(["a", "b", "c"], np.zeros((1, 3)), rng.normal(size=(3, 3)), {})
+    lengths = np.array([1, 5, 3])
+    scores = rng.normal(size=(9, 3))
+    got = lid.posterior_means(model, scores, lengths)
+    at = 0
+    for row, n in zip(got, lengths):
+        total, sums = 0.0, np.zeros(3)
+        for path in itertools.product(range(3), repeat=int(n)):
+            s = sum(scores[at + t, y] for t, y in enumerate(path)) + sum(model.transitions[a, b] for a, b in zip(path, path[1:]))
+            total += np.exp(s)
+            sums += np.exp(s) * np.bincount(path, minlength=3)
+        assert np.allclose(row, sums / total / n)
+        at += n
+
+
+def test_gradient_matches_differences():
+    rng = np.random.default_rng(5)
+    model = lid.Model(["a", "b"], rng.normal(size=(6, 2)).astype(np.float64), rng.normal(size=(2, 2)), {})
+    ids, gold = [np.array(x) for x in ([0], [1, 2], [3], [4, 5], [0, 3], [2])], np.array([[0, 1, 1], [1, 0, 0]])
+
+    def loglik():
+        s = [model.weights[i].sum(axis=0) for i in ids]
+        out = 0.0
+        for r in range(2):
+            def score(path, r=r):
+                return sum(s[3 * r + t][y] for t, y in enumerate(path)) + sum(model.transitions[a, b] for a, b in zip(path, path[1:]))
+            z = np.log(sum(np.exp(score(p)) for p in itertools.product(range(2), repeat=3)))
+            out += (score(gold[r].tolist()) - z) / 2
+        return out
+
+    lid_size, g = len(model.weights), lid.gradient(model, ids, gold)
+    for arr, grad in ((model.weights, g["w"][:lid_size]), (model.transitions, g["t"])):
+        for i in np.ndindex(arr.shape):
+            old = arr[i]
+            arr[i] = old + 1e-5
+            up = loglik()
+            arr[i] = old - 1e-5
+            down = loglik()
+            arr[i] = old
+            assert abs((up - down) / 2e-5 - grad[i]) < 1e-4
+
+
+def test_language_id_held_out_accuracy_and_edge_cases(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = spark.createDataFrame([(900001, None), (900002, ""), (900003, "12 -- 34"), (None, "The of and the")], "doc_id long, text string")
+    out = lid.with_language(docs.select("doc_id", "text", "lang").unionByName(extra.withColumn("lang", F.lit(None).cast("string"))),
+                            docs.where(~lid.held_out(F.col("doc_id")))).collect()
+    test = [r for r in out if r.lang and r.doc_id < 900000 and zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    assert len(test) > 30 and sum(r["__ms_lang"].lang == r.lang for r in test) >= 0.97 * len(test)
+    assert all(0 <= r["__ms_lang"].score <= 1 for r in out)
+    assert [tuple(r["__ms_lang"]) for r in out if r.doc_id and r.doc_id > 900000] == [("und", 0.0)] * 3
+    texts = [r.text for r in out if r.lang == "en"][0], [r.text for r in out if r.lang == "de"][0]
+    model = lid.fit(lid.sample(docs))
+    words = [lid.words_of(t)[:60] for t in texts]
+    mixed = lid.Labeller(model).label([" ".join(words[0] + words[1])])[0]
+    assert 0.4 < mixed[1] < 0.65                                       # code-switched: half and half
+    assert lid.Labeller(lid.fit([])).label(["abc", None]) == [("und", 0.0)] * 2
+    assert lid.Labeller(lid.fit([("en", "one")])).label(["abc", "1"]) == [("en", 1.0), ("und", 0.0)]
+
+
+# ---- 8 secrets
+
+def test_secret_scan_base_patterns_and_token_runs(spark):
+    rng = random.Random(3)
+    secret = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40))
+    rows = [(1, 'é PassWord = "abcdefgh" token:short api_key=0123456789abcdef'), (2, "AKIA" + "B" * 12 + " AKIA123 AKIA" + "9" * 11),
+            (3, "x" + "0af" * 11 + "y" + "a" * 31), (4, f"see {secret} here"), (5, None), (6, ""),
+            (7, "550e8400-e29b-41d4-a716-446655440000 and " + "AB12" * 10), (8, "internationalization-guidelines_2024 " + "word" * 9),
+            (9, f"http://x.org/{secret}"), (None, "secret=" + "q" * 8), (4, f"see {secret} here")]
+    got = sorted((r.asDict() for r in sec.secret_scan(docs_of(spark, rows)).collect()), key=lambda r: (r["doc_id"] or 0))
+    by = {r["doc_id"]: r for r in got}
+    assert by[1]["spans"] == "assign:2:22,assign:36:60" and by[1]["n_assign"] == 2
+    assert by[2]["base"] == "access:0:16" and by[2]["n_access"] == 1
+    assert by[3]["base"] == "hex:1:34"
+    assert by[4]["spans"] == "token:4:44" and by[4]["base"] == "" and by[4]["n_token"] == 1
+    assert all(by[i]["spans"] == "" for i in (5, 6, 8, 9)) and by[7]["n_token"] == 0
+    assert by[None]["n_assign"] == 1 and len(got) == len(rows)
+    assert sec.secret_scan(docs_of(spark, [])).count() == 0
+
+
+# ---- 9 packing
+
+ODD = ["", " ", "a", " a", "a ", "a  b", "a\nb c", "a\n\nb", "a \nb", "a\n b", "\na", "a\tb c\td", "x y z", "it's we'll 12 3a!?", "é ß ç",
+       "<|endoftext|> a <|endoftext|>", "a\r\nb c", "x\x1cy z", "1\n2 3\n4"]
+
+
+def test_encoder_equals_whole_text_tokenization():
+    enc = pk.Encoder(pk.default_tokenizer())
+    rng = random.Random(6)
+    texts = ODD + ["".join(rng.choice(["a", "Be", "ß", " ", "  ", "\n", "\t", "'s", "12", ".", " ", "\x1c"]) for _ in range(30)) for _ in range(400)]
+    assert list(enc.encode(texts)) == enc.whole(texts)
+
+
+def test_packing_is_gapless_and_tight(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(ODD)] + [(20_000, None), (None, "null id"), (20_001, "word " * 5000)],
+                                "doc_id long, text string")
+    src = docs.unionByName(odd).repartition(4)
+    got = pk.pack(src).collect()
+    enc, end = pk.Encoder(pk.default_tokenizer()), np.array([2], dtype="<u4").tobytes()
+    ids = {r.doc_id: e + end for r in src.collect() for e in enc.whole([r.text or ""])}
+    by_doc, by_sequence = {}, {}
+    for r in got:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    assert set(by_doc) == set(ids)
+    for doc, rows in by_doc.items():
+        rows.sort(key=lambda r: r.piece)
+        n = len(ids[doc]) // 4
+        assert [r.length for r in rows] == pk.cut_lengths(n, 1024) and [r.piece for r in rows] == list(range(len(rows)))
+        for r in rows:
+            assert zlib.crc32(ids[doc][4 * r.start:4 * (r.start + r.length)]) == r.ids_crc32
+        assert sum(r.length for r in rows) == n
+    for rows in by_sequence.values():
+        rows.sort(key=lambda r: r.offset)
+        at = 0
+        for r in rows:
+            assert r.offset == at
+            at += r.length
+        assert at <= 1024
+    counts = {}
+    for r in got:
+        counts[r.length] = counts.get(r.length, 0) + 1
+    assert len(by_sequence) <= pk.lower_bound(counts, 1024) + 1
+    assert pk.pack(docs.where("false")).count() == 0
+
+
+def test_plan_reaches_the_optimum_of_small_cases():
+    def optimum(lengths, capacity):
+        best = [len(lengths)]
+
+        def place(i, rooms):
+            if len(rooms) >= best[0]:
+                return
+            if i == len(lengths):
+                best[0] = len(rooms)
+                return
+            for k in range(len(rooms)):
+                if rooms[k] >= lengths[i]:
+                    place(i + 1, rooms[:k] + [rooms[k] - lengths[i]] + rooms[k + 1:])
+            place(i + 1, rooms + [capacity - lengths[i]])
+        place(0, [])
+        return best[0]
+
+    rng, over = random.Random(8), 0
+    for _ in range(60):
+        lengths = sorted((rng.randint(1, 20) for _ in range(9)), reverse=True)
+        counts = {n: lengths.count(n) for n in lengths}
+        steps = pk.plan(counts, 20)
+        assert all(sum(n * k for n, k in f.items()) <= 20 for f, _ in steps)
+        assert {n: sum(f.get(n, 0) * t for f, t in steps) for n in counts} == counts
+        over += sum(t for _, t in steps) - optimum(lengths, 20)
+    assert over <= 3
+
+
+# ---- 10 extraction
+
+ARTICLE = "<article class='post-{i}'><h1>T{i} &amp; more</h1><p>First   <b>bold</b>\n para {i} with some words in it.<br>next<p>Second para.</article>"
+PAGE = ("<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var t='</p>';</script></head><body><nav><ul><li><a href='/'>Home</a>"
+        "<li><a href='/x'>Other</a></ul></nav><div class='ad'>Buy this now, really long advert text that goes on</div>{body}"
+        "<section id=comments><p>I disagree with it all</p></section><aside>side</aside><form><label>Mail</label></form><footer>&copy; x</footer></body></html>")
+
+
+def test_extraction(spark):
+    rows = [(i, f"http://h.example/{i}", PAGE.format(body=ARTICLE.format(i=i))) for i in range(6)]
+    rows += [(10, "http://h.example/short", PAGE.format(body="<article class='post-7'><p>Hi</article>")), (11, None, None), (12, "bad url", ""),
+             (13, "http://k.example/", "<p>plain &lt;page&gt;"), (None, "http://k.example/", "just text"), (0, "http://h.example/0", rows[0][2])]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, host string").repartition(3)
+    got = {(r.page_id, r.url): r for r in html.extract(pages).collect()}
+    assert html.extract(pages).count() == len(rows)
+    for i in range(6):
+        want = f"T{i} & more\nFirst bold para {i} with some words in it. next\nSecond para."
+        assert got[i, f"http://h.example/{i}"].text == want and got[i, f"http://h.example/{i}"].n_chars == len(want)
+    assert got[10, "http://h.example/short"].text == "Hi"
+    assert got[11, None].text == "" and got[12, "bad url"].n_chars == 0
+    assert got[13, "http://k.example/"].text == "plain <page>" and got[None, "http://k.example/"].text == "just text"
+    assert html.extract(pages.where("false")).count() == 0
+
+
+def test_extraction_on_the_given_pages(spark):
+    for r in html.extract(spark.read.parquet(f"{SF}/pages.parquet")).join(
+            spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect():
+        inner = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        blocks = [" ".join(__import__("html").unescape(re.sub(r"<[^>]+>", " ", b)).split()) for b in re.split(r"</?p>|</?h1>", inner)]
+        assert r.text == "\n".join(b for b in blocks if b)
+
+
+# ---- pipeline
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bad = spark.createDataFrame([(90001, None, "en", "s", 0), (90002, "123 456", None, None, None)], docs.schema)
+    docs = docs.unionByName(bad)
+    seen = [docs.count()]
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        docs = cp.written(out, "test")
+        seen.append(docs.count())
+    assert seen[1] == seen[0] - 2 and seen[2] == seen[1] and seen[3] < seen[2] and seen[4] < seen[3]
+    packed = cp.STAGES[-1][1](spark, docs, SF)
+    assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    empty = docs.where("false")
+    for _, stage in cp.STAGES:
+        assert stage(spark, empty, SF).count() == 0
