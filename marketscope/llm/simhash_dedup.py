@@ -114,27 +114,31 @@ def _around(masks: Column, seg: int, val: Column) -> Column:
 def near_links(fps: DataFrame, max_bits: int, segments: int = SEGMENTS) -> DataFrame:
     """Edges (a, b) whose components are those of the full "max_bits or fewer" graph over distinct fingerprints."""
     plan, key = segment_plan(max_bits, segments), ["seg", "val"]
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits
+    def near(other: str) -> Column:
+        return (F.bit_count(F.col("fp").bitwiseXOR(F.col(other))) <= max_bits) & (F.col("fp") != F.col(other))
+
     table = _entries(fps, plan, False, [])
     star = table.groupBy(*key).agg(F.min("fp").alias("r1"), F.min_by("fp", F.xxhash64("fp")).alias("r2"))
-    stars = (_entries(fps, plan, True, []).join(star, key)
-             .select("fp", F.explode(F.array_distinct(F.array("r1", "r2"))).alias("other"))
-             .where(near & (F.col("fp") != F.col("other"))))
+    stars = (_entries(fps, plan, True, []).join(star, key).where(near("r1") | near("r2"))
+             .select("fp", F.explode(F.array_distinct(F.array("r1", "r2"))).alias("other")).where(near("other")))
     stars = written(stars.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct(), "star-links")
     labelled = written(fps.join(components(stars).withColumnRenamed("node", "fp"), "fp", "left")
                        .select("fp", F.coalesce("root", "fp").alias("comp")), "provisional")
-    # per bucket its largest provisional component; members of it meet only members of others
+    # per bucket its largest provisional component; members of it meet only members of others.
+    # A bucket of one or two fingerprints is known by its ends, so its distances are verified in the lookup
     table = _entries(labelled, plan, False, ["comp"])
-    major = (table.groupBy(*key, "comp").agg(F.count("*").alias("n"))
-             .groupBy(*key).agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count("*").alias("comps")))
-    rows = table.join(major, key).select(
+    major = (table.groupBy(*key, "comp").agg(F.count("*").alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi"))
+             .groupBy(*key).agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count("*").alias("comps"),
+                                F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    rows = table.join(major.select(*key, "major"), key).select(
         *key, (F.col("comp") == F.col("major")).alias("in_major"), F.col("fp").alias("other"), F.col("comp").alias("other_comp"))
     sides = F.when(F.col("comp") == F.col("major"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
     alone = (F.col("comps") == 1) & (F.col("comp") == F.col("major"))
-    probes = (_entries(labelled, plan, True, ["comp"]).join(major, key).where(~alone)
+    probes = (_entries(labelled, plan, True, ["comp"]).join(major, key)
+              .where(~alone & ((F.col("n") > 2) | near("lo") | near("hi")))
               .select(*key, "fp", "comp", F.explode(sides).alias("in_major")))
     cross = (probes.join(rows, [*key, "in_major"])
-             .where((F.col("comp") != F.col("other_comp")) & near)
+             .where((F.col("comp") != F.col("other_comp")) & near("other"))
              .select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct())
     return stars.unionByName(cross)
 
