@@ -21,8 +21,8 @@ from marketscope.llm.packing import pack
 from marketscope.llm.simhash_dedup import keep_one
 from marketscope.session import ship_package
 
-#: a document stays if one language holds at least this share of its words
-MIN_SCORE = 0.5
+#: a document stays unless no language holds even this share of its words (short or mixed clean texts stay)
+MIN_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
