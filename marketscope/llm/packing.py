@@ -28,9 +28,11 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,8 @@ from marketscope.llm.common import written
 CAPACITY = 1024
 END_ID = 2
 SEARCH_NODES = 4_000
-CACHE_PIECES = 400_000
+CACHE_PIECES = 500_000
+GROUP_CHARS = 2_000_000
 ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
 PIECES = "task long, doc_id long, piece int, start long, length int, ids_crc32 long, rank long"
 
@@ -59,8 +62,10 @@ class Encoder:
 
     The tokenizer's own pattern never joins a character to the white space after it,
     so a text whose words are one space or newline apart is the concatenation of its
-    words, each encoded with the white space before it; these are cached. Any other
-    text is encoded as a whole.
+    words, each encoded with the white space before it; these are cached, in two
+    generations of at most CACHE_PIECES words. It never joins a letter or digit to a
+    full stop or comma either, so those are cached apart. Any other text is encoded
+    as a whole.
     """
 
     def __init__(self, path: str):
@@ -69,33 +74,68 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their spelling in a text is ordinary text
-        self.cache: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        cache = self.cache
+        group, size = [], 0
         for text in texts:
-            if ODD_SPACE.search(text) or not text:
-                yield self.whole([text])[0]
-                continue
-            # elements after the first stand for " " + element, or for themselves if they begin with a newline
-            first, *rest = text.replace("\n", " \n").split(" ")
-            missing = {w for w in rest if w not in cache}
-            if missing:
-                if len(cache) + len(missing) > CACHE_PIECES:
-                    cache.clear()
-                    missing = set(rest)
-                words = list(missing)
-                cache.update(zip(words, self.whole([w if w[0] == "\n" else " " + w for w in words])))
-            head = self.heads.get(first)
-            if head is None:
-                if len(self.heads) >= CACHE_PIECES:
-                    self.heads.clear()
-                head = self.heads[first] = self.whole([first])[0]
-            yield head + b"".join([cache[w] for w in rest])
+            group.append(text)
+            size += len(text)
+            if size >= GROUP_CHARS:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> Iterator[bytes]:
+        # elements after the first stand for " " + element, or for themselves if they begin with a newline
+        split = [None if not t or ODD_SPACE.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
+        if len(self.new) > CACHE_PIECES:
+            self.old, self.new, self.heads = self.new, {}, {}
+        cache, heads = self.new, self.heads
+        words: set[str] = set()
+        for s in split:
+            if s:
+                words.update(s[1:])
+        self._learn(words - cache.keys())
+        starts = list({s[0] for s in split if s} - heads.keys())
+        heads.update(zip(starts, self.whole(starts)))
+        for text, s in zip(texts, split):
+            yield self.whole([text])[0] if s is None else heads[s[0]] + b"".join([cache[w] for w in s[1:]])
+
+    def _learn(self, words: set[str]) -> None:
+        cache, old = self.new, self.old
+        apart, unknown = [], set()
+        for w in words:
+            ids = old.get(w)
+            if ids is not None:
+                cache[w] = ids
+            elif w[-1] in ".," and w[-2:-1].isalnum():
+                core = w[:-1]
+                apart.append((w, core))
+                if core not in cache:
+                    ids = old.get(core)
+                    if ids is not None:
+                        cache[core] = ids
+                    else:
+                        unknown.add(core)
+            else:
+                unknown.add(w)
+        fresh = list(unknown)
+        cache.update(zip(fresh, self.whole([w if w[0] == "\n" else " " + w for w in fresh])))
+        if apart:
+            mark = dict(zip(".,", self.whole([".", ","])))
+            cache.update((w, cache[core] + mark[w[-1]]) for w, core in apart)
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """One encoder per Python worker, kept from task to task."""
+    return Encoder(path)
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
@@ -114,7 +154,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        encoder, seen = Encoder(tokenizer), defaultdict(int)
+        encoder, seen = encoder_of(tokenizer), defaultdict(int)
         for batch in batches:
             out = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
