@@ -29,26 +29,28 @@ def star(*parts: tuple[str, list[str]]) -> list[Column]:
     return out
 
 
+# label tables of a profile: (table, key column); the last one is joined but not
+# selected, as in the source query (it can repeat rows)
+PROFILE_LABELS = [("natureza_juridica", "te.natureza_juridica"), ("motivo", "t.motivo_situacao_cadastral"),
+                  ("municipio", "t.municipio"), ("cnae", "t.cnae_fiscal"), ("pais", "t.pais"),
+                  ("qualificacao_socio", "te.qualificacao_responsavel")]
+
+
+def _label(table: str) -> Column:
+    return F.col(f"lab_{table}.descricao")
+
+
 def _profile_joins(r: Registry) -> DataFrame:
-    t, te = r.estabelecimento.alias("t"), r.empresas.alias("te")
-    return (t.join(te, F.col("te.cnpj_basico") == F.col("t.cnpj_basico"), "left")
-            .join(r.natureza_juridica.alias("tnat"), F.col("tnat.codigo") == F.col("te.natureza_juridica"), "left")
-            .join(r.motivo.alias("tmot"), F.col("tmot.codigo") == F.col("t.motivo_situacao_cadastral"), "left")
-            .join(r.municipio.alias("tmun"), F.col("tmun.codigo") == F.col("t.municipio"), "left")
-            .join(r.cnae.alias("tc"), F.col("tc.codigo") == F.col("t.cnae_fiscal"), "left")
-            .join(r.pais.alias("tpa"), F.col("tpa.codigo") == F.col("t.pais"), "left")
-            # joined but never selected, as in the source query (it can repeat rows)
-            .join(r.qualificacao_socio.alias("tq"), F.col("tq.codigo") == F.col("te.qualificacao_responsavel"), "left"))
+    out = r.estabelecimento.alias("t").join(r.empresas.alias("te"), F.col("te.cnpj_basico") == F.col("t.cnpj_basico"), "left")
+    for table, key in PROFILE_LABELS:
+        out = out.join(getattr(r, table).alias(f"lab_{table}"), F.col(f"lab_{table}.codigo") == F.col(key), "left")
+    return out
 
 
 def _profile_columns() -> list[Column]:
-    return star(("te", S.EMPRESAS_TABLE_COLUMNS), ("t", S.ESTABELECIMENTO_TABLE_COLUMNS)) + [
-        F.col("tnat.descricao").alias("natureza_juridica_"),
-        F.col("tmot.descricao").alias("motivo_situacao_cadastral_"),
-        F.col("tmun.descricao").alias("municipio_"),
-        F.col("tc.descricao").alias("cnae_fiscal_"),
-        F.coalesce(F.col("tpa.descricao"), F.lit("")).alias("pais_"),
-    ]
+    labels = [_label(table).alias(key.split(".")[1] + "_") for table, key in PROFILE_LABELS if table not in ("pais", "qualificacao_socio")]
+    return (star(("te", S.EMPRESAS_TABLE_COLUMNS), ("t", S.ESTABELECIMENTO_TABLE_COLUMNS)) + labels
+            + [F.coalesce(_label("pais"), F.lit("")).alias("pais_")])
 
 
 def company_profile(r: Registry, cnpj: str) -> DataFrame:
@@ -59,7 +61,7 @@ def company_profile(r: Registry, cnpj: str) -> DataFrame:
 def city_postal_lookup(r: Registry, city: str, uf: str, cep_prefix: str, limit: int = 100) -> DataFrame:
     """Profile rows in a city and state whose postal code starts
     with a prefix; the first ``limit`` by id (LIMIT needs a total order)."""
-    cond = ((F.col("tmun.descricao") == city) & (F.col("t.uf") == uf)
+    cond = ((_label("municipio") == city) & (F.col("t.uf") == uf)
             & F.col("t.cep").startswith(cep_prefix))
     return (_profile_joins(r).where(cond).select(*_profile_columns())
             .orderBy("cnpj").limit(limit))

@@ -153,7 +153,7 @@ def plan_join(tagged: DataFrame, block_rows: int = BLOCK_ROWS, pairs_per_task: i
     blocks = max(1, -(-client_rows // block_rows))
     cold_clients = tagged.where((F.col("is_client") == 1) & ~F.col("code").isin(hot)) if hot else \
         tagged.where(F.col("is_client") == 1)
-    while blocks > 1:
+    while 1 < blocks < client_rows:      # at client_rows blocks a block is one customer, however many codes it has
         largest = cold_clients.groupBy(_block(blocks)).count().agg(F.max("count")).first()[0] or 0
         if largest <= block_rows:
             break

@@ -230,6 +230,11 @@ def q5_partners_of(spark, sf_dir):
 
 
 # -------------------------------------------------------------------- BI
+def _star_base(m: MarketModel) -> DataFrame:
+    """Star view of the fact before similarity: enough for all measures but the potential revenue."""
+    return kpis.star_view(m.fact_base_table, m.dim_porte, m.dim_regime, m.dim_cnae, m.dim_municipio)
+
+
 def _star(m: MarketModel) -> DataFrame:
     return kpis.star_view(m.fact, m.dim_porte, m.dim_regime, m.dim_cnae, m.dim_municipio)
 
@@ -241,17 +246,17 @@ def b1_star_view(spark, sf_dir):
 
 @query
 def b2_kpis_overall(spark, sf_dir):
-    return kpis.kpis(model(spark, sf_dir).fact)
+    return kpis.kpis(model(spark, sf_dir).fact_base_table)
 
 
 @query
 def b3_coverage_by_activity(spark, sf_dir):
-    return kpis.kpis(_star(model(spark, sf_dir)), ["cnae_fiscal", "sigla_secao", "desc_secao"])
+    return kpis.kpis(_star_base(model(spark, sf_dir)), ["cnae_fiscal", "sigla_secao", "desc_secao"])
 
 
 @query
 def b4_volume_by_size_segment(spark, sf_dir):
-    return kpis.volume_by_size_segment(_star(model(spark, sf_dir)))
+    return kpis.volume_by_size_segment(_star_base(model(spark, sf_dir)))
 
 
 @query
@@ -262,7 +267,7 @@ def b5_potential_revenue_by_region(spark, sf_dir):
 
 @query
 def b6_market_rollup(spark, sf_dir):
-    return kpis.market_rollup(_star(model(spark, sf_dir)))
+    return kpis.market_rollup(_star_base(model(spark, sf_dir)))
 
 
 @query
@@ -279,14 +284,14 @@ def _exported(spark, sf_dir, table: str, archive: str | None = None, df: DataFra
     raw = df if df is not None else fixtures.raw_tables(spark, sf_dir)[table]
     path = shared_dir(spark, f"export_{table}")
     suffix = S.REGISTRY_SUFFIX[table]
-    export.write_registry_files(raw.repartition(4), path, suffix, archive=archive)
+    export.write_registry_files(raw, path, suffix, archive=archive)
     return path
 
 
 @query
 def s1_registry_csv_roundtrip(spark, sf_dir):
     path = _exported(spark, sf_dir, "estabelecimento")
-    return registry.read_registry_csv(spark, path, "estabelecimento", partitions=8)
+    return registry.read_registry_csv(spark, path, "estabelecimento")
 
 
 @query
@@ -304,7 +309,7 @@ def s3_zip_scan(spark, sf_dir):
 @query
 def s4_sales_csv(spark, sf_dir):
     path = export.write_header_csv(fixtures.inputs(spark, sf_dir).vendas, shared_dir(spark, "vendas_csv"))
-    return registry.read_sales_csv(spark, path)
+    return registry.read_sales_csv(spark, path).withColumn("valor", F.col("valor").cast("decimal(18,2)"))
 
 
 @query

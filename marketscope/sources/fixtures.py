@@ -174,7 +174,7 @@ def derived_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
                       F.col("c_name").alias("cliente"),
                       F.col("l_extendedprice").cast("decimal(18,2)").alias("valor")))
     uid = F.col("user_id")
-    leads = (events.where((F.col("event_type") == "signup") & (uid % 3 == 0))
+    leads = (events.where(F.col("event_type") == "signup")
              .select(company_id(uid).alias("cnpj"),
                      F.col("ts").cast("date").cast("string").alias("data")))
     return Inputs(vendas=vendas, leads=leads)

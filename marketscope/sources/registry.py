@@ -11,6 +11,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketscope.functions import full_id, lenient_real
 from marketscope.sources import schemas as S
@@ -80,7 +81,8 @@ PANDAS_NA_VALUES = [
 
 
 def na_to_null(c: str) -> Column:
-    return F.when(F.col(c).isin(PANDAS_NA_VALUES), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
+    col = F.col(f"`{c}`")
+    return F.when(col.isin(PANDAS_NA_VALUES), F.lit(None).cast("string")).otherwise(col).alias(c)
 
 
 def read_code_table(spark: SparkSession, path: str, table: str | None = None,
@@ -94,14 +96,34 @@ def read_code_table(spark: SparkSession, path: str, table: str | None = None,
     return df.select(*[na_to_null(c) for c in S.CODE_COLUMNS])
 
 
-def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Sales history, comma CSV with header, fixed schema."""
-    return spark.read.schema(S.VENDAS_SCHEMA).options(header="true", sep=",").csv(path)
+def company_csv_options(multiline: bool = True, encoding: str = "UTF-8") -> dict[str, str]:
+    """The company's own files: comma, header, doubled quotes, newlines inside quotes.
+
+    ``multiline=False`` lets a large file without quoted newlines be split.
+    """
+    return {"header": "true", "sep": ",", "quote": '"', "escape": '"', "multiLine": str(multiline).lower(),
+            "encoding": encoding}
+
+
+def read_sales_csv(spark: SparkSession, path: str, multiline: bool = True, encoding: str = "UTF-8") -> DataFrame:
+    """Sales history; NA spellings are NULL, the value keeps its decimals."""
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in S.VENDAS_SCHEMA])
+    raw = spark.read.schema(text).options(**company_csv_options(multiline, encoding)).csv(path)
+    keys = [na_to_null(c) for c in S.VENDAS_SCHEMA.names if c != "valor"]
+    return raw.select(*keys, F.expr("try_cast(valor AS DECIMAL(28,6))").alias("valor"))
+
+
+def unparsed_sales(spark: SparkSession, path: str, multiline: bool = True, encoding: str = "UTF-8") -> DataFrame:
+    """The sales lines whose value is neither missing nor a number, as text."""
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in S.VENDAS_SCHEMA])
+    raw = spark.read.schema(text).options(**company_csv_options(multiline, encoding)).csv(path)
+    return raw.where(F.expr("valor IS NOT NULL AND try_cast(valor AS DECIMAL(28,6)) IS NULL") & ~F.col("valor").isin(PANDAS_NA_VALUES))
 
 
-def read_leads_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Leads, comma CSV with header, fixed schema."""
-    return spark.read.schema(S.LEADS_SCHEMA).options(header="true", sep=",").csv(path)
+def read_leads_csv(spark: SparkSession, path: str, multiline: bool = True, encoding: str = "UTF-8") -> DataFrame:
+    """Leads; NA spellings are NULL."""
+    raw = spark.read.schema(S.LEADS_SCHEMA).options(**company_csv_options(multiline, encoding)).csv(path)
+    return raw.select(*[na_to_null(c) for c in S.LEADS_SCHEMA.names])
 
 
 # ------------------------------------------------------------------ derivations
@@ -168,7 +190,10 @@ def snapshot_metadata(dated: DataFrame, estabelecimento: DataFrame, default: str
     ``dated`` carries the date parsed from its source file names (see
     :func:`with_snapshot_date`); ``default`` is kept when no name has one.
     """
-    date = (dated.agg(F.min(date_column).alias("valor"))
+    # the earliest by calendar, not by the day-first text; text that is no date only counts alone
+    day = F.to_date(F.try_to_timestamp(date_column, F.lit("dd/MM/yyyy")))
+    date = (dated.groupBy(date_column).agg(F.lit(1))
+            .agg(F.coalesce(F.min_by(date_column, day), F.min(date_column)).alias("valor"))
             .select(F.lit("CNPJ").alias("referencia"),
                     F.coalesce(F.col("valor"), F.lit(default)).alias("valor")))
     counted = (estabelecimento.agg(F.count(F.lit(1)).cast("string").alias("valor"))

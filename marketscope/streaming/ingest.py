@@ -21,22 +21,21 @@ from marketscope.sources.registry import registry_csv_options
 
 
 def stream_registry_files(spark: SparkSession, source: str, table: str,
-                          max_files_per_trigger: int = 1) -> DataFrame:
+                          max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame over the registry files of ``table`` in ``source``.
 
-    Streaming CSV is read without multiLine (a file stream splits files), so
-    embedded newlines need the batch reader.
+    The same dialect as the batch reader (multiLine: fields may hold newlines).
+    Without ``max_files_per_trigger`` a batch takes all files that are new.
     """
-    opts = registry_csv_options(multiline=False)
-    return (spark.readStream.schema(S.REGISTRY_SCHEMAS[table]).options(**opts)
-            .option("pathGlobFilter", "*" + S.REGISTRY_SUFFIX[table])
-            .option("maxFilesPerTrigger", str(max_files_per_trigger))
-            .csv(source)
-            .na.fill(""))
+    reader = (spark.readStream.schema(S.REGISTRY_SCHEMAS[table]).options(**registry_csv_options())
+              .option("pathGlobFilter", "*" + S.REGISTRY_SUFFIX[table]))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.csv(source).na.fill("")
 
 
 def ingest(spark: SparkSession, source: str, table: str, target: str | None = None,
-           checkpoint: str | None = None, max_files_per_trigger: int = 1) -> str:
+           checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> str:
     """Append every new file of ``table`` to the Parquet table ``target``; returns it."""
     target = target or shared_dir(spark, f"stream_{table}")
     checkpoint = checkpoint or shared_dir(spark, f"stream_{table}_checkpoint")

@@ -135,3 +135,30 @@ def test_manifest_complete_snapshot(spark, tmp):
     rows = manifest.load_manifest(spark, tmp).collect()
     assert len(rows) == 10 and all(r.completo for r in rows)
     assert sum(r.encontrados for r in rows) == 37
+
+
+def test_sales_csv_dialect(spark, tmp):
+    """Doubled quotes, commas, backslashes, a quoted newline, NA spellings; values keep their decimals."""
+    import os
+
+    from marketscope.sources import registry
+    os.makedirs(f"{tmp}/v")
+    with open(f"{tmp}/v/vendas.csv", "w", encoding="utf-8") as f:
+        f.write('it-codigo,familia,familia_comercial,cnpj,cliente,valor\n'
+                '1,F1,C1,001,"ACME ""BR"", LTDA",10.005\n'
+                '2,NA,C1,002,"C:\\dir\\",7\n'
+                '3,F1,C1,003,"two\nlines",12345678901234567.5\n'
+                '4,F1,C1,004,São,abc\n'
+                'nan,F1,C1,005,x,\n')
+    rows = registry.read_sales_csv(spark, f"{tmp}/v").collect()
+    assert [(r["it-codigo"], r.familia, r.cliente, None if r.valor is None else str(r.valor)) for r in rows] == [
+        ("1", "F1", 'ACME "BR", LTDA', "10.005000"), ("2", None, "C:\\dir\\", "7.000000"),
+        ("3", "F1", "two\nlines", "12345678901234567.500000"), ("4", "F1", "São", None), (None, "F1", "x", None)]
+    assert [r.valor for r in registry.unparsed_sales(spark, f"{tmp}/v").collect()] == ["abc"]
+
+
+def test_snapshot_metadata_takes_the_earliest_date(spark):
+    from marketscope.sources import registry
+    dated = spark.createDataFrame([("09/11/2023",), ("10/06/2023",), (None,)], "snapshot_date string")
+    out = {r.referencia: r.valor for r in registry.snapshot_metadata(dated, spark.range(3)).collect()}
+    assert out == {"CNPJ": "10/06/2023", "cnpj_qtde": "3"}
