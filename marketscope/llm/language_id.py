@@ -264,9 +264,14 @@ class Labeller:
 def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list[tuple[str, str]]:
     """(lang, text) of at most ``per_language`` documents of each language, those with the smallest hash of doc_id."""
     rows = docs.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    top = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language)
-    return [(r[0], r[1]) for r in top.select("lang", "text").toLocalIterator()]
+    slim = rows.groupBy("lang", "h").agg(F.lit(1))                    # the choice moves no text
+    top = slim.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_language)
+    chosen = F.lit(False)
+    for lang, last in top.groupBy("lang").agg(F.max("h")).collect():
+        chosen = chosen | ((F.col("lang") == lang) & (F.col("h") <= last))
+    # one text per id: repeated rows must not fill the sample
+    texts = rows.where(chosen).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    return [(r[0], r[1]) for r in texts.orderBy("lang", "h").select("lang", "text").toLocalIterator()]
 
 
 def language_column(model: Model, text: Column) -> Column:
