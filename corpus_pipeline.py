@@ -13,13 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketscope.llm.common import read_table, written
+from marketscope.llm.common import prepare, read_table, written
 from marketscope.llm.decontaminate import clean_documents
 from marketscope.llm.language_id import UNKNOWN, held_out, with_language
 from marketscope.llm.line_dedup import without_repeats
 from marketscope.llm.packing import pack
 from marketscope.llm.simhash_dedup import keep_one
-from marketscope.session import ship_package
 
 #: a document stays unless no language holds even this share of its words (short or mixed clean texts stay)
 MIN_SCORE = 0.3
@@ -27,7 +26,7 @@ MIN_SCORE = 0.3
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: drops documents without letters and those in which no language prevails."""
-    ship_package(spark)
+    prepare(spark)
     labelled = with_language(docs, docs.where(~held_out(F.col("doc_id"))))
     lang = F.col("__ms_lang")
     return labelled.where((lang["lang"] != UNKNOWN) & (lang["score"] >= MIN_SCORE)).drop("__ms_lang")
@@ -35,13 +34,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: deletes later copies of repeated lines and runs."""
-    ship_package(spark)
+    prepare(spark)
     return without_repeats(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: one document of each SimHash component stays."""
-    ship_package(spark)
+    prepare(spark)
     return keep_one(docs, shingle=4, max_bits=4)
 
 
@@ -52,7 +51,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: sequences of at most 1024 tokens."""
-    ship_package(spark)
+    prepare(spark)
     return pack(docs)
 
 

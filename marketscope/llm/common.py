@@ -16,8 +16,20 @@ ROW, ID, HASH, TEXT = "__ms_row", "__ms_id", "__ms_hash", "__ms_text"
 NULL_ID = -(1 << 63)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: rows of an Arrow batch at most: what a Python worker holds of its input at once
+ARROW_ROWS = 2500
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship the package to the Python workers and bound the batches they are handed."""
     ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

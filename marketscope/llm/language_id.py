@@ -43,8 +43,8 @@ HASH_SIZE = 1 << 15
 LENGTH = 40              # words of a training sequence
 EPOCHS, BATCH, RATE, DECAY = 5, 64, 0.05, 1e-4
 LEXICON_COUNT, LEXICON_SHARE = 4, 0.8
-CACHE_WORDS = 250_000
-BATCH_WORDS = 1_500_000
+CACHE_WORDS = 150_000
+BATCH_WORDS = 800_000
 SEED = 11
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")

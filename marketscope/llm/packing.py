@@ -45,7 +45,7 @@ from marketscope.llm.common import written
 CAPACITY = 1024
 END_ID = 2
 SEARCH_NODES = 4_000
-CACHE_PIECES = 500_000
+CACHE_PIECES = 200_000
 GROUP_CHARS = 2_000_000
 ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
 PIECES = "task long, doc_id long, piece int, start long, length int, ids_crc32 long, rank long"
