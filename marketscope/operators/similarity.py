@@ -5,69 +5,36 @@ of the customer's codes the prospect also has. Each prospect gets the
 customer with the highest score; ties go to the smallest customer id; a
 prospect sharing no code gets (NULL, 0.0).
 
-Plan (exact, no cross product): an inverted index. Prospect codes are
-equi-joined with customer codes on the code, so only pairs sharing at least
-one code are ever formed (pairs with no overlap can never win: the best score
-must beat 0). The join output is counted per (prospect, customer), divided by
-the customer's code count, and reduced to the best customer per prospect.
-
-Sizing and partitioning (decided from exact statistics, small jobs over the
-written role table):
-
-* The (company, code, role) table is written once to the shared folder; the
-  statistics, every block and the final join read that copy.
-* Candidate pairs = sum over codes of prospects-with-code x customers-with-
-  code. The prospect codes are hash-partitioned by prospect into
-  ceil(pairs / PAIRS_PER_TASK) partitions (at least the cluster's
-  parallelism), with an explicit count so AQE cannot fold them into one task.
-* Hot codes (at most MAX_HOT, each a large share of all pairs) are not joined:
-  a company's hot codes form a bit mask, a pair's hot overlap is
-  bit_count(maskP & maskR), and customers met only through hot codes are
-  found per non-empty hot submask T (best customer of T: fewest codes, then
-  smallest id; at most 2^MAX_HOT rows). The union of both candidate sets has
-  the brute force's maximum and smallest-id winner.
-* Identical code sets are scored once: on the customer side always (a
-  customer with the same set as a smaller id never wins), on the prospect
-  side when the estimated distinct sets are few and the pair work is large.
-  Representatives come from group-bys combined map-side, never a window
-  over a possibly hot set.
-* Customers are hashed into the fewest blocks whose largest one holds at most
-  BLOCK_ROWS (customer, code) rows, checked before use. Each block is
-  broadcast to the prospect tasks, so the join runs map-side and the pair
-  count and per-prospect best reuse the prospect partitioning: pairs are
-  aggregated inside the task that forms them and never shuffled.
-* With several blocks (or hot codes), only per-source winners (prospects x
-  sources rows) are shuffled for the final pick.
+One exact plan at every size, without a cross product:
+
+* Every company's sorted code set is written once to the shared folder (cuts
+  the lineage, survives lost executors). Equal sets are scored once, for the
+  smallest id of the set on either side: a prospect's score depends on its set
+  only, and a customer with the set of a smaller id never wins. The groups
+  are combined map-side, so a set of a third of all companies is one row per
+  task.
+* Lower bound: per code, the customer set with the fewest codes among those
+  holding it. A prospect set meets one such set per code it holds; the best
+  of their exact scores, k0 / n0, is a score it really reaches.
+* Only customers that can still reach the bound are joined. Their codes are
+  numbered from the rarest among prospect sets; if the code at position i (of
+  n, from 0) is the first one shared, at most n - i are shared. The equi-join
+  on the code therefore keeps (n - i) / n >= k0 / n0 and |P| / n >= k0 / n0
+  (length bound), compared as whole numbers. A frequent code stands last in
+  its sets, so it forms pairs only where nothing rarer could be shared.
+* The join is a plain equi-join: Spark broadcasts a side of small measured
+  size, otherwise AQE splits a hot code's partition. Scores are reduced to one
+  row per prospect set map-side, before the shuffle.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketscope.functions import split_codes
 from marketscope.session import shared_dir
 
-# Largest customer block broadcast to the prospect tasks, in (customer, code)
-# rows (~40 bytes each): beyond it the customers are split into hash blocks.
-BLOCK_ROWS = 1_000_000
-# Candidate pairs one prospect task aggregates; sets the prospect partitions.
-# Measured: ~250k pairs keep each task's hash aggregate cache-sized (2x faster
-# per pair than 1.2M).
-PAIRS_PER_TASK = 250_000
-# Hot codes: at most MAX_HOT codes, each yielding at least HOT_SHARE of all
-# candidate pairs and HOT_MIN_PAIRS pairs, are counted with bit masks. Keep
-# MAX_HOT <= 12: submask enumeration is 2^MAX_HOT per distinct mask.
-MAX_HOT = 10
-HOT_SHARE = 0.02
-HOT_MIN_PAIRS = 1_000_000
-# Collapse identical prospect code sets when distinct sets <= this share of prospects.
-COLLAPSE_RATIO = 0.5
-# ... and only when the pair work is large enough to be worth the extra shuffle.
-COLLAPSE_MIN_PAIRS = 50_000_000
-
 
 def explode_codes(estabelecimento: DataFrame, column: str = "cnae_fiscal_secundaria") -> DataFrame:
     """G1: one row per listed code; an empty list gives no row, elements are not trimmed."""
@@ -97,257 +64,107 @@ def code_signature(codes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("n_codigos"))
 
 
-def _tagged(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataFrame:
-    """(cnpj, code, is_client) for every company on either side, written once.
-
-    The written copy cuts the lineage (the fact plan is not re-run for the
-    statistics, each block and the final join) and survives lost executors.
-    """
-    roles = (clients.select("cnpj").distinct().withColumn("is_client", F.lit(1))
-             .unionByName(prospects.select("cnpj").distinct().withColumn("is_client", F.lit(0))))
-    tagged = codes.join(roles, "cnpj").select("cnpj", "code", F.col("is_client").cast("int"))
+def _code_sets(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataFrame:
+    """(cnpj, is_client, codes, n): sorted distinct code set of every company with a role, written once."""
+    roles = (clients.select("cnpj").distinct().withColumn("is_client", F.lit(True))
+             .unionByName(prospects.select("cnpj").distinct().withColumn("is_client", F.lit(False))))
+    sets = (codes.where(F.col("code").isNotNull()).groupBy("cnpj")
+            .agg(F.array_sort(F.collect_set("code")).alias("codes"))
+            .join(roles, "cnpj").withColumn("n", F.size("codes").cast("bigint")))
     spark = codes.sparkSession
-    path = shared_dir(spark, "similarity_codes")
-    tagged.write.mode("overwrite").parquet(path)
+    path = shared_dir(spark, "similarity_sets")
+    sets.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-@dataclass
-class JoinPlan:
-    """Sizing of one similarity run, from exact statistics."""
+def _distinct_sets(sets: DataFrame, is_client: bool, rep: str, codes: str, n: str) -> DataFrame:
+    """One row per code set of one side; its smallest company id stands for it."""
+    side = sets.where(F.col("is_client") == is_client)
+    return side.groupBy(F.col("codes").alias(codes), F.col("n").alias(n)).agg(F.min("cnpj").alias(rep))
 
-    blocks: int            # customer blocks, each broadcast (largest checked)
-    partitions: int        # prospect partitions
-    pairs: int             # candidate pairs formed on non-hot codes
-    all_pairs: int         # candidate pairs before the hot split
-    hot: list[str] = field(default_factory=list)   # hot codes; bit i = hot[i]
-    collapse: bool = False  # score each distinct prospect code set once
 
+def _score(k: Column, n: Column) -> Column:
+    return k.cast("double") / n.cast("double")
 
-def plan_join(tagged: DataFrame, block_rows: int = BLOCK_ROWS, pairs_per_task: int = PAIRS_PER_TASK,
-              max_hot: int = MAX_HOT, hot_share: float = HOT_SHARE,
-              hot_min_pairs: int = HOT_MIN_PAIRS, collapse_ratio: float = COLLAPSE_RATIO,
-              collapse_min_pairs: int = COLLAPSE_MIN_PAIRS) -> JoinPlan:
-    """Size the join from exact statistics (two small jobs over the written table).
 
-    Per code: p prospects and c customers hold it, so it yields p x c
-    candidate pairs. Codes whose pairs exceed ``hot_share`` of all pairs (and
-    ``hot_min_pairs``) become hot, at most ``max_hot``, largest first: their
-    contribution is counted by bit masks instead of pairs. Customers are
-    hashed into the fewest blocks whose largest one holds at most
-    ``block_rows`` non-hot (customer, code) rows.
-    """
-    per_code = tagged.groupBy("code").agg(
-        F.sum("is_client").cast("bigint").alias("c"),
-        F.sum(1 - F.col("is_client")).cast("bigint").alias("p")).withColumn("w", F.col("p") * F.col("c"))
-    total, client_rows = per_code.agg(F.coalesce(F.sum("w"), F.lit(0)).cast("bigint"),
-                                      F.coalesce(F.sum("c"), F.lit(0)).cast("bigint")).first()
-    hot_rows = []
-    if max_hot > 0 and total >= hot_min_pairs:
-        threshold = max(hot_min_pairs, int(hot_share * total))
-        hot_rows = (per_code.where(F.col("w") >= threshold)
-                    .orderBy(F.col("w").desc(), F.col("code")).limit(max_hot).collect())
-    hot = [r.code for r in hot_rows]
-    pairs = total - sum(r.w for r in hot_rows)
-    client_rows -= sum(r.c for r in hot_rows)
-    blocks = max(1, -(-client_rows // block_rows))
-    cold_clients = tagged.where((F.col("is_client") == 1) & ~F.col("code").isin(hot)) if hot else \
-        tagged.where(F.col("is_client") == 1)
-    while 1 < blocks < client_rows:      # at client_rows blocks a block is one customer, however many codes it has
-        largest = cold_clients.groupBy(_block(blocks)).count().agg(F.max("count")).first()[0] or 0
-        if largest <= block_rows:
-            break
-        blocks *= 2
-    # Distinct prospect code sets (estimated from a 64-bit hash of the sorted
-    # set; the grouping itself uses the exact set). Scoring each set once pays
-    # when sets repeat often, as single-code companies do.
-    collapse = False
-    if collapse_ratio > 0 and pairs >= collapse_min_pairs:
-        n_prospects, n_sets = (tagged.where(F.col("is_client") == 0).groupBy("cnpj")
-                               .agg(F.xxhash64(F.array_sort(F.collect_list("code"))).alias("h"))
-                               .agg(F.count(F.lit(1)), F.approx_count_distinct("h", 0.02)).first())
-        collapse = n_prospects > 0 and n_sets <= collapse_ratio * n_prospects
-    if collapse:
-        pairs = int(pairs * n_sets / n_prospects)
-    parallelism = tagged.sparkSession.sparkContext.defaultParallelism
-    partitions = max(parallelism, -(-pairs // pairs_per_task))
-    return JoinPlan(blocks, partitions, pairs, total, hot, collapse)
-
-
-def _block(blocks: int):
-    return F.pmod(F.xxhash64("cnpj"), F.lit(blocks)).alias("block")
-
-
-def _hot_bit(hot: list[str]) -> Column:
-    """Bit of a code in the hot mask (0 for other codes)."""
-    bit = F.lit(0).cast("bigint")
-    for i, code in enumerate(hot):
-        bit = F.when(F.col("code") == code, F.lit(1 << i).cast("bigint")).otherwise(bit)
-    return bit
-
-
-def _submasks(mask: Column) -> Column:
-    """Every non-empty submask of a hot mask (at most 2^MAX_HOT - 1 values)."""
-    return F.filter(F.sequence(F.lit(1).cast("bigint"), mask), lambda x: (x.bitwiseAND(mask)) == x)
-
-
-def _best(candidates: DataFrame) -> DataFrame:
-    """(cnpj, cliente, similaridade) -> best per prospect.
-
-    min over (-score, id): highest score, then smallest id (max_by would break
-    ties arbitrarily).
-    """
-    return (candidates.groupBy("cnpj")
-            .agg(F.min(F.struct((-F.col("similaridade")).alias("neg"), F.col("cliente").alias("id")))
-                 .alias("b"))
-            .select("cnpj", F.col("b.id").alias("cliente"), (-F.col("b.neg")).alias("similaridade")))
-
-
-@dataclass
-class _Sides:
-    plan: JoinPlan
-    prospect_codes: DataFrame   # (cnpj, mask, code): non-hot codes, partitioned by cnpj
-    prospect_masks: DataFrame   # (cnpj, mask), partitioned by cnpj
-    client_codes: DataFrame     # (cliente, code, n, mask_r, block, h): non-hot codes
-    clients: DataFrame          # (cliente, n, mask_r, block, h)
-    representatives: DataFrame | None = None   # (cnpj, rep) when sets are collapsed
-    hash_keys: bool = False     # customer ids are collision-free as 64-bit hashes
-
-
-def _sides(codes: DataFrame, clients: DataFrame, prospects: DataFrame, plan: JoinPlan | None,
-           max_hot: int, collapse: bool = True, distinct_clients: bool = False) -> _Sides:
-    tagged = _tagged(codes, clients, prospects)
-    plan = plan or plan_join(tagged, max_hot=max_hot, collapse_ratio=COLLAPSE_RATIO if collapse else -1.0)
-    tagged = tagged.withColumn("bit", _hot_bit(plan.hot))
-    # Prospects: explicit partition count (AQE must not fold this small input
-    # into one task: the pairs are formed after it). Grouping by the
-    # partition key needs no further exchange.
-    per_prospect = (tagged.where(F.col("is_client") == 0).repartition(plan.partitions, "cnpj")
-                    .groupBy("cnpj")
-                    .agg(F.bit_or("bit").alias("mask"),
-                         F.collect_list(F.when(F.col("bit") == 0, F.col("code"))).alias("cold")))
-    representatives = None
-    if plan.collapse:
-        # Pre-aggregation: prospects with the same code set share one result;
-        # the set's smallest id stands for it (exact: the score depends only
-        # on the set). The representative comes from a group-by, combined
-        # map-side, so a set shared by a third of all prospects is never one
-        # task; the members find it back through a join AQE can split.
-        per_prospect = per_prospect.withColumn("cold", F.array_sort("cold"))
-        reps = per_prospect.groupBy("mask", "cold").agg(F.min("cnpj").alias("rep"))
-        representatives = per_prospect.join(reps, ["mask", "cold"]).select("cnpj", "rep")
-        per_prospect = (reps.select(F.col("rep").alias("cnpj"), "mask", "cold")
-                        .repartition(plan.partitions, "cnpj"))
-    prospect_codes = per_prospect.select("cnpj", "mask", F.explode("cold").alias("code"))
-    prospect_masks = per_prospect.select("cnpj", "mask")
-    cc = tagged.where(F.col("is_client") == 1)
-    client_tab = cc.groupBy("cnpj").agg(F.count(F.lit(1)).cast("int").alias("n"),
-                                        F.bit_or("bit").alias("mask_r"),
-                                        F.array_sort(F.collect_list("code")).alias("set"))
-    if distinct_clients:
-        # A customer with the same code set as a smaller id scores the same
-        # for every prospect and so never wins: keep one customer per set.
-        first = client_tab.groupBy("set").agg(F.min("cnpj").alias("cnpj"))
-        client_tab = client_tab.join(first, ["set", "cnpj"], "left_semi")
-    client_tab = client_tab.drop("set").withColumn("h", F.xxhash64("cnpj"))
-    # Pairs are counted on a 64-bit hash of the customer id (a long groups
-    # much faster than a string) when no two customers share a hash; checked
-    # here, exactly, on the (bounded) customer table.
-    n_clients, n_hashes = client_tab.agg(F.count(F.lit(1)), F.count_distinct("h")).first()
-    client_codes = (cc.where(F.col("bit") == 0).select("cnpj", "code").join(client_tab, "cnpj")
-                    .select(F.col("cnpj").alias("cliente"), "code", "n", "mask_r", _block(plan.blocks), "h"))
-    clients_out = client_tab.select(F.col("cnpj").alias("cliente"), "n", "mask_r", _block(plan.blocks), "h")
-    return _Sides(plan, prospect_codes, prospect_masks, client_codes, clients_out, representatives,
-                  hash_keys=n_clients == n_hashes)
-
-
-def _block_pairs(sides: _Sides, block: int) -> DataFrame:
-    """Pairs sharing a non-hot code, for one (broadcast, size-checked) customer
-    block; the hot overlap is added from the two masks."""
-    cc, cl = sides.client_codes, sides.clients
-    if sides.plan.blocks > 1:
-        cc, cl = cc.where(F.col("block") == block), cl.where(F.col("block") == block)
-    if sides.hash_keys:
-        k = (sides.prospect_codes.join(F.broadcast(cc.select("code", "h")), "code")
-             .groupBy("cnpj", "mask", "h").agg(F.count(F.lit(1)).alias("k_cold"))
-             .join(F.broadcast(cl.select("h", "cliente", "n", "mask_r")), "h"))
-    else:
-        k = (sides.prospect_codes.join(F.broadcast(cc.drop("block", "h")), "code")
-             .groupBy("cnpj", "mask", "cliente", "n", "mask_r")
-             .agg(F.count(F.lit(1)).alias("k_cold")))
-    k = k.withColumn("k", F.col("k_cold") + F.bit_count(F.col("mask").bitwiseAND(F.col("mask_r"))))
-    return k.select("cnpj", "cliente", F.col("k").cast("bigint").alias("intersecao"),
-                    F.col("n").cast("bigint").alias("n_cliente"),
-                    (F.col("k").cast("double") / F.col("n").cast("double")).alias("similaridade"))
-
-
-def _hot_only_best(sides: _Sides) -> DataFrame | None:
-    """Best customer by hot codes alone, for every prospect with a hot code.
-
-    For each non-empty hot submask T, the customer offering the most to a
-    prospect holding T is the one with the fewest codes (then the smallest
-    id) among customers holding T: one row per T, at most 2^len(hot). A
-    prospect with mask M meets each customer R at T = M & mask_R, so the best
-    over the submasks of M equals the best over all customers of
-    |M & mask_R| / n_R, ties to the smallest id. Both tables are bounded by
-    2^len(hot) rows and are broadcast.
+def _first(score: Column, *rest: Column) -> Column:
+    """Aggregate: the highest score, then the smallest ``rest`` (max_by would break ties arbitrarily)."""
+    return F.min(F.struct((-score).alias("neg"), *rest))
+
+
+def client_index(clients: DataFrame, prospects: DataFrame) -> DataFrame:
+    """(code, i, cliente, client_codes, n): every code of every customer set, numbered from the rarest.
+
+    Rarity is the number of prospect sets holding the code; ties by code.
     """
-    if not sides.plan.hot:
-        return None
-    per_t = (sides.clients.where(F.col("mask_r") != 0)
-             .select("cliente", "n", F.explode(_submasks(F.col("mask_r"))).alias("t"))
-             .groupBy("t").agg(F.min(F.struct("n", "cliente")).alias("b"))
-             .select("t", F.col("b.n").alias("n"), F.col("b.cliente").alias("cliente")))
-    masks = sides.prospect_masks.select("mask").where(F.col("mask") != 0).distinct()
-    per_mask = (masks.select("mask", F.explode(_submasks(F.col("mask"))).alias("t"))
-                .join(F.broadcast(per_t), "t")
-                .select(F.col("mask").alias("cnpj"), "cliente",
-                        (F.bit_count("t").cast("double") / F.col("n").cast("double")).alias("similaridade")))
-    per_mask = _best(per_mask).withColumnRenamed("cnpj", "mask")
-    return sides.prospect_masks.join(F.broadcast(per_mask), "mask").select("cnpj", "cliente", "similaridade")
-
-
-def similarity_pairs(codes: DataFrame, clients: DataFrame, prospects: DataFrame,
-                     plan: JoinPlan | None = None) -> DataFrame:
-    """Every (prospect, customer) pair sharing a code, with overlap and score.
-
-    Columns: cnpj, cliente, intersecao, n_cliente, similaridade. This is the
-    pair listing itself (its output is as large as the candidate pairs), so
-    no code is split out as hot here.
+    held = (prospects.select(F.explode("prospect_codes").alias("code")).groupBy("code")
+            .agg(F.count(F.lit(1)).alias("held")))
+    ranked = (clients.select("cliente", F.explode("client_codes").alias("code")).join(held, "code", "left")
+              .groupBy("cliente")
+              .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "code")))
+                   .alias("ranked")))
+    return (ranked.join(clients, "cliente")
+            .select("cliente", "client_codes", "n", F.posexplode("ranked").alias("i", "r"))
+            .where(F.col("r.held") > 0)
+            .select(F.col("r.code").alias("code"), F.col("i").cast("bigint").alias("i"), "cliente", "client_codes", "n"))
+
+
+def lower_bounds(prospects: DataFrame, index: DataFrame) -> DataFrame:
+    """(rep, k0, n0): a score every prospect set reaches, from one customer set per code."""
+    fewest = (index.groupBy("code").agg(F.min(F.struct("n", "cliente", "client_codes")).alias("c"))
+              .select("code", "c.n", "c.client_codes"))
+    k = F.size(F.array_intersect("prospect_codes", "client_codes")).cast("bigint")
+    return (prospects.withColumn("code", F.explode("prospect_codes")).join(fewest, "code")
+            .select("rep", "n", k.alias("k"))
+            .groupBy("rep").agg(_first(_score(F.col("k"), F.col("n")), F.col("k"), F.col("n")).alias("b"))
+            .select("rep", F.col("b.k").alias("k0"), F.col("b.n").alias("n0")))
+
+
+def candidates(prospects: DataFrame, index: DataFrame) -> DataFrame:
+    """(rep, cliente, k, n) of every pair of sets that may reach the prospect set's lower bound."""
+    bounded = (prospects.join(lower_bounds(prospects, index), "rep")
+               .withColumn("code", F.explode("prospect_codes")))
+    can_reach = (((F.col("n") - F.col("i")) * F.col("n0") >= F.col("k0") * F.col("n"))
+                 & (F.col("n_prospect") * F.col("n0") >= F.col("k0") * F.col("n")))
+    return (bounded.alias("p").join(index.alias("c"), (F.col("p.code") == F.col("c.code")) & can_reach)
+            .select("rep", "cliente", "n",
+                    F.size(F.array_intersect("prospect_codes", "client_codes")).cast("bigint").alias("k")))
+
+
+def _sides(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (_distinct_sets(sets, False, "rep", "prospect_codes", "n_prospect"),
+            _distinct_sets(sets, True, "cliente", "client_codes", "n"))
+
+
+def similarity_pairs(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataFrame:
+    """The pairs of different code sets that share a code, with overlap and score.
+
+    Columns: cnpj, cliente (smallest id of the prospects and of the customers
+    with the set), intersecao, n_cliente, similaridade. Companies of one set
+    have the same scores, so no link is lost and copies are not expanded.
     """
-    sides = _sides(codes, clients, prospects, plan, max_hot=0, collapse=False)
-    out = None
-    for b in range(sides.plan.blocks):
-        part = _block_pairs(sides, b)
-        out = part if out is None else out.unionByName(part)
-    return out
+    p, c = _sides(_code_sets(codes, clients, prospects))
+    k = (p.select(F.col("rep").alias("cnpj"), F.explode("prospect_codes").alias("code"))
+         .join(c.select("cliente", "n", F.explode("client_codes").alias("code")), "code")
+         .groupBy("cnpj", "cliente", "n").agg(F.count(F.lit(1)).alias("k")))
+    return k.select("cnpj", "cliente", F.col("k").alias("intersecao"), F.col("n").alias("n_cliente"),
+                    _score(F.col("k"), F.col("n")).alias("similaridade"))
 
 
-def most_similar(codes: DataFrame, clients: DataFrame, prospects: DataFrame,
-                 plan: JoinPlan | None = None, max_hot: int = MAX_HOT) -> DataFrame:
+def most_similar(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataFrame:
     """Best customer per prospect: (cnpj, cnpj_mais_similar, similaridade).
 
     ``codes``: (cnpj, code), as from :func:`company_codes`; ``clients`` and
-    ``prospects``: frames with a ``cnpj`` column. ``plan`` overrides the
-    sizing from :func:`plan_join` (tests use it to force blocks and hot codes).
+    ``prospects``: frames with a ``cnpj`` column.
     """
-    sides = _sides(codes, clients, prospects, plan, max_hot, distinct_clients=True)
-    candidates = []
-    for b in range(sides.plan.blocks):
-        pairs = _block_pairs(sides, b)
-        best = _best(pairs) if sides.plan.blocks > 1 or sides.plan.hot else pairs
-        candidates.append(best.select("cnpj", "cliente", "similaridade"))
-    hot = _hot_only_best(sides)
-    if hot is not None:
-        candidates.append(hot)
-    merged = candidates[0]
-    for c in candidates[1:]:
-        merged = merged.unionByName(c)
-    best = _best(merged)
-    if sides.representatives is not None:
-        best = (sides.representatives.join(best.withColumnRenamed("cnpj", "rep"), "rep")
-                .select("cnpj", "cliente", "similaridade"))
-    keys = prospects.select("cnpj").distinct()
-    return (keys.join(best, "cnpj", "left")
+    sets = _code_sets(codes, clients, prospects)
+    p, c = _sides(sets)
+    best = (candidates(p, client_index(c, p)).groupBy("rep")
+            .agg(_first(_score(F.col("k"), F.col("n")), F.col("cliente")).alias("b")))
+    per_set = (p.join(best, "rep")
+               .select(F.col("prospect_codes").alias("codes"), F.col("b.cliente").alias("cliente"),
+                       (-F.col("b.neg")).alias("similaridade")))
+    scored = sets.where(~F.col("is_client")).join(per_set, "codes").select("cnpj", "cliente", "similaridade")
+    return (prospects.select("cnpj").distinct().join(scored, "cnpj", "left")
             .select("cnpj", F.col("cliente").alias("cnpj_mais_similar"),
                     F.coalesce(F.col("similaridade"), F.lit(0.0)).alias("similaridade")))

@@ -45,32 +45,32 @@ def lenient_real_sql(x: str) -> str:
 
 
 _ESTAB = {
-    "cnpj_basico": K("c_custkey"),
-    "cnpj_ordem": "CASE WHEN c_custkey % 2 = 0 THEN '0001' ELSE '0002' END",
+    "cnpj_basico": K("k"),
+    "cnpj_ordem": "CASE WHEN k % 2 = 0 THEN '0001' ELSE '0002' END",
     "cnpj_dv": "'00'",
-    "matriz_filial": "CASE WHEN c_custkey % 2 = 0 THEN '1' ELSE '2' END",
-    "nome_fantasia": "c_name",
-    "situacao_cadastral": "CASE WHEN c_acctbal > 0 THEN '02' ELSE '08' END",
+    "matriz_filial": "CASE WHEN k % 2 = 0 THEN '1' ELSE '2' END",
+    "nome_fantasia": "name",
+    "situacao_cadastral": "CASE WHEN balance > 0 THEN '02' ELSE '08' END",
     "motivo_situacao_cadastral": "'00'",
-    "cnae_fiscal": "lpad(CAST(1 + 4 * c_nationkey AS VARCHAR), 2, '0') || '0000' || substr(c_mktsegment, 1, 1)",
+    "cnae_fiscal": "lpad(CAST(1 + 4 * nation AS VARCHAR), 2, '0') || '0000' || segment",
     "cnae_fiscal_secundaria": "coalesce(lst, '')",
-    "municipio": "lpad(CAST(c_nationkey AS VARCHAR), 4, '0')",
-    "uf": "'U' || CAST(c_nationkey % 5 AS VARCHAR)",
-    "cep": "CAST(70000000 + (c_custkey % 40) * 100000 AS VARCHAR)",
-    "cnpj": C("c_custkey"),
+    "municipio": "lpad(CAST(nation AS VARCHAR), 4, '0')",
+    "uf": "'U' || CAST(nation % 5 AS VARCHAR)",
+    "cep": "CAST(70000000 + (k % 40) * 100000 AS VARCHAR)",
+    "cnpj": C("k"),
 }
 _EMP = {
-    "cnpj_basico": K("c_custkey"),
-    "razao_social": "upper(c_name)",
-    "natureza_juridica": "CASE c_nationkey % 3 WHEN 0 THEN '2062' WHEN 1 THEN '2143' ELSE '2330' END",
-    "qualificacao_responsavel": "lpad(CAST(c_nationkey AS VARCHAR), 2, '0')",
-    "porte_empresa": "CASE c_custkey % 8 WHEN 0 THEN '01' WHEN 2 THEN '03' WHEN 4 THEN '05' ELSE '' END",
-    "capital_social_str": "replace(CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR), '.', ',')",
+    "cnpj_basico": K("k"),
+    "razao_social": "upper(name)",
+    "natureza_juridica": "CASE nation % 3 WHEN 0 THEN '2062' WHEN 1 THEN '2143' ELSE '2330' END",
+    "qualificacao_responsavel": "lpad(CAST(nation AS VARCHAR), 2, '0')",
+    "porte_empresa": "CASE k % 8 WHEN 0 THEN '01' WHEN 2 THEN '03' WHEN 4 THEN '05' ELSE '' END",
+    "capital_social_str": "replace(CAST(CAST(balance AS DECIMAL(18,2)) AS VARCHAR), '.', ',')",
 }
 _SIMPLES = {
-    "cnpj_basico": K("c_custkey"),
-    "opcao_simples": "CASE WHEN c_custkey % 4 = 0 THEN 'S' ELSE 'N' END",
-    "opcao_mei": "CASE WHEN c_custkey % 10 = 0 THEN 'S' ELSE 'N' END",
+    "cnpj_basico": K("k"),
+    "opcao_simples": "CASE WHEN k % 4 = 0 THEN 'S' ELSE 'N' END",
+    "opcao_mei": "CASE WHEN k % 10 = 0 THEN 'S' ELSE 'N' END",
 }
 _SOCIO = {
     "cnpj_basico": "lpad(CAST(s_suppkey AS VARCHAR), 8, '0')",
@@ -89,21 +89,26 @@ _SECTION_DESC = (
 # name -> SQL body. Order matters only for readability; dependencies are
 # resolved by scanning each body for the names it references.
 CTES: dict[str, str] = {
-    "sec": """SELECT o.o_custkey AS ck, string_agg(DISTINCT p.p_brand, ',' ORDER BY p.p_brand) AS lst
-    FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey JOIN part p ON l.l_partkey = p.p_partkey
-    WHERE l.l_discount >= 0.09 GROUP BY o.o_custkey""",
+    "sec": f"""SELECT ck, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS lst
+    FROM (SELECT o_custkey AS ck, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+          UNION ALL SELECT {FX.SUPPLIER_BASE} + l_suppkey, l_partkey FROM lineitem) t
+    JOIN part ON p_partkey = l_partkey GROUP BY ck""",
+    "company": f"""SELECT c_custkey AS k, c_name AS name, c_nationkey AS nation, c_acctbal AS balance,
+    substr(c_mktsegment, 1, 1) AS segment FROM customer
+    UNION ALL SELECT {FX.SUPPLIER_BASE} + s_suppkey, s_name, s_nationkey, s_acctbal,
+    substr('{FX.SEGMENTS}', 1 + s_suppkey % 5, 1) FROM supplier""",
     "estabelecimento": f"""SELECT
     {_select(_ESTAB, S.ESTABELECIMENTO_TABLE_COLUMNS)}
-    FROM customer LEFT JOIN sec ON c_custkey = ck""",
+    FROM company LEFT JOIN sec ON k = ck""",
     "empresas_raw": f"""SELECT
     {_select(_EMP, S.EMPRESAS_COLUMNS)}
-    FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 14 <> 0""",
+    FROM company WHERE k % 2 = 0 AND k % 14 <> 0""",
     "empresas": f"""SELECT {', '.join(S.EMPRESAS_TABLE_COLUMNS[:-1])},
     {lenient_real_sql('capital_social_str')} AS capital_social
     FROM empresas_raw""",
     "simples": f"""SELECT
     {_select(_SIMPLES, S.SIMPLES_COLUMNS)}
-    FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 22 <> 0""",
+    FROM company WHERE k % 2 = 0 AND k % 22 <> 0""",
     "socios_original": f"""SELECT
     {_select(_SOCIO, S.SOCIOS_COLUMNS)}
     FROM supplier""",
@@ -122,10 +127,11 @@ CTES: dict[str, str] = {
     p.p_type AS familia_comercial, {C('o.o_custkey')} AS cnpj, c.c_name AS cliente,
     CAST(l.l_extendedprice AS DECIMAL(18,2)) AS valor
     FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey JOIN part p ON l.l_partkey = p.p_partkey
-    JOIN customer c ON c.c_custkey = o.o_custkey
-    WHERE o.o_custkey % 20 = 0 AND o.o_orderstatus = 'F'""",
-    "leads": f"""SELECT {C('user_id')} AS cnpj, CAST(CAST(ts AS DATE) AS VARCHAR) AS data
-    FROM events WHERE event_type = 'signup'""",
+    JOIN customer c ON c.c_custkey = o.o_custkey""",
+    "leads": f"""SELECT {C('u')} AS cnpj, data FROM (
+      SELECT CASE WHEN user_id % 2 = 0 THEN user_id ELSE {FX.SUPPLIER_BASE} + (user_id - 1) // 2 END AS u,
+             CAST(CAST(ts AS DATE) AS VARCHAR) AS data
+      FROM events WHERE event_type = 'signup') e""",
     # ---------------------------------------------------------- model stages
     "ativos": """SELECT cnpj, cnae_fiscal, municipio, cnpj_basico, nome_fantasia
     FROM estabelecimento WHERE situacao_cadastral = '02'""",
@@ -157,6 +163,10 @@ CTES: dict[str, str] = {
     WHERE p.cnpj IN (SELECT cnpj FROM fato_base WHERE atual_cliente = 0)
       AND c.cnpj IN (SELECT cnpj FROM fato_base WHERE atual_cliente = 1)
     GROUP BY p.cnpj, c.cnpj""",
+    "representantes": """SELECT min(cnpj) AS cnpj FROM (
+      SELECT ec.cnpj, max(f.atual_cliente) AS lado, string_agg(DISTINCT ec.code, ',' ORDER BY ec.code) AS conjunto
+      FROM empresa_cnaes ec JOIN fato_base f ON f.cnpj = ec.cnpj GROUP BY ec.cnpj) x
+    GROUP BY lado, conjunto""",
     "similares": """SELECT pr.cnpj, b.cliente AS cnpj_mais_similar, coalesce(b.sim, 0.0) AS similaridade
     FROM (SELECT DISTINCT cnpj FROM fato_base WHERE atual_cliente = 0) pr
     LEFT JOIN (
@@ -289,7 +299,8 @@ QUERY_SQL: dict[str, str] = {
     CAST((SELECT count(*) FROM fato_base f WHERE f.id_regime_tributario = d.id_regime_tributario) AS BIGINT) AS empresas
     FROM dim_regime_tributario d""",
     "m0_similarity_pairs": """SELECT cnpj, cliente, CAST(k AS BIGINT) AS intersecao, CAST(n AS BIGINT) AS n_cliente,
-    CAST(k AS DOUBLE) / CAST(n AS DOUBLE) AS similaridade FROM pares""",
+    CAST(k AS DOUBLE) / CAST(n AS DOUBLE) AS similaridade FROM pares
+    WHERE cnpj IN (SELECT cnpj FROM representantes) AND cliente IN (SELECT cnpj FROM representantes)""",
     "m1_most_similar": "SELECT * FROM similares",
     "m2_fact_companies": "SELECT * FROM fato_empresas",
     "q1_company_profile": f"SELECT {_PROFILE_SELECT}\n    {_PROFILE_FROM}\n    WHERE t.cnpj = '00000003000100'",

@@ -19,6 +19,9 @@ NATUREZA_ROWS = [("2062", "LTDA"), ("2143", "COOPERATIVA"), ("2330", "COOP CREDI
 MOTIVO_ROWS = [("00", "SEM MOTIVO"), ("01", "EXTINCAO POR ENCERRAMENTO"), ("08", "BAIXA")]
 PAIS_ROWS = [("105", "BRASIL"), ("160", "CHINA"), ("249", "ESTADOS UNIDOS")]
 QUALIFICACAO_ROWS = [("05", "ADMINISTRADOR"), ("10", "DIRETOR"), ("16", "PRESIDENTE")]
+# Suppliers' company keys start here; their activity code takes one of the customers' segment letters.
+SUPPLIER_BASE = 100_000_000
+SEGMENTS = "ABFHM"
 
 
 _SCANS: dict[tuple[str, str], DataFrame] = {}
@@ -45,6 +48,11 @@ def company_id(x: Column) -> Column:
     return F.concat(root_id(x), F.when(x % 2 == 0, F.lit("0001")).otherwise(F.lit("0002")), F.lit("00"))
 
 
+def supplier_key(x: Column) -> Column:
+    """Company key of a supplier."""
+    return F.lit(SUPPLIER_BASE).cast("bigint") + x
+
+
 def _codes(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, S.CODE_SCHEMA)
 
@@ -58,14 +66,25 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     supplier = _read(spark, sf_dir, "supplier")
     nation = _read(spark, sf_dir, "nation")
 
-    # Secondary activity list per customer: distinct sorted brands bought at a
-    # high discount.
-    sec = (orders.join(lineitem.where(F.col("l_discount") >= 0.09), F.col("o_orderkey") == F.col("l_orderkey"))
-           .join(part, F.col("l_partkey") == F.col("p_partkey"))
-           .groupBy(F.col("o_custkey").alias("ck"))
+    # Companies: every customer, and every supplier in an id range of its own. Secondary
+    # activities: all brands a customer bought, all brands a supplier sold.
+    brands = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    bought = (orders.join(brands, F.col("o_orderkey") == F.col("l_orderkey"))
+              .select(F.col("o_custkey").alias("ck"), "p_brand"))
+    sold = brands.select(supplier_key(F.col("l_suppkey")).alias("ck"), "p_brand")
+    sec = (bought.unionByName(sold).groupBy("ck")
            .agg(F.array_join(F.array_sort(F.collect_set("p_brand")), ",").alias("lst")))
-
-    k = F.col("c_custkey")
+    s = F.col("s_suppkey")
+    company = (customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"),
+                               F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance"),
+                               F.substring("c_mktsegment", 1, 1).alias("segment"))
+               .unionByName(supplier.select(supplier_key(s).alias("k"), F.col("s_name").alias("name"),
+                                            F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance"),
+                                            F.substring(F.lit(SEGMENTS), (1 + s % 5).cast("int"), F.lit(1))
+                                            .alias("segment"))))
+
+    k = F.col("k")
+    nation_key = F.col("nation")
     blank = F.lit("")
     even = k % 2 == 0
     estab_cols = {
@@ -73,33 +92,33 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "cnpj_ordem": F.when(even, F.lit("0001")).otherwise(F.lit("0002")),
         "cnpj_dv": F.lit("00"),
         "matriz_filial": F.when(even, F.lit("1")).otherwise(F.lit("2")),
-        "nome_fantasia": F.col("c_name"),
-        "situacao_cadastral": F.when(F.col("c_acctbal") > 0, F.lit("02")).otherwise(F.lit("08")),
+        "nome_fantasia": F.col("name"),
+        "situacao_cadastral": F.when(F.col("balance") > 0, F.lit("02")).otherwise(F.lit("08")),
         "motivo_situacao_cadastral": F.lit("00"),
         "pais": blank,
-        "cnae_fiscal": F.concat(F.lpad((1 + 4 * F.col("c_nationkey")).cast("string"), 2, "0"),
-                                F.lit("0000"), F.substring("c_mktsegment", 1, 1)),
+        "cnae_fiscal": F.concat(F.lpad((1 + 4 * nation_key).cast("string"), 2, "0"), F.lit("0000"), F.col("segment")),
         "cnae_fiscal_secundaria": F.coalesce(F.col("lst"), blank),
-        "municipio": F.lpad(F.col("c_nationkey").cast("string"), 4, "0"),
-        "uf": F.concat(F.lit("U"), (F.col("c_nationkey") % 5).cast("string")),
+        "municipio": F.lpad(nation_key.cast("string"), 4, "0"),
+        "uf": F.concat(F.lit("U"), (nation_key % 5).cast("string")),
         "cep": (70000000 + (k % 40) * 100000).cast("string"),
     }
-    estabelecimento = (customer.join(sec, k == F.col("ck"), "left")
+    estabelecimento = (company.join(sec, k == F.col("ck"), "left")
                        .select(*[estab_cols.get(c, blank).alias(c) for c in S.ESTABELECIMENTO_COLUMNS]))
 
     emp_cols = {
         "cnpj_basico": root_id(k),
-        "razao_social": F.upper("c_name"),
-        "natureza_juridica": (F.when(F.col("c_nationkey") % 3 == 0, F.lit("2062"))
-                              .when(F.col("c_nationkey") % 3 == 1, F.lit("2143"))
+        "razao_social": F.upper("name"),
+        "natureza_juridica": (F.when(nation_key % 3 == 0, F.lit("2062"))
+                              .when(nation_key % 3 == 1, F.lit("2143"))
                               .otherwise(F.lit("2330"))),
-        "qualificacao_responsavel": F.lpad(F.col("c_nationkey").cast("string"), 2, "0"),
-        "capital_social_str": F.replace(F.col("c_acctbal").cast("decimal(18,2)").cast("string"),
+        "qualificacao_responsavel": F.lpad(nation_key.cast("string"), 2, "0"),
+        "capital_social_str": F.replace(F.col("balance").cast("decimal(18,2)").cast("string"),
                                         F.lit("."), F.lit(",")),
         "porte_empresa": (F.when(k % 8 == 0, F.lit("01")).when(k % 8 == 2, F.lit("03"))
                           .when(k % 8 == 4, F.lit("05")).otherwise(blank)),
     }
-    empresas = (customer.where(even & (k % 14 != 0))
+    # a company row belongs to a head office; some root ids have none (join misses)
+    empresas = (company.where(even & (k % 14 != 0))
                 .select(*[emp_cols.get(c, blank).alias(c) for c in S.EMPRESAS_COLUMNS]))
 
     simples_cols = {
@@ -107,10 +126,9 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "opcao_simples": F.when(k % 4 == 0, F.lit("S")).otherwise(F.lit("N")),
         "opcao_mei": F.when(k % 10 == 0, F.lit("S")).otherwise(F.lit("N")),
     }
-    simples = (customer.where(even & (k % 22 != 0))
+    simples = (company.where(even & (k % 22 != 0))
                .select(*[simples_cols.get(c, blank).alias(c) for c in S.SIMPLES_COLUMNS]))
 
-    s = F.col("s_suppkey")
     socio_cols = {
         "cnpj_basico": F.lpad(s.cast("string"), 8, "0"),
         "nome_socio": F.col("s_name"),
@@ -163,8 +181,7 @@ def derived_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     customer = _read(spark, sf_dir, "customer")
     events = _read(spark, sf_dir, "events")
     ok = F.col("o_custkey")
-    vendas = (orders.where((ok % 20 == 0) & (F.col("o_orderstatus") == "F"))
-              .join(lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
+    vendas = (orders.join(lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
               .join(part, F.col("l_partkey") == F.col("p_partkey"))
               .join(customer, ok == F.col("c_custkey"))
               .select(F.col("l_partkey").cast("string").alias("it-codigo"),
@@ -173,9 +190,11 @@ def derived_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
                       company_id(ok).alias("cnpj"),
                       F.col("c_name").alias("cliente"),
                       F.col("l_extendedprice").cast("decimal(18,2)").alias("valor")))
+    # even users stand for customers, odd ones for suppliers, so that prospects have leads too
     uid = F.col("user_id")
+    lead_key = F.when(uid % 2 == 0, uid).otherwise(supplier_key(((uid - 1) / 2).cast("bigint")))
     leads = (events.where(F.col("event_type") == "signup")
-             .select(company_id(uid).alias("cnpj"),
+             .select(company_id(lead_key).alias("cnpj"),
                      F.col("ts").cast("date").cast("string").alias("data")))
     return Inputs(vendas=vendas, leads=leads)
 

@@ -43,6 +43,6 @@ def test_full_id_null_propagates(spark):
 def test_dim_municipality_grain_and_fact_size(spark):
     m = model(spark, SF)
     dim = m.dim_municipio
-    assert dim.count() == 127 and dim.select("municipio").distinct().count() == 24
-    assert m.fact.count() == m.targets.count() == 11
+    assert dim.count() == 135 and dim.select("municipio").distinct().count() == 24
+    assert m.fact.count() == m.targets.count() == 146
     assert m.fact.where(F.col("atual_cliente") == 1).where(F.col("cnpj_mais_similar").isNotNull()).count() == 0

@@ -23,7 +23,7 @@ def test_load_and_run_matches_queries(spark, tmp, zipped):
     _export_registry(spark, src, zipped)
     medallion.load_registry(spark, src, tables_dir, zipped=zipped)
     meta = {r.referencia: r.valor for r in spark.read.parquet(f"{tables_dir}/_referencia").collect()}
-    assert meta == {"CNPJ": "10/06/2023", "cnpj_qtde": "150"}
+    assert meta == {"CNPJ": "10/06/2023", "cnpj_qtde": "160"}
 
     inp = fixtures.inputs(spark, SF)
     sales = registry.read_sales_csv(spark, export.write_header_csv(inp.vendas, os.path.join(tmp, "vendas")))

@@ -9,7 +9,7 @@ def test_entry_smoke(spark):
     from __spark_entry__ import entry
     df = entry(spark)
     rows = df.collect()
-    assert len(rows) == 11
+    assert len(rows) == 146
     assert df.columns[-2:] == ["cnpj_mais_similar", "similaridade"]
 
 

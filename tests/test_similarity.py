@@ -1,7 +1,5 @@
 import random
 
-import pytest
-
 from marketscope.operators import similarity
 
 
@@ -24,29 +22,48 @@ def brute_force(codes, clients, prospects):
     return out
 
 
-def run(spark, codes, clients, prospects, blocks, hot=(), collapse=False):
-    """``blocks=None``: sizing from statistics; else a forced plan with the
-    given blocks and hot codes (any hot set is exact)."""
-    cdf = spark.createDataFrame(codes, "cnpj string, code string")
-    kdf = spark.createDataFrame([(c,) for c in clients], "cnpj string")
-    pdf = spark.createDataFrame([(p,) for p in prospects], "cnpj string")
-    plan = None if blocks is None else similarity.JoinPlan(blocks, 3, 0, 0, list(hot), collapse)
-    res = similarity.most_similar(cdf, kdf, pdf, plan=plan).collect()
+def frames(spark, codes, clients, prospects):
+    return (spark.createDataFrame(codes, "cnpj string, code string"),
+            spark.createDataFrame([(c,) for c in clients], "cnpj string"),
+            spark.createDataFrame([(p,) for p in prospects], "cnpj string"))
+
+
+def run(spark, codes, clients, prospects):
+    res = similarity.most_similar(*frames(spark, codes, clients, prospects)).collect()
+    assert len(res) == len({r.cnpj for r in res}) == len(set(prospects))
     return {r.cnpj: (r.cnpj_mais_similar, r.similaridade) for r in res}
 
 
+def random_market(seed):
+    """One random market; its companies and codes carry the seed, so markets never meet."""
+    rnd = random.Random(seed)
+    universe = [f"s{seed}c{i}" for i in range(rnd.choice([1, 3, 6, 12, 30]))]
+    clients = [f"s{seed}r{i:02d}" for i in range(rnd.randint(0, 14))]
+    prospects = [f"s{seed}p{i:02d}" for i in range(rnd.randint(1, 20))]
+    widest = rnd.choice([1, 4, 30])
+    codes = []
+    for comp in clients + prospects:
+        for code in rnd.sample(universe, rnd.randint(0, min(widest, len(universe)))):
+            codes += [(comp, code)] * rnd.choice([1, 1, 2])
+        if rnd.random() < 0.3:                       # a code that many companies share
+            codes.append((comp, universe[0]))
+    return codes, clients, prospects
+
+
 def test_edge_cases(spark):
     codes = [("p1", "a"), ("p1", "b"), ("r2", "a"), ("r1", "a"),      # tie r1/r2 -> r1
              ("p2", "z"),                                              # no overlap
-             ("p3", "c"), ("r3", "c"), ("r3", "d")]                    # 1/2
-    got = run(spark, codes, ["r1", "r2", "r3"], ["p1", "p2", "p3", "p4"], None)
-    assert got == {"p1": ("r1", 1.0), "p2": (None, 0.0), "p3": ("r3", 0.5), "p4": (None, 0.0)}
-    got = run(spark, codes, ["r1", "r2", "r3"], ["p1", "p2", "p3", "p4"], 2)
-    assert got == {"p1": ("r1", 1.0), "p2": (None, 0.0), "p3": ("r3", 0.5), "p4": (None, 0.0)}
-    got = run(spark, codes, ["r1", "r2", "r3"], ["p1", "p2", "p3", "p4"], 1, hot=["a", "c"])
+             ("p3", "c"), ("r3", "c"), ("r3", "d"),                    # 1/2
+             ("r4", None)]
+    got = run(spark, codes, ["r1", "r2", "r3", "r4"], ["p1", "p2", "p3", "p4"])
     assert got == {"p1": ("r1", 1.0), "p2": (None, 0.0), "p3": ("r3", 0.5), "p4": (None, 0.0)}
 
 
+def test_no_customers_or_no_codes(spark):
+    assert run(spark, [("p", "a")], [], ["p"]) == {"p": (None, 0.0)}
+    assert run(spark, [], ["r"], ["p"]) == {"p": (None, 0.0)}
+
+
 def test_secondary_equal_to_primary_counted_once(spark):
     fact = spark.createDataFrame([("p", "a", 0), ("r", "a", 1)], "cnpj string, cnae_fiscal string, atual_cliente int")
     sec = spark.createDataFrame([("p", "a"), ("r", "a"), ("r", "b")], "cnpj string, cnae_fiscal_secundaria string")
@@ -56,24 +73,13 @@ def test_secondary_equal_to_primary_counted_once(spark):
     assert (res.cnpj_mais_similar, res.similaridade) == ("r", 0.5)
 
 
-@pytest.mark.parametrize("blocks,n_hot,collapse", [(None, 0, False), (3, 0, False), (1, 2, False),
-                                                   (2, 3, True), (1, 0, True)])
-def test_matches_brute_force(spark, blocks, n_hot, collapse):
-    for seed in range(8):
-        rnd = random.Random(seed)
-        universe = [f"c{i}" for i in range(rnd.choice([3, 6, 12]))]
-        clients = [f"r{i:02d}" for i in range(rnd.randint(1, 12))]
-        prospects = [f"p{i:02d}" for i in range(rnd.randint(1, 25))]
-        codes = []
-        for comp in clients + prospects:
-            for code in rnd.sample(universe, rnd.randint(0, min(4, len(universe)))):
-                codes.append((comp, code))
-        freq = {}
-        for _, code in codes:
-            freq[code] = freq.get(code, 0) + 1
-        hot = sorted(freq, key=lambda c: (-freq[c], c))[:n_hot]
-        got = run(spark, codes, clients, prospects, blocks, hot, collapse)
-        assert got == brute_force(codes, clients, prospects), (seed, hot)
+def test_matches_brute_force_on_100_markets(spark):
+    codes, clients, prospects, want = [], [], [], {}
+    for seed in range(100):
+        c, r, p = random_market(seed)
+        want |= brute_force(c, r, p)
+        codes, clients, prospects = codes + c, clients + r, prospects + p
+    assert run(spark, codes, clients, prospects) == want
 
 
 def test_independent_of_shuffle_partitions(spark):
@@ -81,51 +87,16 @@ def test_independent_of_shuffle_partitions(spark):
     clients = [f"r{i}" for i in range(10)]
     prospects = [f"p{i}" for i in range(40)]
     codes = [(c, f"k{rnd.randint(0, 5)}") for c in clients + prospects for _ in range(3)]
-    base = run(spark, codes, clients, prospects, 2)
+    base = run(spark, codes, clients, prospects)
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")
-        assert run(spark, list(reversed(codes)), clients, prospects, None) == base
+        assert run(spark, list(reversed(codes)), clients, prospects) == base
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_plan_join_sizes(spark):
-    rows = [(f"r{i}", f"k{i % 3}", 1) for i in range(30)] + [(f"p{i}", f"k{i % 3}", 0) for i in range(12)]
-    rows += [(f"r{i}", "hot", 1) for i in range(30)] + [(f"p{i}", "hot", 0) for i in range(12)]
-    tagged = spark.createDataFrame(rows, "cnpj string, code string, is_client int")
-    plan = similarity.plan_join(tagged, block_rows=8, pairs_per_task=10, max_hot=0, collapse_ratio=-1)
-    assert plan.pairs == 12 * 10 + 12 * 30 and plan.hot == []
-    assert plan.blocks >= 8 and plan.partitions >= 48
-    plan = similarity.plan_join(tagged, block_rows=8, pairs_per_task=10, max_hot=1, hot_min_pairs=1,
-                                collapse_ratio=-1)
-    assert plan.hot == ["hot"] and plan.pairs == 12 * 10 and plan.all_pairs == 12 * 40
-
-
-def test_plan_has_no_cartesian_or_python(spark):
-    cdf = spark.createDataFrame([("p", "a"), ("r", "a")], "cnpj string, code string")
-    k = spark.createDataFrame([("r",)], "cnpj string")
-    p = spark.createDataFrame([("p",)], "cnpj string")
-    for forced in (None, similarity.JoinPlan(2, 2, 0, 0, ["a"])):
-        plan = similarity.most_similar(cdf, k, p, plan=forced)._jdf.queryExecution().executedPlan().toString()
-        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
-            assert bad not in plan
-
-
-def test_plan_join_collapse_detection(spark):
-    rows = [(f"p{i}", "a", 0) for i in range(40)] + [(f"r{i}", "a", 1) for i in range(3)]
-    tagged = spark.createDataFrame(rows, "cnpj string, code string, is_client int")
-    plan = similarity.plan_join(tagged, collapse_min_pairs=0)
-    assert plan.collapse and plan.pairs <= 3 * 2    # one code set scored once
-    rows = [(f"p{i}", f"c{i}", 0) for i in range(40)] + [(f"r{i}", "c1", 1) for i in range(3)]
-    tagged = spark.createDataFrame(rows, "cnpj string, code string, is_client int")
-    assert not similarity.plan_join(tagged, collapse_min_pairs=0).collapse
-
-
-def test_skewed_input_with_automatic_plan(spark):
-    """One code held by every company and one code set shared by most
-    prospects: the automatic plan makes the code hot and collapses the sets,
-    and the result still equals the brute force."""
+def test_code_and_set_shared_by_most_companies(spark):
     rnd = random.Random(11)
     clients = [f"r{i:03d}" for i in range(40)]
     prospects = [f"p{i:03d}" for i in range(300)]
@@ -137,32 +108,28 @@ def test_skewed_input_with_automatic_plan(spark):
             codes.append((p, "k1"))
         else:
             codes += [(p, f"k{j}") for j in rnd.sample(range(8), rnd.randint(0, 3))]
-    cdf = spark.createDataFrame(codes, "cnpj string, code string")
-    kdf = spark.createDataFrame([(c,) for c in clients], "cnpj string")
-    pdf = spark.createDataFrame([(p,) for p in prospects], "cnpj string")
-    tagged = similarity._tagged(cdf, kdf, pdf)
-    plan = similarity.plan_join(tagged, hot_min_pairs=0, hot_share=0.2, collapse_min_pairs=0)
-    assert plan.hot == ["hot"] and plan.collapse
-    got = {r.cnpj: (r.cnpj_mais_similar, r.similaridade)
-           for r in similarity.most_similar(cdf, kdf, pdf, plan=plan).collect()}
-    assert got == brute_force(codes, clients, prospects)
-
-
-def test_string_key_fallback_matches(spark):
-    """The string-key path (used when customer hashes collide) gives the same result."""
-    rnd = random.Random(5)
-    clients = [f"r{i:02d}" for i in range(12)]
-    prospects = [f"p{i:02d}" for i in range(30)]
-    codes = [(c, f"k{j}") for c in clients + prospects for j in rnd.sample(range(6), rnd.randint(1, 3))]
-    cdf = spark.createDataFrame(codes, "cnpj string, code string")
-    kdf = spark.createDataFrame([(c,) for c in clients], "cnpj string")
-    pdf = spark.createDataFrame([(p,) for p in prospects], "cnpj string")
-    plan = similarity.JoinPlan(2, 3, 0, 0, [])
-    sides = similarity._sides(cdf, kdf, pdf, plan, 0, distinct_clients=True)
-    assert sides.hash_keys
-    from dataclasses import replace
-    for s in (sides, replace(sides, hash_keys=False)):
-        pairs = similarity._block_pairs(s, 0).unionByName(similarity._block_pairs(s, 1))
-        got = {r.cnpj: (r.cliente, r.similaridade) for r in similarity._best(pairs).collect()}
-        want = {p: v for p, v in brute_force(codes, clients, prospects).items() if v[0] is not None}
-        assert got == want
+    assert run(spark, codes, clients, prospects) == brute_force(codes, clients, prospects)
+
+
+def test_bound_forms_few_pairs(spark):
+    """Every prospect holds the frequent codes and one rare code: only customers of that code stay candidates."""
+    frequent = [f"k{j}" for j in range(10)]
+    clients, prospects = [f"r{i:03d}" for i in range(100)], [f"p{i:03d}" for i in range(50)]
+    codes = [(c, f"rare{i % 50}") for i, c in enumerate(clients)] + [(p, f"rare{i}") for i, p in enumerate(prospects)]
+    codes += [(c, k) for i, c in enumerate(clients) for k in frequent[i % 7:]] + [(p, k) for p in prospects for k in frequent]
+    p, c = similarity._sides(similarity._code_sets(*frames(spark, codes, clients, prospects)))
+    assert similarity.candidates(p, similarity.client_index(c, p)).count() <= 2 * len(prospects)
+    assert run(spark, codes, clients, prospects) == brute_force(codes, clients, prospects)
+
+
+def test_pairs_of_representatives(spark):
+    codes = [("p1", "a"), ("p2", "a"), ("p2", "a"), ("r1", "a"), ("r1", "b"), ("r2", "b"), ("r2", "a"), ("r3", "z")]
+    got = similarity.similarity_pairs(*frames(spark, codes, ["r1", "r2", "r3"], ["p1", "p2"])).collect()
+    assert [tuple(r) for r in got] == [("p1", "r1", 1, 2, 0.5)]
+
+
+def test_plan_has_no_cartesian_or_python(spark):
+    plan = similarity.most_similar(*frames(spark, [("p", "a"), ("r", "a")], ["r"], ["p"]))
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan
