@@ -66,11 +66,15 @@ def potential_revenue_by_region(star: DataFrame, top: DataFrame) -> DataFrame:
     # depend on the order in which partitions are added up.
     cents = F.col("valor").cast("decimal(28,2)")
     value = top.groupBy(F.col("cnpj").alias("cnpj_mais_similar")).agg(F.sum(cents).alias("valor_cliente"))
-    prospects = star.where((F.col("atual_cliente") == 0) & F.col("cnpj_mais_similar").isNotNull())
-    return (prospects.join(value, "cnpj_mais_similar", "left")
+    # One customer may be the most similar of a third of all prospects: they are
+    # counted per state and customer before the join.
+    counted = (star.where((F.col("atual_cliente") == 0) & F.col("cnpj_mais_similar").isNotNull())
+               .groupBy("uf", "cnpj_mais_similar").agg(F.count(F.lit(1)).alias("n")))
+    revenue = F.col("valor_cliente") * F.col("n").cast("decimal(18,0)")
+    return (counted.join(value, "cnpj_mais_similar", "left")
             .groupBy("uf")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("prospects"),
-                 F.coalesce(F.sum("valor_cliente"), F.lit(0)).cast("double").alias("receita_potencial")))
+            .agg(F.sum("n").cast("bigint").alias("prospects"),
+                 F.coalesce(F.sum(revenue), F.lit(0)).cast("double").alias("receita_potencial")))
 
 
 def market_rollup(star: DataFrame) -> DataFrame:

@@ -128,10 +128,9 @@ def run(spark: SparkSession, tables_dir: str, sales: DataFrame, leads: DataFrame
 
     t0 = time.time()
     # secondary codes come from the table the loader wrote, when present
-    try:
-        m.__dict__["secondary"] = spark.read.parquet(f"{tables_dir.rstrip('/')}/cnae_secundaria")
-    except Exception:
-        pass
+    secondary = tables.if_present(lambda: spark.read.parquet(f"{tables_dir.rstrip('/')}/cnae_secundaria"))
+    if secondary is not None:
+        m.__dict__["secondary"] = secondary
     # intermediate: the shared checkpoint folder, not the output
     m.__dict__["fact_base_table"] = _write(m.fact_base, shared_dir(spark, "fato_base"))
     times["gold_fact_base"] = time.time() - t0

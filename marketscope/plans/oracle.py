@@ -15,6 +15,7 @@ import re
 from marketscope.functions.sections import REGIME_ROWS, SECTIONS, SIZE_ROWS
 from marketscope.sources import fixtures as FX
 from marketscope.sources import schemas as S
+from marketscope.sources.manifest import ARCHIVE_FAMILIES
 
 
 def K(x: str) -> str:
@@ -359,6 +360,11 @@ QUERY_SQL.update({
     "s6_table_scan": "SELECT * FROM ativos",
     "s7_parquet_roundtrip": "SELECT * FROM fato_empresas",
     "s9_table_append": "SELECT * FROM estabelecimento",
+    "s9_table_replace": "SELECT * FROM estabelecimento WHERE matriz_filial <> '1'",
+    "s14_archive_manifest": f"""SELECT familia, CAST(esperados AS BIGINT) AS esperados,
+    CAST(CASE WHEN familia IN ('Empresas', 'Socios') THEN esperados ELSE 0 END AS BIGINT) AS encontrados,
+    familia IN ('Empresas', 'Socios') AS completo
+    FROM ({_values(ARCHIVE_FAMILIES, ['familia', 'esperados'])}) f""",
     "s12_snapshot_date": "SELECT '10/06/2023' AS snapshot_date, CAST(count(*) AS BIGINT) AS linhas FROM empresas_raw",
     "s13_snapshot_metadata": """SELECT 'CNPJ' AS referencia, '10/06/2023' AS valor
     UNION ALL SELECT 'cnpj_qtde' AS referencia, CAST(count(*) AS VARCHAR) AS valor FROM estabelecimento""",

@@ -18,7 +18,7 @@ from marketscope.functions import (
 from marketscope.operators import dims, enrich, kpis, lookups, market, recommend, similarity
 from marketscope.plans.model import MarketModel
 from marketscope.session import shared_dir
-from marketscope.sources import export, fixtures, registry, tables, zipsource
+from marketscope.sources import export, fixtures, manifest, registry, tables, zipsource
 from marketscope.sources import schemas as S
 from marketscope.streaming import ingest
 
@@ -338,6 +338,27 @@ def s9_table_append(spark, sf_dir):
     return tables.append_all(spark, [heads, branches], shared_dir(spark, "estabelecimento_append"))
 
 
+@query
+def s9_table_replace(spark, sf_dir):
+    """A table written once is replaced by the next write (no row of the first one stays)."""
+    e = fixtures.registry(spark, sf_dir).estabelecimento
+    path = shared_dir(spark, "estabelecimento_replace")
+    for chunk in (e.where(F.col("matriz_filial") == "1"), e.where(F.col("matriz_filial") != "1")):
+        tables.write_table(chunk, path)
+    return tables.read_table(spark, path)
+
+
+@query
+def s14_archive_manifest(spark, sf_dir):
+    """Two complete families of archives (ten parts each, as a snapshot has) in one folder; the others are missing."""
+    raw = fixtures.raw_tables(spark, sf_dir)
+    path = shared_dir(spark, "archives")
+    for table, family in (("empresas", "Empresas"), ("socios_original", "Socios")):
+        export.write_registry_files(raw[table].repartition(dict(manifest.ARCHIVE_FAMILIES)[family]), path,
+                                    S.REGISTRY_SUFFIX[table], archive=family)
+    return manifest.load_manifest(spark, path).drop("bytes")
+
+
 @query
 def s12_snapshot_date(spark, sf_dir):
     path = _exported(spark, sf_dir, "empresas")

@@ -34,7 +34,7 @@ def _csv_bytes(pdf: pd.DataFrame, header: bool, sep: str, encoding: str) -> byte
     buf = io.StringIO()
     pdf.to_csv(buf, sep=sep, header=header, index=False, quoting=csv.QUOTE_ALL if not header else csv.QUOTE_MINIMAL,
                lineterminator="\n")
-    return buf.getvalue().encode(encoding, errors="replace")
+    return buf.getvalue().encode(encoding)
 
 
 def write_registry_files(df: DataFrame, path: str, suffix: str, snapshot: str = SNAPSHOT,

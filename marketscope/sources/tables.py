@@ -8,7 +8,9 @@ reads few files and Parquet min/max statistics skip the other row groups.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -38,6 +40,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The table ``read`` opens, or None where its path does not exist; other errors are raised."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def create_empty_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """An empty table with a fixed schema."""
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
@@ -107,10 +119,9 @@ def write_layout(spark: SparkSession, root: str, buckets: int) -> None:
 
 
 def read_layout(spark: SparkSession, root: str) -> dict[str, tuple[str, int]]:
-    try:
-        rows = spark.read.schema("tabela string, chave string, buckets int").json(f"{root.rstrip('/')}/_layout").collect()
-    except Exception:   # no layout: plain tables
-        return {}
+    schema = "tabela string, chave string, buckets int"
+    layout = if_present(lambda: spark.read.schema(schema).json(f"{root.rstrip('/')}/_layout"))
+    rows = layout.collect() if layout is not None else []   # no layout: plain tables
     return {r.tabela: (r.chave, r.buckets) for r in rows}
 
 

@@ -21,7 +21,8 @@ def test_every_query_has_an_oracle():
 FAST = ["p1_active_establishments", "j4_client_codes", "j5_target_market", "w1_top5_products",
         "m1_most_similar", "m2_fact_companies", "d2_dim_municipality", "q3_legal_nature",
         "b2_kpis_overall", "b6_market_rollup", "s13_snapshot_metadata", "s3_zip_scan", "q1_company_profile", "q2_city_postal_lookup",
-        "s4_sales_csv", "s5_leads_csv", "s16_stream_ingest", "b3_coverage_by_activity"]
+        "b5_potential_revenue_by_region", "b7_products_for_prospects", "s9_table_replace", "s14_archive_manifest",
+        "m0_similarity_pairs", "s4_sales_csv", "s5_leads_csv", "s16_stream_ingest", "b3_coverage_by_activity"]
 
 
 @pytest.mark.parametrize("name", FAST)
