@@ -21,7 +21,6 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marketscope.operators import similarity
 from marketscope.plans.model import MarketModel
@@ -36,21 +35,20 @@ CODE_TABLES = ("cnae", "motivo", "municipio", "natureza_juridica", "pais", "qual
 
 
 def _read_raw(spark: SparkSession, source: str, zipped: bool, partitions: int | None):
-    raw, dated = {}, None
+    raw = {}
     for name in BIG_TABLES:
         if zipped:
-            schema = S.REGISTRY_SCHEMAS[name]
-            if name == "empresas":   # a new schema: StructType.add mutates in place
-                schema = T.StructType(schema.fields + [T.StructField("arquivo", T.StringType(), True)])
-            df = zipsource.read_registry_zip(spark, source, schema, S.REGISTRY_SUFFIX[name], partitions)
-            if name == "empresas":
-                dated = df.select(R.snapshot_date(F.col("arquivo")).alias("snapshot_date"))
-                df = df.drop("arquivo")
+            raw[name] = zipsource.read_registry_zip(spark, source, S.REGISTRY_SCHEMAS[name], S.REGISTRY_SUFFIX[name], partitions)
         else:
-            df = R.read_registry_csv(spark, source, name, partitions=partitions)
-            if name == "empresas":
-                dated = R.with_snapshot_date(df).select("snapshot_date")
-        raw[name] = df
+            raw[name] = R.read_registry_csv(spark, source, name, partitions=partitions)
+    # the snapshot date is in the file names: listed, not read
+    suffix = S.REGISTRY_SUFFIX["empresas"]
+    if zipped:
+        names = spark.createDataFrame([(m.member,) for m in zipsource.list_members(source, suffix)], "arquivo string")
+    else:
+        names = (spark.read.format("binaryFile").option("pathGlobFilter", "*" + suffix).load(source)
+                 .select(F.element_at(F.split("path", "/"), -1).alias("arquivo")))
+    dated = names.select(R.snapshot_date(F.col("arquivo")).alias("snapshot_date"))
     for name in CODE_TABLES:
         if zipped:
             df = zipsource.read_registry_zip(spark, source, S.CODE_SCHEMA, S.REGISTRY_SUFFIX[name])

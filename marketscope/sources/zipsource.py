@@ -1,42 +1,44 @@
-"""S3: read the CSV members of the registry's zip archives, without unpacking.
-
-A Python data source: the driver lists the archives and their members (zip
-central directories only, no data), one input partition per member; each
-task streams its member through ``zipfile`` in bounded pandas chunks and
-yields Arrow record batches. A member is one compressed stream and so one
-task, like a multiLine CSV file: repartition after reading.
-
-    spark.dataSource.register(RegistryZipDataSource)
-    df = (spark.read.format("registry_zip").schema(schema)
-          .option("path", folder).option("suffix", ".EMPRECSV").load())
-
-Options: ``path`` (folder of ``*.zip``; local, ``hdfs://``, ``s3://`` via pyarrow.fs), ``suffix`` (member-name suffix;
-``*`` allowed), ``encoding`` (default ISO-8859-1), ``sep`` (default ``;``),
-``chunkRows`` (default 100000). Missing values are read as '' (the registry
-convention); a schema field named ``arquivo`` receives the member name.
+"""S3: read the CSV members of the registry's zip archives.
+
+The driver lists the archives' members (zip central directories only). Tasks
+then only inflate: each streams members into text parts of about ``part_bytes``
+in the shared checkpoint folder, cut at line ends outside quotes. The S1 dialect
+reader parses the parts, so one member becomes many scan tasks.
+
+A part's name depends on its archive, member and number only, and a temporary
+file is renamed into place: a retried task rewrites the same parts.
+
+    df = read_registry_zip(spark, folder, schema, ".EMPRECSV")
+
+Missing values are read as '' (the registry convention); a schema field named
+``arquivo`` receives the member name. No matching member: an empty table. Quotes
+that do not pair up give larger parts.
 """
 
 from __future__ import annotations
 
 import fnmatch
 import zipfile
-from dataclasses import dataclass
+from collections.abc import Iterator
+from typing import NamedTuple
+from urllib.parse import quote
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from marketscope.session import shared_dir, ship_package
 from marketscope.sources import files
+from marketscope.sources.registry import registry_csv_options
 
+MEMBER = "arquivo"
+PART_BYTES = 64 << 20
+BLOCK_BYTES = 1 << 20
 
-@dataclass
-class ZipMember(InputPartition):
+
+class ZipMember(NamedTuple):
     archive: str
     member: str
 
-    def __init__(self, archive: str, member: str):
-        self.archive = archive
-        self.member = member
-
 
 def list_members(path: str, suffix: str) -> list[ZipMember]:
     """Archive members to read: only the zip central directories are read."""
@@ -52,50 +54,86 @@ def list_members(path: str, suffix: str) -> list[ZipMember]:
     return out
 
 
-class RegistryZipReader(DataSourceReader):
-    def __init__(self, schema: StructType, options: dict):
-        self.schema = schema
-        self.options = options
-
-    def partitions(self):
-        return list_members(self.options["path"], self.options.get("suffix", ""))
-
-    def read(self, partition: ZipMember):
-        import pandas as pd
-        import pyarrow as pa
-
-        names = [f.name for f in self.schema.fields]
-        data_cols = [n for n in names if n != "arquivo"]
-        arrow_schema = pa.schema([pa.field(n, pa.string()) for n in names])
-        chunk = int(self.options.get("chunkRows", "100000"))
-        with files.open_input(partition.archive) as raw, zipfile.ZipFile(raw) as z, \
-                z.open(partition.member) as fh:
-            reader = pd.read_csv(
-                fh, sep=self.options.get("sep", ";"), header=None, names=data_cols, dtype=str,
-                encoding=self.options.get("encoding", "ISO-8859-1"), quotechar='"', doublequote=True,
-                keep_default_na=False, na_filter=False, chunksize=chunk)
-            for pdf in reader:
-                if "arquivo" in names:
-                    pdf["arquivo"] = partition.member
-                yield pa.RecordBatch.from_pandas(pdf[names], schema=arrow_schema, preserve_index=False)
-
-
-class RegistryZipDataSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "registry_zip"
-
-    def schema(self):
-        raise ValueError("registry_zip needs an explicit schema (.schema(...))")
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return RegistryZipReader(schema, self.options)
-
-
-def read_registry_zip(spark, path: str, schema: StructType, suffix: str,
-                      partitions: int | None = None):
-    """Read the members ending in ``suffix`` of every archive in ``path``."""
-    spark.dataSource.register(RegistryZipDataSource)
-    df = (spark.read.format("registry_zip").schema(schema)
-          .option("path", path).option("suffix", suffix).load())
+def _record_end(block: bytes, quoted: bool) -> int:
+    """Offset after the last line end of ``block`` outside quotes, 0 if there is none.
+
+    ``quoted`` tells whether the block ends inside a quoted field.
+    """
+    stop = len(block)
+    while (at := block.rfind(b"\n", 0, stop)) >= 0:
+        quoted ^= block.count(b'"', at, stop) % 2 == 1
+        if not quoted:
+            return at + 1
+        stop = at
+    return 0
+
+
+def record_parts(stream, part_bytes: int, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, bytes]]:
+    """(part number, bytes) of a CSV byte stream; a part starts where a record starts."""
+    part, size, quoted = 0, 0, False
+    while block := stream.read(block_bytes):
+        quoted ^= block.count(b'"') % 2 == 1
+        end = _record_end(block, quoted) if size + len(block) >= part_bytes else 0
+        if not end:
+            yield part, block
+            size += len(block)
+            continue
+        yield part, block[:end]
+        part, size = part + 1, len(block) - end
+        if size:
+            yield part, block[end:]
+
+
+def inflate_member(m: ZipMember, folder: str, part_bytes: int, attempt: str) -> int:
+    """Write the parts of one member under ``folder``; returns how many."""
+    target_dir = files.join(folder, f"{MEMBER}={quote(m.member, safe='')}")
+    stem = quote(m.archive.rsplit("/", 1)[-1], safe="")
+    files.make_dirs(target_dir)
+    out, at = None, -1
+
+    def close():
+        if out is not None:
+            out.close()
+            files.move(files.join(target_dir, f"_{stem}-{at:05d}-{attempt}"), files.join(target_dir, f"{stem}-{at:05d}.csv"))
+
+    with files.open_input(m.archive) as raw, zipfile.ZipFile(raw) as z, z.open(m.member) as fh:
+        for part, data in record_parts(fh, part_bytes):
+            if part != at:
+                close()
+                at, out = part, files.open_output(files.join(target_dir, f"_{stem}-{part:05d}-{attempt}"))
+            out.write(data)
+    close()
+    return at + 1
+
+
+def inflate(spark: SparkSession, path: str, suffix: str, part_bytes: int = PART_BYTES) -> str:
+    """Inflate the matching members of every archive in ``path``; returns the folder of text parts."""
+    ship_package(spark)
+    folder = shared_dir(spark, "inflated")
+    files.make_dirs(folder)
+    members = list_members(path, suffix)
+    if members:
+        def write(batches):
+            import pandas as pd
+            from pyspark import TaskContext
+            attempt = str(TaskContext.get().taskAttemptId())
+            for pdf in batches:
+                yield pd.DataFrame({"partes": [inflate_member(ZipMember(*row), folder, part_bytes, attempt)
+                                               for row in pdf.itertuples(index=False, name=None)]})
+
+        spark.createDataFrame(members, "archive string, member string").mapInPandas(write, "partes long").agg({"partes": "sum"}).collect()
+    return folder
+
+
+def read_registry_zip(spark: SparkSession, path: str, schema: T.StructType, suffix: str,
+                      partitions: int | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Read the members ending in ``suffix`` (``*`` allowed) of every archive in ``path``."""
+    folder = inflate(spark, path, suffix, part_bytes)
+    data = [f for f in schema.fields if f.name != MEMBER]
+    # the member's name comes back as the partition column of its folder
+    df = (spark.read.schema(T.StructType([*data, T.StructField(MEMBER, T.StringType(), True)]))
+          .options(**registry_csv_options(True))
+          .csv(folder)
+          .na.fill("")
+          .select(*schema.names))
     return df.repartition(partitions) if partitions else df

@@ -2,6 +2,7 @@ import os
 import zipfile
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketscope.sources import manifest, registry, tables, zipsource
 from marketscope.sources import schemas as S
@@ -47,6 +48,30 @@ def test_export_and_zip_roundtrip(spark, tmp):
     assert [r.capital_social for r in loaded] == [100.5, 0.0]
 
 
+def test_zip_parts_keep_records(spark, tmp):
+    import io
+    records = [f'"{i}";"a ""{i}"" x";"line\n{i};";"";"";"";""\n'.encode("latin-1") for i in range(50)]
+    text = b"".join(records)
+    starts = {sum(map(len, records[:i])) for i in range(51)}
+    for part_bytes, block in [(1, 1), (1, 7), (64, 16), (200, 33), (10**6, 100)]:
+        parts = {}
+        for n, data in zipsource.record_parts(io.BytesIO(text), part_bytes, block):
+            parts[n] = parts.get(n, b"") + data
+        assert b"".join(parts[n] for n in sorted(parts)) == text
+        assert {sum(len(parts[k]) for k in range(n)) for n in parts} <= starts
+        assert part_bytes > 1 or len(parts) > 1
+    with zipfile.ZipFile(os.path.join(tmp, "Empresas0.zip"), "w") as z:
+        z.writestr("K.K03200Y0.D30610.EMPRECSV", text)
+        z.writestr("K.K03200Y1.D30610.EMPRECSV", b"")
+        z.writestr("other.txt", b"ignored")
+    schema = T.StructType([*S.REGISTRY_SCHEMAS["empresas"].fields, T.StructField("arquivo", T.StringType())])
+    back = zipsource.read_registry_zip(spark, tmp, schema, ".EMPRECSV", part_bytes=300)
+    rows = sorted(back.collect(), key=lambda r: int(r[0]))
+    assert [tuple(r)[:4] for r in rows] == [(str(i), f'a "{i}" x', f"line\n{i};", "") for i in range(50)]
+    assert {r.arquivo for r in rows} == {"K.K03200Y0.D30610.EMPRECSV"}
+    assert zipsource.read_registry_zip(spark, tmp, schema, ".NONE").collect() == []
+
+
 def test_snapshot_metadata_default(spark, tmp):
     raw = spark.createDataFrame([("1",) + ("",) * 6], S.REGISTRY_SCHEMAS["empresas"])
     write_registry_files(raw, tmp, ".EMPRECSV", snapshot="XX")
