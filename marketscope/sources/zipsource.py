@@ -11,8 +11,10 @@ file is renamed into place: a retried task rewrites the same parts.
     df = read_registry_zip(spark, folder, schema, ".EMPRECSV")
 
 Missing values are read as '' (the registry convention); a schema field named
-``arquivo`` receives the member name. No matching member: an empty table. Quotes
-that do not pair up give larger parts.
+``arquivo`` receives the member name. No matching member: an empty table. Line ends
+are judged by counting quotes, so every quote must be part of a quoted field (as in
+the registry's files); a stray one in a member of several parts can give a larger
+part, or a part that starts inside a quoted line break.
 """
 
 from __future__ import annotations
