@@ -35,11 +35,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from marketscope.llm.common import ID, ROW, components, id_column, keyed, real_id, written
+from marketscope.llm.common import HASH, ID, ROW, TEXT, components, id_column, keyed, real_id, written
 
 SEED = 42
 BITS = 64
 SEGMENTS = 3
+WIDE = "__ms_wide"
 
 
 def shingle_hashes(text: str, shingle: int) -> list[int]:
@@ -145,12 +146,8 @@ def near_links(fps: DataFrame, max_bits: int, segments: int = SEGMENTS) -> DataF
 
 def near_dedup(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = SEGMENTS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id, component_size: one row per input row."""
-    fingerprint = fingerprint_udf(shingle)
-    prints = written(docs.select(id_column().alias(ID), fingerprint(F.coalesce("text", F.lit(""))).alias("fp")), "simhash")
-    fps = written(prints.groupBy("fp").agg(F.min(ID).alias("first"), F.count("*").alias("n")), "simhash-distinct")
-    roots = components(near_links(fps.select("fp"), max_bits, segments))
-    labelled = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    labelled = written(labelled, "simhash-labels")
+    prints = _prints(docs, [id_column().alias(ID)], shingle)
+    labelled = _labelled(prints, F.col(ID), max_bits, segments)
     totals = labelled.groupBy("root").agg(F.min("first").alias("component"), F.sum("n").alias("size"))
     by_fp = labelled.select("fp", "root").join(totals, "root").drop("root")
     return prints.join(by_fp, "fp").select(
@@ -158,9 +155,28 @@ def near_dedup(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: i
         real_id(F.col("component")).alias("component_id"), F.col("size").alias("component_size"))
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with one row of each component: one of the rows with its smallest id."""
-    kept = (near_dedup(docs, shingle, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(id_column().alias(ID)).distinct())
-    rows = keyed(docs, keep_row=True).select(ID, ROW).join(kept, ID, "left_semi")
-    return rows.dropDuplicates([ID]).select(f"{ROW}.*")
+def _prints(docs: DataFrame, key: list[Column], shingle: int) -> DataFrame:
+    """(key, fp): the fingerprint of every row."""
+    return written(docs.select(*key, fingerprint_udf(shingle)(F.coalesce("text", F.lit(""))).alias("fp")), "simhash")
+
+
+def _labelled(prints: DataFrame, key: Column, max_bits: int, segments: int) -> DataFrame:
+    """(fp, root, first, n): each fingerprint's component root, smallest key and number of rows."""
+    fps = written(prints.groupBy("fp").agg(F.min(key).alias("first"), F.count("*").alias("n")), "simhash-distinct")
+    roots = components(near_links(fps.select("fp"), max_bits, segments))
+    labelled = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return written(labelled, "simhash-labels")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = SEGMENTS) -> DataFrame:
+    """``docs`` with one row of each component: the smallest by id, then by two hashes of the text.
+
+    Components are told apart by their fingerprint root, never by an id: rows of one id
+    (or of none) with different texts may belong to several. The second hash keeps such
+    texts apart where their 32-bit hashes collide, as those of many null ids would.
+    """
+    key, second = [ID, HASH, WIDE], F.xxhash64(F.coalesce("text", F.lit(""))).alias(WIDE)
+    prints = _prints(docs, [id_column().alias(ID), F.hash(F.coalesce("text", F.lit(""))).alias(HASH), second], shingle)
+    first = _labelled(prints, F.struct(*key), max_bits, segments).groupBy("root").agg(F.min("first").alias("first"))
+    rows = keyed(docs, keep_row=True).select(ID, HASH, F.xxhash64(TEXT).alias(WIDE), ROW)
+    return rows.join(first.select("first.*"), key, "left_semi").dropDuplicates(key).select(f"{ROW}.*")

@@ -196,6 +196,21 @@ def test_keep_one_of_each_component(spark, rows):
     assert sorted(order(r.doc_id) for r in kept.collect()) == sorted({order(r.component_id) for r in found})
 
 
+def test_keep_one_keeps_a_row_of_every_root(spark, rows):
+    """One survivor per fingerprint root, also where components share an id or have none."""
+    words = [" ".join(f"w{random.Random(i).randrange(10**6)}x{j}" for j in range(30)) for i in range(6)]
+    more = rows + [(None, w) for w in words[:4]] + [(None, words[0]), (700, words[4]), (700, words[5]), (701, words[4])]
+    fps = [reference_simhash(t, 4) for _, t in more]
+    root = roots(set(fps), lambda a, b: (a ^ b).bit_count() <= 4)
+    smallest = {}
+    for (i, _), f in zip(more, fps):
+        smallest[root[f]] = min(order(i), smallest.get(root[f], order(i)))
+    kept = sim.keep_one(table(spark, more)).collect()
+    assert {(r.doc_id, r.text) for r in kept} <= set(more)
+    got = [(root[reference_simhash(r.text, 4)], order(r.doc_id)) for r in kept]
+    assert sorted(got) == sorted(smallest.items())
+
+
 def brute_lines(spark, rows, min_words):
     hashes = murmur(spark, rows)
     docs = sorted({(order(i), hashes[t or ""], t or "") for i, t in rows})
