@@ -5,13 +5,19 @@ Documents are tokenised (ids of a public tokenizer plus an end id); longer ones
 length are interchangeable, so the plan is made on the histogram of lengths (at most
 ``capacity`` rows, whatever the input), as a list of (filling, how many sequences).
 
-Plan (bin completion, branch and bound): the largest open length starts a sequence;
-its undominated fillings, which no exchange of their lengths for a larger open one
-improves, are searched depth first in descending length. A branch is left when the
-waste it must keep exceeds that of the incumbent, which starts as the best-fit
-filling; a filling without waste ends the search. The filling is used as often as
-the histogram allows, then the next largest length is completed. Waste left in
-sequences is bounded below by the total over capacity, see ``lower_bound``.
+Plan (bin completion, branch and bound): the largest open length starts a sequence,
+a filling completes it and is used a number of times, and so on for what is left. The
+incumbent is a best-fit decreasing packing of the whole histogram. A branch is
+left when its waste exceeds what a packing with one sequence less could hold, when its
+sequences and the pieces over half the capacity reach the incumbent, or when the same
+pieces were open before with as few sequences; ``lower_bound`` ends the search. The first dive
+takes the least-waste filling of every sequence (SEARCH_NODES nodes each; without a
+proof of least waste beyond), as often as the histogram allows; later dives depart from earlier
+ones by one other filling or number of times, those near the start first. Branches are all
+fillings beside which no open piece fits (the first SEARCH_NODES nodes of them).
+After PLAN_NODES nodes (a length looked at in a sequence, or a step of the search for
+fillings) the incumbent stands, and may then have more sequences than needed; without
+either limit met the plan is a best one.
 
 Assignment: pieces are numbered per length. Tasks number their own pieces while
 tokenising; offsets of (task, length) follow from the counts of the written table, so
@@ -31,7 +37,7 @@ import zlib
 from array import array
 from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -45,6 +51,7 @@ from marketscope.llm.common import written
 CAPACITY = 1024
 END_ID = 2
 SEARCH_NODES = 4_000
+PLAN_NODES = 2_000_000
 CACHE_PIECES = 200_000
 GROUP_CHARS = 2_000_000
 ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
@@ -170,9 +177,36 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """No packing has fewer sequences: total length, or the pieces over half that need one each."""
+    """No packing has fewer sequences: total length, or for each k the pieces over half and those from k on that fit beside none."""
     total = sum(n * c for n, c in counts.items())
-    return max(-(-total // capacity), sum(c for n, c in counts.items() if 2 * n > capacity))
+    best, lengths = -(-total // capacity), sorted(n for n, c in counts.items() if c)
+    large = [n for n in lengths if 2 * n > capacity]
+    over, small = sum(counts[n] for n in large), 0
+    rooms, at = 0, 0                                 # room beside the pieces over half that a piece of length k fits in
+    for k in reversed([0] + [n for n in lengths if 2 * n <= capacity]):
+        small += k * counts[k] if k else 0
+        while at < len(large) and large[at] <= capacity - k:
+            rooms += (capacity - large[at]) * counts[large[at]]
+            at += 1
+        best = max(best, over + max(0, -(-(small - rooms) // capacity)))
+    return best
+
+
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best-fit decreasing packing of the whole histogram, as ``plan`` returns it."""
+    groups: dict[int, list[tuple[dict[int, int], int]]] = defaultdict(list)     # by room left
+    for n in sorted((n for n, c in counts.items() if c), reverse=True):
+        c = counts[n]
+        while c:
+            room = min((r for r in groups if r >= n and groups[r]), default=capacity)
+            k = min(c, room // n)
+            filling, bins = groups[room].pop() if groups[room] else ({}, c // k)
+            m = min(bins, c // k)
+            if bins > m and filling:
+                groups[room].append((filling, bins - m))
+            groups[room - n * k].append((filling | {n: k}, m))
+            c -= m * k
+    return [g for gs in groups.values() for g in gs]
 
 
 def best_fit_filling(room: int, lengths: list[int], counts: dict[int, int]) -> list[tuple[int, int]]:
@@ -225,30 +259,158 @@ def complete(room: int, lengths: list[int], counts: dict[int, int], nodes: int =
     return best
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
-    """(pieces of each length in a sequence, number of such sequences), using up ``counts``."""
-    open_ = {n: c for n, c in counts.items() if c}
-    out = []
-    while open_:
+def fillings(room: int, lengths: list[int], counts: dict[int, int], most: int, nodes: int = SEARCH_NODES) -> tuple[list[tuple], int]:
+    """(fillings of ``room`` that leave at most ``most`` and no open piece fits beside, least waste first; search nodes used)."""
+    out, budget = [], nodes
+
+    def search(left: int, top: int, filled: list[tuple[int, int]], passed: int) -> None:
+        nonlocal budget
+        budget -= 1
+        top = min(top, bisect_right(lengths, left))
+        if left <= most and left < passed:
+            out.append((left, tuple(filled)))
+        for i in range(top - 1, -1, -1):
+            n = lengths[i]
+            if budget <= 0:
+                return
+            fit = min(counts[n], left // n)
+            for k in range(fit, 0, -1):
+                # an open piece left out on the way must not fit in the end
+                search(left - n * k, i, filled + [(n, k)], min(passed, n) if k < counts[n] else passed)
+            passed = min(passed, n)
+
+    search(room, len(lengths), [], room + 1)
+    out.sort(key=lambda f: f[0])
+    return [f for _, f in out], nodes - budget
+
+
+def shares(most: int) -> Iterator[int]:
+    """most, its halves, then every other number of times."""
+    halves, t = [], most
+    while t:
+        halves.append(t)
+        t //= 2
+    yield from halves
+    yield from (t for t in range(most - 1, 0, -1) if t not in halves)
+
+
+class Search:
+    """Branch and bound over the fillings of successive sequences; see the module docstring."""
+
+    def __init__(self, counts: dict[int, int], capacity: int, nodes: int):
+        self.counts, self.capacity, self.nodes = {n: c for n, c in counts.items() if c}, capacity, nodes
+        self.total = sum(n * c for n, c in self.counts.items())
+        self.bound = lower_bound(self.counts, capacity)
+        self.best = best_fit(self.counts, capacity)
+        self.size = sum(t for _, t in self.best)
+        self.seen: dict[tuple, int] = {}
+
+    def slack(self) -> int:
+        """Waste a packing with fewer sequences than the incumbent has at most."""
+        return (self.size - 1) * self.capacity - self.total
+
+    def run(self) -> list[tuple[dict[int, int], int]]:
+        level, first = [None], True
+        while level and self.size > self.bound:
+            following = []
+            for node in level:
+                for step in [None] if first else self.alternatives(node):
+                    self.dive(node, step, following)
+                    if self.size <= self.bound or self.nodes <= 0:
+                        return self.best
+            level, first = following, False
+        return self.best
+
+    def state(self, node: tuple | None) -> tuple[dict[int, int], list, int, int]:
+        """Open pieces, steps, sequences and waste behind a node, which links (node before, filling, times)."""
+        open_, steps, used, waste = dict(self.counts), [], 0, 0
+        while node:
+            node, filling, times = node
+            steps.append((filling, times))
+            waste += self.apply(open_, filling, times)
+            used += times
+        return open_, steps[::-1], used, waste
+
+    def apply(self, open_: dict[int, int], filling: dict[int, int], times: int) -> int:
+        """Take the pieces of ``times`` sequences from the open ones; returns the waste."""
+        for n, k in filling.items():
+            open_[n] -= k * times
+            if not open_[n]:
+                del open_[n]
+        return (self.capacity - sum(n * k for n, k in filling.items())) * times
+
+    def rest(self, open_: dict[int, int]) -> tuple[int, int, list[int]]:
+        """Largest open length, the room beside it and the lengths that fit there; takes one such piece out."""
         lengths = sorted(open_)
         top = lengths[-1]
         open_[top] -= 1
         if not open_[top]:
             lengths.pop()
-        room = capacity - top
-        fit = lengths[:bisect_right(lengths, room)]
+        return top, self.capacity - top, lengths[:bisect_right(lengths, self.capacity - top)]
+
+    def greedy(self, open_: dict[int, int]) -> tuple[dict[int, int], int]:
+        """The least-waste completion of the largest open length, as often as it can be used."""
+        top, room, fit = self.rest(open_)
         filling = complete(room, fit, open_) if fit else []
         open_[top] += 1
+        return self.step(open_, top, filling)
+
+    def step(self, open_: dict[int, int], top: int, filling: Iterable[tuple[int, int]]) -> tuple[dict[int, int], int]:
         used: dict[int, int] = defaultdict(int, {top: 1})
         for n, k in filling:
             used[n] += k
-        times = min(open_[n] // k for n, k in used.items())
-        for n, k in used.items():
-            open_[n] -= k * times
-            if not open_[n]:
-                del open_[n]
-        out.append((dict(used), times))
-    return out
+        return dict(used), min(open_[n] // k for n, k in used.items())
+
+    def alternatives(self, node: tuple | None) -> Iterator[tuple[dict[int, int], int]]:
+        """Every other step from a node whose waste the incumbent's successor could hold."""
+        open_, _, _, waste = self.state(node)
+        taken = self.greedy(open_)
+        top, room, fit = self.rest(open_)
+        others, cost = fillings(room, fit, open_, self.slack() - waste)
+        open_[top] += 1
+        self.nodes -= cost
+        steps = [self.step(open_, top, f) for f in others]
+        # whole uses of every filling first, then the parts of them
+        lazy = [(f, shares(t)) for f, t in steps]
+        while lazy:
+            left = []
+            for f, times in lazy:
+                t = next(times, None)
+                if t is not None:
+                    left.append((f, times))
+                    if (f, t) != taken and waste + t * (self.capacity - sum(n * k for n, k in f.items())) <= self.slack():
+                        yield f, t
+            lazy = left
+
+    def dive(self, node: tuple | None, step: tuple | None, following: list) -> None:
+        """Complete sequences greedily behind ``step``; leaves when no packing smaller than the incumbent can come of it."""
+        open_, steps, used, waste = self.state(node)
+        first = self.size if node is None and step is None else 0       # the first dive is never cut by the node limit
+        while True:
+            if step is not None:
+                steps.append(step)
+                node = (node, *step)
+                waste += self.apply(open_, *step)
+                used += step[1]
+            if waste > self.slack() or used + sum(c for n, c in open_.items() if 2 * n > self.capacity) >= self.size:
+                return
+            if not open_:
+                self.best, self.size = steps, used
+                return
+            if self.nodes <= 0 and not first:
+                return
+            key = hash(frozenset(open_.items()))
+            if self.seen.get(key, self.size) <= used:
+                return
+            self.seen[key] = used
+            following.append(node)
+            self.nodes -= 1 + len(open_)
+            step = self.greedy(open_)
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = PLAN_NODES) -> list[tuple[dict[int, int], int]]:
+    """(pieces of each length in a sequence, number of such sequences), using up ``counts``."""
+    return Search(counts, capacity, nodes).run()
 
 
 def slots(steps: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:

@@ -304,6 +304,34 @@ def test_plan_reaches_the_optimum_of_small_cases():
     assert over <= 3
 
 
+def sequences(steps, counts, capacity):
+    assert all(sum(n * k for n, k in f.items()) <= capacity and t > 0 for f, t in steps)
+    assert {n: sum(f.get(n, 0) * t for f, t in steps) for n in counts} == counts
+    return sum(t for _, t in steps)
+
+
+def test_plan_backtracks_over_whole_solutions():
+    counts = {400: 10000, 352: 10000, 280: 20000, 272: 10000, 260: 40000, 224: 20000}
+    assert sequences(pk.plan(counts, 1024), counts, 1024) == pk.lower_bound(counts, 1024) == 30000
+
+
+def test_plan_is_best_on_small_cases():
+    def fewest(lengths, capacity):
+        def fits(i, rooms):
+            return i == len(lengths) or any(
+                r >= lengths[i] and r not in rooms[:k] and fits(i + 1, rooms[:k] + [r - lengths[i]] + rooms[k + 1:])
+                for k, r in enumerate(rooms))
+        return next(m for m in range(1, len(lengths) + 1) if fits(0, [capacity] * m))
+
+    rng = random.Random(12)
+    for _ in range(300):
+        lengths = sorted((rng.randint(2, 14) for _ in range(10)), reverse=True)
+        counts = {n: lengths.count(n) for n in lengths}
+        want = fewest(lengths, 20)
+        assert sequences(pk.plan(counts, 20), counts, 20) == want
+        assert pk.lower_bound(counts, 20) <= want <= sequences(pk.best_fit(counts, 20), counts, 20)
+
+
 # ---- 10 extraction
 
 ARTICLE = "<article class='post-{i}'><h1>T{i} &amp; more</h1><p>First   <b>bold</b>\n para {i} with some words in it.<br>next<p>Second para.</article>"
