@@ -137,6 +137,18 @@ def test_decontamination_recall_and_precision(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if i is not None} - {i for i, _ in found}
 
 
+@pytest.mark.parametrize("words", [8, 15, 59, 250])
+def test_decontamination_recall_at_the_largest_edit_share(spark, words):
+    rng = random.Random(words)
+    vocab = [f"w{i}" for i in range(5000)]
+    items = [(k, " ".join(rng.choice(vocab) for _ in range(words))) for k in range(100)]
+    rows = [(k, " ".join([*rng.choices(vocab, k=20), *edited(rng, t.split(), dec.MAX_EDIT, vocab), *rng.choices(vocab, k=20)]))
+            for k, t in items]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {r.doc_id for r in dec.contamination(docs_of(spark, rows), bench).collect() if r.item_id == r.doc_id}
+    assert len(found) >= 98
+
+
 def test_decontamination_without_items_and_with_short_ones(spark):
     docs = docs_of(spark, [(1, "one two three"), (2, "four one TWO!"), (3, None)])
     none = spark.createDataFrame([], "item_id long, text string")
