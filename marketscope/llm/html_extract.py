@@ -3,12 +3,15 @@
 Pass 1 parses each page into blocks and scores its containers: the good text of a
 container is the text of its blocks outside links and outside boilerplate
 (menus, headers, footers, sidebars, notices, adverts, forms, comments, by tag or by
-class and id words). The page votes for the deepest container that holds COVER of
-its good text, by generalised path: tags from the root, with class names whose
-digits are dropped. Spark adds the votes per host and path.
+class and id words). The page's article is the outermost article or main around the
+deepest container that holds COVER of its good text, or the page if there is none. The page
+votes for the deepest container that holds all good text of its article, by
+generalised path: tags from the root, with class names whose digits are dropped.
+Spark adds the votes per host and path.
 
 Pass 2 extracts the blocks of the containers on the host's winning path (the highest
-voted path the page has; its own container if it has none), boilerplate left out.
+voted path that holds all good text of the page's article; its own container if none
+does), boilerplate left out.
 
 Scale: a vote is one small row per page, combined map-side per (host, path), so a host
 with a third of all pages costs a few rows per task; per host TOP_PATHS paths are
@@ -24,7 +27,7 @@ ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pandas as pd
@@ -37,12 +40,14 @@ TOP_PATHS = 4
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
+    r"|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*?/>"
     r"|<(script|style|noscript|template|iframe|object|svg|math|textarea|title|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
     r"|<[!?][^>]*>"
     r"|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.DOTALL | re.IGNORECASE)
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
+FOREIGN = frozenset(("svg", "math"))
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
                    "strong sub sup time tt u var wbr br img".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -80,6 +85,8 @@ class Page:
             if tag is None or m[1]:
                 continue
             name = tag[2].lower()
+            if name in FOREIGN:                      # closed by itself: as empty as a skipped one
+                continue
             if tag[1]:
                 self._close(name)
             else:
@@ -159,31 +166,59 @@ class Page:
         """Blocks outside boilerplate that are not mostly links."""
         return [(c, t) for c, t, linked in self.blocks if not self.bad[c] and 2 * linked <= len(t)]
 
-    def best(self) -> str:
-        """Path of the deepest container that holds COVER of the good text; empty if there is none."""
+    def core(self) -> set[int]:
+        """Containers of the good text of the page's article.
+
+        The article is the outermost article or main around the deepest container that
+        holds COVER of the good text; without one all good text belongs to it.
+        """
         held: dict[int, int] = {}
-        total = 0
-        for c, text in self.good():
-            total += len(text)
+        good = self.good()
+        for c, text in good:
             while c >= 0:
                 held[c] = held.get(c, 0) + len(text)
                 c = self.parent[c]
-        if not total:
+        if not good:
+            return set()
+        enough = [c for c, n in held.items() if n >= COVER * held[0]]
+        c, scope = max(enough, key=lambda x: self.depth[x]), 0
+        while c > 0:
+            if self.tag[c] in ("article", "main"):
+                scope = c
+            c = self.parent[c]
+        inside = self._inside(lambda i: i == scope)
+        return {c for c, _ in good if inside[c]}
+
+    def _inside(self, chosen: Callable[[int], bool]) -> list[bool]:
+        """Which containers are chosen or lie in a chosen one."""
+        out = [False] * len(self.path)
+        for i in range(len(out)):
+            out[i] = chosen(i) or (i > 0 and out[self.parent[i]])
+        return out
+
+    def best(self) -> str:
+        """Path of the deepest container that holds all good text of the article; empty if there is none."""
+        core = self.core()
+        if not core:
             return ""
-        enough = [c for c, n in held.items() if n >= COVER * total]
-        c = max(enough, key=lambda x: self.depth[x])
+        c = core.pop()
+        for other in core:
+            while c != other:                        # climb to the common ancestor
+                if self.depth[other] > self.depth[c]:
+                    other = self.parent[other]
+                else:
+                    c = self.parent[c]
         while c > 0 and self.tag[c] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "li", "td", "blockquote"):
             c = self.parent[c]                       # a block is no container
         return self.path[c]
 
     def text(self, paths: list[str]) -> str:
-        """Blocks inside the containers on the first of ``paths`` the page has, in page order."""
+        """Blocks, in page order, inside the containers on the first of ``paths`` that hold all good text of the article."""
+        core = self.core()
         for path in paths:
-            chosen = [False] * len(self.path)
-            for i, p in enumerate(self.path):
-                chosen[i] = p == path or (i > 0 and chosen[self.parent[i]])
+            chosen = self._inside(lambda i: self.path[i] == path)
             blocks = [t for c, t, _ in self.blocks if chosen[c] and not self.bad[c]]
-            if blocks:
+            if blocks and all(chosen[c] for c in core):
                 return "\n".join(blocks)
         return ""
 

@@ -368,6 +368,24 @@ def test_extraction(spark):
     assert html.extract(pages.where("false")).count() == 0
 
 
+LONG = " ".join(["many words of an article"] * 40)
+
+
+@pytest.mark.parametrize("body,want", [
+    (f"<article><h1>Title</h1><p>lead</p><div class=body><p>{LONG}</p></div></article>", ["Title", "lead", LONG]),
+    (f"<section><p>{LONG}</p></section><section class=more><p>the rest</p></section>", [LONG, "the rest"]),
+    (f"<main><article><p>{LONG}</p></article><section><p>the rest</p></section></main><div class=x>outside</div>", [LONG, "the rest"]),
+    (f"<article><p>{LONG}</p><p>an <svg class='i'/>icon <math/>here</p><p>after <svg><path d=''/></svg>it</p></article>",
+     [LONG, "an icon here", "after it"])])
+def test_extraction_of_split_articles(spark, body, want):
+    rows = [(i, "http://s.example/x", PAGE.format(body=body)) for i in range(3)]
+    # a host whose pages mostly have one container: the split page keeps its text
+    whole = PAGE.format(body=f"<section><p>{LONG}</p></section>")
+    rows += [(9, "http://t.example/9", PAGE.format(body=body))] + [(20 + i, f"http://t.example/{i}", whole) for i in range(9)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in (0, 1, 2, 9)] == ["\n".join(want)] * 4
+
+
 def test_extraction_on_the_given_pages(spark):
     for r in html.extract(spark.read.parquet(f"{SF}/pages.parquet")).join(
             spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect():
