@@ -5,12 +5,13 @@ Base kinds (fixed patterns): ``assign`` (a secret-like name, ``:`` or ``=``, a v
 ``hex`` (32 or more lower-case hex digits); matches are leftmost and do not overlap
 within a kind.
 
-Token efficiency: a run of MIN_RUN or more characters of a secret's alphabet that
-mixes letters and digits is encoded with a tiktoken vocabulary. Words of any language
-in the vocabulary take several characters per token, random strings little more
-than one: a ratio below RATIO is reported as kind ``token``, unless the run is a
-known digest or identifier (digest lengths of pure hex digits, UUIDs, web
-addresses and mail names, dotted versions, dates and numbers) or lies in a base span.
+Token efficiency: every run of MIN_RUN or more characters of a secret's alphabet is
+encoded with a tiktoken vocabulary. Words of any language in the vocabulary take
+several characters per token, random strings little more than one: a ratio below
+RATIO is reported as kind ``token``, unless the run is a known digest or identifier
+(digest lengths of pure hex digits, UUIDs, dates and numbers without a letter), is part
+of an address (a mail address; a web address but for its user-info and query, which
+are judged) or touches a base span.
 
 Scale: one pass per text inside the scan, no shuffle; the vocabulary is loaded
 once per Python worker from ``vocabulary``, a path that every executor has.
@@ -43,13 +44,15 @@ ASSIGN_CHARS, ACCESS_CHARS = 8, 16
 MIN_RUN = 16
 RATIO = 2.2
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)          # md5, sha1, sha224, sha256, sha384, sha512
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 IDENTIFIER = re.compile(
     r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"        # uuid
-    r"|[A-Za-z]+([_/-][A-Za-z]+)*[_-]?[0-9]{0,4}"               # words, with a short number behind
+    r"|[0-9]{4}-[0-9]{2}-[0-9]{2}[T_][0-9]{2,6}Z?"              # a date with a time
     r"|[0-9+/_=-]+")                                            # dates, phone and other plain numbers
+#: the parts before and behind a web address's user-info, up to its query; a mail address
+ADDRESS = re.compile(r"""([A-Za-z][A-Za-z0-9+.-]{0,31}://)(?:[^\s/?\#@]*@)?([^\s?\#@"'<>(){}\[\],;|]*)""")
+MAIL = re.compile(r"(?<![\w.%+:/-])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 
 
 @lru_cache(maxsize=4)
@@ -82,19 +85,37 @@ def excluded(run: str) -> bool:
     return len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run) is not None or IDENTIFIER.fullmatch(run) is not None
 
 
-def token_spans(text: str, base: list[tuple[int, int, int]], enc, ratio: float = RATIO) -> list[tuple[int, int, int]]:
-    """Runs of few characters per token outside the base spans."""
+def addresses(text: str) -> list[tuple[int, int]]:
+    """Spans of mail addresses and of web addresses but for their user-info and query."""
+    out = [m.span(k) for m in ADDRESS.finditer(text) for k in (1, 2)] if "://" in text else []
+    return out + [m.span() for m in MAIL.finditer(text)] if "@" in text else out
+
+
+def parts(a: int, b: int, known: list[tuple[int, int]], first: int = 0) -> list[tuple[int, int]]:
+    """What the ascending ``known`` spans, from number ``first`` on, leave of a run, if long enough."""
     out = []
+    for i in range(first, len(known)):
+        s, e = known[i]
+        if s >= b:
+            break
+        if a < e:
+            out.append((a, s))
+            a = max(a, e)
+    return [(x, y) for x, y in [*out, (a, b)] if y - x >= MIN_RUN]
+
+
+def token_spans(text: str, base: list[tuple[int, int, int]], enc, ratio: float = RATIO) -> list[tuple[int, int, int]]:
+    """Runs of few characters per token outside the base spans and addresses."""
+    out, known, passed = [], sorted(addresses(text)), 0
     for m in RUN.finditer(text):
-        a, b, run = m.start(), m.end(), m[0]
-        if DIGIT.search(run) is None or LETTER.search(run) is None or excluded(run):
-            continue
-        if any(s < b and a < e for s, _, e in base):
-            continue
-        if text[max(0, a - 3):a].endswith(("://", "@")) or text[b:b + 1] == "@" or "://" in text[max(0, a - 40):a].rsplit(" ", 1)[-1]:
-            continue
-        if len(run) / len(enc.encode_ordinary(run)) < ratio:
-            out.append((a, 3, b))
+        while passed < len(known) and known[passed][1] <= m.start():
+            passed += 1
+        for a, b in parts(m.start(), m.end(), known, passed):
+            run = text[a:b]
+            if excluded(run) or any(s < b and a < e for s, _, e in base):
+                continue
+            if len(run) / len(enc.encode_ordinary(run)) < ratio:
+                out.append((a, 3, b))
     return out
 
 

@@ -241,6 +241,23 @@ def test_secret_scan_base_patterns_and_token_runs(spark):
     assert sec.secret_scan(docs_of(spark, [])).count() == 0
 
 
+def test_secret_scan_judges_runs_of_any_shape(spark):
+    rng = random.Random(4)
+    letters = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(24))
+    mixed = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789") for _ in range(24))
+    found = [f"see {letters} here", "see xKqZpWvTnRbYhLmC42 here", f"postgres://user:{mixed}@db.example.org/main", f"https://{mixed}@git.example.org/x",
+             f"http://x.org/a?k={mixed}", f"login user:{mixed}@host now"]
+    clear = [f"http://x.org/{mixed}", f"mail {mixed}@example.org", "internationalization-recommendations understanding/performance",
+             "2024-01-31_2024-02-29 1234567890123456", "2024-01-31T10", f"ftp://u:p@x.org/{mixed}"]
+    docs = docs_of(spark, list(enumerate(found + clear)))
+    got = {r.doc_id: r for r in sec.secret_scan(docs).collect()}
+    for i, text in enumerate(found):
+        (_, a, b), = [x.split(":") for x in got[i].spans.split(",")]
+        assert text[int(a):int(b)].removeprefix("k=") in (letters, mixed, "xKqZpWvTnRbYhLmC42"), text
+        assert got[i].n_token == 1
+    assert [got[i].spans for i in range(len(found), len(found + clear))] == [""] * len(clear)
+
+
 # ---- 9 packing
 
 ODD = ["", " ", "a", " a", "a ", "a  b", "a\nb c", "a\n\nb", "a \nb", "a\n b", "\na", "a\tb c\td", "x y z", "it's we'll 12 3a!?", "é ß ç",
