@@ -35,7 +35,8 @@ from pyspark.sql.functions import pandas_udf
 
 from marketscope.llm.common import HASH, ID, ROW, TEXT, keyed, real_id
 
-MIN_WORDS = 10
+#: a single line of so many words is a window: shorter ones (names, headings, answers) go only with their neighbours
+MIN_WORDS = 3
 WINDOWS = f"{ID} long, {HASH} int, start int, stop int, fp long, place int, d1 long, d2 long"
 
 

@@ -238,6 +238,12 @@ def test_line_dedup_matches_brute_force(spark, rows, min_words):
     assert sorted(((r.doc_id, r.text, r.removed_lines) for r in got), key=str) == sorted(brute_lines(spark, more, min_words), key=str)
 
 
+def test_line_dedup_deletes_short_boilerplate_lines(spark):
+    rows = [(i, f"first text number {i} stands alone\nall rights reserved\nlast text number {i} stands alone too") for i in range(5)]
+    got = {r.doc_id: r for r in lines.line_dedup(table(spark, rows)).collect()}
+    assert [got[i].removed_lines for i in range(5)] == [0, 1, 1, 1, 1]
+
+
 def test_line_dedup_stage_keeps_columns(spark, rows):
     docs = table(spark, rows)
     out = lines.without_repeats(docs)
