@@ -2,14 +2,15 @@
 
 A text's lines (split at ``\\n``, compared without surrounding spaces and with inner
 spaces made one) that hold a word are hashed. A window is the shortest run of
-such lines, from a given line on, with at least ``min_words`` words. Each window
+such lines, from a given line on or up to a given line, with at least ``min_words`` words. Each window
 selects its smallest line hash as fingerprint, so any repeated run of at least
 ``min_words`` words shares a fingerprint with its other copies.
 
 A fingerprint met at one place only is dropped. Around the places of the others
 the match is extended both ways: every window the fingerprint is the minimum of
 is compared as a whole (128-bit digest of its lines) with the equal windows
-elsewhere, and overlapping windows join into the longest repeated run. Every line
+elsewhere, and overlapping windows join into the longest repeated run: any line of a
+repeated run of ``min_words`` words lies in a window inside the run. Every line
 of a window that occurred earlier, in order of (doc_id, line), is deleted; a line's
 first copy is never deleted.
 
@@ -55,17 +56,28 @@ def line_hashes(text: str) -> tuple[list[int], list[int], list[int]]:
 def windows(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int, bytes]]:
     """(first line, line after the last, fingerprint, its line, digest of the window's lines)."""
     numbers, hashes, words = line_hashes(text)
-    out, j, total = [], 0, 0
-    for i in range(len(numbers)):
+    ranges, j, total = set(), 0, 0
+    for i in range(len(numbers)):                    # from each line on
         while j < len(numbers) and total < min_words:
             total += words[j]
             j += 1
         if total < min_words:
             break
+        ranges.add((i, j))
+        total -= words[i]
+    i, total = 0, 0
+    for j in range(len(numbers)):                    # up to each line
+        total += words[j]
+        while total - words[i] >= min_words:
+            total -= words[i]
+            i += 1
+        if total >= min_words:
+            ranges.add((i, j + 1))
+    out = []
+    for i, j in sorted(ranges):
         fp = min(hashes[i:j])
         digest = xxhash.xxh3_128_digest(b"".join(h.to_bytes(8, "little") for h in hashes[i:j]))
         out.append((numbers[i], numbers[j - 1] + 1, fp, numbers[hashes.index(fp, i, j)], digest))
-        total -= words[i]
     return out
 
 

@@ -238,6 +238,32 @@ def test_line_dedup_matches_brute_force(spark, rows, min_words):
     assert sorted(((r.doc_id, r.text, r.removed_lines) for r in got), key=str) == sorted(brute_lines(spark, more, min_words), key=str)
 
 
+def brute_runs(spark, rows, min_words):
+    """doc_id and lines with a word, but for those of any run of ``min_words`` words or more that occurred earlier."""
+    hashes = murmur(spark, rows)
+    first, out = {}, []
+    for i, h, t in sorted((order(i), hashes[t], t) for i, t in rows):
+        ls, gone = [" ".join(x.split()) for x in t.split("\n") if x.split()], set()
+        for a in range(len(ls)):
+            for b in range(a + 1, len(ls) + 1):
+                if sum(len(x.split()) for x in ls[a:b]) >= min_words and first.setdefault(tuple(ls[a:b]), (i, h, a)) != (i, h, a):
+                    gone.update(range(a, b))
+        out.append((i, [x for n, x in enumerate(ls) if n not in gone]))
+    return out
+
+
+@pytest.mark.parametrize("min_words", [3, 10])
+def test_line_dedup_deletes_whole_repeated_runs(spark, min_words):
+    rng = random.Random(min_words)
+    pool = ["p q", "r s t", "u", "", "v w x y z", "p  q ", "a b c d e f g h i j k l"]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 12)))) for i in range(60)]
+    run = " ".join(f"w{i}" for i in range(12)) + "\nx1 x2 x3\nx4 x5 x6 x7 x8"
+    rows += [(100, f"start\n{run}\nend one"), (101, f"begin\n{run}\nend two")]
+    got = {r.doc_id: r.text for r in lines.line_dedup(table(spark, rows), min_words).collect()}
+    assert sorted((i, [" ".join(x.split()) for x in t.split("\n") if x.split()]) for i, t in got.items()) == brute_runs(spark, rows, min_words)
+    assert got[101] == "begin\nend two"
+
+
 def test_line_dedup_deletes_short_boilerplate_lines(spark):
     rows = [(i, f"first text number {i} stands alone\nall rights reserved\nlast text number {i} stands alone too") for i in range(5)]
     got = {r.doc_id: r for r in lines.line_dedup(table(spark, rows)).collect()}
