@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketscope.llm.chat_format import chat_format
 from marketscope.llm.common import read_table
 from marketscope.llm.decontaminate import contamination
 from marketscope.llm.exact_dedup import exact_dedup
@@ -14,10 +15,12 @@ from marketscope.llm.html_extract import extract
 from marketscope.llm.language_id import held_out, with_language
 from marketscope.llm.line_dedup import line_dedup
 from marketscope.llm.packing import pack
+from marketscope.llm.phrases import collocations
 from marketscope.llm.secret_scan import secret_scan
 from marketscope.llm.simhash_dedup import near_dedup
 from marketscope.llm.substring_dedup import substring_dedup
 from marketscope.llm.warc import warc_round_trip
+from marketscope.llm.whitening import embedding_whitening
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +68,18 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format(read_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -73,7 +88,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_exact_dedup, op2_warc, op3_substring_dedup, op4_simhash_dedup, op5_decontaminate, op6_line_dedup,
-    op7_language_id, op8_secret_scan, op9_best_fit_packing, op10_html_extract, pipeline)}
+    op7_language_id, op8_secret_scan, op9_best_fit_packing, op10_html_extract, op11_phrases, op12_whitening,
+    op13_chat_format, pipeline)}
 
 _OP1 = r"""
 WITH texts AS (
@@ -96,4 +112,38 @@ SELECT page_id, url, payload_bytes, payload_digest,
 FROM first
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": _OP1, "op2_warc": _OP2}
+_OP11 = r"""
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents),
+pieces AS (
+    SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM texts),
+totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang HAVING sum(len(w)) > 0),
+grams AS (
+    SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]) AS phrase
+    FROM pieces, range(1, 5) AS sizes(k) WHERE len(w) >= k),
+f AS (
+    SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 30),
+cuts AS (
+    SELECT lang, k, phrase, a, j, string_split(phrase, ' ') AS w FROM f, range(1, 4) AS places(j) WHERE j < k),
+scores AS (
+    SELECT c.lang, c.k, c.phrase, c.a, x.a AS l, y.a AS r, j, ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+                JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:], ' ')),
+best AS (
+    SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+    SELECT lang, a, unnest([array_to_string(w[i:i + m - 1], ' ') for i in range(1, k - m + 2)]) AS phrase
+    FROM (SELECT lang, k, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 3), range(2, 4) AS lengths(m) WHERE m < k),
+covered AS (
+    SELECT lang, phrase, max(a) AS b FROM inside GROUP BY lang, phrase),
+kept AS (
+    SELECT best.* FROM best LEFT JOIN covered USING (lang, phrase) WHERE b IS NULL OR 100 * b < 80 * a),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": _OP1, "op2_warc": _OP2, "op11_phrases": _OP11}
