@@ -1,8 +1,9 @@
 """Helpers shared by the operators: row keys, written tables, connected components.
 
-Row identity. A document is addressed by (``ID``, ``HASH``): its id (null ids
-share the smallest long) and a 32-bit hash of its text. Repeated rows (same id,
-same text) therefore share one key, get the same result and stay repeated.
+Row identity. A document is addressed by ``KEY`` = (``ID``, ``HASH``, ``HASH2``): its id (null
+ids share the smallest long) and 128 bits of two hashes of its text, so that texts of one id,
+or of none, stay apart. Repeated rows (same id, same text) share one key, get the same
+result and stay repeated.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from marketscope.session import shared_dir, ship_package
 
-ROW, ID, HASH, TEXT = "__ms_row", "__ms_id", "__ms_hash", "__ms_text"
+ROW, ID, HASH, HASH2, TEXT = "__ms_row", "__ms_id", "__ms_hash", "__ms_hash2", "__ms_text"
+KEY = (ID, HASH, HASH2)
 NULL_ID = -(1 << 63)
 
 
@@ -42,13 +44,18 @@ def real_id(column: Column) -> Column:
     return F.when(column != NULL_ID, column)
 
 
+def text_hashes(text: Column) -> list[Column]:
+    """HASH and HASH2 of a text: xxHash64 under two seeds."""
+    return [F.xxhash64(text).alias(HASH), F.xxhash64(F.lit(1), text).alias(HASH2)]
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_row: bool = False) -> DataFrame:
-    """(ID, HASH, TEXT[, ROW]); null text counts as empty, ROW packs the whole input row.
+    """(ID, HASH, HASH2, TEXT[, ROW]); null text counts as empty, ROW packs the whole input row.
 
     Input columns of any other name stay inside ROW, so they cannot clash.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    cols = [id_column(id_col).alias(ID), F.hash(text).alias(HASH), text.alias(TEXT)]
+    cols = [id_column(id_col).alias(ID), *text_hashes(text), text.alias(TEXT)]
     if keep_row:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
     return docs.select(*cols)

@@ -35,12 +35,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from marketscope.llm.common import HASH, ID, ROW, TEXT, components, id_column, keyed, real_id, written
+from marketscope.llm.common import ID, KEY, ROW, components, id_column, keyed, real_id, text_hashes, written
 
 SEED = 42
 BITS = 64
 SEGMENTS = 3
-WIDE = "__ms_wide"
 
 
 def shingle_hashes(text: str, shingle: int) -> list[int]:
@@ -169,14 +168,12 @@ def _labelled(prints: DataFrame, key: Column, max_bits: int, segments: int) -> D
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = SEGMENTS) -> DataFrame:
-    """``docs`` with one row of each component: the smallest by id, then by two hashes of the text.
+    """``docs`` with one row of each component: the smallest by id, then by the hashes of its text.
 
     Components are told apart by their fingerprint root, never by an id: rows of one id
-    (or of none) with different texts may belong to several. The second hash keeps such
-    texts apart where their 32-bit hashes collide, as those of many null ids would.
+    (or of none) with different texts may belong to several.
     """
-    key, second = [ID, HASH, WIDE], F.xxhash64(F.coalesce("text", F.lit(""))).alias(WIDE)
-    prints = _prints(docs, [id_column().alias(ID), F.hash(F.coalesce("text", F.lit(""))).alias(HASH), second], shingle)
-    first = _labelled(prints, F.struct(*key), max_bits, segments).groupBy("root").agg(F.min("first").alias("first"))
-    rows = keyed(docs, keep_row=True).select(ID, HASH, F.xxhash64(TEXT).alias(WIDE), ROW)
-    return rows.join(first.select("first.*"), key, "left_semi").dropDuplicates(key).select(f"{ROW}.*")
+    prints = _prints(docs, [id_column().alias(ID), *text_hashes(F.coalesce("text", F.lit("")))], shingle)
+    first = _labelled(prints, F.struct(*KEY), max_bits, segments).groupBy("root").agg(F.min("first").alias("first"))
+    rows = keyed(docs, keep_row=True).select(*KEY, ROW)
+    return rows.join(first.select("first.*"), list(KEY), "left_semi").dropDuplicates(list(KEY)).select(f"{ROW}.*")

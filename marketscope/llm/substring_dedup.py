@@ -33,13 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from marketscope.llm.common import HASH, ID, ROW, TEXT, keyed, real_id
+from marketscope.llm.common import HASH, HASH2, ID, KEY, TEXT, keyed, real_id
 
 REACH = 32
 MAX_CHUNK = 4096
 #: The gear table follows from this seed: 256 values of a 64-bit linear congruence, upper halves.
 GEAR_SEED = 20240229
-CHUNKS = f"{ID} long, {HASH} int, start int, stop int, d1 long, d2 long"
+#: a chunk's bytes [start, stop) are one long, start in the upper half: places in a text compare as such
+CHUNKS = f"{ID} long, {HASH} long, {HASH2} long, span long, d1 long, d2 long"
 
 
 def gear_table(seed: int = GEAR_SEED) -> np.ndarray:
@@ -93,9 +94,9 @@ def chunk_rows(docs: DataFrame, reach: int = REACH, max_chunk: int = MAX_CHUNK)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            keys = [c.to_numpy() for c in batch.columns[:3]]
             out, held = [], 0
-            for i, text in enumerate(batch.column(2).to_pylist()):
+            for i, text in enumerate(batch.column(3).to_pylist()):
                 raw = text.encode()
                 ends = cuts(np.frombuffer(raw, dtype=np.uint8), reach, max_chunk)
                 if not len(ends):
@@ -103,8 +104,8 @@ def chunk_rows(docs: DataFrame, reach: int = REACH, max_chunk: int = MAX_CHUNK)
                 starts = np.concatenate(([0], ends[:-1]))
                 digest = b"".join([xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())])
                 d = np.frombuffer(digest, dtype="<i8").reshape(-1, 2)
-                out.append((np.full(len(ends), ids[i]), np.full(len(ends), hashes[i]), starts.astype(np.int32),
-                            ends.astype(np.int32), d[:, 0], d[:, 1]))
+                span = (starts.astype(np.int64) << 32) | ends
+                out.append((*(np.full(len(ends), k[i]) for k in keys), span, d[:, 0], d[:, 1]))
                 held += len(ends)
                 if held >= 100_000:
                     yield _batch(out)
@@ -112,21 +113,22 @@ def chunk_rows(docs: DataFrame, reach: int = REACH, max_chunk: int = MAX_CHUNK)
             if out:
                 yield _batch(out)
 
-    return keyed(docs).select(ID, HASH, TEXT).mapInArrow(rows, CHUNKS)
+    return keyed(docs).select(*KEY, TEXT).mapInArrow(rows, CHUNKS)
 
 
 def _batch(parts: list[tuple]) -> pa.RecordBatch:
     cols = [pa.array(np.ascontiguousarray(np.concatenate(c))) for c in zip(*parts)]
-    return pa.RecordBatch.from_arrays(cols, names=[ID, HASH, "start", "stop", "d1", "d2"])
+    return pa.RecordBatch.from_arrays(cols, names=[*KEY, "span", "d1", "d2"])
 
 
 def repeated_spans(docs: DataFrame, reach: int = REACH, max_chunk: int = MAX_CHUNK) -> DataFrame:
-    """(ID, HASH, spans): byte ranges of each document's chunks that occurred earlier; documents without one are absent."""
+    """(ID, HASH, HASH2, spans): byte ranges of each document's chunks that occurred earlier; documents without one are absent."""
     chunks = chunk_rows(docs, reach, max_chunk)
-    place = F.struct(ID, HASH, "start")
+    place = F.struct(*KEY, "span")
     first = chunks.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
     later = chunks.join(first, ["d1", "d2"]).where(place != F.col("first"))
-    return later.groupBy(ID, HASH).agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    span = F.struct(F.shiftright("span", 32).cast("int").alias("start"), F.col("span").bitwiseAND((1 << 32) - 1).cast("int").alias("stop"))
+    return later.groupBy(*KEY).agg(F.sort_array(F.collect_set(span)).alias("spans"))
 
 
 def cut_spans_udf():
@@ -149,14 +151,14 @@ def substring_dedup(docs: DataFrame, reach: int = REACH, max_chunk: int = MAX_CH
     """doc_id, text without repeated chunks, removed_bytes, removed_chunks, changed: one row per input row."""
     spans = repeated_spans(docs, reach, max_chunk)
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["stop"] - s["start"]))
-    joined = keyed(docs).join(spans, [ID, HASH], "left")
+    joined = keyed(docs).select(*KEY, TEXT).join(spans, list(KEY), "left")
     return joined.select(
         real_id(F.col(ID)).alias("doc_id"),
         F.when(F.col("spans").isNull(), F.col(TEXT)).otherwise(
-            cut_spans_udf()(F.col(TEXT), F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")))).alias("text"),
+            cut_spans_udf()(F.when(F.col("spans").isNotNull(), F.col(TEXT)).otherwise(""), F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")))).alias("text"),
         F.coalesce(size, F.lit(0)).alias("removed_bytes"),
         F.coalesce(F.size("spans"), F.lit(0)).alias("removed_chunks"),
         F.col("spans").isNotNull().alias("changed"))
 
 
-__all__ = ["chunk_rows", "cuts", "repeated_spans", "substring_dedup", "ROW"]
+__all__ = ["chunk_rows", "cuts", "repeated_spans", "substring_dedup"]

@@ -82,14 +82,17 @@ def order(i):
     return -(1 << 63) if i is None else i
 
 
-def murmur(spark, rows):
+def text_keys(spark, rows):
+    """text -> its hashes, which order texts of one id."""
     from pyspark.sql import functions as F
-    found = spark.createDataFrame([(t or "",) for _, t in rows], "t string").select("t", F.hash("t")).collect()
-    return {r[0]: r[1] for r in found}
+
+    from marketscope.llm.common import text_hashes
+    found = spark.createDataFrame([(t or "",) for _, t in rows], "t string").select("t", *text_hashes(F.col("t"))).collect()
+    return {r[0]: (r[1], r[2]) for r in found}
 
 
 def test_substring_dedup_matches_brute_force(spark, rows):
-    hashes = murmur(spark, rows)
+    hashes = text_keys(spark, rows)
     first, spans = {}, {}
     docs = sorted({(order(i), hashes[t or ""], t or "") for i, t in rows})
     for i, h, t in docs:
@@ -188,12 +191,9 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     assert got == {i: 0 for i in range(51)} | {1000 + i: 1000 for i in range(200)}
 
 
-def test_keep_one_of_each_component(spark, rows):
+def test_keep_one_keeps_the_columns(spark, rows):
     docs = table(spark, rows)
-    kept = sim.keep_one(docs)
-    assert kept.columns == docs.columns
-    found = sim.near_dedup(docs).collect()
-    assert sorted(order(r.doc_id) for r in kept.collect()) == sorted({order(r.component_id) for r in found})
+    assert sim.keep_one(docs).schema == docs.schema
 
 
 def test_keep_one_keeps_a_row_of_every_root(spark, rows):
@@ -211,57 +211,111 @@ def test_keep_one_keeps_a_row_of_every_root(spark, rows):
     assert sorted(got) == sorted(smallest.items())
 
 
-def brute_lines(spark, rows, min_words):
-    hashes = murmur(spark, rows)
-    docs = sorted({(order(i), hashes[t or ""], t or "") for i, t in rows})
-    first, gone = {}, {}
-    for i, h, t in docs:
-        ls = [(n, " ".join(x.split())) for n, x in enumerate(t.split("\n")) if x.split()]
-        for a in range(len(ls)):
-            for b in range(a + 1, len(ls) + 1):
-                if sum(len(x.split()) for _, x in ls[a:b]) >= min_words:
-                    key = tuple(x for _, x in ls[a:b])
-                    if first.setdefault(key, (i, h, ls[a][0])) != (i, h, ls[a][0]):
-                        gone.setdefault((i, t), set()).update(range(ls[a][0], ls[b - 1][0] + 1))
-                    break
-    return [(i, t if (order(i), t or "") not in gone else
-             "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[order(i), t]), len(gone.get((order(i), t or ""), ())))
-            for i, t in rows]
-
-
-@pytest.mark.parametrize("min_words", [2, 10, 50])
-def test_line_dedup_matches_brute_force(spark, rows, min_words):
-    rng = random.Random(min_words)
-    pool = ["p q", "r s t", "u", "", "v w x y z", "p  q "]
-    more = rows + [(600 + i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 12)))) for i in range(40)]
-    got = lines.line_dedup(table(spark, more), min_words).collect()
-    assert sorted(((r.doc_id, r.text, r.removed_lines) for r in got), key=str) == sorted(brute_lines(spark, more, min_words), key=str)
+def worded(text):
+    return [" ".join(x.split()) for x in (text or "").split("\n") if x.split()]
 
 
-def brute_runs(spark, rows, min_words):
-    """doc_id and lines with a word, but for those of any run of ``min_words`` words or more that occurred earlier."""
-    hashes = murmur(spark, rows)
-    first, out = {}, []
-    for i, h, t in sorted((order(i), hashes[t], t) for i, t in rows):
-        ls, gone = [" ".join(x.split()) for x in t.split("\n") if x.split()], set()
+def repeated_runs(spark, rows, min_words):
+    """(order key, text) -> lines with a word that lie in a run of ``min_words`` words or more that occurred earlier, with no winnowing."""
+    hashes = text_keys(spark, rows)
+    first, out = {}, {}
+    for i, h, t in sorted({(order(i), hashes[t or ""], t or "") for i, t in rows}):
+        ls, gone = worded(t), set()
         for a in range(len(ls)):
             for b in range(a + 1, len(ls) + 1):
                 if sum(len(x.split()) for x in ls[a:b]) >= min_words and first.setdefault(tuple(ls[a:b]), (i, h, a)) != (i, h, a):
                     gone.update(range(a, b))
-        out.append((i, [x for n, x in enumerate(ls) if n not in gone]))
+        out[i, t] = gone
     return out
 
 
-@pytest.mark.parametrize("min_words", [3, 10])
-def test_line_dedup_deletes_whole_repeated_runs(spark, min_words):
+def brute_lines(spark, rows, min_words):
+    """The contract of the operator in plain Python: places by (line) and by (line among its neighbours), first ones, extended matches."""
+    hashes, first, found = text_keys(spark, rows), {}, []
+    docs = sorted({(order(i), hashes[t or ""], t or "") for i, t in rows})
+    for i, h, t in docs:
+        ls = worded(t)
+        words = [len(x.split()) for x in ls]
+        digest = [xxhash.xxh3_128_digest(x) for x in ls]
+        places = set()
+        for a in range(len(ls)):
+            b = next((b for b in range(a + 1, len(ls) + 1) if sum(words[a:b]) >= min_words), None)
+            if b:
+                places.add(min(range(a, b), key=lambda x: (digest[x], x)))
+        for p in sorted(places):
+            lo = min(a for a in range(p + 1) if sum(words[a:p]) < min_words)
+            hi = max(b for b in range(p + 1, len(ls) + 1) if sum(words[p + 1:b]) < min_words)
+            for key in [("alone", ls[p])] + [("among", p - lo, *ls[lo:hi])] * (hi - lo > 1):
+                f = first.setdefault(key, (i, h, p, ls, lo, hi))
+                if f[:3] != (i, h, p):
+                    found.append((i, t, p, ls, lo, hi, f))
+    gone = {}
+    for i, t, p, ls, lo, hi, (_, _, q, fs, flo, fhi) in found:
+        a, b = 0, 1
+        while p - a > lo and q - a > flo and ls[p - a - 1] == fs[q - a - 1]:
+            a += 1
+        while p + b < hi and q + b < fhi and ls[p + b] == fs[q + b]:
+            b += 1
+        if sum(len(x.split()) for x in ls[p - a:p + b]) >= min_words:
+            gone.setdefault((i, t), set()).update(range(p - a, p + b))
+    return {(i, t): gone.get((i, t), set()) for i, _, t in docs}
+
+
+def deleted_lines(row, text):
+    """Numbers, among the lines with a word, of those the operator deleted."""
+    lines = (text or "").split("\n")
+    out = {n for r in row.runs or () for n in range(r.start, r.stop)}
+    assert row.removed_lines == len(out)
+    assert row.text == (text if not out else "\n".join(x for n, x in enumerate(lines) if n not in out))
+    return {k for k, n in enumerate(n for n, x in enumerate(lines) if x.split()) if n in out}
+
+
+@pytest.mark.parametrize("min_words", [2, 3, 10, 50])
+def test_line_dedup_matches_brute_force(spark, rows, min_words):
     rng = random.Random(min_words)
     pool = ["p q", "r s t", "u", "", "v w x y z", "p  q ", "a b c d e f g h i j k l"]
-    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 12)))) for i in range(60)]
+    more = rows + [(600 + i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 12)))) for i in range(40)]
     run = " ".join(f"w{i}" for i in range(12)) + "\nx1 x2 x3\nx4 x5 x6 x7 x8"
-    rows += [(100, f"start\n{run}\nend one"), (101, f"begin\n{run}\nend two")]
-    got = {r.doc_id: r.text for r in lines.line_dedup(table(spark, rows), min_words).collect()}
-    assert sorted((i, [" ".join(x.split()) for x in t.split("\n") if x.split()]) for i, t in got.items()) == brute_runs(spark, rows, min_words)
-    assert got[101] == "begin\nend two"
+    more += [(700, f"start\n{run}\nend one"), (701, f"begin\n{run}\nend two")]
+    want, runs = brute_lines(spark, more, min_words), repeated_runs(spark, more, min_words)
+    texts = {}
+    for i, t in more:
+        texts.setdefault(order(i), set()).add(t or "")
+    got = lines.line_dedup(table(spark, more), min_words).collect()
+    assert len(got) == len(more)
+    for row in got:
+        mine = texts[order(row.doc_id)]
+        if len(mine) > 1:
+            continue                                  # which text it was cannot be told from an edited row
+        text, = mine
+        out = deleted_lines(row, text if row.text is not None else None)
+        assert out == want[order(row.doc_id), text]
+        assert out <= runs[order(row.doc_id), text]                         # nothing but repeated runs goes
+        long = {k for k, x in enumerate(worded(text)) if len(x.split()) >= min_words}
+        assert long & runs[order(row.doc_id), text] <= out                  # and of lines long enough, all of them
+    assert {r.doc_id: r.text for r in got}[701] == ("begin\nend two" if min_words <= 20 else f"begin\n{run}\nend two")
+
+
+def test_line_dedup_needs_its_fingerprints(spark, monkeypatch):
+    """Places are the selected ones only: a run of short lines has fewer fingerprints than lines, and goes as a whole."""
+    menu = "Home\nAbout us\nNews\nContact\nTerms\nImprint"
+    rows = [(i, f"text {i} {i}\n{menu}\nlast {i} {i}") for i in range(4)]
+    made = lines.fingerprint_rows(table(spark, rows[:1])).where("kind = 0").count()
+    assert made < len(worded(rows[0][1]))
+    got = {r.doc_id: r.text for r in lines.line_dedup(table(spark, rows)).collect()}
+    assert got[0] == rows[0][1] and [got[i] for i in (1, 2, 3)] == [f"text {i} {i}\nlast {i} {i}" for i in (1, 2, 3)]
+
+
+@pytest.mark.parametrize("op", [sub.substring_dedup, lines.line_dedup])
+def test_texts_of_equal_32_bit_hash_stay_apart(spark, op):
+    """Null ids: a text's spans are never applied to another text, whatever Spark's hash() says."""
+    from pyspark.sql import functions as F
+    tail = "the same closing line stands in many of these texts and is long enough to be a chunk of its own " * 3
+    body = spark.range(400_000).select(F.concat(F.lit("unique "), F.hex(F.xxhash64("id")), F.lit("\n" + tail)).alias("t"))
+    twice = body.groupBy(F.hash("t")).agg(F.collect_list("t").alias("t")).where("size(t) > 1").first()
+    pair = twice["t"][:2]
+    got = op(table(spark, [(None, pair[0]), (None, pair[1]), (1, tail)])).collect()
+    assert sum("unique" in r.text for r in got) == 2
 
 
 def test_line_dedup_deletes_short_boilerplate_lines(spark):
