@@ -34,7 +34,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -42,6 +41,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,9 +52,11 @@ CAPACITY = 1024
 END_ID = 2
 SEARCH_NODES = 4_000
 PLAN_NODES = 2_000_000
-CACHE_PIECES = 200_000
-GROUP_CHARS = 2_000_000
+CACHE_WORDS = 300_000
+GROUP_CHARS = 3_000_000
+JOINED = 20
 ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
+ASCII_WORD = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
 PIECES = "task long, doc_id long, piece int, start long, length int, ids_crc32 long, rank long"
 
 
@@ -65,30 +67,53 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Token ids as little-endian unsigned 32-bit bytes.
-
-    The tokenizer's own pattern never joins a character to the white space after it,
-    so a text whose words are one space or newline apart is the concatenation of its
-    words, each encoded with the white space before it; these are cached, in two
-    generations of at most CACHE_PIECES words. It never joins a letter or digit to a
-    full stop or comma either, so those are cached apart. Any other text is encoded
-    as a whole.
+    """Token ids of texts, the tokenizer's own, with an end id behind each text.
+
+    The tokenizer's pattern never joins a character to the white space after it, nor a
+    letter or digit to a full stop or comma. So where white space stands alone, a
+    text is the concatenation of its words, each encoded with the white space before it,
+    and of final full stops and commas. Words are cut out of a whole group of texts by
+    byte position, made distinct, looked up in a cache and put back by array gather; only
+    unknown words meet the tokenizer, several to a call, told apart again by the bytes of
+    their tokens. The cache holds at most CACHE_WORDS words; beyond that the half used
+    least goes, so frequent words stay. Any other text is encoded as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int = END_ID):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their spelling in a text is ordinary text
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)     # of each token; one letter a byte
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)
+        self.end = np.array([end_id], dtype=np.uint32)
+        self.words = pa.array([], pa.binary())
+        self.uses = np.zeros(0, dtype=np.int64)
+        self.sizes = np.zeros(0, dtype=np.int64)         # ids of each cached word, and all of them in a row
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def unknown(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that begin with white space, one after the other, and how many each has; JOINED words to a call."""
+        joined = [b"".join(words[i:i + JOINED]).decode() for i in range(0, len(words), JOINED)]
+        ids = _concatenated(self.whole(joined))
+        ends, at = np.cumsum([len(w) for w in words], dtype=np.int64), np.cumsum(self.bytes[ids])
+        cuts = np.searchsorted(at, ends)
+        if not len(words) or len(at) and cuts[-1] < len(at) and (at[cuts] == ends).all():
+            return ids, np.diff(cuts, prepend=-1)
+        return self.apart(words)                         # tokens that do not spell bytes, or that span words
+
+    def apart(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.whole([w.decode() for w in words])
+        return _concatenated(found), np.array([len(x) for x in found], dtype=np.int64)
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text and the end id."""
         group, size = [], 0
         for text in texts:
             group.append(text)
@@ -98,51 +123,80 @@ class Encoder:
                 group, size = [], 0
         yield from self._group(group)
 
-    def _group(self, texts: list[str]) -> Iterator[bytes]:
-        # elements after the first stand for " " + element, or for themselves if they begin with a newline
-        split = [None if not t or ODD_SPACE.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
-        if len(self.new) > CACHE_PIECES:
-            self.old, self.new, self.heads = self.new, {}, {}
-        cache, heads = self.new, self.heads
-        words: set[str] = set()
-        for s in split:
-            if s:
-                words.update(s[1:])
-        self._learn(words - cache.keys())
-        starts = list({s[0] for s in split if s} - heads.keys())
-        heads.update(zip(starts, self.whole(starts)))
-        for text, s in zip(texts, split):
-            yield self.whole([text])[0] if s is None else heads[s[0]] + b"".join([cache[w] for w in s[1:]])
-
-    def _learn(self, words: set[str]) -> None:
-        cache, old = self.new, self.old
-        apart, unknown = [], set()
-        for w in words:
-            ids = old.get(w)
-            if ids is not None:
-                cache[w] = ids
-            elif w[-1] in ".," and w[-2:-1].isalnum():
-                core = w[:-1]
-                apart.append((w, core))
-                if core not in cache:
-                    ids = old.get(core)
-                    if ids is not None:
-                        cache[core] = ids
-                    else:
-                        unknown.add(core)
+    def _group(self, texts: list[str]) -> Iterator[np.ndarray]:
+        plain = [t for t in texts if t and not ODD_SPACE.search(t)]
+        ids, ends = self._plain(plain)
+        at, start = 0, 0
+        for text in texts:
+            if at < len(plain) and text is plain[at]:
+                yield ids[start:ends[at]]
+                start, at = ends[at], at + 1
             else:
-                unknown.add(w)
-        fresh = list(unknown)
-        cache.update(zip(fresh, self.whole([w if w[0] == "\n" else " " + w for w in fresh])))
-        if apart:
-            mark = dict(zip(".,", self.whole([".", ","])))
-            cache.update((w, cache[core] + mark[w[-1]]) for w, core in apart)
+                yield np.concatenate((*self.whole([text]), self.end))
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts without odd white space one after the other, and where each ends."""
+        raw = [t.encode() for t in texts]
+        if not raw:
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        data = b"".join(raw)
+        a = np.frombuffer(data, dtype=np.uint8)
+        stops = np.cumsum([len(r) for r in raw])
+        first = np.zeros(len(a) + 1, dtype=bool)         # whether a word begins at a byte
+        first[:-1] = (a == 32) | (a == 10)
+        first[stops] = first[0] = True
+        mark = np.flatnonzero((a == 46) | (a == 44))
+        mark = mark[(mark > 0) & first[mark + 1]]
+        first[mark[ASCII_WORD[a[mark - 1]]]] = True
+        bounds = np.flatnonzero(first).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        codes, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        if len(self.words):
+            known = pc.fill_null(pc.index_in(distinct, value_set=self.words), -1).to_numpy().astype(np.int64)
+        else:
+            known = np.full(len(distinct), -1, dtype=np.int64)
+        fresh = np.flatnonzero(known < 0)
+        words = distinct.take(pa.array(fresh)).to_pylist()
+        spaced = np.array([w[0] in (32, 10) for w in words], dtype=bool)     # others: a text's first word, or a mark
+        fresh = np.concatenate((fresh[spaced], fresh[~spaced]))
+        (some, some_sizes), (rest, rest_sizes) = (self.unknown([w for w, x in zip(words, spaced) if x]),
+                                                  self.apart([w for w, x in zip(words, spaced) if not x]))
+        known[fresh] = len(self.words) + np.arange(len(fresh))
+        self.words = pa.concat_arrays([self.words, distinct.take(pa.array(fresh))])
+        self.sizes = np.concatenate((self.sizes, some_sizes, rest_sizes))
+        self.ids = np.concatenate((self.ids, some, rest))
+        self.uses = np.concatenate((self.uses, np.zeros(len(fresh), dtype=np.int64)))
+        self.uses[known] += np.bincount(codes, minlength=len(distinct))
+        # an end id behind each text
+        at_stop = np.searchsorted(bounds, stops)
+        place, ends = _gather(np.append(self.sizes, 1), np.insert(known[codes], at_stop, len(self.words)))
+        ids = np.concatenate((self.ids, self.end))[place]
+        self._forget()
+        return ids, ends[at_stop + np.arange(len(raw))]
+
+    def _forget(self) -> None:
+        if len(self.words) > CACHE_WORDS:
+            keep = np.sort(np.argsort(-self.uses, kind="stable")[:CACHE_WORDS // 2])
+            self.ids = self.ids[_gather(self.sizes, keep)[0]]
+            self.words, self.uses, self.sizes = self.words.take(pa.array(keep)), self.uses[keep] >> 1, self.sizes[keep]
+
+
+def _concatenated(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)
+
+
+def _gather(sizes: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places, in a pool of runs of ``sizes``, of the chosen runs one after the other, and where each ends."""
+    n = sizes[chosen]
+    ends = np.cumsum(n)
+    starts = np.cumsum(sizes) - sizes
+    return np.arange(int(n.sum())) + np.repeat(starts[chosen] - (ends - n), n), ends
 
 
 @lru_cache(maxsize=2)
-def encoder_of(path: str) -> Encoder:
+def encoder_of(path: str, end_id: int) -> Encoder:
     """One encoder per Python worker, kept from task to task."""
-    return Encoder(path)
+    return Encoder(path, end_id)
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
@@ -157,17 +211,16 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     """One row per piece, with its number among the pieces of its length in its task."""
     names = ["task", "doc_id", "piece", "start", "length", "ids_crc32", "rank"]
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        encoder, seen = encoder_of(tokenizer), defaultdict(int)
+        encoder, seen = encoder_of(tokenizer, end_id), defaultdict(int)
         for batch in batches:
             out = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
-                ids, at = ids + end, 0
-                for no, n in enumerate(cut_lengths(len(ids) // 4, capacity)):
-                    out.append((task, doc, no, at, n, zlib.crc32(ids[4 * at:4 * (at + n)]), seen[n]))
+                at = 0
+                for no, n in enumerate(cut_lengths(len(ids), capacity)):
+                    out.append((task, doc, no, at, n, zlib.crc32(ids[at:at + n].astype("<u4", copy=False)), seen[n]))
                     seen[n] += 1
                     at += n
             cols = list(zip(*out)) or [()] * len(names)

@@ -264,11 +264,26 @@ ODD = ["", " ", "a", " a", "a ", "a  b", "a\nb c", "a\n\nb", "a \nb", "a\n b", "
        "<|endoftext|> a <|endoftext|>", "a\r\nb c", "x\x1cy z", "1\n2 3\n4"]
 
 
-def test_encoder_equals_whole_text_tokenization():
+def test_encoder_equals_whole_text_tokenization(monkeypatch):
     enc = pk.Encoder(pk.default_tokenizer())
     rng = random.Random(6)
     texts = ODD + ["".join(rng.choice(["a", "Be", "ß", " ", "  ", "\n", "\t", "'s", "12", ".", " ", "\x1c"]) for _ in range(30)) for _ in range(400)]
-    assert list(enc.encode(texts)) == enc.whole(texts)
+    want = [[*ids, 2] for ids in map(list, enc.whole(texts))]
+    for cache in (pk.CACHE_WORDS, 10):               # also with words forgotten and learned again
+        monkeypatch.setattr(pk, "CACHE_WORDS", cache)
+        for _ in range(2):
+            assert [x.tolist() for x in enc.encode(texts)] == want
+            assert len(enc.words) <= cache
+
+
+def test_encoder_tells_joined_words_apart_by_their_bytes():
+    enc = pk.Encoder(pk.default_tokenizer())
+    words = [" straße", " a", "\nZürich", " 42", " x\ty", " ...", " it's"] * 30
+    for ids, sizes in (enc.unknown([w.encode() for w in words]), enc.apart([w.encode() for w in words])):
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [x.tolist() for x in enc.whole(words)]
+    enc.bytes[:] = 1                                 # a vocabulary that does not spell bytes: one word to a call
+    ids, sizes = enc.unknown([w.encode() for w in words])
+    assert ids.tolist() == [i for x in enc.whole(words) for i in x]
 
 
 def test_packing_is_gapless_and_tight(spark):
@@ -278,7 +293,7 @@ def test_packing_is_gapless_and_tight(spark):
     src = docs.unionByName(odd).repartition(4)
     got = pk.pack(src).collect()
     enc, end = pk.Encoder(pk.default_tokenizer()), np.array([2], dtype="<u4").tobytes()
-    ids = {r.doc_id: e + end for r in src.collect() for e in enc.whole([r.text or ""])}
+    ids = {r.doc_id: e.astype("<u4").tobytes() + end for r in src.collect() for e in enc.whole([r.text or ""])}
     by_doc, by_sequence = {}, {}
     for r in got:
         by_doc.setdefault(r.doc_id, []).append(r)
