@@ -47,8 +47,8 @@ MAX_WORDS = 4
 COVERED = 80                 # percent of a phrase's count that a longer candidate must reach to cover it
 SCORE_SCALE = 2_000_000
 TOP = 2000
-BATCH_BYTES = 8 << 20
-WORDS_PER_TASK = 1_500_000
+BATCH_BYTES = 4 << 20
+WORDS_PER_TASK = 1_000_000
 HOT = 20_000
 BLOOM_BITS = 16              # per frequent word
 BLOOM_MAX_BITS = 1 << 27     # 16 MB, whatever the vocabulary
