@@ -2,7 +2,7 @@
 
 ``load_registry`` turns a folder of registry files (CSV or zip archives) into
 Parquet tables, including the derived ``socios``, the exploded secondary
-codes and the ``_referencia`` metadata. ``run`` computes the market tables
+codes, the ``_referencia`` metadata, and the lines it rejected. ``run`` computes the market tables
 from those Parquet tables and the company's sales and leads files.
 
 Every stage is written once and read back by the next: a written table cuts
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import sys
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,20 +28,22 @@ from marketscope.plans.model import MarketModel
 from marketscope.session import shared_dir
 from marketscope.sources import registry as R
 from marketscope.sources import schemas as S
-from marketscope.sources import tables, zipsource
+from marketscope.sources import splitcsv, tables, zipsource
 from marketscope.sources.registry import Inputs
 
 BIG_TABLES = ("empresas", "estabelecimento", "socios_original", "simples")
 CODE_TABLES = ("cnae", "motivo", "municipio", "natureza_juridica", "pais", "qualificacao_socio")
 
 
-def _read_raw(spark: SparkSession, source: str, zipped: bool, partitions: int | None):
+def _staged(spark: SparkSession, source: str, zipped: bool, table: str, pad_short: bool) -> splitcsv.Load:
+    """One big table's files, read once by byte ranges into accepted rows and rejected lines."""
+    suffix = S.REGISTRY_SUFFIX[table]
+    folder, pattern = (zipsource.inflate(spark, source, suffix), "*.csv") if zipped else (source, "*" + suffix)
+    return splitcsv.load_registry_csv(spark, folder, table, shared_dir(spark, f"load_{table}"), pattern=pattern, pad_short=pad_short)
+
+
+def _code_tables(spark: SparkSession, source: str, zipped: bool):
     raw = {}
-    for name in BIG_TABLES:
-        if zipped:
-            raw[name] = zipsource.read_registry_zip(spark, source, S.REGISTRY_SCHEMAS[name], S.REGISTRY_SUFFIX[name], partitions)
-        else:
-            raw[name] = R.read_registry_csv(spark, source, name, partitions=partitions)
     # the snapshot date is in the file names: listed, not read
     suffix = S.REGISTRY_SUFFIX["empresas"]
     if zipped:
@@ -58,22 +61,34 @@ def _read_raw(spark: SparkSession, source: str, zipped: bool, partitions: int |
     return raw, dated
 
 
-def load_registry(spark: SparkSession, source: str, out: str, zipped: bool = False,
-                  partitions: int | None = None, buckets: int | None = None) -> dict[str, float]:
-    """Registry files -> Parquet tables under ``out`` (one write per table).
+def load_registry(spark: SparkSession, source: str, out: str, zipped: bool = False, buckets: int | None = None,
+                  pad_short: bool = False) -> dict[str, float]:
+    """Registry files -> Parquet tables under ``out``; returns stage seconds.
 
-    ``empresas`` and ``simples`` are bucketed by root id into ``buckets``
-    files (default: ``spark.sql.shuffle.partitions``), so the joins on the
-    root id read them without a shuffle.
+    Raw files are parsed once, into staged copies; sorted and bucketed tables are written from
+    those. Lines that do not fit go to ``_rejeitados`` (tabela, arquivo, posicao, campos, motivo,
+    registro); ``_carga`` counts accepted and rejected lines by table, file and reason
+    (``pad_short`` accepts lines with too few fields, the rest blank). ``empresas`` and
+    ``simples`` are bucketed by root id into ``buckets`` files (default: one for each
+    BUCKET_BYTES of the larger staged table), so the joins on the root id read them without a shuffle.
     """
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     times = {}
     t0 = time.time()
-    raw, dated = _read_raw(spark, source, zipped, partitions)
     root = out.rstrip("/")
+    staged = {name: _staged(spark, source, zipped, name, pad_short) for name in BIG_TABLES}
+    rejected = [load.rejected.withColumn("tabela", F.lit(name)) for name, load in staged.items()]
+    reduce(DataFrame.unionByName, rejected).write.mode("overwrite").parquet(f"{root}/_rejeitados")
+    counts = [load.counts().withColumn("tabela", F.lit(name)) for name, load in staged.items()]
+    reduce(DataFrame.unionByName, counts).coalesce(1).write.mode("overwrite").parquet(f"{root}/_carga")
+    raw, dated = _code_tables(spark, source, zipped)
+    times["staged"] = time.time() - t0
+
+    t0 = time.time()
     # The big tables are written first; everything derived reads those copies.
+    accepted = {name: load.accepted.drop("arquivo") for name, load in staged.items()}
+    buckets = buckets or max(tables.bucket_count(accepted[name]) for name in tables.BUCKETED)
     for name in ("empresas", "estabelecimento", "simples", "socios_original"):
-        df = {"empresas": R.load_empresas, "estabelecimento": R.load_estabelecimento}.get(name, lambda d: d)(raw[name])
+        df = {"empresas": R.load_empresas, "estabelecimento": R.load_estabelecimento}.get(name, lambda d: d)(accepted[name])
         if name in tables.BUCKETED:
             tables.write_bucketed_table(df, f"{root}/{name}", name, tables.BUCKETED[name], buckets)
         else:

@@ -350,9 +350,24 @@ QUERY_SQL: dict[str, str] = {
 }
 
 
+# sales lines as text: by item number some lack a field, have one too many, or no number as value
+_LINES = """(SELECT v.*, CAST("it-codigo" AS BIGINT) % 50 AS kind, CAST(valor * 0.125 AS DECIMAL(28,6)) AS eighth,
+    CASE WHEN CAST("it-codigo" AS BIGINT) % 50 = 4 THEN '"' || cliente || '",' || chr(10) || '2' ELSE cliente END AS nome FROM vendas v) l"""
+_KEYS = """'"' || "it-codigo" || '","' || familia || '","' || familia_comercial || '","' || cnpj || '","' || nome || '"'"""
+_REJECT = "CASE kind WHEN 0 THEN 'campos a menos' WHEN 1 THEN 'campos a mais' WHEN 2 THEN 'valor invalido' ELSE 'aceito' END"
+
 _RAW_ESTAB = "SELECT " + ", ".join(S.ESTABELECIMENTO_COLUMNS) + " FROM estabelecimento"
 QUERY_SQL.update({
     "s1_registry_csv_roundtrip": _RAW_ESTAB,
+    "s1_split_read": "SELECT " + ", ".join(
+        """'SALA "' || cnpj_ordem || '";' || chr(10) || nome_fantasia AS complemento""" if c == "complemento" else c
+        for c in S.ESTABELECIMENTO_COLUMNS) + " FROM estabelecimento",
+    "s4_sales_accepted": f"""SELECT "it-codigo", familia, familia_comercial, cnpj, nome AS cliente,
+    CASE WHEN kind <> 3 THEN eighth END AS valor FROM {_LINES} WHERE kind > 2""",
+    "s4_sales_rejected": f"""SELECT {_REJECT} AS motivo, CAST(CASE kind WHEN 0 THEN 5 WHEN 1 THEN 7 ELSE 6 END AS INTEGER) AS campos,
+    {_KEYS} || CASE kind WHEN 0 THEN '' WHEN 1 THEN ',' || CAST(valor * 0.125 AS DECIMAL(28,5)) || ',?' ELSE ',a combinar' END AS registro
+    FROM {_LINES} WHERE kind <= 2""",
+    "s4_load_counts": f"SELECT {_REJECT} AS situacao, CAST(count(*) AS BIGINT) AS linhas FROM {_LINES} GROUP BY 1",
     "s2_code_table": "SELECT * FROM municipio",
     "s3_zip_scan": "SELECT * FROM empresas_raw",
     "s4_sales_csv": "SELECT * FROM vendas",

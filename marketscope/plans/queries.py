@@ -18,7 +18,7 @@ from marketscope.functions import (
 from marketscope.operators import dims, enrich, kpis, lookups, market, recommend, similarity
 from marketscope.plans.model import MarketModel
 from marketscope.session import shared_dir
-from marketscope.sources import export, fixtures, manifest, registry, tables, zipsource
+from marketscope.sources import export, fixtures, manifest, registry, splitcsv, tables, zipsource
 from marketscope.sources import schemas as S
 from marketscope.streaming import ingest
 
@@ -294,6 +294,56 @@ def s1_registry_csv_roundtrip(spark, sf_dir):
     return registry.read_registry_csv(spark, path, "estabelecimento")
 
 
+@query
+def s1_split_read(spark, sf_dir):
+    """Every row has a quoted line break, separator and doubled quotes; each file is read by several tasks."""
+    raw = fixtures.raw_tables(spark, sf_dir)["estabelecimento"]
+    odd = raw.withColumn("complemento", F.concat(F.lit('SALA "'), "cnpj_ordem", F.lit('";\n'), "nome_fantasia"))
+    path = _exported(spark, sf_dir, "estabelecimento", df=odd)
+    return splitcsv.read_registry_split(spark, path, "estabelecimento", range_bytes=64 << 10)
+
+
+_SALES_LOADS: dict[tuple[str, str], splitcsv.Load] = {}
+
+
+def _sales_load(spark: SparkSession, sf_dir: str) -> splitcsv.Load:
+    """Sales lines of which some are malformed (by item number), loaded once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SALES_LOADS:
+        def quoted(c):
+            return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+        vendas = fixtures.inputs(spark, sf_dir).vendas
+        kind = F.col("`it-codigo`").cast("bigint") % 50
+        value = (F.when(kind == 2, "a combinar").when(kind == 3, "NA")
+                 .otherwise((F.col("valor") * F.lit(0.125).cast("decimal(3,3)")).cast("string")))
+        client = F.when(kind == 4, F.concat(F.lit('"'), "cliente", F.lit('",\n2'))).otherwise(F.col("cliente"))
+        fields = [*[quoted(F.col(f"`{c}`")) for c in S.VENDAS_SCHEMA.names[:4]], quoted(client)]
+        line = F.concat_ws(",", *fields, F.when(kind != 0, value), F.when(kind == 1, F.lit("?")))
+        path = shared_dir(spark, "vendas_lines")
+        vendas.select(line.alias("value")).write.mode("overwrite").text(path)
+        _SALES_LOADS[key] = splitcsv.load_sales_csv(spark, path, shared_dir(spark, "vendas_load"),
+                                                    splitcsv.Dialect(",", "UTF-8", False), range_bytes=1 << 20)
+    return _SALES_LOADS[key]
+
+
+@query
+def s4_sales_accepted(spark, sf_dir):
+    return _sales_load(spark, sf_dir).accepted.drop("arquivo")
+
+
+@query
+def s4_sales_rejected(spark, sf_dir):
+    return _sales_load(spark, sf_dir).rejected.select("motivo", "campos", "registro")
+
+
+@query
+def s4_load_counts(spark, sf_dir):
+    """Accepted and rejected lines by reason; together all lines."""
+    counts = _sales_load(spark, sf_dir).counts()
+    return counts.groupBy(F.coalesce("motivo", F.lit("aceito")).alias("situacao")).agg(F.sum("linhas").cast("bigint").alias("linhas"))
+
+
 @query
 def s2_code_table(spark, sf_dir):
     path = _exported(spark, sf_dir, "municipio")

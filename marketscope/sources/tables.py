@@ -68,6 +68,24 @@ def append_all(spark: SparkSession, chunks: list[DataFrame], path: str) -> DataF
 BUCKETED = {"empresas": "cnpj_basico", "simples": "cnpj_basico"}
 
 
+#: size of a bucket's file at most, about
+BUCKET_BYTES = 128 << 20
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files a scanned table is stored in (a listing; partitions filtered out do not count)."""
+    files = [f.rsplit("/", 1) for f in df.inputFiles()]
+    if not files:
+        return 0
+    listed = df.sparkSession.read.format("binaryFile").load(sorted({folder for folder, _ in files}))
+    return listed.agg({"length": "sum"}).first()[0] or 0
+
+
+def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for a stored table, from its bytes."""
+    return max(1, -(-stored_bytes(df) // bucket_bytes))
+
+
 def catalog_name(table: str, path: str) -> str:
     return f"ms_{table}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
 

@@ -21,7 +21,17 @@ def _export_registry(spark, folder, zipped):
 def test_load_and_run_matches_queries(spark, tmp, zipped):
     src, tables_dir, out = (os.path.join(tmp, d) for d in ("src", "tables", "out"))
     _export_registry(spark, src, zipped)
+    bad = ['"99";"short"\n', '"98";' + ";".join(['"x"'] * 11) + '\n']
+    if not zipped:
+        for name, line in zip((".EMPRECSV", ".SOCIOCSV"), bad):
+            with open(os.path.join(src, "X.K03200Y9.D30610" + name), "w") as fh:
+                fh.write(line)
     medallion.load_registry(spark, src, tables_dir, zipped=zipped)
+    rejected = [(r.tabela, r.motivo, r.registro + "\n") for r in spark.read.parquet(f"{tables_dir}/_rejeitados").collect()]
+    assert sorted(rejected) == ([] if zipped else [("empresas", "campos a menos", bad[0]), ("socios_original", "campos a mais", bad[1])])
+    load = spark.read.parquet(f"{tables_dir}/_carga").groupBy("tabela").sum("linhas").collect()
+    raw = {n: df.count() for n, df in fixtures.raw_tables(spark, SF).items()}
+    assert dict(map(tuple, load)) == {n: raw[n] + (not zipped and n in ("empresas", "socios_original")) for n in medallion.BIG_TABLES}
     meta = {r.referencia: r.valor for r in spark.read.parquet(f"{tables_dir}/_referencia").collect()}
     assert meta == {"CNPJ": "10/06/2023", "cnpj_qtde": "160"}
 
