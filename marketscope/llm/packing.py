@@ -41,12 +41,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketscope.llm.common import written
+from marketscope.llm.pool import RunPool, gather, spans
 
 CAPACITY = 1024
 END_ID = 2
@@ -90,10 +90,7 @@ class Encoder:
         for token, i in vocabulary.items():
             self.bytes[i] = len(token)
         self.end = np.array([end_id], dtype=np.uint32)
-        self.words = pa.array([], pa.binary())
-        self.uses = np.zeros(0, dtype=np.int64)
-        self.sizes = np.zeros(0, dtype=np.int64)         # ids of each cached word, and all of them in a row
-        self.ids = np.zeros(0, dtype=np.uint32)
+        self.pool = RunPool(CACHE_WORDS, self.learn)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -112,6 +109,15 @@ class Encoder:
         found = self.whole([w.decode() for w in words])
         return _concatenated(found), np.array([len(x) for x in found], dtype=np.int64)
 
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words and marks, in a row, and how many each has."""
+        spaced = np.array([w[0] in (32, 10) for w in words], dtype=bool)     # others: a text's first word, or a mark
+        (some, some_sizes), (rest, rest_sizes) = (self.unknown([w for w, x in zip(words, spaced) if x]),
+                                                  self.apart([w for w, x in zip(words, spaced) if not x]))
+        sizes = np.concatenate((some_sizes, rest_sizes))
+        order = np.argsort(np.concatenate((np.flatnonzero(spaced), np.flatnonzero(~spaced))))
+        return np.concatenate((some, rest))[gather(sizes, order)[0]], sizes[order]
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text and the end id."""
         group, size = [], 0
@@ -148,51 +154,20 @@ class Encoder:
         mark = np.flatnonzero((a == 46) | (a == 44))
         mark = mark[(mark > 0) & first[mark + 1]]
         first[mark[ASCII_WORD[a[mark - 1]]]] = True
-        bounds = np.flatnonzero(first).astype(np.int32)
-        coded = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
-        codes, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-        if len(self.words):
-            known = pc.fill_null(pc.index_in(distinct, value_set=self.words), -1).to_numpy().astype(np.int64)
-        else:
-            known = np.full(len(distinct), -1, dtype=np.int64)
-        fresh = np.flatnonzero(known < 0)
-        words = distinct.take(pa.array(fresh)).to_pylist()
-        spaced = np.array([w[0] in (32, 10) for w in words], dtype=bool)     # others: a text's first word, or a mark
-        fresh = np.concatenate((fresh[spaced], fresh[~spaced]))
-        (some, some_sizes), (rest, rest_sizes) = (self.unknown([w for w, x in zip(words, spaced) if x]),
-                                                  self.apart([w for w, x in zip(words, spaced) if not x]))
-        known[fresh] = len(self.words) + np.arange(len(fresh))
-        self.words = pa.concat_arrays([self.words, distinct.take(pa.array(fresh))])
-        self.sizes = np.concatenate((self.sizes, some_sizes, rest_sizes))
-        self.ids = np.concatenate((self.ids, some, rest))
-        self.uses = np.concatenate((self.uses, np.zeros(len(fresh), dtype=np.int64)))
-        self.uses[known] += np.bincount(codes, minlength=len(distinct))
+        bounds = np.flatnonzero(first)
+        numbers = self.pool.numbers(spans(data, bounds))
         # an end id behind each text
         at_stop = np.searchsorted(bounds, stops)
-        place, ends = _gather(np.append(self.sizes, 1), np.insert(known[codes], at_stop, len(self.words)))
-        ids = np.concatenate((self.ids, self.end))[place]
-        self._forget()
+        place, ends = gather(np.append(self.pool.sizes, 1), np.insert(numbers, at_stop, len(self.pool.sizes)))
+        ids = np.concatenate((self.pool.runs, self.end))[place]
+        self.pool.forget()
         return ids, ends[at_stop + np.arange(len(raw))]
 
-    def _forget(self) -> None:
-        if len(self.words) > CACHE_WORDS:
-            keep = np.sort(np.argsort(-self.uses, kind="stable")[:CACHE_WORDS // 2])
-            self.ids = self.ids[_gather(self.sizes, keep)[0]]
-            self.words, self.uses, self.sizes = self.words.take(pa.array(keep)), self.uses[keep] >> 1, self.sizes[keep]
-
 
 def _concatenated(parts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)
 
 
-def _gather(sizes: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places, in a pool of runs of ``sizes``, of the chosen runs one after the other, and where each ends."""
-    n = sizes[chosen]
-    ends = np.cumsum(n)
-    starts = np.cumsum(sizes) - sizes
-    return np.arange(int(n.sum())) + np.repeat(starts[chosen] - (ends - n), n), ends
-
-
 @lru_cache(maxsize=2)
 def encoder_of(path: str, end_id: int) -> Encoder:
     """One encoder per Python worker, kept from task to task."""

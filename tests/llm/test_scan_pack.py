@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from marketscope.llm import decontaminate as dec
@@ -91,6 +92,23 @@ def test_myers_is_exact():
         assert d == want and edit_search(item, text[a:b] or [-1]) == want
 
 
+def hashes_of(text):
+    return dec.WordHashes().of([text or ""])[0].tolist()
+
+
+def test_word_hashes_follow_words_whatever_the_batch(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(["A", "b1", "É", "ß", "_", " ", "\n", "\x1c", "-", "日本", "\u00a0", "."]) for _ in range(rng.randint(0, 25)))
+             for _ in range(300)]
+    for cache in (dec.CACHE_WORDS, 8):
+        monkeypatch.setattr(dec, "CACHE_WORDS", cache)
+        hashes = dec.WordHashes()
+        for _ in range(2):
+            words, offsets = hashes.of(texts)
+            for t, a, b in zip(texts, offsets, offsets[1:]):
+                assert words[a:b].tolist() == [xxhash.xxh32_intdigest(w, dec.SEED) | 1 for w in dec.WORD.findall(t.lower())], t
+
+
 def edited(rng, words, share, vocab):
     out = list(words)
     for _ in range(int(share * len(words))):
@@ -128,10 +146,10 @@ def test_decontamination_recall_and_precision(spark):
     assert sum(k in found for k in exact) == len(exact) and all(found[k] == 0 for k in exact)
     assert sum(k in found for k in near) >= 0.95 * len(near)
     assert not [k for k in found if k not in want and k[0] is not None] and (None, 0) in found
-    texts, words = dict(rows), {k: dec.word_hashes(t, {}) for k, t in items}
+    texts, words = dict(rows), {k: hashes_of(t) for k, t in items}
     for (i, k), d in found.items():
         if i is not None:
-            assert d == edit_search(words[k], dec.word_hashes(texts[i], {}))
+            assert d == edit_search(words[k], hashes_of(texts[i]))
     kept = dec.clean_documents(docs_of(spark, rows), bench)
     assert kept.columns == ["doc_id", "text", "length", "item_id"]
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if i is not None} - {i for i, _ in found}
@@ -157,6 +175,31 @@ def test_decontamination_without_items_and_with_short_ones(spark):
     assert sorted((r.doc_id, r.start_word) for r in dec.contamination(docs, short).collect()) == [(1, 0), (2, 1)]
 
 
+def test_decontamination_of_long_texts_and_items_that_linger(spark):
+    """A very long text; items of one repeated word, whose windows may never move on; items of 8 words."""
+    rng = random.Random(5)
+    vocab = [f"v{i}" for i in range(3000)]
+    items = [(1, " ".join(rng.choices(vocab, k=40))), (2, "so " * 9), (3, " ".join(rng.choices(vocab, k=8))), (4, " ".join(rng.choices(vocab, k=400)))]
+    long = rng.choices(vocab, k=200_000)
+    long[150_000:150_000] = edited(rng, items[0][1].split(), 0.1, vocab)
+    long[50:50] = items[3][1].split()
+    rows = [(1, " ".join(long)), (2, "it is so so so so so so so so so good"), (3, f"x {items[2][1]} y"), (4, "so so so so")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((r.doc_id, r.item_id) for r in dec.contamination(docs_of(spark, rows), bench).collect())
+    assert found == [(1, 1), (1, 4), (2, 2), (3, 3)]
+
+
+def test_decontamination_in_several_blocks(spark):
+    rng = random.Random(6)
+    items = [(k, " ".join(f"w{rng.randrange(900)}" for _ in range(20))) for k in range(30)]
+    rows = [(k, f"before {items[k % 30][1]} after") if k % 2 else (k, "nothing of the kind") for k in range(60)]
+    docs, bench = docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(tuple, dec.contamination(docs, bench).collect()))
+    assert sorted(map(tuple, dec.contamination(docs, bench, block_bytes=600).collect())) == one and len(one) == 30
+    kept = {r.doc_id for r in dec.clean_documents(docs, bench, block_bytes=600).collect()}
+    assert kept == {k for k in range(60) if k % 2 == 0}
+
+
 # ---- 7 language id
 
 def test_forward_backward_matches_enumeration():
@@ -264,16 +307,16 @@ ODD = ["", " ", "a", " a", "a ", "a  b", "a\nb c", "a\n\nb", "a \nb", "a\n b", "
        "<|endoftext|> a <|endoftext|>", "a\r\nb c", "x\x1cy z", "1\n2 3\n4"]
 
 
-def test_encoder_equals_whole_text_tokenization(monkeypatch):
+def test_encoder_equals_whole_text_tokenization():
     enc = pk.Encoder(pk.default_tokenizer())
     rng = random.Random(6)
     texts = ODD + ["".join(rng.choice(["a", "Be", "ß", " ", "  ", "\n", "\t", "'s", "12", ".", " ", "\x1c"]) for _ in range(30)) for _ in range(400)]
     want = [[*ids, 2] for ids in map(list, enc.whole(texts))]
     for cache in (pk.CACHE_WORDS, 10):               # also with words forgotten and learned again
-        monkeypatch.setattr(pk, "CACHE_WORDS", cache)
+        enc.pool.limit = cache
         for _ in range(2):
             assert [x.tolist() for x in enc.encode(texts)] == want
-            assert len(enc.words) <= cache
+            assert len(enc.pool.words) <= cache
 
 
 def test_encoder_tells_joined_words_apart_by_their_bytes():
