@@ -2,8 +2,11 @@
 
 Pass 1 parses each page into blocks and scores its containers: the good text of a
 container is the text of its blocks outside links and outside boilerplate
-(menus, headers, footers, sidebars, notices, adverts, forms, comments, by tag or by
-class and id words). The page's article is the outermost article or main around the
+(menus, headers, footers, sidebars, notices, adverts, forms, comments). Boilerplate is told by
+tag, by role, and by what a whole class or id name says: its last word that is more than
+a part of a layout (``comment-content``: comment; ``search-policy``: policy). Words of several
+meanings (``widget``), and a name's first word outside articles (``related-posts``), only count
+where a container holds little text or mostly links. The page's article is the outermost article or main around the
 deepest container that holds COVER of its good text, or the page if there is none. The page
 votes for the deepest container that holds all good text of its article, by
 generalised path: tags from the root, with class names whose digits are dropped.
@@ -15,8 +18,8 @@ does), boilerplate left out.
 
 Scale: a vote is one small row per page, combined map-side per (host, path), so a host
 with a third of all pages costs a few rows per task; per host TOP_PATHS paths are
-kept. The paths are joined to the pages by host: broadcast while their measured
-size allows, else a sort-merge join in which AQE splits a large host.
+kept, and written. They are joined to the pages by host: broadcast where their measured
+size is under Spark's own limit, so that no page moves; else with every host dealt to SALT tasks.
 
 Defined cases: null html counts as empty, an empty page has an empty text; pages
 without a host vote among themselves; ties go to the smaller path; repeated rows each
@@ -35,6 +38,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from marketscope.llm.common import written
+
 COVER = 0.8
 TOP_PATHS = 4
 
@@ -61,8 +66,23 @@ DROPPED_WORDS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs pagination pager header masthead topbar footer foot copyright "
     "sidebar aside rail widget related recommended notice notices cookie cookies consent gdpr alert popup modal overlay "
     "form search login signup subscribe newsletter comment comments disqus respond replies share sharing social".split())
+#: words that only say which part of a layout a name means
+LAYOUT_WORDS = frozenset(
+    "content contents text body wrapper wrap container area section block box inner outer holder panel group list items item row col "
+    "column main title heading top bottom left right bar zone slot unit module component region field fields icon icons button buttons "
+    "link links thread input count meta info primary secondary global site page".split())
+#: first words that make what follows an extra, outside articles
+EXTRA_WORDS = frozenset("related recommended sponsored sponsor promoted advert advertisement ad ads cookie newsletter share social footer "
+                        "sidebar nav menu comment comments popup modal banner".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
-KEPT_WORDS = frozenset("article content main post story entry text body".split())
+#: words that also name parts of page builders and of articles: weighed by text and links like extras
+SOFT_WORDS = frozenset("widget rail form banner alert overlay modal promo promotion share sharing social search login signup "
+                       "head header masthead topbar popup".split())
+HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: heads that within an article name its own title
+TITLE_WORDS = frozenset(("header", "head", "masthead"))
+EXTRA_CHARS = 400            # of text, beyond which an extra by its first word only must be mostly links
+SALT = 32
 WORDS = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"[0-9]+")
 
@@ -74,6 +94,7 @@ class Page:
         # containers: parallel lists; the root is number 0
         self.path, self.parent, self.depth, self.tag, self.bad = [""], [-1], [0], [""], [False]
         self.blocks: list[tuple[int, str, int]] = []          # container, text, characters in links
+        self.doubtful: set[int] = set()
         self._stack = [0]
         self._links, self._parts, self._linked = 0, [], 0
         at = 0
@@ -94,6 +115,7 @@ class Page:
         if at < len(html):
             self._text(html[at:])
         self._end_block()
+        self._settle()
 
     def _text(self, raw: str) -> None:
         text = unescape(raw) if "&" in raw else raw
@@ -141,8 +163,34 @@ class Page:
             return False
         if attributes.get("role", "").lower() in DROPPED_ROLES:
             return True
-        words = set(WORDS.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
-        return bool(words & DROPPED_WORDS) and not words & KEPT_WORDS or "comments" in words
+        names = HUMPS.sub("-", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower().split()
+        in_article = "article" in [self.tag[i] for i in self._stack]
+        for spelled in names:
+            words = WORDS.findall(spelled)
+            head = next((w for w in reversed(words) if w not in LAYOUT_WORDS), words[-1] if words else "")
+            if in_article and head in TITLE_WORDS:
+                continue
+            if head in DROPPED_WORDS and head not in SOFT_WORDS:
+                return True
+            if head in SOFT_WORDS or words and words[0] in EXTRA_WORDS and not in_article:
+                self.doubtful.add(len(self.path) - 1)
+        return False
+
+    def _settle(self) -> None:
+        """Doubtful containers are boilerplate if they hold little text, or mostly links."""
+        if not self.doubtful:
+            return
+        chars, linked = dict.fromkeys(self.doubtful, 0), dict.fromkeys(self.doubtful, 0)
+        for c, text, links in self.blocks:
+            while c >= 0:
+                if c in chars:
+                    chars[c] += len(text)
+                    linked[c] += links
+                c = self.parent[c]
+        for c, n in chars.items():
+            if n < EXTRA_CHARS or 2 * linked[c] > n:
+                inside = self._inside(lambda i, c=c: i == c)
+                self.bad = [a or b for a, b in zip(self.bad, inside)]
 
     def _close(self, name: str) -> None:
         if name in INLINE:
@@ -258,10 +306,24 @@ def host_paths(pages: DataFrame, top: int = TOP_PATHS) -> DataFrame:
         "host", F.col("r.path").alias("paths"))
 
 
+def threshold_bytes(df: DataFrame) -> int:
+    """Spark's own limit for broadcasts, in bytes (0: none)."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
+    return max(0, int(text.rstrip("kmg")) * unit)
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: one row per input row."""
     src = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"),
                        host_of().alias("host"))
-    joined = src.join(host_paths(pages), "host", "left")
+    paths = written(host_paths(pages), "host-paths")
+    size = paths.agg(F.sum(F.length("host") + 16 + F.aggregate("paths", F.lit(0), lambda a, p: a + F.length(p) + 16)).cast("long")).first()[0] or 0
+    # length in characters: at most four bytes each
+    if 4 * size <= threshold_bytes(pages):
+        joined = src.join(F.broadcast(paths), "host", "left")
+    else:
+        salted = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        joined = src.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALT)).cast("int")).join(salted, ["host", "salt"], "left")
     return (joined.select("page_id", "url", page_text_udf()("html", "paths").alias("text"))
             .select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")))

@@ -17,19 +17,22 @@ Scale: the model (HASH_SIZE x languages floats, a few hundred KB) travels in a
 closure; texts are labelled in place, without a shuffle; the recursion runs over
 all texts of a batch at once.
 
-Defined cases: a text that is null or has no letter is ``und`` with score 0; without
+Defined cases: a text that is null or has no letter (digits and other numerals are none) is ``und`` with score 0; without
 any learned language every text is; with one, it is predicted for all others;
 repeated rows get equal results; ties go to the first language in order of name; an
-empty table gives an empty result; other columns are kept by ``with_language``.
+empty table gives an empty result; other columns are kept, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +40,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from marketscope.llm.common import ROW
+
 SAMPLE_DOCS = 250
 SAMPLE_WORDS = 160
 HASH_SIZE = 1 << 15
@@ -47,7 +52,10 @@ CACHE_WORDS = 150_000
 BATCH_WORDS = 800_000
 SEED = 11
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
+LANG = "__ms_lang"
+#: numerals that are no decimal digits (fractions, superscripts, Roman ones): \w matches them, but they are no letters
+NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{re.escape(NUMERALS)}]+")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -56,14 +64,10 @@ def words_of(text: str | None) -> list[str]:
 
 def features(word: str) -> list[int]:
     """Hashed affix, n-gram and word features."""
-    w = word[:40]           # of words beyond any language's length, the first forty letters
-    marked = f"^{w}$"
-    parts = [f"w{w}"]
-    for k in range(1, min(4, len(w)) + 1):
-        parts += (f"p{w[:k]}", f"s{w[-k:]}")
-    parts += [marked[i:i + 2] for i in range(len(marked) - 1)]
-    parts += [marked[i:i + 3] for i in range(len(marked) - 2)]
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % HASH_SIZE for p in parts]
+    marked = f"^{word}$"
+    affixes = [a for k in range(1, min(4, len(word)) + 1) for a in (f"p{word[:k]}", f"s{word[-k:]}")]
+    grams = (marked[i:i + k] for k in (2, 3) for i in range(len(marked) - k + 1))
+    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % HASH_SIZE for p in chain((f"w{word}",), affixes, grams)]
 
 
 @dataclass
@@ -213,6 +217,19 @@ def gradient(model: Model, ids: list[np.ndarray], gold: np.ndarray) -> dict[str,
     return {"w": gw.astype(np.float32), "t": gt.astype(np.float32)}
 
 
+def letter_blocks(words: list[str], letters: int = 200_000) -> Iterator[list[str]]:
+    """Words of about so many letters together, or one longer one."""
+    block, size = [], 0
+    for w in words:
+        block.append(w)
+        size += len(w)
+        if size >= letters:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
 class Labeller:
     """Whole texts to (label, score), with a bounded cache of word emissions."""
 
@@ -250,7 +267,7 @@ class Labeller:
     def _flush(self, rows: list[np.ndarray], at: list[int], out: list) -> None:
         if len(self.known) > len(self.scores):
             fresh = list(self.known)[len(self.scores):]
-            blocks = [self.model.emissions(fresh[i:i + 20_000]) for i in range(0, len(fresh), 20_000)]
+            blocks = [self.model.emissions(b) for b in letter_blocks(fresh)]
             self.scores = np.concatenate([self.scores, *blocks]).astype(np.float32)
         lengths = np.array([len(r) for r in rows])
         means = posterior_means(self.model, self.scores[np.concatenate(rows)], lengths)
@@ -265,7 +282,10 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list[tuple[str,
     """(lang, text) of at most ``per_language`` documents of each language, those with the smallest hash of doc_id."""
     rows = docs.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id").alias("h"))
     slim = rows.groupBy("lang", "h").agg(F.lit(1))                    # the choice moves no text
-    top = slim.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= per_language)
+    # dealt by (lang, h), then each task's smallest ones by language: grouping the window by another
+    # expression than lang keeps Spark from dealing all rows by language at once
+    window = Window.partitionBy(F.struct("lang")).orderBy("h")
+    top = slim.withColumn("r", F.row_number().over(window)).where(F.col("r") <= per_language)
     chosen = F.lit(False)
     for lang, last in top.groupBy("lang").agg(F.max("h")).collect():
         chosen = chosen | ((F.col("lang") == lang) & (F.col("h") <= last))
@@ -275,13 +295,16 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list[tuple[str,
 
 
 def language_column(model: Model, text: Column) -> Column:
-    """struct<lang, score> of a text column."""
+    """struct<lang, score, margin> of a text column; margin is the score's way from a uniform guess (0) to certainty (1)."""
+    uniform = 1 / max(len(model.labels), 1)
 
-    @pandas_udf("lang string, score double")
+    @pandas_udf("lang string, score double, margin double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         labeller = Labeller(model)
         for texts in batches:
-            yield pd.DataFrame(labeller.label(texts.tolist()), columns=["lang", "score"])
+            out = pd.DataFrame(labeller.label(texts.tolist()), columns=["lang", "score"])
+            out["margin"] = (out["score"] - uniform).clip(lower=0.0) / (1 - uniform) if uniform < 1 else out["score"]
+            yield out
 
     return label(text)
 
@@ -292,5 +315,6 @@ def held_out(docs_id: Column) -> Column:
 
 
 def with_language(docs: DataFrame, train: DataFrame) -> DataFrame:
-    """``docs`` with one more column ``__ms_lang``: struct<lang, score>."""
-    return docs.withColumn("__ms_lang", language_column(fit(sample(train)), F.col("text")))
+    """(ROW, LANG): each row of ``docs`` as a struct, so that no name clashes, and struct<lang, score, margin>."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW)
+    return docs.select(row, language_column(fit(sample(train)), F.col("text")).alias(LANG))

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketscope.llm.chat_format import chat_format
-from marketscope.llm.common import read_table
+from marketscope.llm.common import ROW, read_table
 from marketscope.llm.decontaminate import contamination
 from marketscope.llm.exact_dedup import exact_dedup
 from marketscope.llm.html_extract import extract
-from marketscope.llm.language_id import held_out, with_language
+from marketscope.llm.language_id import LANG, held_out, with_language
 from marketscope.llm.line_dedup import line_dedup
 from marketscope.llm.packing import pack
 from marketscope.llm.phrases import collocations
@@ -50,8 +50,9 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = with_language(docs.select("doc_id", "text"), docs.where(~held_out(F.col("doc_id"))))
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
-                      F.col("__ms_lang.lang").alias("lang_pred"), F.col("__ms_lang.score").alias("score"))
+    doc_id = F.col(f"{ROW}.doc_id")
+    return out.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"),
+                      F.col(f"{LANG}.lang").alias("lang_pred"), F.col(f"{LANG}.score").alias("score"))
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

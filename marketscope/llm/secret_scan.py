@@ -9,9 +9,10 @@ Token efficiency: every run of MIN_RUN or more characters of a secret's alphabet
 encoded with a tiktoken vocabulary. Words of any language in the vocabulary take
 several characters per token, random strings little more than one: a ratio below
 RATIO is reported as kind ``token``, unless the run is a known digest or identifier
-(digest lengths of pure hex digits, UUIDs, dates and numbers without a letter), is part
-of an address (a mail address; a web address but for its user-info and query, which
-are judged) or touches a base span.
+(digest lengths of pure hex digits, UUIDs, dates and numbers without a letter) or part of a
+mail address or of a web address's host. Parts joined by full stops, as signed tokens have,
+are judged together and, where that finds nothing, one by one; so are the segments of a
+web address's path. What a base span leaves of a run is judged like a run.
 
 Scale: one pass per text inside the scan, no shuffle; the vocabulary is loaded
 once per Python worker from ``vocabulary``, a path that every executor has.
@@ -43,15 +44,16 @@ ASSIGN_CHARS, ACCESS_CHARS = 8, 16
 
 MIN_RUN = 16
 RATIO = 2.2
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_=.-]{14,}[A-Za-z0-9+/_=-])")
+PART = re.compile(r"[^./]{16,}")                     # of a run with full stops or slashes
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)          # md5, sha1, sha224, sha256, sha384, sha512
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 IDENTIFIER = re.compile(
     r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"        # uuid
     r"|[0-9]{4}-[0-9]{2}-[0-9]{2}[T_][0-9]{2,6}Z?"              # a date with a time
-    r"|[0-9+/_=-]+")                                            # dates, phone and other plain numbers
-#: the parts before and behind a web address's user-info, up to its query; a mail address
-ADDRESS = re.compile(r"""([A-Za-z][A-Za-z0-9+.-]{0,31}://)(?:[^\s/?\#@]*@)?([^\s?\#@"'<>(){}\[\],;|]*)""")
+    r"|[0-9+/_=.-]+")                                           # dates, phone and other plain numbers
+#: a web address's scheme and, behind its user-info, its host; a mail address
+ADDRESS = re.compile(r"""([A-Za-z][A-Za-z0-9+.-]{0,31}://)(?:[^\s/?\#@]*@)?([^\s/?\#@"'<>(){}\[\],;|]*)""")
 MAIL = re.compile(r"(?<![\w.%+:/-])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 
 
@@ -86,7 +88,7 @@ def excluded(run: str) -> bool:
 
 
 def addresses(text: str) -> list[tuple[int, int]]:
-    """Spans of mail addresses and of web addresses but for their user-info and query."""
+    """Spans of mail addresses, and of the schemes and hosts of web addresses."""
     out = [m.span(k) for m in ADDRESS.finditer(text) for k in (1, 2)] if "://" in text else []
     return out + [m.span() for m in MAIL.finditer(text)] if "@" in text else out
 
@@ -106,16 +108,21 @@ def parts(a: int, b: int, known: list[tuple[int, int]], first: int = 0) -> list[
 
 def token_spans(text: str, base: list[tuple[int, int, int]], enc, ratio: float = RATIO) -> list[tuple[int, int, int]]:
     """Runs of few characters per token outside the base spans and addresses."""
-    out, known, passed = [], sorted(addresses(text)), 0
+    out, passed = [], 0
+    known = sorted(addresses(text) + [(a, b) for a, _, b in base])
+
+    def random(a: int, b: int) -> bool:
+        run = text[a:b]
+        return b - a >= MIN_RUN and not excluded(run) and len(run) / len(enc.encode_ordinary(run)) < ratio
+
     for m in RUN.finditer(text):
         while passed < len(known) and known[passed][1] <= m.start():
             passed += 1
         for a, b in parts(m.start(), m.end(), known, passed):
-            run = text[a:b]
-            if excluded(run) or any(s < b and a < e for s, _, e in base):
-                continue
-            if len(run) / len(enc.encode_ordinary(run)) < ratio:
+            if random(a, b):
                 out.append((a, 3, b))
+            elif "." in text[a:b] or "/" in text[a:b]:
+                out += [(a + p.start(), 3, a + p.end()) for p in PART.finditer(text[a:b]) if random(a + p.start(), a + p.end())]
     return out
 
 
