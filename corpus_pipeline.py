@@ -3,7 +3,8 @@
 Every stage takes (spark, docs, sf_dir); its result is written as Parquet and read
 again as the next stage's docs. All but the last return the columns of documents.
 
-Defined cases: null texts and texts without letters are rejected by the first stage;
+Defined cases: null texts, texts without letters and texts in which no learned language prevails
+are rejected by the first stage;
 the operators' docstrings state the rest (empty tables, ties, repeated rows,
 further columns, which are kept up to packing).
 """
@@ -13,23 +14,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketscope.llm.common import prepare, read_table, written
+from marketscope.llm.common import ROW, prepare, read_table, written
 from marketscope.llm.decontaminate import clean_documents
-from marketscope.llm.language_id import UNKNOWN, held_out, with_language
+from marketscope.llm.language_id import LANG, UNKNOWN, held_out, with_language
 from marketscope.llm.line_dedup import without_repeats
 from marketscope.llm.packing import pack
 from marketscope.llm.simhash_dedup import keep_one
 
-#: a document stays unless no language holds even this share of its words (short or mixed clean texts stay)
-MIN_SCORE = 0.3
+#: a document stays if its language's share of it comes this far from a uniform guess (0) to certainty (1),
+#: in texts of LONG_WORDS words and more and in shorter ones, which may be names and numbers for the most part;
+#: relative, so it means the same for any number of languages. README: measured shares
+MIN_MARGIN, MIN_MARGIN_SHORT, LONG_WORDS = 0.27, 0.1, 20
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: drops documents without letters and those in which no language prevails."""
     prepare(spark)
     labelled = with_language(docs, docs.where(~held_out(F.col("doc_id"))))
-    lang = F.col("__ms_lang")
-    return labelled.where((lang["lang"] != UNKNOWN) & (lang["score"] >= MIN_SCORE)).drop("__ms_lang")
+    lang = F.col(LANG)
+    words = F.size(F.split(F.col(f"{ROW}.text"), r"\s+"))
+    least = F.when(words >= LONG_WORDS, MIN_MARGIN).otherwise(MIN_MARGIN_SHORT)
+    return labelled.where((lang["lang"] != UNKNOWN) & (lang["margin"] >= least)).select(f"{ROW}.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
