@@ -37,21 +37,18 @@ def membership_flag(rows: DataFrame, keys: DataFrame, flag: str, key: str = "cnp
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(0)).cast("int")))
 
 
-def fact_base(active_df: DataFrame, codes: DataFrame, empresas: DataFrame, simples: DataFrame,
-              leads: DataFrame, sales: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+def fact_base(active_df: DataFrame, targets: DataFrame, empresas: DataFrame, simples: DataFrame,
+              leads: DataFrame, sales: DataFrame) -> DataFrame:
     """M2 without similarity: target rows enriched, flagged, size defaulted.
 
-    ``codes`` are the customer codes (column ``cnae``). The two registry
-    joins share one partitioning on ``cnpj_basico`` (Spark keeps it between
-    them; with the bucketed registry tables neither of them moves); the flag
-    joins run on ``cnpj`` against distinct key sets. ``targets`` (the target
-    ids, e.g. the written silver table) are derived from ``codes`` when absent.
+    ``targets`` are the target ids. What is joined on ``cnpj`` (the targets, both flags) comes first, so
+    the rows are dealt by it once; the two registry joins then share one partitioning on ``cnpj_basico``
+    (with the bucketed registry tables neither of those moves).
     """
-    targets = targets if targets is not None else target_market(active_df, codes)
     rows = target_rows(active_df, targets)
-    rows = regime_enrichment(company_enrichment(rows, empresas), simples)
     rows = membership_flag(rows, leads, "possui_lead")
     rows = membership_flag(rows, sales, "atual_cliente")
+    rows = regime_enrichment(company_enrichment(rows, empresas), simples)
     return rows.select(
         "cnpj", "cnae_fiscal", "municipio", "cnpj_basico", "nome_fantasia", "razao_social",
         size_or_unknown("porte_empresa").alias("porte_empresa"), "id_regime_tributario",
@@ -63,8 +60,7 @@ def attach_similarity(fact: DataFrame, similar: DataFrame) -> DataFrame:
     return fact.join(similar.select("cnpj", "cnpj_mais_similar", "similaridade"), "cnpj", "left")
 
 
-def fact_companies(active_df: DataFrame, codes: DataFrame, empresas: DataFrame, simples: DataFrame,
-                   leads: DataFrame, sales: DataFrame, similar: DataFrame,
-                   targets: DataFrame | None = None) -> DataFrame:
+def fact_companies(active_df: DataFrame, targets: DataFrame, empresas: DataFrame, simples: DataFrame,
+                   leads: DataFrame, sales: DataFrame, similar: DataFrame) -> DataFrame:
     """M2: the gold fact, :func:`fact_base` with the most-similar columns attached."""
-    return attach_similarity(fact_base(active_df, codes, empresas, simples, leads, sales, targets), similar)
+    return attach_similarity(fact_base(active_df, targets, empresas, simples, leads, sales), similar)

@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketscope.operators.dims import municipality_names
 
 
 def measures() -> list[Column]:
@@ -37,15 +36,16 @@ def measures() -> list[Column]:
 
 
 def star_view(fact: DataFrame, dim_porte: DataFrame, dim_regime: DataFrame, dim_cnae: DataFrame,
-              dim_municipio: DataFrame) -> DataFrame:
-    """B1: the fact with its four dimensions (municipality deduplicated first,
-    because its dimension's grain is the postal code)."""
+              municipality: DataFrame) -> DataFrame:
+    """B1: the fact with its four dimensions; ``municipality`` has a row for each (``dims.municipality_names``),
+    because the dimension's grain is the postal code. Pass written dimensions through ``tables.small``:
+    then nothing is dealt by an activity or municipality that a third of the companies share."""
     cnae = dim_cnae.select(F.col("codigo").alias("cnae_fiscal"), F.col("descricao").alias("descricao_cnae"),
                            "sigla_secao", "desc_secao")
     return (fact.join(F.broadcast(dim_porte), "porte_empresa", "left")
             .join(F.broadcast(dim_regime), "id_regime_tributario", "left")
             .join(cnae, "cnae_fiscal", "left")
-            .join(municipality_names(dim_municipio), "municipio", "left"))
+            .join(municipality, "municipio", "left"))
 
 
 def kpis(star: DataFrame, by: list[str] | None = None) -> DataFrame:

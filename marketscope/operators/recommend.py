@@ -44,11 +44,14 @@ def customer_value(top: DataFrame) -> DataFrame:
 
 
 def products_for_prospects(similar: DataFrame, top: DataFrame) -> DataFrame:
-    """Each prospect gets the top items of its most similar customer."""
-    items = top.select(F.col("cnpj").alias("cnpj_mais_similar"), "`it-codigo`", "familia",
-                       "familia_comercial", "valor")
+    """Each prospect gets the top items of its most similar customer.
+
+    A customer's items are one array before the join, so a customer that a third of all prospects
+    resemble is one row there, whose many matches AQE can split; the items are unfolded afterwards.
+    """
+    items = (top.groupBy(F.col("cnpj").alias("cnpj_mais_similar"))
+             .agg(F.collect_list(F.struct("`it-codigo`", "familia", "familia_comercial", "valor")).alias("itens")))
     return (similar.where(F.col("cnpj_mais_similar").isNotNull())
             .select("cnpj", "cnpj_mais_similar", "similaridade")
             .join(items, "cnpj_mais_similar", "inner")
-            .select("cnpj", "cnpj_mais_similar", "similaridade", "`it-codigo`", "familia",
-                    "familia_comercial", "valor"))
+            .select("cnpj", "cnpj_mais_similar", "similaridade", F.inline("itens")))

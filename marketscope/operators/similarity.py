@@ -7,12 +7,15 @@ prospect sharing no code gets (NULL, 0.0).
 
 One exact plan at every size, without a cross product:
 
-* Every company's sorted code set is written once to the shared folder (cuts
-  the lineage, survives lost executors). Equal sets are scored once, for the
-  smallest id of the set on either side: a prospect's score depends on its set
-  only, and a customer with the set of a smaller id never wins. The groups
-  are combined map-side, so a set of a third of all companies is one row per
-  task.
+* Codes are numbered once (a classification, some 1,300 in the registry), so a
+  company's code set is a bit set: an array of 64-bit words, as wide as the
+  classification needs, whatever the set holds. The overlap of two sets is
+  ``bit_count`` of their words' conjunction.
+* Every company's set is written once to the shared folder (cuts the lineage,
+  survives lost executors). Equal sets are scored once, for the smallest id of
+  the set on either side: a prospect's score depends on its set only, and a
+  customer with the set of a smaller id never wins. The groups are combined
+  map-side, so a set of a third of all companies is one row per task.
 * Lower bound: per code, the customer set with the fewest codes among those
   holding it. A prospect set meets one such set per code it holds; the best
   of their exact scores, k0 / n0, is a score it really reaches.
@@ -29,7 +32,7 @@ One exact plan at every size, without a cross product:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketscope.functions import split_codes
@@ -64,23 +67,52 @@ def code_signature(codes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("n_codigos"))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def code_numbers(codes: DataFrame) -> DataFrame:
+    """(code, no): the codes in use, numbered from 0 in order, written once.
+
+    One task numbers them: a classification's codes, not companies.
+    """
+    used = codes.where(F.col("code").isNotNull()).select("code").distinct()
+    numbered = used.select("code", (F.row_number().over(Window.orderBy("code")) - 1).alias("no"))
+    return _written(numbered, "similarity_codes")
+
+
+def bit_set(numbers: str, width: int) -> Column:
+    """Array of ``width`` 64-bit words with a bit for each of an array column's numbers."""
+    words = [f"aggregate(filter({numbers}, c -> c div 64 = {w}), 0L, (a, c) -> a | shiftleft(1L, c % 64))" for w in range(width)]
+    return F.expr(f"array({', '.join(words)})")
+
+
+def overlap(one: str, other: str) -> Column:
+    """How many bits two bit sets share."""
+    common = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseAND(y)))
+    return F.aggregate(common, F.lit(0), lambda a, k: a + k).cast("bigint")
+
+
 def _code_sets(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataFrame:
-    """(cnpj, is_client, codes, n): sorted distinct code set of every company with a role, written once."""
+    """(cnpj, is_client, numbers, bits, n): the distinct codes of every company with a role, written once."""
     roles = (clients.select("cnpj").distinct().withColumn("is_client", F.lit(True))
              .unionByName(prospects.select("cnpj").distinct().withColumn("is_client", F.lit(False))))
-    sets = (codes.where(F.col("code").isNotNull()).groupBy("cnpj")
-            .agg(F.array_sort(F.collect_set("code")).alias("codes"))
-            .join(roles, "cnpj").withColumn("n", F.size("codes").cast("bigint")))
-    spark = codes.sparkSession
-    path = shared_dir(spark, "similarity_sets")
-    sets.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    known = code_numbers(codes)
+    width = max(1, -(-known.count() // 64))
+    sets = (codes.join(known, "code").groupBy("cnpj").agg(F.array_sort(F.collect_set("no")).alias("numbers"))
+            .join(roles, "cnpj")
+            .select("cnpj", "is_client", "numbers", bit_set("numbers", width).alias("bits"), F.size("numbers").cast("bigint").alias("n")))
+    return _written(sets, "similarity_sets")
 
 
-def _distinct_sets(sets: DataFrame, is_client: bool, rep: str, codes: str, n: str) -> DataFrame:
+def _distinct_sets(sets: DataFrame, is_client: bool, rep: str, prefix: str, n: str) -> DataFrame:
     """One row per code set of one side; its smallest company id stands for it."""
     side = sets.where(F.col("is_client") == is_client)
-    return side.groupBy(F.col("codes").alias(codes), F.col("n").alias(n)).agg(F.min("cnpj").alias(rep))
+    return (side.groupBy(F.col("bits").alias(f"{prefix}_bits"), F.col("n").alias(n))
+            .agg(F.min("cnpj").alias(rep), F.first("numbers").alias(f"{prefix}_numbers")))      # equal bits, equal numbers
 
 
 def _score(k: Column, n: Column) -> Column:
@@ -93,29 +125,27 @@ def _first(score: Column, *rest: Column) -> Column:
 
 
 def client_index(clients: DataFrame, prospects: DataFrame) -> DataFrame:
-    """(code, i, cliente, client_codes, n): every code of every customer set, numbered from the rarest.
+    """(no, i, cliente, client_bits, n): every code of every customer set, numbered from the rarest.
 
     Rarity is the number of prospect sets holding the code; ties by code.
     """
-    held = (prospects.select(F.explode("prospect_codes").alias("code")).groupBy("code")
+    held = (prospects.select(F.explode("prospect_numbers").alias("no")).groupBy("no")
             .agg(F.count(F.lit(1)).alias("held")))
-    ranked = (clients.select("cliente", F.explode("client_codes").alias("code")).join(held, "code", "left")
-              .groupBy("cliente")
-              .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "code")))
+    ranked = (clients.select("cliente", "client_bits", "n", F.explode("client_numbers").alias("no")).join(held, "no", "left")
+              .groupBy("cliente", "client_bits", "n")
+              .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "no")))
                    .alias("ranked")))
-    return (ranked.join(clients, "cliente")
-            .select("cliente", "client_codes", "n", F.posexplode("ranked").alias("i", "r"))
+    return (ranked.select("cliente", "client_bits", "n", F.posexplode("ranked").alias("i", "r"))
             .where(F.col("r.held") > 0)
-            .select(F.col("r.code").alias("code"), F.col("i").cast("bigint").alias("i"), "cliente", "client_codes", "n"))
+            .select(F.col("r.no").alias("no"), F.col("i").cast("bigint").alias("i"), "cliente", "client_bits", "n"))
 
 
 def lower_bounds(prospects: DataFrame, index: DataFrame) -> DataFrame:
     """(rep, k0, n0): a score every prospect set reaches, from one customer set per code."""
-    fewest = (index.groupBy("code").agg(F.min(F.struct("n", "cliente", "client_codes")).alias("c"))
-              .select("code", "c.n", "c.client_codes"))
-    k = F.size(F.array_intersect("prospect_codes", "client_codes")).cast("bigint")
-    return (prospects.withColumn("code", F.explode("prospect_codes")).join(fewest, "code")
-            .select("rep", "n", k.alias("k"))
+    fewest = (index.groupBy("no").agg(F.min(F.struct("n", "cliente", "client_bits")).alias("c"))
+              .select("no", "c.n", "c.client_bits"))
+    return (prospects.select("rep", "prospect_bits", F.explode("prospect_numbers").alias("no")).join(fewest, "no")
+            .select("rep", "n", overlap("prospect_bits", "client_bits").alias("k"))
             .groupBy("rep").agg(_first(_score(F.col("k"), F.col("n")), F.col("k"), F.col("n")).alias("b"))
             .select("rep", F.col("b.k").alias("k0"), F.col("b.n").alias("n0")))
 
@@ -123,17 +153,16 @@ def lower_bounds(prospects: DataFrame, index: DataFrame) -> DataFrame:
 def candidates(prospects: DataFrame, index: DataFrame) -> DataFrame:
     """(rep, cliente, k, n) of every pair of sets that may reach the prospect set's lower bound."""
     bounded = (prospects.join(lower_bounds(prospects, index), "rep")
-               .withColumn("code", F.explode("prospect_codes")))
+               .select("rep", "prospect_bits", "n_prospect", "k0", "n0", F.explode("prospect_numbers").alias("no")))
     can_reach = (((F.col("n") - F.col("i")) * F.col("n0") >= F.col("k0") * F.col("n"))
                  & (F.col("n_prospect") * F.col("n0") >= F.col("k0") * F.col("n")))
-    return (bounded.alias("p").join(index.alias("c"), (F.col("p.code") == F.col("c.code")) & can_reach)
-            .select("rep", "cliente", "n",
-                    F.size(F.array_intersect("prospect_codes", "client_codes")).cast("bigint").alias("k")))
+    return (bounded.alias("p").join(index.alias("c"), (F.col("p.no") == F.col("c.no")) & can_reach)
+            .select("rep", "cliente", "n", overlap("prospect_bits", "client_bits").alias("k")))
 
 
 def _sides(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (_distinct_sets(sets, False, "rep", "prospect_codes", "n_prospect"),
-            _distinct_sets(sets, True, "cliente", "client_codes", "n"))
+    return (_distinct_sets(sets, False, "rep", "prospect", "n_prospect"),
+            _distinct_sets(sets, True, "cliente", "client", "n"))
 
 
 def similarity_pairs(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataFrame:
@@ -141,16 +170,27 @@ def similarity_pairs(codes: DataFrame, clients: DataFrame, prospects: DataFrame)
 
     Columns: cnpj, cliente (smallest id of the prospects and of the customers
     with the set), intersecao, n_cliente, similaridade. Companies of one set
-    have the same scores, so no link is lost and copies are not expanded.
+    have the same scores: with :func:`set_members` no link is lost and copies are not expanded.
     """
     p, c = _sides(_code_sets(codes, clients, prospects))
-    k = (p.select(F.col("rep").alias("cnpj"), F.explode("prospect_codes").alias("code"))
-         .join(c.select("cliente", "n", F.explode("client_codes").alias("code")), "code")
+    k = (p.select(F.col("rep").alias("cnpj"), F.explode("prospect_numbers").alias("no"))
+         .join(c.select("cliente", "n", F.explode("client_numbers").alias("no")), "no")
          .groupBy("cnpj", "cliente", "n").agg(F.count(F.lit(1)).alias("k")))
     return k.select("cnpj", "cliente", F.col("k").alias("intersecao"), F.col("n").alias("n_cliente"),
                     _score(F.col("k"), F.col("n")).alias("similaridade"))
 
 
+def set_members(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataFrame:
+    """(cnpj, representante, cliente, n_codigos): the representative of every company's code set on its side.
+
+    The links of a company are those of its representative in :func:`similarity_pairs`.
+    """
+    sets = _code_sets(codes, clients, prospects)
+    first = sets.groupBy("is_client", "bits").agg(F.min("cnpj").alias("representante"))
+    return sets.join(first, ["is_client", "bits"]).select("cnpj", "representante", F.col("is_client").cast("int").alias("cliente"),
+                                                          F.col("n").alias("n_codigos"))
+
+
 def most_similar(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataFrame:
     """Best customer per prospect: (cnpj, cnpj_mais_similar, similaridade).
 
@@ -162,9 +202,9 @@ def most_similar(codes: DataFrame, clients: DataFrame, prospects: DataFrame) ->
     best = (candidates(p, client_index(c, p)).groupBy("rep")
             .agg(_first(_score(F.col("k"), F.col("n")), F.col("cliente")).alias("b")))
     per_set = (p.join(best, "rep")
-               .select(F.col("prospect_codes").alias("codes"), F.col("b.cliente").alias("cliente"),
+               .select(F.col("prospect_bits").alias("bits"), F.col("b.cliente").alias("cliente"),
                        (-F.col("b.neg")).alias("similaridade")))
-    scored = sets.where(~F.col("is_client")).join(per_set, "codes").select("cnpj", "cliente", "similaridade")
+    scored = sets.where(~F.col("is_client")).join(per_set, "bits").select("cnpj", "cliente", "similaridade")
     return (prospects.select("cnpj").distinct().join(scored, "cnpj", "left")
             .select("cnpj", F.col("cliente").alias("cnpj_mais_similar"),
                     F.coalesce(F.col("similaridade"), F.lit(0.0)).alias("similaridade")))

@@ -129,7 +129,7 @@ def run(spark: SparkSession, tables_dir: str, sales: DataFrame, leads: DataFrame
 
     m = MarketModel(spark, reg, Inputs(sales, leads), drop_blank_codes, active=bronze)
     t0 = time.time()
-    m.__dict__["client_codes"] = _write(m.client_codes, f"{root}/silver/clientes_cnaes", "cnae")
+    m.__dict__["client_codes_table"] = _write(m.client_codes, f"{root}/silver/clientes_cnaes", "cnae")
     times["silver_codes"] = time.time() - t0
     t0 = time.time()
     m.__dict__["targets"] = _write(m.targets, f"{root}/silver/cnpjs_alvo", "cnpj")

@@ -2,7 +2,10 @@
 
 One object per (registry, inputs) pair; each property is a lazy DataFrame
 plan, so a query pulls in only the stages it needs and Catalyst prunes the
-rest. Nothing here collects.
+rest. The properties named ``..._table`` (fact base, similarity, and the small code
+lists and dimensions that joins on skewed keys use) are written once to the shared
+folder, at first use: whatever reads them later starts from the copy, with its
+measured size. Nothing here collects.
 """
 
 from __future__ import annotations
@@ -12,8 +15,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketscope.operators import dims, enrich, market, recommend, similarity
+from marketscope.operators import dims, enrich, kpis, market, recommend, similarity
 from marketscope.session import shared_dir
+from marketscope.sources import tables
 from marketscope.sources.registry import Inputs, Registry
 
 
@@ -36,25 +40,31 @@ class MarketModel:
     def client_codes(self) -> DataFrame:
         return market.client_codes(self.active, self.inputs.vendas, self.drop_blank_codes)
 
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_dir(self.spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
+    def client_codes_table(self) -> DataFrame:
+        return self._stored(self.client_codes, "clientes_cnaes")
+
     @cached_property
     def targets(self) -> DataFrame:
-        return market.target_market(self.active, self.client_codes)
+        return market.target_market(self.active, tables.small(self.client_codes_table))
 
     # -------------------------------------------------------------------- gold
     @cached_property
     def fact_base(self) -> DataFrame:
         r, i = self.registry, self.inputs
-        return enrich.fact_base(self.active, self.client_codes, r.empresas, r.simples, i.leads, i.vendas,
-                                self.targets)
+        return enrich.fact_base(self.active, self.targets, r.empresas, r.simples, i.leads, i.vendas)
 
     @cached_property
     def fact_base_table(self) -> DataFrame:
         """The fact without similarity, written once to the shared folder: the
         similarity (codes, roles) and the final fact read this copy instead
         of re-running the target and enrichment joins."""
-        path = shared_dir(self.spark, "fato_base")
-        self.fact_base.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self._stored(self.fact_base, "fato_base")
 
     @cached_property
     def secondary(self) -> DataFrame:
@@ -81,9 +91,14 @@ class MarketModel:
     def similar(self) -> DataFrame:
         return similarity.most_similar(self.codes, self.clients, self.prospects)
 
+    @cached_property
+    def similar_table(self) -> DataFrame:
+        """The most similar customers, written once: the fact and the recommendations read this copy."""
+        return self._stored(self.similar, "similares")
+
     @cached_property
     def fact(self) -> DataFrame:
-        return enrich.attach_similarity(self.fact_base_table, self.similar)
+        return enrich.attach_similarity(self.fact_base_table, self.similar_table)
 
     @cached_property
     def top_products(self) -> DataFrame:
@@ -97,6 +112,19 @@ class MarketModel:
     def dim_municipio(self) -> DataFrame:
         return dims.dim_municipality(self.registry.estabelecimento, self.registry.municipio)
 
+    @cached_property
+    def dim_cnae_table(self) -> DataFrame:
+        return self._stored(self.dim_cnae, "dim_cnae")
+
+    @cached_property
+    def municipality_names_table(self) -> DataFrame:
+        return self._stored(dims.municipality_names(self.dim_municipio), "municipios")
+
+    def star(self, fact: DataFrame) -> DataFrame:
+        """B1: a fact with its dimensions; the fact does not move."""
+        return kpis.star_view(fact, self.dim_porte, self.dim_regime, tables.small(self.dim_cnae_table),
+                              tables.small(self.municipality_names_table))
+
     @cached_property
     def dim_porte(self) -> DataFrame:
         return dims.dim_size(self.spark)

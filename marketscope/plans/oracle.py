@@ -93,7 +93,8 @@ CTES: dict[str, str] = {
     "sec": f"""SELECT ck, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS lst
     FROM (SELECT o_custkey AS ck, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey
           UNION ALL SELECT {FX.SUPPLIER_BASE} + l_suppkey, l_partkey FROM lineitem) t
-    JOIN part ON p_partkey = l_partkey GROUP BY ck""",
+    JOIN part ON p_partkey = l_partkey
+    WHERE ck < {FX.SUPPLIER_BASE} OR (CAST(substr(p_brand, 7, 2) AS INTEGER) + ck - {FX.SUPPLIER_BASE}) % (2 + (ck - {FX.SUPPLIER_BASE}) % 5) = 0 GROUP BY ck""",
     "company": f"""SELECT c_custkey AS k, c_name AS name, c_nationkey AS nation, c_acctbal AS balance,
     substr(c_mktsegment, 1, 1) AS segment FROM customer
     UNION ALL SELECT {FX.SUPPLIER_BASE} + s_suppkey, s_name, s_nationkey, s_acctbal,
@@ -302,6 +303,11 @@ QUERY_SQL: dict[str, str] = {
     "m0_similarity_pairs": """SELECT cnpj, cliente, CAST(k AS BIGINT) AS intersecao, CAST(n AS BIGINT) AS n_cliente,
     CAST(k AS DOUBLE) / CAST(n AS DOUBLE) AS similaridade FROM pares
     WHERE cnpj IN (SELECT cnpj FROM representantes) AND cliente IN (SELECT cnpj FROM representantes)""",
+    "m0_set_members": """SELECT cnpj, min(cnpj) OVER (PARTITION BY lado, conjunto) AS representante,
+    CAST(lado AS INTEGER) AS cliente, CAST(n AS BIGINT) AS n_codigos FROM (
+      SELECT ec.cnpj, max(f.atual_cliente) AS lado, count(DISTINCT ec.code) AS n,
+             string_agg(DISTINCT ec.code, ',' ORDER BY ec.code) AS conjunto
+      FROM empresa_cnaes ec JOIN fato_base f ON f.cnpj = ec.cnpj GROUP BY ec.cnpj) x""",
     "m1_most_similar": "SELECT * FROM similares",
     "m2_fact_companies": "SELECT * FROM fato_empresas",
     "q1_company_profile": f"SELECT {_PROFILE_SELECT}\n    {_PROFILE_FROM}\n    WHERE t.cnpj = '00000003000100'",

@@ -38,9 +38,15 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def model(spark: SparkSession, sf_dir: str, **kw) -> MarketModel:
-    reg, inp = fixtures.load(spark, sf_dir)
-    return MarketModel(spark, reg, inp, **kw)
+_MODELS: dict[tuple[str, str], MarketModel] = {}
+
+
+def model(spark: SparkSession, sf_dir: str) -> MarketModel:
+    """One model per application and folder: what it writes (fact base, similarity) exists once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MODELS:
+        _MODELS[key] = MarketModel(spark, *fixtures.load(spark, sf_dir))
+    return _MODELS[key]
 
 
 # ------------------------------------------------------------- projections
@@ -188,9 +194,15 @@ def m0_similarity_pairs(spark, sf_dir):
     return similarity.similarity_pairs(m.codes, m.clients, m.prospects)
 
 
+@query
+def m0_set_members(spark, sf_dir):
+    m = model(spark, sf_dir)
+    return similarity.set_members(m.codes, m.clients, m.prospects)
+
+
 @query
 def m1_most_similar(spark, sf_dir):
-    return model(spark, sf_dir).similar
+    return model(spark, sf_dir).similar_table
 
 
 @query
@@ -232,11 +244,11 @@ def q5_partners_of(spark, sf_dir):
 # -------------------------------------------------------------------- BI
 def _star_base(m: MarketModel) -> DataFrame:
     """Star view of the fact before similarity: enough for all measures but the potential revenue."""
-    return kpis.star_view(m.fact_base_table, m.dim_porte, m.dim_regime, m.dim_cnae, m.dim_municipio)
+    return m.star(m.fact_base_table)
 
 
 def _star(m: MarketModel) -> DataFrame:
-    return kpis.star_view(m.fact, m.dim_porte, m.dim_regime, m.dim_cnae, m.dim_municipio)
+    return m.star(m.fact)
 
 
 @query
@@ -273,7 +285,7 @@ def b6_market_rollup(spark, sf_dir):
 @query
 def b7_products_for_prospects(spark, sf_dir):
     m = model(spark, sf_dir)
-    return recommend.products_for_prospects(m.similar, m.top_products)
+    return recommend.products_for_prospects(m.similar_table, m.top_products)
 
 
 # ------------------------------------------------------- sources and sinks

@@ -67,11 +67,14 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     nation = _read(spark, sf_dir, "nation")
 
     # Companies: every customer, and every supplier in an id range of its own. Secondary
-    # activities: all brands a customer bought, all brands a supplier sold.
+    # activities: all brands a customer bought; of the brands a supplier sold those whose number,
+    # counted on from the supplier's, is divisible by 2 to 6, so that sets overlap in part.
     brands = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
     bought = (orders.join(brands, F.col("o_orderkey") == F.col("l_orderkey"))
               .select(F.col("o_custkey").alias("ck"), "p_brand"))
-    sold = brands.select(supplier_key(F.col("l_suppkey")).alias("ck"), "p_brand")
+    brand, seller = F.substring("p_brand", 7, 2).cast("int"), F.col("l_suppkey")
+    sold = (brands.where((brand + seller) % (2 + seller % 5) == 0)
+            .select(supplier_key(seller).alias("ck"), "p_brand"))
     sec = (bought.unionByName(sold).groupBy("ck")
            .agg(F.array_join(F.array_sort(F.collect_set("p_brand")), ",").alias("lst")))
     s = F.col("s_suppkey")

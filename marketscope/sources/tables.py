@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketscope.sources.registry import Registry
@@ -68,6 +69,19 @@ def append_all(spark: SparkSession, chunks: list[DataFrame], path: str) -> DataF
 BUCKETED = {"empresas": "cnpj_basico", "simples": "cnpj_basico"}
 
 
+#: stored bytes up to which a written table is broadcast (Parquet: memory may take several times that)
+BROADCAST_BYTES = 16 << 20
+
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table, marked for broadcast if its files measure at most ``limit`` bytes.
+
+    For code lists and dimensions joined on a skewed key: the big side then never moves. A larger
+    table is left to Spark, which shuffles both sides and splits hot keys.
+    """
+    return F.broadcast(df) if stored_bytes(df) <= limit else df
+
+
 #: size of a bucket's file at most, about
 BUCKET_BYTES = 128 << 20
 
