@@ -53,6 +53,52 @@ def kpis(star: DataFrame, by: list[str] | None = None) -> DataFrame:
     return star.groupBy(*(by or [])).agg(*measures())
 
 
+SEGMENT, ACTIVITY, REGION = (["porte_empresa", "descricao_porte_empresa", "sigla_secao", "desc_secao"],
+                             ["cnae_fiscal", "sigla_secao", "desc_secao"], ["uf", "sigla_secao"])
+
+
+def sums_table(star: DataFrame) -> DataFrame:
+    """Sums of the star view by every grouping the measures use, in one pass.
+
+    Columns: conjunto (which grouping), the grouping columns (null where not of it), clientes, leads,
+    empresas. Sums can be added up further; the shares are derived from them.
+    """
+    columns = sorted({*SEGMENT, *ACTIVITY, *REGION})
+    sets = {"total": [], "atividade": ACTIVITY, "segmento": SEGMENT, "regiao": REGION, "uf": ["uf"]}
+    grouped = star.groupingSets([[F.col(c) for c in by] for by in sets.values()], *[F.col(c) for c in columns])
+    which = F.grouping_id(*columns)
+    summed = grouped.agg(which.alias("g"), F.sum("atual_cliente").cast("bigint").alias("clientes"),
+                         F.sum("possui_lead").cast("bigint").alias("leads"), F.count(F.lit(1)).cast("bigint").alias("empresas"))
+    name = F.lit(None).cast("string")
+    for label, by in sets.items():       # a bit of grouping_id is set for each column not grouped by, the first the highest
+        bits = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in by)
+        name = F.when(F.col("g") == bits, label).otherwise(name)
+    return summed.select(name.alias("conjunto"), *columns, "clientes", "leads", "empresas")
+
+
+def measures_of(sums: DataFrame, grouping: str, by: list[str] | None = None) -> DataFrame:
+    """B2/B3 from :func:`sums_table`; without any company one row of empty measures."""
+    rows = sums.where(F.col("conjunto") == grouping).groupBy(*(by or [])).agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("clientes", "leads", "empresas")])
+    total = F.coalesce("empresas", F.lit(0).cast("bigint"))
+    return rows.select(
+        *(by or []), F.col("clientes").alias("atendidos"), (F.col("empresas") - F.col("clientes")).alias("potencial"),
+        F.try_divide(F.col("clientes").cast("double"), F.col("empresas").cast("double")).alias("cobertura"), "leads",
+        F.try_divide(F.col("leads").cast("double"), F.col("empresas").cast("double")).alias("pct_leads"), total.alias("empresas"))
+
+
+def segment_volume_of(sums: DataFrame) -> DataFrame:
+    """B4 from :func:`sums_table`."""
+    return sums.where("conjunto = 'segmento'").select(*SEGMENT, "empresas")
+
+
+def rollup_of(sums: DataFrame) -> DataFrame:
+    """B6 from :func:`sums_table`: by state and section, by state, in all."""
+    level = F.when(F.col("conjunto") == "total", 3).when(F.col("conjunto") == "uf", 1).otherwise(0)
+    return sums.where(F.col("conjunto").isin("regiao", "uf", "total")).select(
+        *REGION, "clientes", "leads", F.col("empresas").alias("mercado"), level.cast("int").alias("nivel"))
+
+
 def volume_by_size_segment(star: DataFrame) -> DataFrame:
     """Active target companies by size and section."""
     return (star.groupBy("porte_empresa", "descricao_porte_empresa", "sigla_secao", "desc_secao")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketscope.operators.semijoin import bloom_semi_join
 from marketscope.sources.schemas import BRONZE_COLUMNS
 
 ACTIVE = "02"
@@ -36,10 +37,11 @@ def distinct_keys(df: DataFrame, column: str = "cnpj", alias: str | None = None)
 def client_codes(active_df: DataFrame, sales: DataFrame, drop_blank_codes: bool = False) -> DataFrame:
     """Distinct primary codes of active establishments that are customers.
 
+    Active rows are thinned out by a Bloom filter of the customer ids before they are dealt by id.
     Output column ``cnae``. A blank code ('') is kept in parity mode (it is not
     NULL); ``drop_blank_codes`` removes it.
     """
-    codes = (active_df.join(distinct_keys(sales), "cnpj", "left_semi")
+    codes = (bloom_semi_join(active_df, sales, "cnpj")
              .select(F.col("cnae_fiscal").alias("cnae"))
              .where(F.col("cnae").isNotNull()))
     if drop_blank_codes:

@@ -92,7 +92,8 @@ def load_registry(spark: SparkSession, source: str, out: str, zipped: bool = Fal
         if name in tables.BUCKETED:
             tables.write_bucketed_table(df, f"{root}/{name}", name, tables.BUCKETED[name], buckets)
         else:
-            tables.write_table(df, f"{root}/{name}", sort_by=tables.SORT_KEYS.get(name, "cnpj_basico"))
+            tables.write_table(df, f"{root}/{name}", sort_by=tables.SORT_KEYS.get(name, "cnpj_basico"),
+                               bloom=tables.BLOOM_COLUMNS.get(name, ()))
     tables.write_layout(spark, root, buckets)
     for name in CODE_TABLES:
         tables.write_table(raw[name].coalesce(1), f"{root}/{name}")
@@ -101,7 +102,7 @@ def load_registry(spark: SparkSession, source: str, out: str, zipped: bool = Fal
     t0 = time.time()
     estab = spark.read.parquet(f"{root}/estabelecimento")
     socios = R.head_office_partners(spark.read.parquet(f"{root}/socios_original"), estab)
-    tables.write_table(socios, f"{root}/socios", sort_by="cnpj")
+    tables.write_table(socios, f"{root}/socios", sort_by="cnpj", bloom=tables.BLOOM_COLUMNS["socios"])
     tables.write_table(similarity.explode_codes(estab), f"{root}/cnae_secundaria", sort_by="cnpj")
     R.snapshot_metadata(dated, estab).coalesce(1).write.mode("overwrite").parquet(f"{root}/_referencia")
     times["derived"] = time.time() - t0

@@ -125,6 +125,11 @@ class MarketModel:
         return kpis.star_view(fact, self.dim_porte, self.dim_regime, tables.small(self.dim_cnae_table),
                               tables.small(self.municipality_names_table))
 
+    @cached_property
+    def sums_table(self) -> DataFrame:
+        """The measures' sums by every grouping, one pass over the fact, written once."""
+        return self._stored(kpis.sums_table(self.star(self.fact_base_table)), "somas")
+
     @cached_property
     def dim_porte(self) -> DataFrame:
         return dims.dim_size(self.spark)

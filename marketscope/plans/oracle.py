@@ -382,6 +382,11 @@ QUERY_SQL.update({
     "s7_parquet_roundtrip": "SELECT * FROM fato_empresas",
     "s9_table_append": "SELECT * FROM estabelecimento",
     "s9_table_replace": "SELECT * FROM estabelecimento WHERE matriz_filial <> '1'",
+    "s9_atomic_replace": "SELECT * FROM estabelecimento WHERE matriz_filial <> '1'",
+    "s10_empty_table": "SELECT * FROM socios_original",
+    "s12_snapshot_reload": """SELECT '13/05/2023' AS snapshot, cnpj_basico, razao_social, capital_social_str
+    FROM empresas_raw WHERE natureza_juridica <> '2062'
+    UNION ALL SELECT '10/06/2023', cnpj_basico, razao_social, capital_social_str FROM empresas_raw""",
     "s14_archive_manifest": f"""SELECT familia, CAST(esperados AS BIGINT) AS esperados,
     CAST(CASE WHEN familia IN ('Empresas', 'Socios') THEN esperados ELSE 0 END AS BIGINT) AS encontrados,
     familia IN ('Empresas', 'Socios') AS completo
@@ -397,5 +402,8 @@ QUERY_SQL.update({
 })
 
 
+QUERY_SQL["q2_clustered_lookup"] = QUERY_SQL["q2_city_postal_lookup"]
+
+
 def oracle_queries() -> dict[str, str]:
     return {name: with_ctes(sql) for name, sql in QUERY_SQL.items()}

@@ -8,6 +8,7 @@ and run over whole tables. Parameters of the point lookups are fixture ids
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -221,6 +222,26 @@ def q2_city_postal_lookup(spark, sf_dir):
     return lookups.city_postal_lookup(fixtures.registry(spark, sf_dir), CITY, STATE, CEP_PREFIX)
 
 
+CLUSTERED_FILES = 200
+_CLUSTERED: dict[tuple[str, str], str] = {}
+
+
+def clustered_path(spark: SparkSession, sf_dir: str) -> str:
+    """The establishments in files clustered by place, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CLUSTERED:
+        e = fixtures.registry(spark, sf_dir).estabelecimento
+        _CLUSTERED[key] = tables.write_clustered(e, shared_dir(spark, "estabelecimento_places"), tables.location_key(), CLUSTERED_FILES)
+    return _CLUSTERED[key]
+
+
+@query
+def q2_clustered_lookup(spark, sf_dir):
+    """The lookup by city, state and postal prefix on establishments clustered by place."""
+    reg = replace(fixtures.registry(spark, sf_dir), estabelecimento=spark.read.parquet(clustered_path(spark, sf_dir)))
+    return lookups.city_postal_lookup(reg, CITY, STATE, CEP_PREFIX)
+
+
 @query
 def q3_legal_nature(spark, sf_dir):
     return lookups.companies_by_legal_nature(fixtures.registry(spark, sf_dir), LEGAL_NATURES)
@@ -242,11 +263,6 @@ def q5_partners_of(spark, sf_dir):
 
 
 # -------------------------------------------------------------------- BI
-def _star_base(m: MarketModel) -> DataFrame:
-    """Star view of the fact before similarity: enough for all measures but the potential revenue."""
-    return m.star(m.fact_base_table)
-
-
 def _star(m: MarketModel) -> DataFrame:
     return m.star(m.fact)
 
@@ -258,17 +274,17 @@ def b1_star_view(spark, sf_dir):
 
 @query
 def b2_kpis_overall(spark, sf_dir):
-    return kpis.kpis(model(spark, sf_dir).fact_base_table)
+    return kpis.measures_of(model(spark, sf_dir).sums_table, "total")
 
 
 @query
 def b3_coverage_by_activity(spark, sf_dir):
-    return kpis.kpis(_star_base(model(spark, sf_dir)), ["cnae_fiscal", "sigla_secao", "desc_secao"])
+    return kpis.measures_of(model(spark, sf_dir).sums_table, "atividade", kpis.ACTIVITY)
 
 
 @query
 def b4_volume_by_size_segment(spark, sf_dir):
-    return kpis.volume_by_size_segment(_star_base(model(spark, sf_dir)))
+    return kpis.segment_volume_of(model(spark, sf_dir).sums_table)
 
 
 @query
@@ -279,7 +295,7 @@ def b5_potential_revenue_by_region(spark, sf_dir):
 
 @query
 def b6_market_rollup(spark, sf_dir):
-    return kpis.market_rollup(_star_base(model(spark, sf_dir)))
+    return kpis.rollup_of(model(spark, sf_dir).sums_table)
 
 
 @query
@@ -410,6 +426,38 @@ def s9_table_replace(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
+@query
+def s9_atomic_replace(spark, sf_dir):
+    """A catalog table is replaced by switching its location to a copy written aside."""
+    e = fixtures.registry(spark, sf_dir).estabelecimento
+    root = shared_dir(spark, "estabelecimento_versions")
+    name = tables.catalog_name("estabelecimento", root)
+    for chunk in (e.where(F.col("matriz_filial") == "1"), e.where(F.col("matriz_filial") != "1")):
+        out = tables.replace_table(chunk, name, root)
+    return out
+
+
+@query
+def s10_empty_table(spark, sf_dir):
+    """A table created empty with a fixed schema, then filled."""
+    path = shared_dir(spark, "socios_original")
+    tables.create_empty_table(spark, path, S.REGISTRY_SCHEMAS["socios_original"])
+    return tables.read_table(spark, tables.write_table(fixtures.raw_tables(spark, sf_dir)["socios_original"], path, mode="append"))
+
+
+@query
+def s12_snapshot_reload(spark, sf_dir):
+    """Two snapshots of the companies in one table; the later one is loaded twice and stands there once."""
+    raw = fixtures.raw_tables(spark, sf_dir)["empresas"]
+    path, table = shared_dir(spark, "empresas_snapshots"), shared_dir(spark, "empresas_table")
+    for snapshot, part in (("D30513", raw.where("natureza_juridica <> '2062'")), ("D30610", raw)):
+        export.write_registry_files(part, f"{path}/{snapshot}", S.REGISTRY_SUFFIX["empresas"], snapshot=snapshot)
+    for snapshot in ("D30513", "D30610", "D30610"):
+        rows = registry.read_registry_csv(spark, f"{path}/{snapshot}", "empresas")
+        tables.write_snapshot(rows, table, registry.snapshot_date(F.col("_metadata.file_name")))
+    return spark.read.parquet(table).select("snapshot", "cnpj_basico", "razao_social", "capital_social_str")
+
+
 @query
 def s14_archive_manifest(spark, sf_dir):
     """Two complete families of archives (ten parts each, as a snapshot has) in one folder; the others are missing."""

@@ -183,7 +183,11 @@ def with_snapshot_date(df: DataFrame, column: str = "snapshot_date") -> DataFram
     return df.withColumn(column, snapshot_date(F.col("_metadata.file_name")))
 
 
-def snapshot_metadata(dated: DataFrame, estabelecimento: DataFrame, default: str = "xx/xx/2024",
+#: fixed value: what the reference row holds where no file name has a date
+NO_SNAPSHOT = "xx/xx/2024"
+
+
+def snapshot_metadata(dated: DataFrame, estabelecimento: DataFrame, default: str = NO_SNAPSHOT,
                       date_column: str = "snapshot_date") -> DataFrame:
     """The ``_referencia`` table: snapshot date and establishment count, as text.
 

@@ -8,10 +8,11 @@ reads few files and Parquet min/max statistics skip the other row groups.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,16 +27,99 @@ SORT_KEYS = {
 }
 
 
+# Ids looked up one at a time in tables sorted by another column.
+BLOOM_COLUMNS = {
+    "empresas": ("cnpj_basico",),
+    "estabelecimento": ("cnpj", "cnpj_basico"),
+    "socios": ("cnpj_cpf_socio", "nome_socio", "cnpj_basico"),
+}
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", sort_by: str | None = None,
-                files: int | None = None) -> str:
-    """Write Parquet (modes: overwrite, append, ignore, error)."""
+                files: int | None = None, bloom: tuple[str, ...] = (), row_group_bytes: int | None = None) -> str:
+    """Write Parquet (modes: overwrite, append, ignore, error).
+
+    ``bloom`` columns get Bloom filters in the files: a lookup by one of them reads the row
+    groups that may hold the id, whatever the sort order (the source's other indexes).
+    """
     if sort_by:
         df = (df.repartitionByRange(files, sort_by) if files else df.repartitionByRange(sort_by))
         df = df.sortWithinPartitions(sort_by)
-    df.write.mode(mode).parquet(path)
+    writer = df.write.mode(mode)
+    for c in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.adaptive.enabled#{c}", "true")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    writer.parquet(path)
     return path
 
 
+def interleaved(columns: list[Column], bits: int = 16) -> Column:
+    """Z-order key: the lowest ``bits`` bits of whole-number columns, interleaved; the first column's lead."""
+    out = F.lit(0).cast("long")
+    n = len(columns)
+    if n * bits > 63:
+        raise ValueError(f"{n} columns of {bits} bits do not fit a long")
+    for k, c in enumerate(columns):
+        value = F.greatest(F.lit(0), F.least(F.coalesce(c, F.lit(0)), F.lit((1 << bits) - 1))).cast("long")
+        for b in range(bits):
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(value, b).bitwiseAND(1), n * b + n - 1 - k))
+    return out
+
+
+def location_key() -> Column:
+    """Clustering key of establishments over (uf, municipio, cep), each spread over 16 bits.
+
+    Codes and postal codes are numbers; a state's letters are taken as base 36 digits.
+    """
+    state = F.conv(F.upper("uf"), 36, 10).cast("long") * 50
+    city = F.expr("try_cast(municipio as long)") * 6
+    postal = (F.expr("try_cast(cep as long)") / 1600).cast("long")
+    return interleaved([state, city, postal])
+
+
+def write_clustered(df: DataFrame, path: str, key: Column, files: int) -> str:
+    """``files`` files clustered by ``key``, each sorted by it, so that a lookup by any of its columns skips files."""
+    name = "__ms_cluster"
+    (df.withColumn(name, key).repartitionByRange(files, name).sortWithinPartitions(name).drop(name)
+     .write.mode("overwrite").parquet(path))
+    return path
+
+
+def write_snapshot(df: DataFrame, path: str, snapshot: Column, column: str = "snapshot") -> str:
+    """Rows under one folder per snapshot date; loading a snapshot again replaces that folder alone."""
+    df.withColumn(column, snapshot).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    return path
+
+
+def replace_table(df: DataFrame, name: str, root: str) -> DataFrame:
+    """Replace a catalog table as a whole or not at all.
+
+    Rows are written to a folder of their own; only then the table's location is switched to it and the old
+    folder dropped. A failed write leaves the table as it was.
+    """
+    spark = df.sparkSession
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("error").parquet(path)
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
+        return spark.table(name)
+    old = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+    schema = spark.table(name).schema
+    if schema.simpleString() != df.schema.simpleString():
+        raise ValueError(f"{name} has other columns: {schema.simpleString()}")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    _delete(spark, old)
+    return spark.table(name)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Drop a folder this package wrote, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Parquet scan (lazy; filters and columns are pushed into it)."""
     return spark.read.parquet(path)
@@ -136,7 +220,7 @@ def save_registry(r: Registry, root: str, buckets: int | None = None) -> dict[st
         if buckets and name in BUCKETED:
             write_bucketed_table(getattr(r, name), path, name, BUCKETED[name], buckets)
         else:
-            write_table(getattr(r, name), path, sort_by=SORT_KEYS.get(name))
+            write_table(getattr(r, name), path, sort_by=SORT_KEYS.get(name), bloom=BLOOM_COLUMNS.get(name, ()))
         out[name] = path
     if buckets:
         write_layout(r.empresas.sparkSession, root, buckets)

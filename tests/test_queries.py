@@ -2,7 +2,7 @@ import pytest
 
 from tests.oracle_compare import compare, duck
 
-SF = "/root/testdata/sf0.001"
+SF, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 def test_entry_smoke(spark):
@@ -18,20 +18,25 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(queries()) and set(QUERIES) <= set(oracle_sql())
 
 
-FAST = ["p1_active_establishments", "j4_client_codes", "j5_target_market", "w1_top5_products",
-        "m1_most_similar", "m2_fact_companies", "d2_dim_municipality", "q3_legal_nature",
-        "b2_kpis_overall", "b6_market_rollup", "s13_snapshot_metadata", "s3_zip_scan", "q1_company_profile", "q2_city_postal_lookup",
-        "b5_potential_revenue_by_region", "b7_products_for_prospects", "s9_table_replace", "s14_archive_manifest",
-        "m0_similarity_pairs", "s4_sales_csv", "s5_leads_csv", "s16_stream_ingest", "b3_coverage_by_activity"]
+def _names():
+    from marketscope.plans.queries import QUERIES
+    return sorted(QUERIES)
 
 
-@pytest.mark.parametrize("name", FAST)
-def test_matches_oracle_sf0001(spark, name):
+@pytest.mark.parametrize("name", _names())
+def test_matches_oracle(spark, name):
     from __spark_entry__ import oracle_sql, queries
-    res = compare(spark, SF, name, queries()[name], oracle_sql()[name], duck(SF))
+    res = compare(spark, SF01, name, queries()[name], oracle_sql()[name], duck(SF01))
     assert res["status"] == "match", res
 
 
+def test_similarity_scores_differ(spark):
+    """The fixture can tell a right similarity from a wrong one: many scores, most below 1."""
+    from __spark_entry__ import queries
+    scores = [r.similaridade for r in queries()["m1_most_similar"](spark, SF01).collect()]
+    assert len(set(scores)) >= 10 and sum(s < 1 for s in scores) > 0.9 * len(scores)
+
+
 def test_plans(spark):
     from __spark_entry__ import queries
     q = queries()
