@@ -76,8 +76,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list: (node, root), root = smallest node reachable.
 
     Alternating large-star and small-star steps. Each step is a group-by minimum
-    (combined map-side, so a hub costs one row per task) and an equi-join; every
-    step is written to the shared folder. Nodes without an edge are not returned.
+    (combined map-side, so a hub costs one row per task) and an equi-join that brings the
+    minimum back to the edges, in which AQE splits the edges of a hub beyond its skew
+    threshold; every step is written to the shared folder. Nodes without an edge are not returned.
     """
     pairs = F.struct(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
     cur = written(edges.where(F.col(a) != F.col(b)).select(pairs.alias("p")).select("p.*").distinct(), "edges")

@@ -13,8 +13,9 @@ sequences and the pieces over half the capacity reach the incumbent, or when the
 pieces were open before with as few sequences; ``lower_bound`` ends the search. The first dive
 takes the least-waste filling of every sequence (SEARCH_NODES nodes each; without a
 proof of least waste beyond), as often as the histogram allows; later dives depart from earlier
-ones by one other filling or number of times, those near the start first. Branches are all
-fillings beside which no open piece fits (the first SEARCH_NODES nodes of them).
+ones by one other filling or number of times, those near the start first. Branches are the
+undominated fillings: no open piece fits beside them, nor in the place of one or two
+smaller pieces of theirs (the first SEARCH_NODES nodes of them).
 After PLAN_NODES nodes (a length looked at in a sequence, or a step of the search for
 fillings) the incumbent stands, and may then have more sequences than needed; without
 either limit met the plan is a best one.
@@ -287,15 +288,36 @@ def complete(room: int, lengths: list[int], counts: dict[int, int], nodes: int =
     return best
 
 
+def dominated(filled: list[tuple[int, int]], left: int, lengths: list[int], counts: dict[int, int]) -> bool:
+    """Whether one open piece could take the place of one or two smaller pieces of the filling.
+
+    A packing with such a filling is no better than the one in which the larger piece stands here and the
+    smaller ones stand in the larger one's place, so it need not be branched on.
+    """
+    used = dict(filled)
+    spare = [n for n in lengths if counts[n] > used.get(n, 0)]
+
+    def fits(least: int, most: int) -> bool:
+        at = bisect_right(spare, least - 1)
+        return at < len(spare) and spare[at] <= most
+
+    own = sorted(used)
+    return (any(fits(y + 1, y + left) for y in own)
+            or any(fits(y + z, y + z + left) for i, y in enumerate(own) for z in own[i:] if y != z or used[y] > 1))
+
+
 def fillings(room: int, lengths: list[int], counts: dict[int, int], most: int, nodes: int = SEARCH_NODES) -> tuple[list[tuple], int]:
-    """(fillings of ``room`` that leave at most ``most`` and no open piece fits beside, least waste first; search nodes used)."""
+    """(undominated fillings of ``room`` that leave at most ``most``, least waste first; search nodes used).
+
+    No open piece fits beside such a filling, nor in the place of one or two of its pieces.
+    """
     out, budget = [], nodes
 
     def search(left: int, top: int, filled: list[tuple[int, int]], passed: int) -> None:
         nonlocal budget
         budget -= 1
         top = min(top, bisect_right(lengths, left))
-        if left <= most and left < passed:
+        if left <= most and left < passed and not dominated(filled, left, lengths, counts):
             out.append((left, tuple(filled)))
         for i in range(top - 1, -1, -1):
             n = lengths[i]

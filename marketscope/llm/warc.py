@@ -4,7 +4,7 @@ Writer: one gzip member per record; a task rolls to a new file at ROLL_BYTES.
 File names are unique per attempt and only a finished task's files reach the
 manifest table, so retried tasks leave no doubles behind.
 
-Reader: one task per archive reads it front to back. Members are inflated
+Reader: an archive is read front to back by one task (a task may have several). Members are inflated
 incrementally (``zlib.decompressobj`` fed with READ_BYTES), blocks are framed by
 Content-Length, and block and payload digests are verified while the bytes
 stream by; only a record's header, or its payload when asked for, is held.
@@ -12,7 +12,8 @@ stream by; only a record's header, or its payload when asked for, is held.
 Defined cases: a null payload is empty; a record without page id or url is
 written without that header and read back as null; of equal payloads of at least
 ``min_bytes`` bytes every row with the largest page id is a response (repeated
-rows stay repeated), the others revisit it; an empty table writes no archive.
+rows stay repeated), the others revisit it; an empty table writes no archive; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

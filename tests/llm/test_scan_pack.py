@@ -477,6 +477,34 @@ def test_packing_is_gapless_and_tight(spark):
     assert pk.pack(docs.where("false")).count() == 0
 
 
+def test_packing_ignores_columns_of_its_own_names(spark):
+    rows = [(1, "a few words", 5, "x"), (None, None, 6, "y"), (1, "a few words", 7, "z"), (2, "long " * 30_000, 8, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length int, sequence_id string")
+    got = pk.pack(docs).collect()
+    assert sorted((r.doc_id or 0, r.piece) for r in got)[:3] == [(0, 0), (1, 0), (1, 0)]
+    assert sum(r.length for r in got if r.doc_id == 2) == len(pk.Encoder(pk.default_tokenizer()).whole(["long " * 30_000])[0]) + 1
+
+
+def test_dominated_fillings_are_not_branched_on():
+    lengths, counts = [10, 20, 30, 50, 60], {10: 2, 20: 2, 30: 1, 50: 1, 60: 1}
+    assert pk.dominated([(50, 1), (20, 1)], 10, lengths, counts)          # 60 fits in the place of 50
+    assert pk.dominated([(20, 1), (10, 1)], 0, lengths, counts)           # 30 in the place of 20 and 10
+    assert pk.dominated([(10, 2)], 0, lengths, counts)                    # 20 in the place of two 10s
+    assert not pk.dominated([(60, 1), (20, 1)], 0, lengths, counts)
+    found, _ = pk.fillings(80, lengths, counts, 80)
+    assert ((60, 1), (20, 1)) in found and ((60, 1), (10, 2)) not in found and ((50, 1), (20, 1), (10, 1)) not in found
+
+
+def test_secret_scan_and_language_of_very_long_texts(spark):
+    rng = random.Random(13)
+    key = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789") for _ in range(40))
+    text = "the words of a text " * 100_000 + key + " and of the end " * 50_000
+    row, = sec.secret_scan(docs_of(spark, [(1, text)])).collect()
+    assert row.spans == f"token:{text.index(key)}:{text.index(key) + 40}"
+    docs = spark.createDataFrame([(1, "the of and to " * 300_000, "en"), (2, "der die und das " * 10, "de")], "doc_id long, text string, lang string")
+    assert {r[0].doc_id: r[1].lang for r in lid.with_language(docs, docs).collect()} == {1: "en", 2: "de"}
+
+
 def test_plan_reaches_the_optimum_of_small_cases():
     def optimum(lengths, capacity):
         best = [len(lengths)]
