@@ -27,7 +27,6 @@ their names.
 from __future__ import annotations
 
 import re
-import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -53,13 +52,16 @@ BATCH_WORDS = 800_000
 SEED = 11
 UNKNOWN = "und"
 LANG = "__ms_lang"
-#: numerals that are no decimal digits (fractions, superscripts, Roman ones): \w matches them, but they are no letters
-NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{re.escape(NUMERALS)}]+")
+WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """Lower-cased runs of letters."""
+    words = WORD.findall(text.lower()) if text else []
+    if not text or text.isascii() or all(map(str.isalpha, words)):
+        return words
+    # \w also matches numerals that are no digits (fractions, superscripts, Roman ones): they are no letters
+    return [w for word in words for w in "".join(c if c.isalpha() else " " for c in word).split()]
 
 
 def features(word: str) -> list[int]:
