@@ -23,8 +23,9 @@ One exact plan at every size, without a cross product:
   numbered from the rarest among prospect sets; if the code at position i (of
   n, from 0) is the first one shared, at most n - i are shared. The equi-join
   on the code therefore keeps (n - i) / n >= k0 / n0 and |P| / n >= k0 / n0
-  (length bound), compared as whole numbers. A frequent code stands last in
-  its sets, so it forms pairs only where nothing rarer could be shared.
+  (length bound), compared as whole numbers, and only if no code in front of
+  it is shared: a pair is formed once. A frequent code stands last in
+  its sets, so it forms pairs only where nothing rarer is shared.
 * The join is a plain equi-join: Spark broadcasts a side of small measured
   size, otherwise AQE splits a hot code's partition. Scores are reduced to one
   row per prospect set map-side, before the shuffle.
@@ -32,6 +33,8 @@ One exact plan at every size, without a cross product:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,10 +93,16 @@ def bit_set(numbers: str, width: int) -> Column:
     return F.expr(f"array({', '.join(words)})")
 
 
-def overlap(one: str, other: str) -> Column:
-    """How many bits two bit sets share."""
-    common = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseAND(y)))
-    return F.aggregate(common, F.lit(0), lambda a, k: a + k).cast("bigint")
+def overlap(one: str, other: str, width: int) -> Column:
+    """How many bits two bit sets of ``width`` words share (one compiled expression, no loop)."""
+    shared = [F.bit_count(F.col(one)[w].bitwiseAND(F.col(other)[w])) for w in range(width)]
+    return reduce(Column.__add__, shared).cast("bigint")
+
+
+def width_of(sets: DataFrame) -> int:
+    """Words of the bit sets of a written table."""
+    row = sets.select(F.size("bits")).first()
+    return row[0] if row else 1
 
 
 def _code_sets(codes: DataFrame, clients: DataFrame, prospects: DataFrame) -> DataFrame:
@@ -125,9 +134,10 @@ def _first(score: Column, *rest: Column) -> Column:
 
 
 def client_index(clients: DataFrame, prospects: DataFrame) -> DataFrame:
-    """(no, i, cliente, client_bits, n): every code of every customer set, numbered from the rarest.
+    """(no, i, cliente, client_bits, before, n): every code of every customer set, numbered from the rarest.
 
-    Rarity is the number of prospect sets holding the code; ties by code.
+    Rarity is the number of prospect sets holding the code; ties by code. ``before`` holds the bits of
+    the codes in front of it.
     """
     held = (prospects.select(F.explode("prospect_numbers").alias("no")).groupBy("no")
             .agg(F.count(F.lit(1)).alias("held")))
@@ -135,29 +145,32 @@ def client_index(clients: DataFrame, prospects: DataFrame) -> DataFrame:
               .groupBy("cliente", "client_bits", "n")
               .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "no")))
                    .alias("ranked")))
-    return (ranked.select("cliente", "client_bits", "n", F.posexplode("ranked").alias("i", "r"))
+    before = F.expr("transform(client_bits, (b, w) -> aggregate(filter(slice(sorted, 1, i), c -> c div 64 = w), 0L, "
+                    "(a, c) -> a | shiftleft(1L, c % 64)))")
+    return (ranked.select("cliente", "client_bits", "n", F.col("ranked.no").alias("sorted"), F.posexplode("ranked").alias("i", "r"))
             .where(F.col("r.held") > 0)
-            .select(F.col("r.no").alias("no"), F.col("i").cast("bigint").alias("i"), "cliente", "client_bits", "n"))
+            .select(F.col("r.no").alias("no"), F.col("i").cast("bigint").alias("i"), "cliente", "client_bits", before.alias("before"), "n"))
 
 
-def lower_bounds(prospects: DataFrame, index: DataFrame) -> DataFrame:
+def lower_bounds(prospects: DataFrame, index: DataFrame, width: int) -> DataFrame:
     """(rep, k0, n0): a score every prospect set reaches, from one customer set per code."""
     fewest = (index.groupBy("no").agg(F.min(F.struct("n", "cliente", "client_bits")).alias("c"))
               .select("no", "c.n", "c.client_bits"))
     return (prospects.select("rep", "prospect_bits", F.explode("prospect_numbers").alias("no")).join(fewest, "no")
-            .select("rep", "n", overlap("prospect_bits", "client_bits").alias("k"))
+            .select("rep", "n", overlap("prospect_bits", "client_bits", width).alias("k"))
             .groupBy("rep").agg(_first(_score(F.col("k"), F.col("n")), F.col("k"), F.col("n")).alias("b"))
             .select("rep", F.col("b.k").alias("k0"), F.col("b.n").alias("n0")))
 
 
-def candidates(prospects: DataFrame, index: DataFrame) -> DataFrame:
-    """(rep, cliente, k, n) of every pair of sets that may reach the prospect set's lower bound."""
-    bounded = (prospects.join(lower_bounds(prospects, index), "rep")
+def candidates(prospects: DataFrame, index: DataFrame, width: int) -> DataFrame:
+    """(rep, cliente, k, n) of every pair of sets that may reach the prospect set's lower bound, each once (at its rarest shared code)."""
+    bounded = (prospects.join(lower_bounds(prospects, index, width), "rep")
                .select("rep", "prospect_bits", "n_prospect", "k0", "n0", F.explode("prospect_numbers").alias("no")))
     can_reach = (((F.col("n") - F.col("i")) * F.col("n0") >= F.col("k0") * F.col("n"))
-                 & (F.col("n_prospect") * F.col("n0") >= F.col("k0") * F.col("n")))
+                 & (F.col("n_prospect") * F.col("n0") >= F.col("k0") * F.col("n"))
+                 & (overlap("prospect_bits", "before", width) == 0))
     return (bounded.alias("p").join(index.alias("c"), (F.col("p.no") == F.col("c.no")) & can_reach)
-            .select("rep", "cliente", "n", overlap("prospect_bits", "client_bits").alias("k")))
+            .select("rep", "cliente", "n", overlap("prospect_bits", "client_bits", width).alias("k")))
 
 
 def _sides(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -199,7 +212,7 @@ def most_similar(codes: DataFrame, clients: DataFrame, prospects: DataFrame) ->
     """
     sets = _code_sets(codes, clients, prospects)
     p, c = _sides(sets)
-    best = (candidates(p, client_index(c, p)).groupBy("rep")
+    best = (candidates(p, client_index(c, p), width_of(sets)).groupBy("rep")
             .agg(_first(_score(F.col("k"), F.col("n")), F.col("cliente")).alias("b")))
     per_set = (p.join(best, "rep")
                .select(F.col("prospect_bits").alias("bits"), F.col("b.cliente").alias("cliente"),

@@ -47,7 +47,7 @@ def _code_tables(spark: SparkSession, source: str, zipped: bool):
     # the snapshot date is in the file names: listed, not read
     suffix = S.REGISTRY_SUFFIX["empresas"]
     if zipped:
-        names = spark.createDataFrame([(m.member,) for m in zipsource.list_members(source, suffix)], "arquivo string")
+        names = spark.createDataFrame([(m.member,) for m in zipsource.list_members(spark, source, suffix)], "arquivo string")
     else:
         names = (spark.read.format("binaryFile").option("pathGlobFilter", "*" + suffix).load(source)
                  .select(F.element_at(F.split("path", "/"), -1).alias("arquivo")))

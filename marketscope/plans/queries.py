@@ -495,8 +495,7 @@ def u1_union_chunks(spark, sf_dir):
     raw = fixtures.raw_tables(spark, sf_dir)["estabelecimento"]
     first = _exported(spark, sf_dir, "estabelecimento", df=raw.where(F.col("matriz_filial") == "1"))
     second = _exported(spark, sf_dir, "estabelecimento", df=raw.where(F.col("matriz_filial") != "1"))
-    one = registry.read_registry_csv(spark, first, "estabelecimento")
-    two = registry.read_registry_csv(spark, second, "estabelecimento")
+    one, two = (splitcsv.read_registry_split(spark, path, "estabelecimento") for path in (first, second))
     return one.unionByName(two)
 
 

@@ -1,7 +1,7 @@
 """S3: read the CSV members of the registry's zip archives.
 
-The driver lists the archives' members (zip central directories only). Tasks
-then only inflate: each streams members into text parts of about ``part_bytes``
+A task per archive lists its members (zip central directories only). A task per member,
+the largest first, then only inflates: it streams into text parts of about ``part_bytes``
 in the shared checkpoint folder, cut at line ends outside quotes. The S1 dialect
 reader parses the parts, so one member becomes many scan tasks.
 
@@ -40,20 +40,37 @@ BLOCK_BYTES = 1 << 20
 class ZipMember(NamedTuple):
     archive: str
     member: str
+    size: int
 
 
-def list_members(path: str, suffix: str) -> list[ZipMember]:
-    """Archive members to read: only the zip central directories are read."""
+MEMBERS = "archive string, member string, size long"
+
+
+def _members_of(archive: str, pattern: str) -> list[ZipMember]:
+    with files.open_input(archive) as fh, zipfile.ZipFile(fh) as z:
+        return [ZipMember(archive, m.filename, m.file_size) for m in z.infolist() if fnmatch.fnmatch(m.filename, pattern)]
+
+
+def list_members(spark: SparkSession, path: str, suffix: str) -> list[ZipMember]:
+    """Archive members to read, the largest first: a task per archive reads its central directory only."""
+    archives = [(a,) for a in files.list_files(path) if a.endswith(".zip")]
+    if not archives:
+        return []
+    ship_package(spark)
     pattern = "*" + suffix
-    out = []
-    for archive in files.list_files(path):
-        if not archive.endswith(".zip"):
-            continue
-        with files.open_input(archive) as fh, zipfile.ZipFile(fh) as z:
-            for m in z.namelist():
-                if fnmatch.fnmatch(m, pattern):
-                    out.append(ZipMember(archive, m))
-    return out
+
+    def read(batches):
+        import pandas as pd
+        for pdf in batches:
+            yield pd.DataFrame([m for a in pdf["archive"] for m in _members_of(a, pattern)], columns=list(ZipMember._fields))
+
+    found = _one_task_each(spark, archives, "archive string").mapInPandas(read, MEMBERS)
+    return sorted((ZipMember(*r) for r in found.collect()), key=lambda m: (-m.size, m.archive, m.member))
+
+
+def _one_task_each(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A partition for each row (dealt one by one from a single partition)."""
+    return spark.createDataFrame(rows, schema).coalesce(1).repartition(len(rows))
 
 
 def _record_end(block: bytes, quoted: bool) -> int:
@@ -113,7 +130,7 @@ def inflate(spark: SparkSession, path: str, suffix: str, part_bytes: int = PART_
     ship_package(spark)
     folder = shared_dir(spark, "inflated")
     files.make_dirs(folder)
-    members = list_members(path, suffix)
+    members = list_members(spark, path, suffix)
     if members:
         def write(batches):
             import pandas as pd
@@ -123,7 +140,7 @@ def inflate(spark: SparkSession, path: str, suffix: str, part_bytes: int = PART_
                 yield pd.DataFrame({"partes": [inflate_member(ZipMember(*row), folder, part_bytes, attempt)
                                                for row in pdf.itertuples(index=False, name=None)]})
 
-        spark.createDataFrame(members, "archive string, member string").mapInPandas(write, "partes long").agg({"partes": "sum"}).collect()
+        _one_task_each(spark, members, MEMBERS).mapInPandas(write, "partes long").agg({"partes": "sum"}).collect()
     return folder
 
 

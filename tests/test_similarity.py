@@ -117,8 +117,10 @@ def test_bound_forms_few_pairs(spark):
     clients, prospects = [f"r{i:03d}" for i in range(100)], [f"p{i:03d}" for i in range(50)]
     codes = [(c, f"rare{i % 50}") for i, c in enumerate(clients)] + [(p, f"rare{i}") for i, p in enumerate(prospects)]
     codes += [(c, k) for i, c in enumerate(clients) for k in frequent[i % 7:]] + [(p, k) for p in prospects for k in frequent]
-    p, c = similarity._sides(similarity._code_sets(*frames(spark, codes, clients, prospects)))
-    assert similarity.candidates(p, similarity.client_index(c, p)).count() <= 2 * len(prospects)
+    sets = similarity._code_sets(*frames(spark, codes, clients, prospects))
+    p, c = similarity._sides(sets)
+    pairs = similarity.candidates(p, similarity.client_index(c, p), similarity.width_of(sets)).collect()
+    assert len(pairs) <= 2 * len(prospects) and len({(r.rep, r.cliente) for r in pairs}) == len(pairs)
     assert run(spark, codes, clients, prospects) == brute_force(codes, clients, prospects)
 
 
