@@ -97,9 +97,9 @@ class Model:
 
 
 def posterior_means(model: Model, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Mean posterior of each label over each sequence: forward-backward over all sequences at once.
+    """Mean posterior of each label over each sequence, and, in a last column, the mean of each word's largest posterior.
 
-    ``scores`` holds the sequences one after another; every length is at least 1.
+    Forward-backward over all sequences at once. ``scores`` holds the sequences one after another; every length is at least 1.
     """
     k = len(model.labels)
     order = np.argsort(-lengths, kind="stable")
@@ -116,7 +116,7 @@ def posterior_means(model: Model, scores: np.ndarray, lengths: np.ndarray) -> np
         alpha = (alpha[:m] @ a if t else alpha[:m]) * e[at]
         alpha /= alpha.sum(axis=1, keepdims=True)
         alphas[at] = alpha
-    sums = np.zeros((len(n), k))
+    sums = np.zeros((len(n), k + 1))
     beta = np.empty((0, k), dtype=e.dtype)
     back = a.T.copy()
     for t in range(int(n[0]) - 1, -1, -1):
@@ -127,8 +127,10 @@ def posterior_means(model: Model, scores: np.ndarray, lengths: np.ndarray) -> np
             grown /= grown.sum(axis=1, keepdims=True)
         beta = grown
         post = alphas[first[:m] + t] * beta
-        sums[:m] += post / post.sum(axis=1, keepdims=True)
-    out = np.empty((len(n), k))
+        post /= post.sum(axis=1, keepdims=True)
+        sums[:m, :k] += post
+        sums[:m, k] += post.max(axis=1)
+    out = np.empty((len(n), k + 1))
     out[order] = sums / n[:, None]
     return out
 
@@ -243,8 +245,9 @@ class Labeller:
         self.known: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.model.labels)), dtype=np.float32)
 
-    def label(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
+    def label(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """(language, its mean posterior, mean of each word's largest posterior) of each text."""
+        out: list[tuple[str, float, float]] = [(UNKNOWN, 0.0, 0.0)] * len(texts)
         if not self.model.labels:
             return out
         rows, at, size = [], [], 0
@@ -274,8 +277,8 @@ class Labeller:
         lengths = np.array([len(r) for r in rows])
         means = posterior_means(self.model, self.scores[np.concatenate(rows)], lengths)
         for i, m in zip(at, means):
-            j = int(m.argmax())
-            out[i] = (self.model.labels[j], float(min(1.0, max(0.0, m[j]))))
+            j = int(m[:-1].argmax())
+            out[i] = (self.model.labels[j], float(min(1.0, max(0.0, m[j]))), float(min(1.0, max(0.0, m[-1]))))
         if len(self.known) > CACHE_WORDS:
             self._reset()
 
@@ -297,15 +300,20 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> list[tuple[str,
 
 
 def language_column(model: Model, text: Column) -> Column:
-    """struct<lang, score, margin> of a text column; margin is the score's way from a uniform guess (0) to certainty (1)."""
+    """struct<lang, score, certainty> of a text column.
+
+    certainty: the way from a uniform guess (0) to certainty (1) of the words' own languages on
+    average, whichever they are: code-switched text is as certain as text in one language.
+    """
     uniform = 1 / max(len(model.labels), 1)
 
-    @pandas_udf("lang string, score double, margin double")
+    @pandas_udf("lang string, score double, certainty double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         labeller = Labeller(model)
         for texts in batches:
-            out = pd.DataFrame(labeller.label(texts.tolist()), columns=["lang", "score"])
-            out["margin"] = (out["score"] - uniform).clip(lower=0.0) / (1 - uniform) if uniform < 1 else out["score"]
+            out = pd.DataFrame(labeller.label(texts.tolist()), columns=["lang", "score", "certainty"])
+            if uniform < 1:
+                out["certainty"] = (out["certainty"] - uniform).clip(lower=0.0) / (1 - uniform)
             yield out
 
     return label(text)
@@ -317,6 +325,6 @@ def held_out(docs_id: Column) -> Column:
 
 
 def with_language(docs: DataFrame, train: DataFrame) -> DataFrame:
-    """(ROW, LANG): each row of ``docs`` as a struct, so that no name clashes, and struct<lang, score, margin>."""
+    """(ROW, LANG): each row of ``docs`` as a struct, so that no name clashes, and struct<lang, score, certainty>."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW)
     return docs.select(row, language_column(fit(sample(train)), F.col("text")).alias(LANG))
