@@ -3,7 +3,7 @@
 Every stage takes (spark, docs, sf_dir); its result is written as Parquet and read
 again as the next stage's docs. All but the last return the columns of documents.
 
-Defined cases: null texts, texts without letters and texts in which no learned language prevails
+Defined cases: null texts, texts without letters and long texts of no learned language
 are rejected by the first stage;
 the operators' docstrings state the rest (empty tables, ties, repeated rows,
 further columns, which are kept up to packing).
@@ -21,20 +21,20 @@ from marketscope.llm.line_dedup import without_repeats
 from marketscope.llm.packing import pack
 from marketscope.llm.simhash_dedup import keep_one
 
-#: a document stays if its language's share of it comes this far from a uniform guess (0) to certainty (1),
-#: in texts of LONG_WORDS words and more and in shorter ones, which may be names and numbers for the most part;
-#: relative, so it means the same for any number of languages. README: measured shares
-MIN_MARGIN, MIN_MARGIN_SHORT, LONG_WORDS = 0.27, 0.1, 20
+#: a text of LONG_WORDS words or more stays if its words are this certain of their own languages, on the way from a
+#: uniform guess (0) to certainty (1): code-switched text is certain, random letters are not; shorter ones stay.
+#: Relative, so it means the same for any number of languages. README: measured values
+MIN_CERTAINTY, LONG_WORDS = 0.7, 20
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: drops documents without letters and those in which no language prevails."""
+    """Operator 7: drops documents without letters and those whose words are of no learned language."""
     prepare(spark)
     labelled = with_language(docs, docs.where(~held_out(F.col("doc_id"))))
     lang = F.col(LANG)
     words = F.size(F.split(F.col(f"{ROW}.text"), r"\s+"))
-    least = F.when(words >= LONG_WORDS, MIN_MARGIN).otherwise(MIN_MARGIN_SHORT)
-    return labelled.where((lang["lang"] != UNKNOWN) & (lang["margin"] >= least)).select(f"{ROW}.*")
+    certain = (words < LONG_WORDS) | (lang["certainty"] >= MIN_CERTAINTY)
+    return labelled.where((lang["lang"] != UNKNOWN) & certain).select(f"{ROW}.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
