@@ -265,7 +265,7 @@ def test_language_id_held_out_accuracy_and_edge_cases(spark):
     mixed = lid.Labeller(model).label([" ".join(words[0] + words[1])])[0]
     assert 0.4 < mixed[1] < 0.65 and mixed[2] > 0.9                    # code-switched: half and half, and certain of it
     assert lid.Labeller(lid.fit([])).label(["abc", None]) == [("und", 0.0, 0.0)] * 2
-    assert lid.Labeller(lid.fit([("en", "one")])).label(["abc", "1"]) == [("en", 1.0), ("und", 0.0)]
+    assert lid.Labeller(lid.fit([("en", "one")])).label(["abc", "1"]) == [("en", 1.0, 1.0), ("und", 0.0, 0.0)]
 
 
 def test_language_id_judges_whole_words_and_clashing_names(spark):
