@@ -27,11 +27,9 @@ their names.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -64,12 +62,35 @@ def words_of(text: str | None) -> list[str]:
     return [w for word in words for w in "".join(c if c.isalpha() else " " for c in word).split()]
 
 
-def features(word: str) -> list[int]:
-    """Hashed affix, n-gram and word features."""
-    marked = f"^{word}$"
-    affixes = [a for k in range(1, min(4, len(word)) + 1) for a in (f"p{word[:k]}", f"s{word[-k:]}")]
-    grams = (marked[i:i + k] for k in (2, 3) for i in range(len(marked) - k + 1))
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % HASH_SIZE for p in chain((f"w{word}",), affixes, grams)]
+def _mixed(salt: int, *symbols: np.ndarray) -> np.ndarray:
+    """Hash of each row of symbols, in [0, HASH_SIZE)."""
+    h = np.full(len(symbols[0]), salt, dtype=np.uint64)
+    for c in symbols:
+        h = (h ^ c) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return ((h >> np.uint64(24)) % np.uint64(HASH_SIZE)).astype(np.int64)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed affix, n-gram and word features of all words, word after word, and how many each has."""
+    letters = np.array([len(w) for w in words], dtype=np.int64)
+    c = np.frombuffer("".join([f"^{w}$" for w in words]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    starts = np.cumsum(letters + 2) - (letters + 2)
+    owner = np.repeat(np.arange(len(words)), letters + 2)
+    power = np.full(int(letters.max(initial=0)) + 2, 0x100000001B3, dtype=np.uint64).cumprod()
+    whole = np.add.reduceat(c * power[np.arange(len(c)) - starts[owner]], starts)
+    found = [(np.arange(len(words)), _mixed(1, whole))]
+    for k in (1, 2, 3, 4):
+        some = np.flatnonzero(letters >= k)
+        first, last = starts[some] + 1, starts[some] + letters[some]
+        found.append((some, _mixed(10 + k, *[c[first + j] for j in range(k)])))
+        found.append((some, _mixed(20 + k, *[c[last - j] for j in range(k)])))
+    for k in (2, 3):
+        at = np.flatnonzero(owner[:len(c) - k + 1] == owner[k - 1:])
+        found.append((owner[at], _mixed(30 + k, *[c[at + j] for j in range(k)])))
+    owners = np.concatenate([o for o, _ in found])
+    order = np.argsort(owners, kind="stable")
+    return np.concatenate([f for _, f in found])[order], np.bincount(owners, minlength=len(words))
 
 
 @dataclass
@@ -79,21 +100,21 @@ class Model:
     transitions: np.ndarray = field(repr=False)    # (labels, labels) scores
     lexicon: dict[str, int] = field(repr=False)
 
-    def feature_ids(self, word: str) -> list[int]:
-        ids = features(word)
-        lab = self.lexicon.get(word)
-        if lab is not None:
-            ids.append(HASH_SIZE + lab)
-        return ids
+    def feature_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Features and lexicon entries of the words, word after word, and how many each has."""
+        flat, sizes = features(words)
+        known = np.array([self.lexicon.get(w, -1) for w in words], dtype=np.int64)
+        some = np.flatnonzero(known >= 0)
+        flat = np.insert(flat, np.cumsum(sizes)[some], HASH_SIZE + known[some])
+        sizes[some] += 1
+        return flat, sizes
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Scores (words, labels)."""
         if not words:
             return np.zeros((0, len(self.labels)), dtype=np.float32)
-        ids = [self.feature_ids(w) for w in words]
-        ends = np.cumsum([len(i) for i in ids])
-        flat = np.fromiter((x for i in ids for x in i), dtype=np.int64, count=int(ends[-1]))
-        return np.add.reduceat(self.weights[flat], np.concatenate(([0], ends[:-1])), axis=0)
+        flat, sizes = self.feature_ids(words)
+        return np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes, axis=0)
 
 
 def posterior_means(model: Model, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -173,7 +194,8 @@ def fit(texts: list[tuple[str, str]], seed: int = SEED) -> Model:
                 at += len(take)
         seq_words.append(row)
     vocab = {w: i for i, w in enumerate(sorted({w for r in seq_words for w in r}))}
-    ids = [np.array(model.feature_ids(w)) for w in vocab]
+    flat, sizes = model.feature_ids(list(vocab))
+    ids = np.split(flat, np.cumsum(sizes)[:-1])
     seq_ids = np.array([[vocab[w] for w in r] for r in seq_words])
     params = {"w": model.weights, "t": model.transitions}
     mom = {p: [np.zeros_like(v), np.zeros_like(v)] for p, v in params.items()}

@@ -270,8 +270,12 @@ def test_language_id_held_out_accuracy_and_edge_cases(spark):
 
 def test_language_id_judges_whole_words_and_clashing_names(spark):
     a, b = "x" * 60 + "ing", "x" * 60 + "ung"
-    assert lid.features(a) != lid.features(b) and lid.words_of("m² ½ ab2c") == ["m", "ab", "c"]
-    assert len(lid.features("q" * 100_000)) > 200_000
+    assert lid.features([a])[0].tolist() != lid.features([b])[0].tolist() and lid.words_of("m² ½ ab2c") == ["m", "ab", "c"]
+    assert lid.features(["q" * 100_000])[1][0] > 200_000
+    words = ["a", "ßé", "über", a, b, "a", "zu"]
+    flat, sizes = lid.features(words)                     # together as one by one: 1 word, 2 affixes a length, n-grams
+    assert flat.tolist() == [i for w in words for i in lid.features([w])[0].tolist()]
+    assert sizes.tolist() == [1 + 2 * min(4, len(w)) + (len(w) + 1) + len(w) for w in words]
     docs = spark.createDataFrame([(1, "the of and", "en", 1.0), (2, "der die das " * 50_000, "de", 2.0), (3, "z" * 300_000, None, 3.0)],
                                  f"doc_id long, text string, lang string, {lid.LANG} double")
     out = {r[0].doc_id: r for r in lid.with_language(docs, docs).collect()}
