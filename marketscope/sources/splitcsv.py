@@ -34,6 +34,10 @@ from marketscope.sources import schemas as S
 
 RANGE_BYTES = 64 << 20
 BLOCK_BYTES = 4 << 20
+# What a range's last record is read on by, beyond the range.
+TAIL_BYTES = 64 << 10
+# Small ranges share a task up to about so many bytes; files too small for MIN_TASKS such tasks go by single ranges.
+TASK_BYTES, MIN_TASKS = 32 << 20, 64
 QUOTE, NEWLINE, RETURN = 34, 10, 13
 CORRUPT = "__ms_corrupt"
 
@@ -74,8 +78,11 @@ def byte_ranges(spark: SparkSession, path: str, pattern: str = "*", range_bytes:
 
 
 def _spread(ranges: DataFrame) -> DataFrame:
-    """A task for each range."""
-    return ranges.repartition(max(ranges.count(), 1))
+    """A task for each range; small ranges of large files share tasks, so that tasks and the files they write grow with
+    the bytes, whatever the ranges' size."""
+    count, size = ranges.agg(F.count(F.lit(1)), F.sum(F.col("stop") - F.col("start"))).first()
+    tasks = max(MIN_TASKS, 2 * ranges.sparkSession.sparkContext.defaultParallelism, -(-(size or 0) // TASK_BYTES))
+    return ranges.repartition(max(min(count, tasks), 1))
 
 
 def _count_quotes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +114,7 @@ def range_records(fh, start: int, stop: int, inside: bool, sep: str, block_bytes
         fh.seek(0)
     held, held_fields = b"", 0                       # the record begun but not ended, and the separators in it
     while True:
-        block = fh.read(block_bytes)
+        block = fh.read(min(block_bytes, stop - at if at < stop else TAIL_BYTES))
         if not block:
             if begun and held and at - len(held) < stop:
                 yield _block(held, np.array([0]), np.array([len(held)]), np.array([held_fields + 1]), at - len(held))
