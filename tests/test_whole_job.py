@@ -47,6 +47,8 @@ def sold(spark, tmp_path_factory):
 # query -> columns looked at, and all its rows
 WHOLE = {
     "g2_company_codes": (("cnpj", "code"), [(IDS[c], code) for c in LISTS for code in [PRIMARY, *brands(c)]]),
+    "g3_code_signature": (("cnpj", "codigos", "n_codigos"),
+                          [(IDS[c], ",".join([PRIMARY, *brands(c)]), 1 + len(LISTS[c])) for c in LISTS]),
 }
 
 
