@@ -49,6 +49,7 @@ WHOLE = {
     "g2_company_codes": (("cnpj", "code"), [(IDS[c], code) for c in LISTS for code in [PRIMARY, *brands(c)]]),
     "g3_code_signature": (("cnpj", "codigos", "n_codigos"),
                           [(IDS[c], ",".join([PRIMARY, *brands(c)]), 1 + len(LISTS[c])) for c in LISTS]),
+    "m1_most_similar": (("cnpj", "cnpj_mais_similar", "similaridade"), [(S0, C1, 1.0), (S5, C1, 2 / 3)]),
 }
 
 
