@@ -52,6 +52,8 @@ WHOLE = {
     "m1_most_similar": (("cnpj", "cnpj_mais_similar", "similaridade"), [(S0, C1, 1.0), (S5, C1, 2 / 3)]),
     "m2_fact_companies": (("cnpj", "cnpj_mais_similar", "similaridade"), [(C1, None, None), (C2, None, None), (S0, C1, 1.0), (S5, C1, 2 / 3)]),
     "q3_legal_nature": (("nome_fantasia", "cnae_fiscal_secundaria"), lists("c2", "s0")),      # head offices only
+    "b1_star_view": (("cnpj", "uf", "cnpj_mais_similar", "similaridade"),
+                     [(C1, "U1", None, None), (C2, "U1", None, None), (S0, "U1", C1, 1.0), (S5, "U1", C1, 2 / 3)]),
 }
 
 
