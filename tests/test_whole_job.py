@@ -56,6 +56,7 @@ WHOLE = {
                      [(C1, "U1", None, None), (C2, "U1", None, None), (S0, "U1", C1, 1.0), (S5, "U1", C1, 2 / 3)]),
     "b5_potential_revenue_by_region": (("uf", "prospects", "receita_potencial"), [("U1", 2, 60.0)]),      # twice what c1 bought
     "s1_registry_csv_roundtrip": (("nome_fantasia", "cnae_fiscal_secundaria"), lists(*LISTS)),
+    "s7_parquet_roundtrip": (("cnpj", "cnpj_mais_similar", "similaridade"), [(C1, None, None), (C2, None, None), (S0, C1, 1.0), (S5, C1, 2 / 3)]),
 }
 
 
