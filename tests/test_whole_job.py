@@ -57,6 +57,7 @@ WHOLE = {
     "b5_potential_revenue_by_region": (("uf", "prospects", "receita_potencial"), [("U1", 2, 60.0)]),      # twice what c1 bought
     "s1_registry_csv_roundtrip": (("nome_fantasia", "cnae_fiscal_secundaria"), lists(*LISTS)),
     "s7_parquet_roundtrip": (("cnpj", "cnpj_mais_similar", "similaridade"), [(C1, None, None), (C2, None, None), (S0, C1, 1.0), (S5, C1, 2 / 3)]),
+    "s9_table_append": (("nome_fantasia", "cnae_fiscal_secundaria"), lists(*LISTS)),
 }
 
 
