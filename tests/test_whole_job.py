@@ -58,6 +58,7 @@ WHOLE = {
     "s1_registry_csv_roundtrip": (("nome_fantasia", "cnae_fiscal_secundaria"), lists(*LISTS)),
     "s7_parquet_roundtrip": (("cnpj", "cnpj_mais_similar", "similaridade"), [(C1, None, None), (C2, None, None), (S0, C1, 1.0), (S5, C1, 2 / 3)]),
     "s9_table_append": (("nome_fantasia", "cnae_fiscal_secundaria"), lists(*LISTS)),
+    "s9_table_replace": (("nome_fantasia", "cnae_fiscal_secundaria"), lists("c1", "s5")),      # branches replace head offices
 }
 
 
