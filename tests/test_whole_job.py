@@ -5,6 +5,7 @@ Order 3 is of a customer and brand 15 of a supplier that the tables do not hold.
 """
 
 import datetime
+import random
 
 import pytest
 
@@ -24,10 +25,22 @@ def lists(*companies):
     return [(c, ",".join(brands(c))) for c in companies]
 
 
+def write(spark, at, tables):
+    for name, (rows, ddl) in tables.items():
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{at}/{name}.parquet")
+    return at
+
+
+def sql_of(at):
+    con = duck("/nowhere")
+    for table in ("nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{at}/{table}.parquet/*.parquet')")
+    return con
+
+
 @pytest.fixture(scope="module")
 def sold(spark, tmp_path_factory):
-    at = str(tmp_path_factory.mktemp("whole"))
-    tables = {
+    return write(spark, str(tmp_path_factory.mktemp("whole")), {
         "nation": ([(1, "N1", 0)], "n_nationkey int, n_name string, n_regionkey int"),
         "customer": ([(1, "c1", 1, 5.0, "AUTO"), (2, "c2", 1, 5.0, "AUTO")],
                      "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
@@ -38,10 +51,7 @@ def sold(spark, tmp_path_factory):
                       (3, 12, 0, 1.0), (3, 14, 0, 1.0), (3, 11, 5, 1.0)],
                      "l_orderkey long, l_partkey long, l_suppkey long, l_extendedprice double"),
         "events": ([(1, datetime.datetime(2023, 5, 1), 2, "signup")], "event_id long, ts timestamp, user_id long, event_type string"),
-    }
-    for name, (rows, ddl) in tables.items():
-        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{at}/{name}.parquet")
-    return at
+    })
 
 
 # query -> columns looked at, and all its rows
@@ -78,9 +88,32 @@ def test_spark_works_on_whole_lists(spark, sold, name):
 def test_sql_works_on_whole_lists(sold, name):
     from marketscope.plans.oracle import oracle_queries
 
-    con = duck("/nowhere")
-    for table in ("nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sold}/{table}.parquet/*.parquet')")
     columns, want = WHOLE[name]
-    found = con.execute(f"SELECT {', '.join(columns)} FROM ({oracle_queries()[name]}) q").fetchall()
+    found = sql_of(sold).execute(f"SELECT {', '.join(columns)} FROM ({oracle_queries()[name]}) q").fetchall()
+    assert rows(columns, found) == rows(columns, want)
+
+
+def test_whole_lists_that_overlap_in_part(spark, tmp_path):
+    """Suppliers that sold different brands: many scores, most below 1, the same in Spark and in the SQL."""
+    from marketscope.plans.oracle import oracle_queries
+    from marketscope.plans.queries import QUERIES
+
+    r = random.Random(4)
+    bought = [(c, b, 999) for c in range(1, 61) for b in r.sample(range(1, 26), r.randint(5, 9))]      # from a supplier not in the tables
+    sells = [(0, b, s) for s in range(1, 41) for b in r.sample(range(1, 26), r.randint(3, 12))]         # to a customer not in the tables
+    at = write(spark, str(tmp_path), {
+        "nation": ([(1, "N1", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(c, f"c{c}", 1, 5.0, "ABFHM"[c % 5:]) for c in range(1, 61)],
+                     "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "supplier": ([(s, f"s{s}", 1, 7.0) for s in range(1, 41)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        "part": ([(b, f"Brand#{10 + b}", "T") for b in range(1, 26)], "p_partkey long, p_brand string, p_type string"),
+        "orders": ([(c, c) for c in range(61)], "o_orderkey long, o_custkey long"),
+        "lineitem": ([(o, b, s, 1.0) for o, b, s in bought + sells],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_extendedprice double"),
+        "events": ([(1, datetime.datetime(2023, 5, 1), 2, "signup")], "event_id long, ts timestamp, user_id long, event_type string"),
+    })
+    columns = ("cnpj", "cnpj_mais_similar", "similaridade")
+    found = QUERIES["m1_most_similar"](spark, at).select(*columns).collect()
+    assert len({x.similaridade for x in found}) >= 10 and sum(x.similaridade < 1 for x in found) > 0.8 * len(found) == 32
+    want = sql_of(at).execute(f"SELECT {', '.join(columns)} FROM ({oracle_queries()['m1_most_similar']}) q").fetchall()
     assert rows(columns, found) == rows(columns, want)
