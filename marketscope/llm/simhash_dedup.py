@@ -111,6 +111,11 @@ def _around(masks: Column, seg: int, val: Column) -> Column:
     return F.transform(masks, lambda m: F.struct(F.lit(seg).alias("seg"), val.bitwiseXOR(m).alias("val")))
 
 
+def _met(probes: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:
+    """Equi-join of exploded rows, by sort-merge: Spark sizes them as the rows before the explode and may broadcast them."""
+    return probes.join(table.hint("merge"), key)
+
+
 def near_links(fps: DataFrame, max_bits: int, segments: int = SEGMENTS) -> DataFrame:
     """Edges (a, b) whose components are those of the full "max_bits or fewer" graph over distinct fingerprints."""
     plan, key = segment_plan(max_bits, segments), ["seg", "val"]
@@ -119,7 +124,7 @@ def near_links(fps: DataFrame, max_bits: int, segments: int = SEGMENTS) -> DataF
 
     table = _entries(fps, plan, False, [])
     star = table.groupBy(*key).agg(F.min("fp").alias("r1"), F.min_by("fp", F.xxhash64("fp")).alias("r2"))
-    stars = (_entries(fps, plan, True, []).join(star, key).where(near("r1") | near("r2"))
+    stars = (_met(_entries(fps, plan, True, []), star, key).where(near("r1") | near("r2"))
              .select("fp", F.explode(F.array_distinct(F.array("r1", "r2"))).alias("other")).where(near("other")))
     stars = written(stars.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct(), "star-links")
     labelled = written(fps.join(components(stars).withColumnRenamed("node", "fp"), "fp", "left")
@@ -130,14 +135,14 @@ def near_links(fps: DataFrame, max_bits: int, segments: int = SEGMENTS) -> DataF
     major = (table.groupBy(*key, "comp").agg(F.count("*").alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi"))
              .groupBy(*key).agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count("*").alias("comps"),
                                 F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    rows = table.join(major.select(*key, "major"), key).select(
+    rows = _met(table, major.select(*key, "major"), key).select(
         *key, (F.col("comp") == F.col("major")).alias("in_major"), F.col("fp").alias("other"), F.col("comp").alias("other_comp"))
     sides = F.when(F.col("comp") == F.col("major"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
     alone = (F.col("comps") == 1) & (F.col("comp") == F.col("major"))
-    probes = (_entries(labelled, plan, True, ["comp"]).join(major, key)
+    probes = (_met(_entries(labelled, plan, True, ["comp"]), major, key)
               .where(~alone & ((F.col("n") > 2) | near("lo") | near("hi")))
               .select(*key, "fp", "comp", F.explode(sides).alias("in_major")))
-    cross = (probes.join(rows, [*key, "in_major"])
+    cross = (_met(probes, rows, [*key, "in_major"])
              .where((F.col("comp") != F.col("other_comp")) & near("other"))
              .select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct())
     return stars.unionByName(cross)
@@ -176,4 +181,5 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int
     prints = _prints(docs, [id_column().alias(ID), *text_hashes(F.coalesce("text", F.lit("")))], shingle)
     first = _labelled(prints, F.struct(*KEY), max_bits, segments).groupBy("root").agg(F.min("first").alias("first"))
     rows = keyed(docs, keep_row=True).select(*KEY, ROW)
-    return rows.join(first.select("first.*"), list(KEY), "left_semi").dropDuplicates(list(KEY)).select(f"{ROW}.*")
+    # sort-merge: first has a row of each component; the rows of a key meet for dropDuplicates in any case
+    return rows.join(first.select("first.*").hint("merge"), list(KEY), "left_semi").dropDuplicates(list(KEY)).select(f"{ROW}.*")

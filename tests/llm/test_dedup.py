@@ -211,6 +211,33 @@ def test_keep_one_keeps_a_row_of_every_root(spark, rows):
     assert sorted(got) == sorted(smallest.items())
 
 
+def joined_plans(monkeypatch, result):
+    """The plans of what ``result()`` writes in simhash_dedup, by name, and of what it returns."""
+    plans, write = {}, sim.written
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(sim, "written", noted)
+    plans["result"] = result()._jdf.queryExecution().executedPlan().toString()
+    return plans
+
+
+def test_lookups_of_fingerprints_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes the 46 lookups of each fingerprint as one row; broadcast, they exceeded a driver of 1 GB at 0.6 GB of documents."""
+    rng = random.Random(7)
+    fps = sim.written(spark.createDataFrame([(rng.getrandbits(63),) for _ in range(300)], "fp long"), "test-prints")
+    plans = joined_plans(monkeypatch, lambda: sim.near_links(fps, 4))
+    for name in ("star-links", "result"):
+        assert "SortMergeJoin" in plans[name] and "BroadcastExchange" not in plans[name]
+
+
+def test_keep_one_broadcasts_no_table_of_components(spark, monkeypatch, rows):
+    plans = joined_plans(monkeypatch, lambda: sim.keep_one(table(spark, rows)))
+    assert "SortMergeJoin" in plans["result"] and "BroadcastExchange" not in plans["result"]
+
+
 def worded(text):
     return [" ".join(x.split()) for x in (text or "").split("\n") if x.split()]
 
