@@ -153,8 +153,9 @@ def near_dedup(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: i
     prints = _prints(docs, [id_column().alias(ID)], shingle)
     labelled = _labelled(prints, F.col(ID), max_bits, segments)
     totals = labelled.groupBy("root").agg(F.min("first").alias("component"), F.sum("n").alias("size"))
-    by_fp = labelled.select("fp", "root").join(totals, "root").drop("root")
-    return prints.join(by_fp, "fp").select(
+    # a row of each fingerprint or document on both sides: sort-merge, so that none is gathered in the driver
+    by_fp = labelled.select("fp", "root").join(totals.hint("merge"), "root").drop("root")
+    return prints.join(by_fp.hint("merge"), "fp").select(
         real_id(F.col(ID)).alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         real_id(F.col("component")).alias("component_id"), F.col("size").alias("component_size"))
 

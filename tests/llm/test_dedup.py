@@ -238,6 +238,11 @@ def test_keep_one_broadcasts_no_table_of_components(spark, monkeypatch, rows):
     assert "SortMergeJoin" in plans["result"] and "BroadcastExchange" not in plans["result"]
 
 
+def test_simhash_dedup_broadcasts_no_table_of_documents(spark, monkeypatch, rows):
+    plans = joined_plans(monkeypatch, lambda: sim.near_dedup(table(spark, rows)))
+    assert "SortMergeJoin" in plans["result"] and "BroadcastExchange" not in plans["result"]
+
+
 def worded(text):
     return [" ".join(x.split()) for x in (text or "").split("\n") if x.split()]
 
